@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The reference has no streaming behaviour (no watermarks, windows, state or
+late data); its only mention of streams is a wish in its architecture notes.
+Nothing is built here so that no operator exists without a reference
+counterpart.
+"""
