@@ -40,7 +40,8 @@ CONFEDERATION_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 DEFAULT_GROUP = "Other"
 
-_WS_EDGES = r"^\s+|\s+$"
+# the characters of the regex class \s (what str.strip() removes for ASCII text)
+WHITESPACE = " \t\n\x0b\f\r"
 
 
 def _col(c: str | Column) -> Column:
@@ -48,16 +49,25 @@ def _col(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Strip leading/trailing whitespace of any kind (``trim`` only strips blanks)."""
-    return F.regexp_replace(_col(c), _WS_EDGES, "")
+    """Strip leading/trailing whitespace of any kind (plain ``trim`` only strips
+    blanks).  A character-set trim, not a regex: no per-row pattern matching."""
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def alias_regex(c: str | Column, aliases: Sequence[tuple[str, str]] = TEAM_ALIASES) -> Column:
-    """Apply substring/regex replacements one after the other, in the given order."""
-    out = _col(c)
+    """Apply substring/regex replacements one after the other, in the given order.
+
+    Rows matching none of the patterns skip the chain (one combined test): if
+    the first pattern cannot match, no replacement happens and so on down the
+    chain, so the guard never changes a result."""
+    col = _col(c)
+    if not aliases:
+        return col
+    out = col
     for pattern, repl in aliases:
         out = F.regexp_replace(out, pattern, repl)
-    return out
+    any_hit = "|".join(f"(?:{p})" for p, _ in aliases)
+    return F.when(col.rlike(any_hit), out).otherwise(col)
 
 
 def alias_exact(c: str | Column, aliases: Mapping[str, str] = COUNTRY_ALIASES) -> Column:

@@ -54,7 +54,9 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     counts = staged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    # one row per range partition; written once so every consumer reuses it
+    offsets = materialize(
+        counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")), "id_offsets")
     out = (staged.withColumn("_pid", part)
            .join(F.broadcast(offsets), "_pid")
            .withColumn(id_col, F.col("_base") + (F.col("_mid").bitwiseAND(F.lit(_POS_MASK))) + 1))

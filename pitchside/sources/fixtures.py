@@ -20,13 +20,22 @@ MATCH_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quanti
                "l_extendedprice")
 
 
+# fact-sized tables: their scans must run on every core
+LARGE = ("lineitem", "orders")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def large_table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
+    """Pruned scan of a fact-sized table, spread over the cores if it is one split."""
+    from pitchside.sources.io import ensure_parallelism
+    return ensure_parallelism(table(spark, sf_dir, name).select(*columns))
+
+
 def matches_raw(spark: SparkSession, sf_dir: str, *, dirty: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        *MATCH_ORDER, "l_returnflag")
+    li = large_table(spark, sf_dir, "lineitem", [*MATCH_ORDER, "l_returnflag"])
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -71,8 +80,8 @@ def matches_raw(spark: SparkSession, sf_dir: str, *, dirty: bool = False) -> Dat
 
 
 def readings_raw(spark: SparkSession, sf_dir: str, *, dirty: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = large_table(spark, sf_dir, "orders",
+                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     j = (o.where(F.col("o_orderstatus") == "F")

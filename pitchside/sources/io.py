@@ -19,6 +19,17 @@ CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A single unsplittable file (one Parquet row group) becomes one task and
+    serialises everything downstream of it; a round-robin repartition fixes
+    that.  On real inputs (many files / row groups) the scan already has more
+    partitions than cores and nothing is added."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def detect_format(path: str, default: str = "csv") -> str:
     """Format by suffix; unknown suffixes read as CSV."""
     return FORMATS.get(os.path.splitext(path.rstrip("/"))[1].lower(), default)
