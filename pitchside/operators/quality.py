@@ -302,8 +302,13 @@ def bias_entity(dim_team: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- readiness
 def readiness(tables: Mapping[str, DataFrame]) -> DataFrame:
     """0.7 · mean(completeness %) + 0.3 · (100 − min(Σ duplicate %, 20)), 2 dp."""
-    comp = completeness(tables).agg(F.avg("overall_completeness_percent").alias("avg_completeness"))
-    dup = duplicates(tables).agg(F.sum("duplicate_percentage").alias("total_duplicate_percentage"))
+    return readiness_from(completeness(tables), duplicates(tables))
+
+
+def readiness_from(completeness_df: DataFrame, duplicates_df: DataFrame) -> DataFrame:
+    """The score from per-table completeness and duplicate reports."""
+    comp = completeness_df.agg(F.avg("overall_completeness_percent").alias("avg_completeness"))
+    dup = duplicates_df.agg(F.sum("duplicate_percentage").alias("total_duplicate_percentage"))
     both = comp.withColumn("total_duplicate_percentage", dup.scalar())
     penalty = F.least(F.col("total_duplicate_percentage"), F.lit(20.0))
     return both.select(
