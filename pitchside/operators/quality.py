@@ -156,48 +156,90 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], strategy: str = "
     ``strategy``: 'map' (Spark ``percentile``, memory ∝ distinct values),
     'distributed' (ranked sort), 'approx' (``percentile_approx``), or 'auto'
     (map when the distinct count is provably small, else distributed)."""
-    c = F.col(col).cast("double")
-    if strategy == "auto":
-        ndv = df.agg(F.approx_count_distinct(col).alias("d")).first()["d"]
-        strategy = "map" if ndv <= MAP_QUANTILE_MAX_DISTINCT else "distributed"
-    if strategy == "distributed":
-        return _distributed_quantiles(df, col, probs)
-    if strategy == "approx":
-        agg = F.percentile_approx(c, list(probs), 100000)
-    else:
-        agg = F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
-    row = df.agg(agg.alias("qs"))
-    return row.select(*[F.col("qs")[i].alias(f"q{i}") for i in range(len(probs))])
+    row = quantile_values(df, [col], probs, strategy)[col]
+    spark = df.sparkSession
+    return df.agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(row)])
+
+
+def _strategies(df: DataFrame, cols: Sequence[str], strategy: str) -> dict[str, str]:
+    if strategy != "auto":
+        return {c: strategy for c in cols}
+    # distinct values never exceed rows: a table known to be small needs no check
+    rows = getattr(df, "_pitchside_rows", None)
+    if rows is not None and rows <= MAP_QUANTILE_MAX_DISTINCT:
+        return {c: "map" for c in cols}
+    ndv = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    return {c: "map" if ndv[f"c{i}"] <= MAP_QUANTILE_MAX_DISTINCT else "distributed"
+            for i, c in enumerate(cols)}
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    strategy: str = "auto") -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns; a few numbers per column reach the driver.
+
+    All 'map' columns share one aggregation pass; 'distributed' columns are
+    ranked one by one (only for columns with very many distinct values)."""
+    if not cols:
+        return {}
+    strat = _strategies(df, cols, strategy)
+    out: dict[str, list[float | None]] = {}
+    shared = [c for c in cols if strat[c] in ("map", "approx")]
+    if shared:
+        aggs = []
+        for i, c in enumerate(shared):
+            x = F.col(c).cast("double")
+            agg = (F.percentile_approx(x, list(probs), 100000) if strat[c] == "approx"
+                   else F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])))
+            aggs.append(agg.alias(f"c{i}"))
+        row = df.agg(*aggs).first()
+        for i, c in enumerate(shared):
+            vals = row[f"c{i}"]
+            out[c] = [None] * len(probs) if vals is None else [float(v) for v in vals]
+    for c in cols:
+        if strat[c] == "distributed":
+            r = _distributed_quantiles(df, c, probs).first()
+            out[c] = [r[f"q{i}"] for i in range(len(probs))]
+    return out
+
+
+def _stack(row: DataFrame, items: Sequence[tuple[str, dict[str, Column]]]) -> DataFrame:
+    """One-row frame → one row per item (column_name + the given fields)."""
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[v.alias(k) for k, v in fields.items()])
+        for c, fields in items])).alias("s")).select("s.*")
 
 
 def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto") -> DataFrame:
-    """Columns with values strictly outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR]."""
+    """Columns with values strictly outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR].
+
+    Per table: quantiles of every numeric column in one pass, then every
+    column's outlier count in one more pass."""
     frames = []
     for name, df in tables.items():
-        for col in numeric_columns(df):
-            q = quantiles(df, col, (0.25, 0.75), strategy)
-            q1, q3 = q.select("q0").scalar(), q.select("q1").scalar()  # one-row subqueries
+        cols = numeric_columns(df)
+        if not cols:
+            continue
+        qv = quantile_values(df, cols, (0.25, 0.75), strategy)
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for i, c in enumerate(cols):
+            q1, q3 = qv[c]
+            if q1 is None:
+                aggs.append(F.lit(0).cast("bigint").alias(f"n{i}"))
+                continue
             iqr = q3 - q1
-            x = F.col(col).cast("double")
-            flagged = (x < q1 - 1.5 * iqr) | (x > q3 + 1.5 * iqr)
-            counted = df.select(col).agg(
-                F.first(q1).alias("q1"), F.first(q3).alias("q3"),
-                F.count_if(flagged).alias("outlier_count"), F.count(F.lit(1)).alias("_n"))
-            frames.append(counted.select(
-                F.lit(name).alias("table_name"), F.lit(col).alias("column_name"), "q1", "q3",
-                "outlier_count",
-                _r(F.col("outlier_count") * F.lit(100.0).cast("double") / F.col("_n")).alias("outlier_percentage")))
+            x = F.col(c).cast("double")
+            aggs.append(F.count_if((x < F.lit(q1 - 1.5 * iqr)) | (x > F.lit(q3 + 1.5 * iqr))).alias(f"n{i}"))
+        counted = df.agg(*aggs)
+        items = [(c, {"q1": F.lit(qv[c][0]).cast("double"), "q3": F.lit(qv[c][1]).cast("double"),
+                      "outlier_count": F.col(f"n{i}"),
+                      "outlier_percentage": _r(F.col(f"n{i}") * F.lit(100.0).cast("double") / F.col("_n"))})
+                 for i, c in enumerate(cols)]
+        frames.append(_stack(counted, items).select(F.lit(name).alias("table_name"), "*"))
     return _union(frames).where(F.col("outlier_count") > 0)
 
 
 # ---------------------------------------------------------------- profiles
-def _moments(col: str) -> list[Column]:
-    x = F.col(col).cast("double")
-    return [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max"), F.skewness(x).alias("g1"),
-            F.kurtosis(x).alias("g2")]
-
-
 def _corrected_shape(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]:
     """Population skewness/kurtosis (Spark) → bias-corrected G1 / G2 (pandas, DuckDB)."""
     nd = n.cast("double")
@@ -210,22 +252,39 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
                     strategy: str = "auto") -> DataFrame:
     """count, mean, std (n−1), min, max, median per numeric column with ≥ 1 value.
 
-    With ``shape=True`` returns skewness / kurtosis (bias-corrected) instead."""
+    With ``shape=True`` returns skewness / kurtosis (bias-corrected) instead.
+    One aggregation pass per table (plus the quantile pass for medians)."""
     frames = []
     for name, df in tables.items():
-        for col in numeric_columns(df):
-            m = df.agg(*_moments(col))
-            if not shape:
-                m = m.withColumn("median", quantiles(df, col, (0.5,), strategy).select("q0").scalar())
+        cols = numeric_columns(df)
+        if not cols:
+            continue
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"n{i}")]
             if shape:
-                skew, kurt = _corrected_shape(F.col("n"), F.col("g1"), F.col("g2"))
-                sel = [_r(skew, STAT_DIGITS).alias("skewness"), _r(kurt, STAT_DIGITS).alias("kurtosis")]
+                aggs += [F.skewness(x).alias(f"g1_{i}"), F.kurtosis(x).alias(f"g2_{i}")]
             else:
-                sel = [F.col("n").alias("count"), _r(F.col("mean"), STAT_DIGITS).alias("mean"),
-                       _r(F.col("std"), STAT_DIGITS).alias("std"), F.col("min"), F.col("max"),
-                       F.col("median")]
-            frames.append(m.where(F.col("n") > 0).select(
-                F.lit(name).alias("table_name"), F.lit(col).alias("column_name"), *sel))
+                aggs += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                         F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        m = df.agg(*aggs)
+        if shape:
+            items = []
+            for i, c in enumerate(cols):
+                skew, kurt = _corrected_shape(F.col(f"n{i}"), F.col(f"g1_{i}"), F.col(f"g2_{i}"))
+                items.append((c, {"_n": F.col(f"n{i}"), "skewness": _r(skew, STAT_DIGITS),
+                                  "kurtosis": _r(kurt, STAT_DIGITS)}))
+        else:
+            med = quantile_values(df, cols, (0.5,), strategy)
+            items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"),
+                          "mean": _r(F.col(f"mean{i}"), STAT_DIGITS),
+                          "std": _r(F.col(f"std{i}"), STAT_DIGITS),
+                          "min": F.col(f"min{i}"), "max": F.col(f"max{i}"),
+                          "median": F.lit(med[c][0]).cast("double")})
+                     for i, c in enumerate(cols)]
+        stacked = _stack(m, items).where(F.col("_n") > 0).drop("_n")
+        frames.append(stacked.select(F.lit(name).alias("table_name"), "*"))
     return _union(frames)
 
 
@@ -257,22 +316,21 @@ def feature_cardinality(df: DataFrame) -> DataFrame:
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
 
 
-def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD,
-                        chunk: int = 256) -> DataFrame:
+def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
     """Pairwise Pearson r (pairwise-complete rows) with |r| > threshold, 3 dp.
 
-    All pairs are computed in ``agg`` passes of at most ``chunk`` expressions."""
+    The column pairs are unpivoted into (pair, x, y) rows and grouped by pair:
+    one small hash aggregate whose generated code does not grow with the
+    number of pairs (a single wide ``agg`` of all pairs falls out of codegen)."""
     cols = numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    frames = []
-    for start in range(0, len(pairs), chunk):
-        part = pairs[start:start + chunk]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(part)])
-        frames.append(row.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(part)])).alias("s")).select("s.*"))
-    out = _union(frames)
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])).alias("s")).select("s.*")
+    out = long.groupBy("feature1", "feature2").agg(F.corr("x", "y").alias("r"))
     return (out.where(F.abs("r") > threshold)
                .select("feature1", "feature2", _r(F.col("r"), 3).alias("correlation")))
 
