@@ -83,22 +83,53 @@ def critical_missing(tables: Mapping[str, DataFrame], threshold: float = CRITICA
 
 
 # ---------------------------------------------------------------- duplicates
-def duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows minus distinct rows, per table (NULLs compare equal, like pandas)."""
+def _duplicate_rows(df: DataFrame) -> DataFrame:
+    """One row: total_records, duplicate_records (rows minus distinct rows)."""
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
+                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records"))
+
+
+def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None,
+               max_suspect_keys: int = 1_000_000) -> DataFrame:
+    """Rows minus distinct rows, per table (NULLs compare equal, like pandas).
+
+    Identical rows share their key, so with a declared key only the key column
+    is shuffled first; full rows are grouped only for keys that repeat (none,
+    when the key is unique).  Exact in every case: with too many repeated keys
+    it falls back to grouping all rows."""
     frames = []
     for name, df in tables.items():
-        groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        frames.append(groups.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records"),
-        ).withColumn("duplicate_percentage",
-                     F.when(F.col("total_records") > 0,
-                            _r(F.col("duplicate_records") * F.lit(100.0).cast("double") / F.col("total_records")))
-                     .otherwise(F.lit(0.0))))
+        key = (keys or {}).get(name)
+        if key is None:
+            part = _duplicate_rows(df)
+        else:
+            repeated = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
+                          .where(F.col("_k") > 1).select(F.col(key).alias("_key")))
+            n_rep = bounded_row_count(repeated, max_suspect_keys)
+            if n_rep == 0:
+                part = df.agg(F.count(F.lit(1)).alias("total_records"),
+                              F.lit(0).cast("bigint").alias("duplicate_records"))
+            elif n_rep <= max_suspect_keys:
+                # repeated keys are few (checked): broadcast them, keep only their rows
+                suspects = df.join(F.broadcast(repeated), df[key].eqNullSafe(F.col("_key")), "left_semi")
+                dup = _duplicate_rows(suspects).select("duplicate_records")
+                part = df.agg(F.count(F.lit(1)).alias("total_records")) \
+                         .withColumn("duplicate_records", dup.scalar())
+            else:
+                part = _duplicate_rows(df)
+        frames.append(part.select(
+            F.lit(name).alias("table_name"), "total_records", "duplicate_records",
+            F.when(F.col("total_records") > 0,
+                   _r(F.col("duplicate_records") * F.lit(100.0).cast("double") / F.col("total_records")))
+             .otherwise(F.lit(0.0)).alias("duplicate_percentage")))
     return _union(frames)
 
 
+def bounded_row_count(df: DataFrame, bound: int) -> int:
+    return df.limit(bound + 1).count()
+
+
 def numeric_strings(tables: Mapping[str, DataFrame]) -> DataFrame:
     """String columns whose every non-NULL value parses as a number (≥ 1 value)."""
     frames = []
@@ -358,9 +389,9 @@ def bias_entity(dim_team: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- readiness
-def readiness(tables: Mapping[str, DataFrame]) -> DataFrame:
+def readiness(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None) -> DataFrame:
     """0.7 · mean(completeness %) + 0.3 · (100 − min(Σ duplicate %, 20)), 2 dp."""
-    return readiness_from(completeness(tables), duplicates(tables))
+    return readiness_from(completeness(tables), duplicates(tables, keys))
 
 
 def readiness_from(completeness_df: DataFrame, duplicates_df: DataFrame) -> DataFrame:

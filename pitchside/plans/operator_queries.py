@@ -627,7 +627,7 @@ def _dups(name, cols):
 
 
 register("dq_duplicates", W(_tables_sql(_dups), star=True))(
-    lambda spark, sf: Q.duplicates(star_tables(spark, sf)))
+    lambda spark, sf: Q.duplicates(star_tables(spark, sf), schemas.PRIMARY_KEYS))
 
 
 def _numstr(name, cols):
@@ -742,12 +742,12 @@ FROM (SELECT AVG(overall_completeness_percent) AS a FROM ({_completeness_sql()})
      (SELECT SUM(duplicate_percentage) AS s FROM ({_tables_sql(_dups)})) d"""
 
 register("readiness_score", W(_READINESS_SQL, star=True))(
-    lambda spark, sf: Q.readiness(star_tables(spark, sf)))
+    lambda spark, sf: Q.readiness(star_tables(spark, sf), schemas.PRIMARY_KEYS))
 
 register("readiness_band", W(f"""SELECT readiness_score,
  CASE WHEN readiness_score >= 90 THEN 'EXCELLENT' WHEN readiness_score >= 70 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS band,
  readiness_score >= 50 AS passed FROM ({_READINESS_SQL})""", star=True))(
-    lambda spark, sf: Q.readiness_band(Q.readiness(star_tables(spark, sf))))
+    lambda spark, sf: Q.readiness_band(Q.readiness(star_tables(spark, sf), schemas.PRIMARY_KEYS)))
 
 
 @register("stage_metrics", W("""SELECT 'ingest' AS stage, (SELECT COUNT(*) FROM m_raw) AS rows_in, (SELECT COUNT(*) FROM m_raw) AS rows_out

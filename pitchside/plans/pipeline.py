@@ -38,7 +38,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)      # known schema: no footer inference
     out._pitchside_rows = obs.get["rows"]
     return out
 

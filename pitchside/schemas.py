@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampNTZType,
 )
 
 
@@ -43,3 +44,19 @@ FOREIGN_KEYS = (("date_id", "dim_date", "date_id"), ("location_id", "dim_locatio
                 ("temperature_id", "dim_temperature", "temperature_id"))
 
 BOOL = BooleanType()
+
+# The driver's base tables (only the ones the pipeline reads).  Reading with a
+# schema skips Parquet footer inference (one Spark job per read).
+NTZ = TimestampNTZType()
+SOURCE_TABLES = {
+    "lineitem": _s(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+                   ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
+                   ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", NTZ)),
+    "orders": _s(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
+                 ("o_orderdate", NTZ), ("o_orderpriority", S)),
+    "customer": _s(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                   ("c_mktsegment", S)),
+    "supplier": _s(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
+    "nation": _s(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "region": _s(("r_regionkey", I), ("r_name", S)),
+}

@@ -25,7 +25,11 @@ LARGE = ("lineitem", "orders")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from pitchside.schemas import SOURCE_TABLES
+    reader = spark.read
+    if name in SOURCE_TABLES:
+        reader = reader.schema(SOURCE_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def large_table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:

@@ -133,3 +133,14 @@ def test_quantile_strategies_agree(spark):
     exp = pd.Series([r.v for r in df.collect()]).quantile([0.25, 0.5, 0.75]).tolist()
     assert [a.q0, a.q1, a.q2] == exp
     assert [b.q0, b.q1, b.q2] == exp
+
+
+def test_duplicates_with_and_without_key_agree(spark):
+    rows = [(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, "d"), (3, "e")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    full = Q.duplicates({"t": df}).first()
+    keyed = Q.duplicates({"t": df}, {"t": "k"}).first()
+    assert (full.total_records, full.duplicate_records) == (7, 2)
+    assert tuple(keyed) == tuple(full)
+    uniq = spark.createDataFrame([(i, "x") for i in range(5)], "k int, v string")
+    assert Q.duplicates({"u": uniq}, {"u": "k"}).first().duplicate_records == 0
