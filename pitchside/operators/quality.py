@@ -457,3 +457,28 @@ def check_referential(fact: DataFrame, dims: Mapping[str, DataFrame], refs: Sequ
             F.lit(fk).alias("fk_column"), F.lit(dim_name).alias("dim_table"),
             F.count(F.lit(1)).alias("orphan_rows")))
     return _union(frames)
+
+
+# ---------------------------------------------------------------- grouped entry points
+def quality(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Duplicates, numeric-as-string columns and IQR outliers."""
+    return {"duplicates": duplicates(tables, keys), "numeric_strings": numeric_strings(tables),
+            "outliers": iqr_outliers(tables)}
+
+
+def profile(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"numeric": profile_numeric(tables), "shape": profile_numeric(tables, shape=True)}
+
+
+def features(df: DataFrame) -> dict[str, DataFrame]:
+    return {"types": feature_types(df), "cardinality": feature_cardinality(df)}
+
+
+def correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
+    return strong_correlations(df, threshold)
+
+
+def bias(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"temporal": bias_temporal(tables["dim_date"]),
+            "geographic": bias_geographic(tables["dim_location"]),
+            "entity": bias_entity(tables["dim_team"])}

@@ -25,6 +25,7 @@ from pitchside.plans import catalog
 from pitchside.plans.oracle import alias_exact_sql, alias_regex_sql, bin_sql, coerce_int_sql, \
     confederation_case, spark_round, strip, with_chain
 from pitchside.plans.pipeline import STAR_TABLES, materialize, star_session
+from pitchside.plans.joins import can_broadcast
 from pitchside.plans.registry import register
 from pitchside.session import scratch_path
 from pitchside.sources import io
@@ -460,7 +461,8 @@ FROM fact_matches""", star=True))
 def fact_build(spark: SparkSession, sf: str) -> DataFrame:
     t = star(spark, sf)
     dims = {n: t[n] for n in ("dim_date", "dim_team", "dim_location", "dim_temperature")}
-    f = ST.fact_matches(t["enriched"], dims, broadcast_dims=True)   # dims are materialised and small
+    small = all(can_broadcast(d) for d in dims.values())   # observed row counts of the written dims
+    f = ST.fact_matches(t["enriched"], dims, broadcast_dims=small)
     return f.select("match_id", "date_id", "location_id", "home_team_id", "away_team_id", "temperature_id")
 
 
@@ -469,10 +471,11 @@ FROM fact_matches fm JOIN dim_team ht ON fm.home_team_id = ht.team_id
 JOIN dim_team awt ON fm.away_team_id = awt.team_id""", star=True))
 def role_playing_join(spark: SparkSession, sf: str) -> DataFrame:
     t = star(spark, sf)
-    ht, awt = t["dim_team"].alias("ht"), t["dim_team"].alias("awt")
+    team = F.broadcast(t["dim_team"]) if can_broadcast(t["dim_team"]) else t["dim_team"]
+    ht, awt = team.alias("ht"), team.alias("awt")
     fm = t["fact_matches"].alias("fm")
-    return (fm.join(F.broadcast(ht), F.col("fm.home_team_id") == F.col("ht.team_id"))
-              .join(F.broadcast(awt), F.col("fm.away_team_id") == F.col("awt.team_id"))
+    return (fm.join(ht, F.col("fm.home_team_id") == F.col("ht.team_id"))
+              .join(awt, F.col("fm.away_team_id") == F.col("awt.team_id"))
               .select("fm.match_id", F.col("ht.team_name").alias("home_team"),
                       F.col("awt.team_name").alias("away_team")))
 
@@ -484,7 +487,9 @@ def date_fallback_join(spark: SparkSession, sf: str) -> DataFrame:
     t = star(spark, sf)
     # coarser grain: one date row per (year, month), the first one
     dd = t["dim_date"].groupBy("year", "month").agg(F.min("date_id").alias("fallback_date_id"))
-    return t["enriched"].join(F.broadcast(dd), ["year", "month"], "left").select("match_id", "fallback_date_id")
+    # never more rows than dim_date, whose written row count is checked
+    dd = F.broadcast(dd) if can_broadcast(t["dim_date"]) else dd
+    return t["enriched"].join(dd, ["year", "month"], "left").select("match_id", "fallback_date_id")
 
 
 # =================================================================== aggregations

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pitchside.operators.clean import clean_matches, clean_readings
 from pitchside.operators.enrich import join_readings, prepare_readings, yearly_from_monthly
-from pitchside.operators.keys import sequential_ids
+from pitchside.operators.keys import dense_ids, sequential_ids
 from pitchside.operators.star import build_dimensions, fact_matches
 from pitchside.plans.joins import MAX_BROADCAST_ROWS, bounded_row_count, lookup_join
 from pitchside.session import scratch_path
@@ -50,7 +50,27 @@ def _checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return rows <= max_rows
 
 
-def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame) -> dict[str, DataFrame]:
+def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",
+                      order_col: str = "src_pos") -> dict[str, DataFrame]:
+    """Enriched matches → materialised dimensions and fact.
+
+    ``keys='scalable'`` numbers matches with range-partitioned sequential ids;
+    ``keys='small'`` uses one global window (single task: small inputs only)."""
+    if "match_id" not in enriched.columns:
+        if keys == "small":
+            enriched = dense_ids(enriched, [order_col], "match_id")
+        elif keys == "scalable":
+            enriched = sequential_ids(enriched, [order_col], "match_id")
+        else:
+            raise ValueError("keys must be 'scalable' or 'small'")
+    dims = {name: materialize(df, name) for name, df in build_dimensions(enriched).items()}
+    dims_small = all(_checked(d) for d in dims.values())
+    fact = materialize(fact_matches(enriched, dims, broadcast_dims=dims_small), "fact_matches")
+    return {"fact_matches": fact, **dims, "enriched": enriched}
+
+
+def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame, *,
+                    keys: str = "scalable") -> dict[str, DataFrame]:
     """Cleaned inputs → materialised star tables (plus the enriched silver table)."""
     cells = materialize(prepare_readings(readings_clean), "cells")
     cells_small = _checked(cells)
@@ -63,12 +83,14 @@ def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame) -> dict
     # silver table: written once, so the range partitioner's sampling pass and
     # the id pass below read files instead of re-running clean + dedup + join
     enriched = materialize(join_readings(matches_clean, cells, yearly=yearly, join=join), "enriched")
-    enriched = sequential_ids(enriched, ["src_pos"], "match_id")
-    dims = {name: materialize(df, name) for name, df in build_dimensions(enriched).items()}
-    dims_small = all(_checked(d) for d in dims.values())
-    fact = materialize(fact_matches(enriched, dims, broadcast_dims=dims_small), "fact_matches")
-    out = {"fact_matches": fact, **dims, "enriched": enriched, "cells": cells, "yearly": yearly}
-    return out
+    star = build_star_schema(enriched, keys=keys)
+    return {**star, "cells": cells, "yearly": yearly}
+
+
+def lineage(tables: dict[str, DataFrame]) -> list[tuple[str, int | None]]:
+    """(table, rows) for every materialised table, from the row counts
+    observed while writing them (no extra jobs)."""
+    return [(name, getattr(df, "_pitchside_rows", None)) for name, df in tables.items()]
 
 
 def build_star(spark: SparkSession, sf_dir: str, *, refresh: bool = False) -> dict[str, DataFrame]:

@@ -112,3 +112,9 @@ def source_contract(df: DataFrame, contract: StructType, source: str) -> DataFra
                              F.when(F.col("ok"), F.lit("non-empty")).otherwise(F.lit("empty")).alias("actual_type"),
                              F.col("ok").alias("present"), F.col("ok").alias("type_ok"))
     return cols.unionByName(check)
+
+
+def save_report(frames: Mapping[str, DataFrame], path: str) -> dict[str, str]:
+    """Write each report frame as JSON under ``path/<name>`` (executors write)."""
+    return {name: write_table(df, f"{path.rstrip('/')}/{name}.json", "json")
+            for name, df in frames.items()}

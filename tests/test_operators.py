@@ -144,3 +144,15 @@ def test_duplicates_with_and_without_key_agree(spark):
     assert tuple(keyed) == tuple(full)
     uniq = spark.createDataFrame([(i, "x") for i in range(5)], "k int, v string")
     assert Q.duplicates({"u": uniq}, {"u": "k"}).first().duplicate_records == 0
+
+
+def test_small_and_scalable_keys_build_the_same_star(spark):
+    from pitchside.plans.pipeline import build_star_schema
+    from pitchside.sources.fixtures import matches_raw, readings_raw
+    from tests.conftest import SF0001
+    enriched = E.enrich(C.clean_matches(matches_raw(spark, SF0001)),
+                        C.clean_readings(readings_raw(spark, SF0001)))
+    a = build_star_schema(enriched, keys="small")["fact_matches"]
+    b = build_star_schema(enriched, keys="scalable")["fact_matches"]
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
