@@ -33,6 +33,17 @@ READING_KEY = ("country", "date")
 ORDER_COL = "src_pos"
 
 
+def with_source_order(df: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
+    """Ensure a source-order column exists.
+
+    Inputs that carry their own order (a line number, a file offset) keep it;
+    otherwise scan order is used (input partition, then row within it), which
+    is stable for a fixed file listing."""
+    if order_col in df.columns:
+        return df
+    return df.withColumn(order_col, F.monotonically_increasing_id())
+
+
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename only the columns that exist."""
     present = {k: v for k, v in mapping.items() if k in df.columns}
@@ -89,7 +100,7 @@ def clean_matches(raw: DataFrame, *, years: tuple[int, int] = YEARS,
                   aliases: Sequence[tuple[str, str]] = TEAM_ALIASES,
                   order_col: str = ORDER_COL, dedup: bool = True) -> DataFrame:
     """Raw results → ``matches_clean`` (one lazy plan)."""
-    df = rename_columns(raw, MATCH_RENAMES)
+    df = rename_columns(with_source_order(raw, order_col), MATCH_RENAMES)
     df = df.withColumn("match_date", parse_date_typed(df, "date"))
     df = df.where(F.col("match_date").isNotNull())
     df = df.withColumns(date_parts("match_date"))
@@ -120,7 +131,7 @@ def clean_readings(raw: DataFrame, *, bounds: tuple[float, float] = TEMPERATURE_
                    years: tuple[int, int] = YEARS, aliases: Mapping[str, str] = COUNTRY_ALIASES,
                    order_col: str = ORDER_COL, dedup: bool = True) -> DataFrame:
     """Raw monthly readings → ``readings_clean`` (one lazy plan)."""
-    df = rename_columns(raw, READING_RENAMES)
+    df = rename_columns(with_source_order(raw, order_col), READING_RENAMES)
     df = df.withColumn("date", parse_date(F.col("month").cast("string")))
     df = df.where(F.col("date").isNotNull())
     df = df.withColumns({"year": F.year("date"), "month_num": F.month("date"),

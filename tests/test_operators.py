@@ -156,3 +156,24 @@ def test_small_and_scalable_keys_build_the_same_star(spark):
     b = build_star_schema(enriched, keys="scalable")["fact_matches"]
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_raw_csv_without_source_order_runs_end_to_end(spark, tmp_path):
+    from pitchside import schemas
+    from pitchside.plans.pipeline import run_pipeline
+    from pitchside.sources.io import read_table
+    m = tmp_path / "m.csv"
+    m.write_text("Year,Date,Time,Round,Stadium,City,Country,HomeTeam,HomeGoals,AwayGoals,AwayTeam,Observation\n"
+                 "2014,2014-06-12,17:00,Group A,Arena,Sao Paulo,Brazil,Brazil,3,1,Croatia,\n"
+                 "2014,2014-06-13,13:00,Group A,Estadio,Natal,Brazil,Mexico,1,0,Cameroon,\n"
+                 "2014,2014-06-12,17:00,Group A,Arena,Sao Paulo,Brazil,Brazil,3,1,Croatia,\n")
+    r = tmp_path / "r.csv"
+    r.write_text("Entity,Code,Month,Monthly average\nBrazil,BRA,2014-06,22.5\nBrazil,BRA,2014-05,23.5\n")
+    t = run_pipeline(spark, read_table(spark, str(m), schemas.RAW_MATCHES),
+                     read_table(spark, str(r), schemas.RAW_READINGS))
+    rows = t["fact_matches"].orderBy("match_id").collect()
+    assert [(x.match_id, x.home_goals, x.away_goals) for x in rows] == [(1, 3, 1), (2, 1, 0)]
+    temps = {x.temperature_category for x in t["dim_temperature"].collect()}
+    assert temps == {"Warm"}
+    teams = {x.team_name: x.confederation for x in t["dim_team"].collect()}
+    assert teams["Brazil"] == "CONMEBOL" and teams["Croatia"] == "UEFA" and teams["Mexico"] == "CONCACAF"
