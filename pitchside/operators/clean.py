@@ -167,3 +167,8 @@ def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS) ->
         F.struct(F.lit(r).alias("rule"), F.col(r).cast("bigint").alias("rows"))
         for r in ("input", "bad_date", "out_of_years", "duplicate_key", "output")
     ])).alias("r")).select("r.*")
+
+
+def clean_all(raw_matches: DataFrame, raw_readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both cleaners; each result is still a lazy plan."""
+    return clean_matches(raw_matches), clean_readings(raw_readings)

@@ -299,6 +299,13 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
             else:
                 aggs += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                          F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        strat = {} if shape else _strategies(df, cols, strategy)
+        in_pass = [c for c in cols if strat.get(c) in ("map", "approx")]
+        for i, c in enumerate(cols):
+            if c in in_pass:   # median in the same pass as the moments
+                x = F.col(c).cast("double")
+                aggs.append((F.percentile_approx(x, 0.5, 100000) if strat[c] == "approx"
+                             else F.percentile(x, F.lit(0.5))).alias(f"med{i}"))
         m = df.agg(*aggs)
         if shape:
             items = []
@@ -307,12 +314,14 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
                 items.append((c, {"_n": F.col(f"n{i}"), "skewness": _r(skew, STAT_DIGITS),
                                   "kurtosis": _r(kurt, STAT_DIGITS)}))
         else:
-            med = quantile_values(df, cols, (0.5,), strategy)
+            ranked = [c for c in cols if c not in in_pass]
+            med = quantile_values(df, ranked, (0.5,), "distributed") if ranked else {}
             items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"),
                           "mean": _r(F.col(f"mean{i}"), STAT_DIGITS),
                           "std": _r(F.col(f"std{i}"), STAT_DIGITS),
                           "min": F.col(f"min{i}"), "max": F.col(f"max{i}"),
-                          "median": F.lit(med[c][0]).cast("double")})
+                          "median": (F.col(f"med{i}").cast("double") if c in in_pass
+                                     else F.lit(med[c][0]).cast("double"))})
                      for i, c in enumerate(cols)]
         stacked = _stack(m, items).where(F.col("_n") > 0).drop("_n")
         frames.append(stacked.select(F.lit(name).alias("table_name"), "*"))
@@ -482,3 +491,20 @@ def bias(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {"temporal": bias_temporal(tables["dim_date"]),
             "geographic": bias_geographic(tables["dim_location"]),
             "entity": bias_entity(tables["dim_team"])}
+
+
+def validate_all(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None,
+                 fact: str = "fact_matches") -> dict[str, DataFrame]:
+    """Every readiness section as a DataFrame (completeness, quality, profile,
+    features, correlations, bias, score) — lazily, nothing collected."""
+    score = readiness(tables, keys)
+    return {
+        "completeness": completeness(tables),
+        "column_completeness": column_completeness(tables),
+        **{f"quality_{k}": v for k, v in quality(tables, keys).items()},
+        **{f"profile_{k}": v for k, v in profile(tables).items()},
+        **{f"features_{k}": v for k, v in features(tables[fact]).items()},
+        "correlations": correlations(tables[fact]),
+        **{f"bias_{k}": v for k, v in bias(tables).items()},
+        "readiness": readiness_band(score),
+    }

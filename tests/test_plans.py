@@ -41,3 +41,27 @@ def test_dedup_is_partial_aggregate(spark):
     df = spark.range(0, 100).selectExpr("id % 3 AS k", "id AS src_pos", "id AS v")
     p = plan(dedup_by_key(df, ["k"]))
     assert p.count("Aggregate") >= 2   # partial (map side) + final
+
+
+def test_left_join_with_right_side_filter_becomes_inner(spark):
+    star_session(spark, SF0001)
+    p = plan(catalog.QueryCatalog(spark).run("temperature_impact_on_goals"))
+    assert "LeftOuter" not in p and "Inner" in p
+
+
+def test_fact_build_broadcasts_every_dimension(spark):
+    from pitchside.operators import star as ST
+    t = star_session(spark, SF0001)
+    dims = {n: t[n] for n in ("dim_date", "dim_team", "dim_location", "dim_temperature")}
+    p = plan(ST.fact_matches(t["enriched"], dims, broadcast_dims=True))
+    assert p.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in p
+
+
+def test_validate_all_sections(spark):
+    from pitchside import schemas
+    from pitchside.operators import quality as Q
+    t = star_session(spark, SF0001)
+    tables = {n: t[n] for n in schemas.STAR}
+    out = Q.validate_all(tables, schemas.PRIMARY_KEYS)
+    assert out["readiness"].first().band in ("EXCELLENT", "GOOD", "NEEDS IMPROVEMENT")
+    assert out["completeness"].count() == 5
