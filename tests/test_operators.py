@@ -177,3 +177,20 @@ def test_raw_csv_without_source_order_runs_end_to_end(spark, tmp_path):
     assert temps == {"Warm"}
     teams = {x.team_name: x.confederation for x in t["dim_team"].collect()}
     assert teams["Brazil"] == "CONMEBOL" and teams["Croatia"] == "UEFA" and teams["Mexico"] == "CONCACAF"
+
+
+def test_sequential_ids_with_a_hot_leading_key(spark):
+    # a third of all rows share the leading sort value; the composite key is still total
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k1"),
+        (F.lit(6000) - F.col("id")).alias("k2"))
+    out = sequential_ids(df, ["k1", "k2"], "rid", num_partitions=6)
+    got = [(r.rid, r.k1, r.k2) for r in out.orderBy("rid").collect()]
+    exp = sorted((r.k1, r.k2) for r in df.collect())
+    assert [(k1, k2) for _, k1, k2 in got] == exp
+    assert [r for r, _, _ in got] == list(range(1, 6001))
+    # range partitioning on the composite key spreads the hot value over several tasks
+    spread = (df.repartitionByRange(6, "k1", "k2")
+                .groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("k1") == 0).alias("hot"))
+                .where(F.col("hot") > 0).count())
+    assert spread >= 2
