@@ -188,7 +188,6 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], strategy: str = "
     'distributed' (ranked sort), 'approx' (``percentile_approx``), or 'auto'
     (map when the distinct count is provably small, else distributed)."""
     row = quantile_values(df, [col], probs, strategy)[col]
-    spark = df.sparkSession
     return df.agg(F.count(F.lit(1)).alias("_n")).select(
         *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(row)])
 

@@ -24,7 +24,7 @@ from pitchside.operators.keys import dense_ids, sequential_ids
 from pitchside.plans import catalog
 from pitchside.plans.oracle import alias_exact_sql, alias_regex_sql, bin_sql, coerce_int_sql, \
     confederation_case, spark_round, strip, with_chain
-from pitchside.plans.pipeline import STAR_TABLES, materialize, star_session
+from pitchside.plans.pipeline import STAR_TABLES, star_session
 from pitchside.plans.joins import can_broadcast
 from pitchside.plans.registry import register
 from pitchside.session import scratch_path
