@@ -1,8 +1,10 @@
 """Surrogate keys: contiguous ids 1..n following a total order.
 
 ``dense_ids`` is the textbook ``row_number() over (order by …)``; Spark runs it
-in a single task, so it is only for tables whose size is bounded by their
-domain (dates, teams, locations — the dimensions).
+in a single task, so it is only for sets whose size has been measured:
+``number_rows`` materialises the set, reads the row count observed during the
+write, and uses the window only under ``MAX_SINGLE_TASK_ROWS``; beyond it the
+same ids come from ``sequential_ids``.
 
 ``sequential_ids`` scales to the fact table: range-partition on the order key
 (the range partitioner samples the whole composite key, so even a hot leading
@@ -24,13 +26,22 @@ from pyspark.sql import functions as F
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
+# A measured set of at most this many rows may be numbered in one window task
+# (a sort of a few hundred MB of short rows); a larger one takes the ranged path.
+MAX_SINGLE_TASK_ROWS = 1_000_000
+
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _default_materialize():
+    from pitchside.plans.pipeline import materialize
+    return materialize
+
+
 def dense_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str) -> DataFrame:
-    """Ids by a global window — for domain-bounded tables only."""
+    """Ids by a global window (one task) — only for sets of a measured small size."""
     w = Window.orderBy(*_order(order_cols))
     return df.select(F.row_number().over(w).cast("bigint").alias(id_col), *df.columns)
 
@@ -43,9 +54,7 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     layout).  ``materialize(df, name) -> DataFrame`` persists the ranged layout
     reliably (default: write under ``spark.checkpoint.dir``)."""
     spark = df.sparkSession
-    if materialize is None:
-        from pitchside.plans.pipeline import materialize as _m
-        materialize = _m
+    materialize = materialize or _default_materialize()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *_order(order_cols))
                 .sortWithinPartitions(*_order(order_cols))
@@ -63,13 +72,31 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     return out.select(id_col, *df.columns)
 
 
+def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str, *,
+                max_single_task_rows: int = MAX_SINGLE_TASK_ROWS, materialize=None) -> DataFrame:
+    """Ids 1..n in ``order_cols`` order (a total order), planned by measured size.
+
+    ``df`` is written once to the shared checkpoint folder and its row count is
+    observed during that write (no extra job); a set within
+    ``max_single_task_rows`` is numbered by one window task, a larger one by
+    ``sequential_ids``.  A frame that is already materialised (it carries its
+    observed row count) is not written again."""
+    materialize = materialize or _default_materialize()
+    staged = df if getattr(df, "_pitchside_rows", None) is not None else materialize(df, "to_number")
+    if staged._pitchside_rows <= max_single_task_rows:
+        return dense_ids(staged, order_cols, id_col)
+    return sequential_ids(staged, order_cols, id_col, materialize=materialize)
+
+
 def first_appearance_ids(df: DataFrame, keys: Sequence[str], pos_col: str, id_col: str,
-                         *, extra_aggs: Sequence[Column] = ()) -> DataFrame:
+                         *, extra_aggs: Sequence[Column] = (),
+                         max_single_task_rows: int = MAX_SINGLE_TASK_ROWS) -> DataFrame:
     """Distinct ``keys`` numbered by their first appearance (min ``pos_col``).
 
-    The group-by is partial (map-side) so it scales with the input; the window
-    that numbers the groups sees one row per distinct key."""
+    The group-by is partial (map-side) so it scales with the input; the
+    numbering sees one row per distinct key and is planned by the measured
+    number of keys (see ``number_rows``).  ``pos_col`` must be unique per row,
+    so first appearances are a total order."""
     g = df.groupBy(*keys).agg(F.min(pos_col).alias("_first"), *extra_aggs)
-    w = Window.orderBy("_first")
-    return g.select(F.row_number().over(w).cast("bigint").alias(id_col),
-                    *[c for c in g.columns if c != "_first"])
+    ids = number_rows(g, ["_first"], id_col, max_single_task_rows=max_single_task_rows)
+    return ids.select(id_col, *[c for c in g.columns if c != "_first"])

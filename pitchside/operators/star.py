@@ -2,8 +2,10 @@
 
 Dimension grains follow the reference's contract: date, team name,
 (city, country) and (country, year, month, reading, category).  Every
-dimension is a distinct/group-by of the enriched rows, so it is bounded by its
-domain; the fact has exactly one row per enriched row (each dimension is unique
+dimension is a distinct/group-by of the enriched rows (partial aggregates, so
+hot keys fold map-side); its keys are numbered by ``number_rows``, which
+measures the distinct set before choosing a one-task window or the ranged id
+path.  The fact has exactly one row per enriched row (each dimension is unique
 on its join key, so no join can fan out).
 """
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pitchside.functions.dates import day_name, month_name, weekday0, weekend_flag
 from pitchside.functions.text import code_prefix, infer_group
-from pitchside.operators.keys import dense_ids, first_appearance_ids
+from pitchside.operators.keys import first_appearance_ids, number_rows
 from pitchside.plans.joins import lookup_join
 
 TEMP = "avg_temperature_celsius"
@@ -42,8 +44,8 @@ def dim_date(enriched: DataFrame) -> DataFrame:
     else:  # no date column: build one from year / month (day 1)
         dates = enriched.select(F.make_date("year", "month", F.lit(1)).alias("full_date")) \
                         .where(F.col("full_date").isNotNull()).distinct()
-    dates = dates.withColumns(date_attributes())
-    return dense_ids(dates, ["full_date"], "date_id").select(*DIM_DATE_COLUMNS)
+    ids = number_rows(dates, ["full_date"], "date_id")
+    return ids.withColumns(date_attributes()).select(*DIM_DATE_COLUMNS)
 
 
 def distinct_entities(df: DataFrame, cols=("home_team", "away_team"), name: str = "team_name") -> DataFrame:
@@ -53,11 +55,9 @@ def distinct_entities(df: DataFrame, cols=("home_team", "away_team"), name: str
 
 
 def dim_team(enriched: DataFrame) -> DataFrame:
-    teams = distinct_entities(enriched)
-    teams = teams.withColumns({"team_code": code_prefix("team_name"),
-                               "confederation": infer_group("team_name")})
-    return dense_ids(teams, ["team_name"], "team_id").select(
-        "team_id", "team_name", "team_code", "confederation")
+    ids = number_rows(distinct_entities(enriched), ["team_name"], "team_id")
+    return ids.select("team_id", "team_name", code_prefix("team_name").alias("team_code"),
+                      infer_group("team_name").alias("confederation"))
 
 
 def dim_location(enriched: DataFrame, pos_col: str = "match_id") -> DataFrame:
@@ -104,13 +104,16 @@ def fact_matches(enriched: DataFrame, dims: dict[str, DataFrame], *, broadcast_d
     return f.select(*FACT_COLUMNS)
 
 
+DIMENSION_BUILDERS = {
+    "dim_date": dim_date,
+    "dim_team": dim_team,
+    "dim_location": dim_location,
+    "dim_temperature": dim_temperature,
+}
+
+
 def build_dimensions(enriched: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dim_date(enriched),
-        "dim_team": dim_team(enriched),
-        "dim_location": dim_location(enriched),
-        "dim_temperature": dim_temperature(enriched),
-    }
+    return {name: build(enriched) for name, build in DIMENSION_BUILDERS.items()}
 
 
 def star_stats(tables: dict[str, DataFrame]) -> DataFrame:

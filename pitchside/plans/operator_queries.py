@@ -20,7 +20,7 @@ from pitchside.operators import clean as C
 from pitchside.operators import enrich as E
 from pitchside.operators import quality as Q
 from pitchside.operators import star as ST
-from pitchside.operators.keys import dense_ids, sequential_ids
+from pitchside.operators.keys import number_rows, sequential_ids
 from pitchside.plans import catalog
 from pitchside.plans.oracle import alias_exact_sql, alias_regex_sql, bin_sql, coerce_int_sql, \
     confederation_case, spark_round, strip, with_chain
@@ -540,7 +540,7 @@ def first_per_group(spark: SparkSession, sf: str) -> DataFrame:
 @register("surrogate_keys", W("SELECT team_id, team_name FROM dim_team", star=True))
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     teams = ST.distinct_entities(clean_m(spark, sf))
-    return dense_ids(teams, ["team_name"], "team_id")
+    return number_rows(teams, ["team_name"], "team_id")
 
 
 @register("surrogate_keys_scalable", W(f"SELECT CAST(row_number() OVER (ORDER BY {', '.join(K6)}) AS BIGINT) AS match_id, "

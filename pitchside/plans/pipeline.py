@@ -11,14 +11,15 @@ from __future__ import annotations
 import os
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.operators.clean import clean_matches, clean_readings
 from pitchside.operators.enrich import join_readings, prepare_readings, yearly_from_monthly
-from pitchside.operators.keys import dense_ids, sequential_ids
-from pitchside.operators.star import build_dimensions, fact_matches
+from pitchside.operators.keys import number_rows, sequential_ids
+from pitchside.operators.star import DIMENSION_BUILDERS, fact_matches
 from pitchside.plans.joins import MAX_BROADCAST_ROWS, bounded_row_count, lookup_join
 from pitchside.session import scratch_path
 from pitchside.sources.fixtures import matches_raw, readings_raw
@@ -55,15 +56,20 @@ def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",
     """Enriched matches → materialised dimensions and fact.
 
     ``keys='scalable'`` numbers matches with range-partitioned sequential ids;
-    ``keys='small'`` uses one global window (single task: small inputs only)."""
+    ``keys='small'`` uses one window task when the measured row count allows it
+    (``number_rows``), else the same ranged path.  The four dimensions are
+    independent jobs over the enriched rows and are built concurrently."""
     if "match_id" not in enriched.columns:
         if keys == "small":
-            enriched = dense_ids(enriched, [order_col], "match_id")
+            enriched = number_rows(enriched, [order_col], "match_id")
         elif keys == "scalable":
             enriched = sequential_ids(enriched, [order_col], "match_id")
         else:
             raise ValueError("keys must be 'scalable' or 'small'")
-    dims = {name: materialize(df, name) for name, df in build_dimensions(enriched).items()}
+    with ThreadPoolExecutor(len(DIMENSION_BUILDERS)) as pool:
+        futures = {name: pool.submit(lambda b=build, n=name: materialize(b(enriched), n))
+                   for name, build in DIMENSION_BUILDERS.items()}
+        dims = {name: f.result() for name, f in futures.items()}
     dims_small = all(_checked(d) for d in dims.values())
     fact = materialize(fact_matches(enriched, dims, broadcast_dims=dims_small), "fact_matches")
     return {"fact_matches": fact, **dims, "enriched": enriched}

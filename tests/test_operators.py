@@ -10,7 +10,7 @@ from pitchside.operators import clean as C
 from pitchside.operators import enrich as E
 from pitchside.operators import quality as Q
 from pitchside.operators import star as ST
-from pitchside.operators.keys import dense_ids, sequential_ids
+from pitchside.operators.keys import dense_ids, number_rows, sequential_ids
 
 RAW = ("Year int, Date string, Time string, Round string, Stadium string, City string, Country string, "
        "HomeTeam string, HomeGoals string, AwayGoals string, AwayTeam string, Observation string, "
@@ -99,6 +99,26 @@ def test_sequential_ids_match_row_number(spark):
     assert sorted(r.rid for r in small) == list(range(1, 11))
 
 
+def test_number_rows_same_ids_on_both_paths(spark):
+    # the measured size picks the plan; both plans give the same ids
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k"), (F.col("id") % 5).alias("v"))
+    window = number_rows(df, ["k"], "rid", max_single_task_rows=3000)
+    ranged = number_rows(df, ["k"], "rid", max_single_task_rows=2999)
+    assert "SinglePartition" in window._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in ranged._jdf.queryExecution().executedPlan().toString()
+    exp = [(i + 1, i) for i in range(3000)]
+    for out in (window, ranged):
+        assert sorted((r.rid, r.k) for r in out.select("rid", "k").collect()) == exp
+
+
+def test_first_appearance_ids_on_the_ranged_path(spark):
+    df = spark.createDataFrame([("b", 3), ("a", 5), ("b", 1), ("c", 2), ("a", 4)], "g string, pos int")
+    small = ST.first_appearance_ids(df, ["g"], "pos", "gid")
+    big = ST.first_appearance_ids(df, ["g"], "pos", "gid", max_single_task_rows=1)
+    for out in (small, big):
+        assert sorted((r.gid, r.g) for r in out.collect()) == [(1, "b"), (2, "c"), (3, "a")]
+
+
 def test_moments_match_pandas(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 2, 7, 9]], "x double")
     row = Q.profile_numeric({"t": df}, shape=True).collect()[0]
