@@ -38,7 +38,7 @@ def _catalog_query(name: str) -> SparkQuery:
 
 
 for _name, _sql in catalog.QUERIES.items():
-    register(_name, oracle.star_query(_sql))(_catalog_query(_name))
+    register(_name, oracle.star_query(catalog.ORACLE_TEXTS.get(_name, _sql)))(_catalog_query(_name))
 
 
 def _load_operator_modules() -> None:

@@ -65,3 +65,17 @@ def test_validate_all_sections(spark):
     out = Q.validate_all(tables, schemas.PRIMARY_KEYS)
     assert out["readiness"].first().band in ("EXCELLENT", "GOOD", "NEEDS IMPROVEMENT")
     assert out["completeness"].count() == 5
+
+
+def test_no_query_shuffles_the_fact_by_its_key(spark):
+    # a distinct count over the unique match_id would move every fact row;
+    # aggregates must shuffle only bounded grouping keys
+    star_session(spark, SF0001)
+    cat = catalog.QueryCatalog(spark)
+    for name in cat.names():
+        p = plan(cat.run(name), "executed")
+        assert "Expand" not in p or "match_id" not in p.split("Expand")[1].split("\n")[0], name
+        for line in p.split("\n"):
+            if "hashpartitioning(" in line:
+                keys = line.split("hashpartitioning(")[1]
+                assert "match_id" not in keys, (name, line)
