@@ -69,7 +69,9 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     out = (staged.withColumn("_pid", part)
            .join(F.broadcast(offsets), "_pid")
            .withColumn(id_col, F.col("_base") + (F.col("_mid").bitwiseAND(F.lit(_POS_MASK))) + 1))
-    return out.select(id_col, *df.columns)
+    out = out.select(id_col, *df.columns)
+    out._pitchside_rows = staged._pitchside_rows    # every row keeps its partition's offset
+    return out
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str, *,
@@ -84,7 +86,9 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
     materialize = materialize or _default_materialize()
     staged = df if getattr(df, "_pitchside_rows", None) is not None else materialize(df, "to_number")
     if staged._pitchside_rows <= max_single_task_rows:
-        return dense_ids(staged, order_cols, id_col)
+        out = dense_ids(staged, order_cols, id_col)
+        out._pitchside_rows = staged._pitchside_rows
+        return out
     return sequential_ids(staged, order_cols, id_col, materialize=materialize)
 
 

@@ -86,9 +86,11 @@ def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame, *,
     def join(left, right, keys):
         return lookup_join(left, right, keys, checked=cells_small)
 
-    # silver table: written once, so the range partitioner's sampling pass and
-    # the id pass below read files instead of re-running clean + dedup + join
-    enriched = materialize(join_readings(matches_clean, cells, yearly=yearly, join=join), "enriched")
+    # the silver table is written once, by the id pass: its range-ordered
+    # layout (with row positions) is the materialised enriched table.  Under
+    # AQE the dedup shuffle is materialised before the range partitioner
+    # samples, so sampling re-reads shuffle files, not the source scans.
+    enriched = join_readings(matches_clean, cells, yearly=yearly, join=join)
     star = build_star_schema(enriched, keys=keys)
     return {**star, "cells": cells, "yearly": yearly}
 
