@@ -214,3 +214,13 @@ def test_sequential_ids_with_a_hot_leading_key(spark):
                 .groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("k1") == 0).alias("hot"))
                 .where(F.col("hot") > 0).count())
     assert spread >= 2
+
+
+def test_referential_counts_every_orphan_row(spark):
+    # key 9 has no dimension row and repeats; NULL keys are not orphans
+    fact = spark.createDataFrame([(k,) for k in (1, 1, 1, 2, 9, 9, 9, None)], "team_id long")
+    dim = spark.createDataFrame([(1,), (2,)], "team_id long")
+    out = Q.check_referential(fact, {"dim_team": dim}, [("team_id", "dim_team", "team_id")]).collect()
+    assert [(r.fk_column, r.orphan_rows) for r in out] == [("team_id", 3)]
+    clean = Q.check_referential(fact.where("team_id < 9"), {"dim_team": dim}, [("team_id", "dim_team", "team_id")])
+    assert clean.first().orphan_rows == 0
