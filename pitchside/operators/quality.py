@@ -8,9 +8,12 @@ floating-point sum does).
 
 Quantiles are exact (linear interpolation, like the reference).  Spark's
 ``percentile`` keeps a value→count map per group, so its memory grows with
-the number of *distinct* values; for columns with many distinct values
-(surrogate ids at 100 TB) the ``distributed`` strategy ranks the column with a
-range-partitioned sort instead and picks the order statistics by position.
+the number of *distinct* values.  For columns with many distinct values
+(surrogate ids at 100 TB) the ``bracket`` strategy narrows each target rank
+with approximate quantiles, verifies every bracket with exact counts, and
+ranks only the few rows left inside it; all columns share each pass.  The
+``distributed`` strategy (a range-partitioned ranking of the whole column) is
+the fallback when a bracket cannot be verified.
 """
 
 from __future__ import annotations
@@ -25,8 +28,14 @@ from pyspark.sql.types import NumericType, StringType
 STAT_DIGITS = 9
 CRITICAL_COMPLETENESS = 90.0
 CORRELATION_THRESHOLD = 0.7
-# Above this many distinct values, quantiles use the distributed strategy.
+# Above this many distinct values, quantiles use the bracket strategy.
 MAP_QUANTILE_MAX_DISTINCT = 1_000_000
+# Bracket strategy: percentile_approx accuracy (rank error ≤ rows / accuracy),
+# the most rows ranked exactly per target (one window task, bounded by a
+# verified count), and the most narrowing rounds before falling back.
+BRACKET_ACCURACY = 10_000
+MAX_BRACKET_ROWS = 1_000_000
+MAX_BRACKET_ROUNDS = 6
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -181,12 +190,104 @@ def _distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> D
     return q.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
 
 
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
+                         max_rows: int = MAX_BRACKET_ROWS, accuracy: int = BRACKET_ACCURACY,
+                         rounds: int = MAX_BRACKET_ROUNDS) -> dict[str, list[float | None]]:
+    """Exact quantiles without sorting the column.
+
+    For each (column, probability) the two ranks around ``p·(n−1)`` are
+    bracketed by a value interval [lo, hi]: an approximate-quantile pass over
+    the rows still inside the bracket proposes a narrower one, and a counting
+    pass verifies that both ranks lie inside it (so the result never depends
+    on the sketch's error bound).  Once a bracket holds at most ``max_rows``
+    rows, its rows are counted per value (a partial aggregate: ties fold
+    map-side) and ranked by a window partitioned by target — each target's
+    task sees at most ``max_rows`` rows, a bound proven by the counts.
+    Columns whose brackets cannot be narrowed are absent from the result."""
+    import math
+
+    from pyspark.sql import Window
+
+    x = {c: F.col(c).cast("double") for c in cols}
+    ns = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    out: dict[str, list[float | None]] = {}
+    st: dict[tuple[str, int], dict] = {}
+    for i, c in enumerate(cols):
+        n = ns[f"n{i}"]
+        out[c] = [None] * len(probs)
+        for j, p in enumerate(probs):
+            if n:
+                pos = float(p) * (n - 1)
+                st[(c, j)] = {"pos": pos, "r0": math.floor(pos), "r1": math.ceil(pos), "lo": None, "hi": None,
+                              "below": 0, "inside": n, "margin": 2.0 / accuracy, "value": None}
+
+    def inside(k):
+        s = st[k]
+        return x[k[0]].isNotNull() if s["lo"] is None else x[k[0]].between(s["lo"], s["hi"])
+
+    failed: set[str] = set()
+    for _ in range(rounds):
+        active = [k for k, s in st.items()
+                  if s["value"] is None and s["inside"] > max_rows and k[0] not in failed]
+        if not active:
+            break
+        approx = []
+        for t, k in enumerate(active):
+            s = st[k]
+            f0 = (s["r0"] - s["below"]) / s["inside"] - s["margin"]
+            f1 = (s["r1"] - s["below"] + 1) / s["inside"] + s["margin"]
+            approx.append(F.percentile_approx(F.when(inside(k), x[k[0]]),
+                                              [min(max(f0, 0.0), 1.0), min(max(f1, 0.0), 1.0)],
+                                              accuracy).alias(f"a{t}"))
+        a_row = df.agg(*approx).first()
+        counts = []
+        for t, k in enumerate(active):
+            lo, hi = a_row[f"a{t}"]
+            counts += [F.count_if(x[k[0]] < F.lit(lo)).alias(f"lt{t}"),
+                       F.count_if(x[k[0]] <= F.lit(hi)).alias(f"le{t}")]
+        c_row = df.agg(*counts).first()
+        for t, k in enumerate(active):
+            s = st[k]
+            lo, hi = a_row[f"a{t}"]
+            lt, le = c_row[f"lt{t}"], c_row[f"le{t}"]
+            if lt <= s["r0"] and s["r1"] < le:          # both ranks verified inside [lo, hi]
+                s.update(lo=lo, hi=hi, below=lt, inside=le - lt)
+                if lo == hi:                              # every rank in the bracket holds lo
+                    s["value"] = lo
+            else:                                         # the sketch missed: widen and retry
+                s["margin"] *= 4
+                if s["margin"] > 0.5:
+                    failed.add(k[0])
+    failed |= {k[0] for k, s in st.items() if s["value"] is None and s["inside"] > max_rows}
+
+    todo = [k for k, s in st.items() if s["value"] is None and k[0] not in failed]
+    if todo:
+        members = df.select(F.explode(F.filter(F.array(*[
+            F.when(inside(k), F.struct(F.lit(t).alias("t"), x[k[0]].alias("v"))) for t, k in enumerate(todo)]),
+            lambda m: m.isNotNull())).alias("m")).select("m.*")
+        per_value = members.groupBy("t", "v").agg(F.count(F.lit(1)).alias("cnt"))
+        upto = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = per_value.withColumn("cum", F.sum("cnt").over(upto))
+        off0 = F.element_at(F.array(*[F.lit(st[k]["r0"] - st[k]["below"]) for k in todo]), F.col("t") + 1)
+        off1 = F.element_at(F.array(*[F.lit(st[k]["r1"] - st[k]["below"]) for k in todo]), F.col("t") + 1)
+        picks = ranked.groupBy("t").agg(F.min(F.when(F.col("cum") > off0, F.col("v"))).alias("x0"),
+                                         F.min(F.when(F.col("cum") > off1, F.col("v"))).alias("x1"))
+        for r in picks.collect():                        # one row per target
+            s = st[todo[r.t]]
+            s["value"] = r.x0 + (r.x1 - r.x0) * (s["pos"] - s["r0"])
+    for (c, j), s in st.items():
+        if c not in failed:
+            out[c][j] = s["value"]
+    return {c: v for c, v in out.items() if c not in failed}
+
+
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], strategy: str = "auto") -> DataFrame:
     """One row ``q0 … qk``: exact quantiles of ``col``.
 
     ``strategy``: 'map' (Spark ``percentile``, memory ∝ distinct values),
-    'distributed' (ranked sort), 'approx' (``percentile_approx``), or 'auto'
-    (map when the distinct count is provably small, else distributed)."""
+    'bracket' (verified brackets, see ``_bracketed_quantiles``), 'distributed'
+    (ranked sort), 'approx' (``percentile_approx``), or 'auto' (map when the
+    distinct count is provably small, else bracket)."""
     row = quantile_values(df, [col], probs, strategy)[col]
     return df.agg(F.count(F.lit(1)).alias("_n")).select(
         *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(row)])
@@ -200,7 +301,7 @@ def _strategies(df: DataFrame, cols: Sequence[str], strategy: str) -> dict[str,
     if rows is not None and rows <= MAP_QUANTILE_MAX_DISTINCT:
         return {c: "map" for c in cols}
     ndv = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    return {c: "map" if ndv[f"c{i}"] <= MAP_QUANTILE_MAX_DISTINCT else "distributed"
+    return {c: "map" if ndv[f"c{i}"] <= MAP_QUANTILE_MAX_DISTINCT else "bracket"
             for i, c in enumerate(cols)}
 
 
@@ -208,8 +309,9 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     strategy: str = "auto") -> dict[str, list[float | None]]:
     """Exact quantiles of several columns; a few numbers per column reach the driver.
 
-    All 'map' columns share one aggregation pass; 'distributed' columns are
-    ranked one by one (only for columns with very many distinct values)."""
+    All 'map' columns share one aggregation pass; 'bracket' columns share the
+    narrowing passes; 'distributed' columns (and bracket columns that could
+    not be narrowed) are ranked one by one."""
     if not cols:
         return {}
     strat = _strategies(df, cols, strategy)
@@ -226,8 +328,11 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for i, c in enumerate(shared):
             vals = row[f"c{i}"]
             out[c] = [None] * len(probs) if vals is None else [float(v) for v in vals]
+    bracketed = [c for c in cols if strat[c] == "bracket"]
+    if bracketed:
+        out.update(_bracketed_quantiles(df, bracketed, probs))
     for c in cols:
-        if strat[c] == "distributed":
+        if strat[c] in ("distributed", "bracket") and c not in out:
             r = _distributed_quantiles(df, c, probs).first()
             out[c] = [r[f"q{i}"] for i in range(len(probs))]
     return out
@@ -314,7 +419,7 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
                                   "kurtosis": _r(kurt, STAT_DIGITS)}))
         else:
             ranked = [c for c in cols if c not in in_pass]
-            med = quantile_values(df, ranked, (0.5,), "distributed") if ranked else {}
+            med = quantile_values(df, ranked, (0.5,), "bracket") if ranked else {}
             items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"),
                           "mean": _r(F.col(f"mean{i}"), STAT_DIGITS),
                           "std": _r(F.col(f"std{i}"), STAT_DIGITS),

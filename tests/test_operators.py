@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from pitchside.operators import clean as C
@@ -155,6 +156,24 @@ def test_quantile_strategies_agree(spark):
     assert [b.q0, b.q1, b.q2] == exp
 
 
+def test_bracket_quantiles_are_exact_under_a_hot_value(spark):
+    # a third of the rows hold one value, a tenth are NULL, the rest are spread;
+    # tiny brackets force several narrowing rounds and the exact ranking step
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(42.0))
+         .when(F.col("id") % 10 == 1, F.lit(None).cast("double"))
+         .otherwise((F.col("id") * 7919 % 4999) / 7.0).alias("v"),
+        (F.col("id") * 31 % 6007).cast("double").alias("w"))
+    probs = (0.1, 0.25, 0.5, 0.75, 0.9)
+    got = Q._bracketed_quantiles(df, ["v", "w"], probs, max_rows=40, accuracy=200)
+    pdf = df.toPandas()
+    for c in ("v", "w"):
+        exp = pdf[c].dropna().quantile(list(probs)).tolist()
+        assert got[c] == pytest.approx(exp, rel=1e-12, abs=1e-12), c
+    auto = Q.quantile_values(df, ["v"], (0.25, 0.75), "bracket")
+    assert auto["v"] == pytest.approx(pdf["v"].dropna().quantile([0.25, 0.75]).tolist())
+
+
 def test_duplicates_with_and_without_key_agree(spark):
     rows = [(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, "d"), (3, "e")]
     df = spark.createDataFrame(rows, "k int, v string")
