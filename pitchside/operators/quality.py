@@ -42,6 +42,18 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _concurrently(fn, items):
+    """``[fn(i) for i in items]`` with each call's Spark jobs submitted concurrently
+    (per-table metric jobs are independent; the scheduler interleaves them)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    items = list(items)
+    if len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(min(len(items), 8)) as pool:
+        return list(pool.map(fn, items))
+
+
 def _r(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits)
 
@@ -107,8 +119,8 @@ def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None =
     is shuffled first; full rows are grouped only for keys that repeat (none,
     when the key is unique).  Exact in every case: with too many repeated keys
     it falls back to grouping all rows."""
-    frames = []
-    for name, df in tables.items():
+    def part_for(item):
+        name, df = item
         key = (keys or {}).get(name)
         if key is None:
             part = _duplicate_rows(df)
@@ -127,12 +139,13 @@ def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None =
                          .withColumn("duplicate_records", dup.scalar())
             else:
                 part = _duplicate_rows(df)
-        frames.append(part.select(
+        return part.select(
             F.lit(name).alias("table_name"), "total_records", "duplicate_records",
             F.when(F.col("total_records") > 0,
                    _r(F.col("duplicate_records") * F.lit(100.0).cast("double") / F.col("total_records")))
-             .otherwise(F.lit(0.0)).alias("duplicate_percentage")))
-    return _union(frames)
+             .otherwise(F.lit(0.0)).alias("duplicate_percentage"))
+
+    return _union(_concurrently(part_for, tables.items()))
 
 
 def bounded_row_count(df: DataFrame, bound: int) -> int:
@@ -350,12 +363,12 @@ def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto") ->
 
     Per table: quantiles of every numeric column in one pass, then every
     column's outlier count in one more pass."""
+    work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
+    work = [w for w in work if w[2]]
+    # the quantile passes are independent per table: run them concurrently
+    qvs = _concurrently(lambda w: quantile_values(w[1], w[2], (0.25, 0.75), strategy), work)
     frames = []
-    for name, df in tables.items():
-        cols = numeric_columns(df)
-        if not cols:
-            continue
-        qv = quantile_values(df, cols, (0.25, 0.75), strategy)
+    for (name, df, cols), qv in zip(work, qvs):
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(cols):
             q1, q3 = qv[c]

@@ -243,3 +243,16 @@ def test_referential_counts_every_orphan_row(spark):
     assert [(r.fk_column, r.orphan_rows) for r in out] == [("team_id", 3)]
     clean = Q.check_referential(fact.where("team_id < 9"), {"dim_team": dim}, [("team_id", "dim_team", "team_id")])
     assert clean.first().orphan_rows == 0
+
+
+def test_iqr_outliers_strict_bounds_on_both_strategies(spark):
+    # x: Q1 = 3.25, Q3 = 7.75, IQR = 4.5 → bounds [-3.5, 14.5]; only 100 is outside.
+    # y sits exactly on its upper bound (strict comparison: not an outlier); table b has none.
+    a = spark.createDataFrame([(float(v), w) for v, w in zip([1, 2, 3, 4, 5, 6, 7, 8, 9, 100],
+                                                             [1, 1, 1, 1, 1, 1, 1, 1, 1, 1])] + [(None, 1)],
+                              "x double, y int")
+    b = spark.createDataFrame([(float(v),) for v in range(20)], "z double")
+    for strategy in ("map", "bracket"):
+        rows = Q.iqr_outliers({"a": a, "b": b}, strategy=strategy).collect()
+        assert [(r.table_name, r.column_name, r.q1, r.q3, r.outlier_count, r.outlier_percentage)
+                for r in rows] == [("a", "x", 3.25, 7.75, 1, 9.09)], strategy
