@@ -81,8 +81,8 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
     ``df`` is written once to the shared checkpoint folder and its row count is
     observed during that write (no extra job); a set within
     ``max_single_task_rows`` is numbered by one window task, a larger one by
-    ``sequential_ids``.  A frame that is already materialised (it carries its
-    observed row count) is not written again."""
+    ``sequential_ids``.  A frame whose row count is already known (written
+    earlier, ``_pitchside_rows`` set) is not written again."""
     materialize = materialize or _default_materialize()
     staged = df if getattr(df, "_pitchside_rows", None) is not None else materialize(df, "to_number")
     if staged._pitchside_rows <= max_single_task_rows:

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = ["goals_by_temperature_category", "team_performance_summary", "clean_matches",
           "enrich_with_fallback", "dim_location", "dim_temperature", "fact_matches", "readiness_score",
           "dq_iqr_outliers", "profile_numeric", "reject_counts", "surrogate_keys_scalable",
-          "scan_csv_roundtrip", "check_referential", "temperature_category"]
+          "scan_csv_roundtrip", "check_referential", "temperature_category", "tournament_evolution"]
 
 
 def test_entry_runs(spark):
@@ -43,3 +43,14 @@ def test_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows, 15)[0] == digest(dcols, drows, 15)[0]
+
+
+def test_oracle_keeps_the_distinct_form_of_the_key_count():
+    from pitchside.plans import catalog
+    import __spark_entry__ as E
+    oracles = E.oracle_sql()
+    for name in ("tournament_trends_over_time", "tournament_evolution"):
+        assert "DISTINCT fm.match_id" not in catalog.QUERIES[name]
+        assert "COUNT(DISTINCT fm.match_id) AS total_matches" in catalog.ORACLE_TEXTS[name]
+        assert "COUNT(DISTINCT fm.match_id) AS total_matches" in oracles[name]
+    assert "COUNT(DISTINCT CASE WHEN" in oracles["tournament_evolution"]
