@@ -35,6 +35,13 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _carry_size(staged: DataFrame, out: DataFrame) -> None:
+    """Numbering keeps every row and adds one 8-byte id: carry the observed size."""
+    out._pitchside_rows = staged._pitchside_rows
+    size = getattr(staged, "_pitchside_bytes", None)
+    out._pitchside_bytes = None if size is None else size + 8 * staged._pitchside_rows
+
+
 def _default_materialize():
     from pitchside.plans.pipeline import materialize
     return materialize
@@ -70,7 +77,7 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
            .join(F.broadcast(offsets), "_pid")
            .withColumn(id_col, F.col("_base") + (F.col("_mid").bitwiseAND(F.lit(_POS_MASK))) + 1))
     out = out.select(id_col, *df.columns)
-    out._pitchside_rows = staged._pitchside_rows    # every row keeps its partition's offset
+    _carry_size(staged, out)                        # every row keeps its partition's offset
     return out
 
 
@@ -87,7 +94,7 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
     staged = df if getattr(df, "_pitchside_rows", None) is not None else materialize(df, "to_number")
     if staged._pitchside_rows <= max_single_task_rows:
         out = dense_ids(staged, order_cols, id_col)
-        out._pitchside_rows = staged._pitchside_rows
+        _carry_size(staged, out)
         return out
     return sequential_ids(staged, order_cols, id_col, materialize=materialize)
 

@@ -1,20 +1,47 @@
 """Join helpers with an explicit size check before broadcasting.
 
-A lookup side is broadcast only when its row count has been measured and is
-under a bound; otherwise the join is left to the planner (sort-merge or
-shuffle-hash, with AQE skew handling).  Measuring needs the side to be cheap
-to count, so callers materialise lookups first (see ``pipeline.materialize``).
+A lookup side is broadcast only when its row count and its estimated size in
+bytes have been measured and are under bounds; otherwise the join is left to
+the planner (sort-merge or shuffle-hash, with AQE skew handling).  Callers
+materialise lookups first (see ``pipeline.materialize``), which observes both
+numbers during the write, so the check costs no extra job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, DecimalType, StringType, StructType
 
-# A lookup with at most this many rows is broadcast (a few MB at most).
+# A lookup is broadcast only when it has at most this many rows and at most
+# this many bytes (estimated from its values; the hashed relation built from
+# it is a small multiple of that).
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Fixed widths (bytes) by type name; variable-width values are measured.
+_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4,
+                "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def _value_bytes(col: Column, dt: DataType) -> Column:
+    if isinstance(dt, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0))
+    if isinstance(dt, StructType):
+        return reduce(lambda a, b: a + b, [_value_bytes(col.getField(f.name), f.dataType) for f in dt.fields],
+                      F.lit(0))
+    if isinstance(dt, DecimalType):
+        return F.lit(16)
+    return F.lit(_FIXED_WIDTH.get(dt.typeName(), 64))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Per-row size estimate: string lengths plus fixed widths (a Column)."""
+    return reduce(lambda a, b: a + b, [_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields],
+                  F.lit(0)).cast("long")
 
 
 def bounded_row_count(df: DataFrame, bound: int) -> int:
@@ -22,10 +49,17 @@ def bounded_row_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def can_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    if getattr(df, "_pitchside_rows", None) is not None:
-        return df._pitchside_rows <= max_rows
-    return bounded_row_count(df, max_rows) <= max_rows
+def can_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                  max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is within both bounds.  Uses the numbers observed while
+    the frame was written; otherwise measures at most ``max_rows + 1`` rows."""
+    rows = getattr(df, "_pitchside_rows", None)
+    size = getattr(df, "_pitchside_bytes", None)
+    if rows is None or size is None:
+        row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                         F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+        rows, size = row.n, row.b
+    return rows <= max_rows and size <= max_bytes
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",

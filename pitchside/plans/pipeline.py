@@ -20,7 +20,7 @@ from pitchside.operators.clean import clean_matches, clean_readings
 from pitchside.operators.enrich import join_readings, prepare_readings, yearly_from_monthly
 from pitchside.operators.keys import number_rows, sequential_ids
 from pitchside.operators.star import DIMENSION_BUILDERS, fact_matches
-from pitchside.plans.joins import MAX_BROADCAST_ROWS, bounded_row_count, lookup_join
+from pitchside.plans.joins import can_broadcast, lookup_join, row_bytes
 from pitchside.session import scratch_path
 from pitchside.sources.fixtures import matches_raw, readings_raw
 
@@ -33,22 +33,22 @@ _LOCK = threading.Lock()
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the checkpoint dir and read it back.
 
-    The row count is observed during the write (no extra job) and kept on the
-    returned frame as ``_pitchside_rows`` for broadcast size checks."""
+    The row count and an estimate of the data's size in bytes are observed
+    during the write (no extra job) and kept on the returned frame as
+    ``_pitchside_rows`` / ``_pitchside_bytes`` for broadcast and plan checks."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"),
+               F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)      # known schema: no footer inference
-    out._pitchside_rows = obs.get["rows"]
+    metrics = obs.get
+    out._pitchside_rows, out._pitchside_bytes = metrics["rows"], metrics["bytes"]
     return out
 
 
-def _checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    rows = getattr(df, "_pitchside_rows", None)
-    if rows is None:
-        rows = bounded_row_count(df, max_rows)
-    return rows <= max_rows
+def _checked(df: DataFrame) -> bool:
+    return can_broadcast(df)
 
 
 def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",

@@ -256,3 +256,15 @@ def test_iqr_outliers_strict_bounds_on_both_strategies(spark):
         rows = Q.iqr_outliers({"a": a, "b": b}, strategy=strategy).collect()
         assert [(r.table_name, r.column_name, r.q1, r.q3, r.outlier_count, r.outlier_percentage)
                 for r in rows] == [("a", "x", 3.25, 7.75, 1, 9.09)], strategy
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from pitchside.plans.joins import can_broadcast, row_bytes
+    from pitchside.plans.pipeline import materialize
+    df = spark.createDataFrame([("abc", 1, (1, "xy")), (None, 2, (3, None))],
+                               "s string, n long, t struct<i:int, u:string>")
+    assert [r.b for r in df.select(row_bytes(df).alias("b")).collect()] == [3 + 8 + 4 + 2, 0 + 8 + 4 + 0]
+    m = materialize(df, "bytes_check")
+    assert (m._pitchside_rows, m._pitchside_bytes) == (2, 29)
+    assert can_broadcast(m) and not can_broadcast(m, max_bytes=28) and not can_broadcast(m, max_rows=1)
+    assert can_broadcast(df) and not can_broadcast(df, max_bytes=28)    # measured when not written
