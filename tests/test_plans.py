@@ -79,3 +79,30 @@ def test_no_query_shuffles_the_fact_by_its_key(spark):
             if "hashpartitioning(" in line:
                 keys = line.split("hashpartitioning(")[1]
                 assert "match_id" not in keys, (name, line)
+
+
+def test_fact_build_without_broadcast_gives_the_same_fact(spark):
+    # beyond the broadcast bounds the lookups become shuffle joins (AQE splits a
+    # hot key's partition); the fact must not change
+    from pitchside.operators import star as ST
+    t = star_session(spark, SF0001)
+    dims = {n: t[n] for n in ("dim_date", "dim_team", "dim_location", "dim_temperature")}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = ST.fact_matches(t["enriched"], dims, broadcast_dims=False)
+        p = plan(shuffled, "executed")
+        # the five lookups shuffle; the only broadcast left is the id offsets
+        # (one row per range partition) inside the enriched frame
+        assert p.count("SortMergeJoin") + p.count("ShuffledHashJoin") >= 5
+        assert p.count("BroadcastHashJoin") == 1
+        got = sorted(tuple(r) for r in shuffled.collect())
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == sorted(tuple(r) for r in t["fact_matches"].collect())
