@@ -106,3 +106,30 @@ def test_fact_build_without_broadcast_gives_the_same_fact(spark):
             else:
                 spark.conf.set(k, v)
     assert got == sorted(tuple(r) for r in t["fact_matches"].collect())
+
+
+def test_enrichment_without_broadcast_gives_the_same_rows(spark):
+    from pitchside.operators import clean as C
+    from pitchside.operators import enrich as E
+    from pitchside.plans.joins import lookup_join
+    from pitchside.sources.fixtures import matches_raw, readings_raw
+    mc = C.clean_matches(matches_raw(spark, SF0001))
+    rc = C.clean_readings(readings_raw(spark, SF0001))
+    cols = ["src_pos", "avg_temperature_celsius", "temperature_category"]
+    want = sorted(tuple(r) for r in E.enrich(mc, rc).select(*cols).collect())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = E.enrich(mc, rc, join=lambda l, r, k: lookup_join(l, r, k, checked=False)).select(*cols)
+        p = plan(shuffled, "executed")
+        assert p.count("SortMergeJoin") + p.count("ShuffledHashJoin") >= 2
+        got = sorted(tuple(r) for r in shuffled.collect())
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want
