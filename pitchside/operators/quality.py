@@ -358,15 +358,34 @@ def _stack(row: DataFrame, items: Sequence[tuple[str, dict[str, Column]]]) -> Da
         for c, fields in items])).alias("s")).select("s.*")
 
 
-def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto") -> DataFrame:
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def quartiles(tables: Mapping[str, DataFrame], *, strategy: str = "auto") -> dict[str, dict[str, list]]:
+    """Q1, median and Q3 of every numeric column, per table (tables concurrently).
+
+    Computed once, they serve both the outlier check and the profile
+    (``known=`` of ``iqr_outliers`` / ``profile_numeric``)."""
+    work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
+    work = [w for w in work if w[2]]
+    qvs = _concurrently(lambda w: quantile_values(w[1], w[2], QUARTILES, strategy), work)
+    return {name: qv for (name, _, _), qv in zip(work, qvs)}
+
+
+def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto",
+                 known: Mapping[str, Mapping[str, list]] | None = None) -> DataFrame:
     """Columns with values strictly outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR].
 
-    Per table: quantiles of every numeric column in one pass, then every
-    column's outlier count in one more pass."""
+    Per table: quantiles of every numeric column in one pass (or taken from
+    ``known``, the output of ``quartiles``), then every column's outlier count
+    in one more pass."""
     work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
     work = [w for w in work if w[2]]
-    # the quantile passes are independent per table: run them concurrently
-    qvs = _concurrently(lambda w: quantile_values(w[1], w[2], (0.25, 0.75), strategy), work)
+    if known is not None and all(name in known for name, _, _ in work):
+        qvs = [{c: [known[name][c][0], known[name][c][2]] for c in cols} for name, _, cols in work]
+    else:
+        # the quantile passes are independent per table: run them concurrently
+        qvs = _concurrently(lambda w: quantile_values(w[1], w[2], (0.25, 0.75), strategy), work)
     frames = []
     for (name, df, cols), qv in zip(work, qvs):
         aggs = [F.count(F.lit(1)).alias("_n")]
@@ -397,11 +416,12 @@ def _corrected_shape(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]
 
 
 def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
-                    strategy: str = "auto") -> DataFrame:
+                    strategy: str = "auto", known: Mapping[str, Mapping[str, list]] | None = None) -> DataFrame:
     """count, mean, std (n−1), min, max, median per numeric column with ≥ 1 value.
 
     With ``shape=True`` returns skewness / kurtosis (bias-corrected) instead.
-    One aggregation pass per table (plus the quantile pass for medians)."""
+    One aggregation pass per table (plus the quantile pass for medians, unless
+    they come from ``known``, the output of ``quartiles``)."""
     frames = []
     for name, df in tables.items():
         cols = numeric_columns(df)
@@ -416,7 +436,8 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
             else:
                 aggs += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                          F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-        strat = {} if shape else _strategies(df, cols, strategy)
+        given = (known or {}).get(name)
+        strat = {} if shape or given is not None else _strategies(df, cols, strategy)
         in_pass = [c for c in cols if strat.get(c) in ("map", "approx")]
         for i, c in enumerate(cols):
             if c in in_pass:   # median in the same pass as the moments
@@ -432,7 +453,10 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
                                   "kurtosis": _r(kurt, STAT_DIGITS)}))
         else:
             ranked = [c for c in cols if c not in in_pass]
-            med = quantile_values(df, ranked, (0.5,), "bracket") if ranked else {}
+            if given is not None:
+                med = {c: [given[c][1]] for c in ranked}
+            else:
+                med = quantile_values(df, ranked, (0.5,), "bracket") if ranked else {}
             items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"),
                           "mean": _r(F.col(f"mean{i}"), STAT_DIGITS),
                           "std": _r(F.col(f"std{i}"), STAT_DIGITS),
@@ -591,14 +615,16 @@ def check_referential(fact: DataFrame, dims: Mapping[str, DataFrame], refs: Sequ
 
 
 # ---------------------------------------------------------------- grouped entry points
-def quality(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+def quality(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None,
+            known: Mapping[str, Mapping[str, list]] | None = None) -> dict[str, DataFrame]:
     """Duplicates, numeric-as-string columns and IQR outliers."""
     return {"duplicates": duplicates(tables, keys), "numeric_strings": numeric_strings(tables),
-            "outliers": iqr_outliers(tables)}
+            "outliers": iqr_outliers(tables, known=known)}
 
 
-def profile(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {"numeric": profile_numeric(tables), "shape": profile_numeric(tables, shape=True)}
+def profile(tables: Mapping[str, DataFrame],
+            known: Mapping[str, Mapping[str, list]] | None = None) -> dict[str, DataFrame]:
+    return {"numeric": profile_numeric(tables, known=known), "shape": profile_numeric(tables, shape=True)}
 
 
 def features(df: DataFrame) -> dict[str, DataFrame]:
@@ -618,13 +644,16 @@ def bias(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def validate_all(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None,
                  fact: str = "fact_matches") -> dict[str, DataFrame]:
     """Every readiness section as a DataFrame (completeness, quality, profile,
-    features, correlations, bias, score) — lazily, nothing collected."""
+    features, correlations, bias, score).  Only metric numbers (quartiles and
+    repeated-key counts) reach the driver; the quartiles of each table are
+    computed once and shared by the outlier check and the profile."""
     score = readiness(tables, keys)
+    known = quartiles(tables)
     return {
         "completeness": completeness(tables),
         "column_completeness": column_completeness(tables),
-        **{f"quality_{k}": v for k, v in quality(tables, keys).items()},
-        **{f"profile_{k}": v for k, v in profile(tables).items()},
+        **{f"quality_{k}": v for k, v in quality(tables, keys, known).items()},
+        **{f"profile_{k}": v for k, v in profile(tables, known).items()},
         **{f"features_{k}": v for k, v in features(tables[fact]).items()},
         "correlations": correlations(tables[fact]),
         **{f"bias_{k}": v for k, v in bias(tables).items()},

@@ -268,3 +268,14 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert (m._pitchside_rows, m._pitchside_bytes) == (2, 29)
     assert can_broadcast(m) and not can_broadcast(m, max_bytes=28) and not can_broadcast(m, max_rows=1)
     assert can_broadcast(df) and not can_broadcast(df, max_bytes=28)    # measured when not written
+
+
+def test_shared_quartiles_give_the_same_reports(spark):
+    a = spark.createDataFrame([(float(v), v % 3) for v in [1, 2, 3, 4, 5, 6, 7, 8, 9, 100]] + [(None, 1)],
+                              "x double, y int")
+    tables = {"a": a, "b": spark.createDataFrame([(float(v),) for v in range(20)], "z double")}
+    known = Q.quartiles(tables)
+    assert known["a"]["x"] == [3.25, 5.5, 7.75]
+    for own, shared in ((Q.iqr_outliers(tables), Q.iqr_outliers(tables, known=known)),
+                        (Q.profile_numeric(tables), Q.profile_numeric(tables, known=known))):
+        assert sorted(tuple(r) for r in own.collect()) == sorted(tuple(r) for r in shared.collect())
