@@ -19,15 +19,23 @@ CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
+# A scan of at most this many splits (≤ ~2 GB at 128 MB per split) is cheap
+# to spread; a larger one already runs wide and is left as it is.
+FEW_SPLITS = 16
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       few_splits: int = FEW_SPLITS) -> DataFrame:
+    """Spread a scan that yields only a handful of splits over the cores.
 
     A single unsplittable file (one Parquet row group) becomes one task and
     serialises everything downstream of it; a round-robin repartition fixes
-    that.  On real inputs (many files / row groups) the scan already has more
-    partitions than cores and nothing is added."""
+    that.  Only scans of at most ``few_splits`` splits are spread, so a large
+    input is never shuffled just to add parallelism (its scan is already
+    wide, and its joins / aggregates shuffle anyway)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(target) if splits < target and splits <= few_splits else df
 
 
 def detect_format(path: str, default: str = "csv") -> str:

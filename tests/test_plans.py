@@ -133,3 +133,11 @@ def test_enrichment_without_broadcast_gives_the_same_rows(spark):
             else:
                 spark.conf.set(k, v)
     assert got == want
+
+
+def test_scan_spreading_only_for_a_few_splits(spark):
+    from pitchside.sources.io import ensure_parallelism
+    one = spark.range(0, 100, numPartitions=1)
+    assert ensure_parallelism(one, 8).rdd.getNumPartitions() == 8
+    wide = spark.range(0, 1000, numPartitions=40)
+    assert ensure_parallelism(wide, 400).rdd.getNumPartitions() == 40   # already wide: left as is
