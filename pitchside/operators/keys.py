@@ -29,6 +29,19 @@ _POS_MASK = (1 << _POS_BITS) - 1
 # A measured set of at most this many rows may be numbered in one window task
 # (a sort of a few hundred MB of short rows); a larger one takes the ranged path.
 MAX_SINGLE_TASK_ROWS = 1_000_000
+# Target size of one range partition when the input's size has been measured.
+RANGE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame, max_rows: int = MAX_SINGLE_TASK_ROWS) -> int:
+    """Range partitions for ``df``: from its measured size when known (about
+    ``RANGE_PARTITION_BYTES`` and at most ``max_rows`` rows per partition),
+    else ``spark.sql.shuffle.partitions`` (sized by the cluster)."""
+    rows = getattr(df, "_pitchside_rows", None)
+    size = getattr(df, "_pitchside_bytes", None)
+    if rows is None or size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // RANGE_PARTITION_BYTES), -(-rows // max_rows))
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
@@ -54,15 +67,17 @@ def dense_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str) ->
 
 
 def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str, *,
-                   num_partitions: int | None = None, materialize=None) -> DataFrame:
+                   num_partitions: int | None = None, materialize=None,
+                   max_rows_per_partition: int = MAX_SINGLE_TASK_ROWS) -> DataFrame:
     """Ids 1..n in ``order_cols`` order without a single-task window.
 
     ``order_cols`` must be a total order (ties would make ids depend on the
     layout).  ``materialize(df, name) -> DataFrame`` persists the ranged layout
-    reliably (default: write under ``spark.checkpoint.dir``)."""
-    spark = df.sparkSession
+    reliably (default: write under ``spark.checkpoint.dir``).  The number of
+    range partitions follows the frame's measured size when it is known
+    (``range_partitions``), else ``spark.sql.shuffle.partitions``."""
     materialize = materialize or _default_materialize()
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df, max_rows_per_partition)
     ranged = (df.repartitionByRange(n, *_order(order_cols))
                 .sortWithinPartitions(*_order(order_cols))
                 .withColumn("_mid", F.monotonically_increasing_id()))
@@ -96,7 +111,8 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
         out = dense_ids(staged, order_cols, id_col)
         _carry_size(staged, out)
         return out
-    return sequential_ids(staged, order_cols, id_col, materialize=materialize)
+    return sequential_ids(staged, order_cols, id_col, materialize=materialize,
+                          max_rows_per_partition=max_single_task_rows)
 
 
 def first_appearance_ids(df: DataFrame, keys: Sequence[str], pos_col: str, id_col: str,

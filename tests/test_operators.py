@@ -279,3 +279,15 @@ def test_shared_quartiles_give_the_same_reports(spark):
     for own, shared in ((Q.iqr_outliers(tables), Q.iqr_outliers(tables, known=known)),
                         (Q.profile_numeric(tables), Q.profile_numeric(tables, known=known))):
         assert sorted(tuple(r) for r in own.collect()) == sorted(tuple(r) for r in shared.collect())
+
+
+def test_range_partitions_follow_the_measured_size(spark):
+    from pitchside.operators.keys import range_partitions
+    from pitchside.plans.pipeline import materialize
+    df = spark.range(0, 3000).select((F.col("id") * 7).alias("k"))
+    assert range_partitions(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))   # size unknown
+    m = materialize(df, "sized")
+    assert range_partitions(m) == 1                      # 24 KB: one partition
+    assert range_partitions(m, max_rows=1000) == 3       # but never more than max_rows rows each
+    out = number_rows(m, ["k"], "rid", max_single_task_rows=1000)
+    assert sorted((r.rid, r.k) for r in out.collect()) == [(i + 1, i * 7) for i in range(3000)]
