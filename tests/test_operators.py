@@ -291,3 +291,14 @@ def test_range_partitions_follow_the_measured_size(spark):
     assert range_partitions(m, max_rows=1000) == 3       # but never more than max_rows rows each
     out = number_rows(m, ["k"], "rid", max_single_task_rows=1000)
     assert sorted((r.rid, r.k) for r in out.collect()) == [(i + 1, i * 7) for i in range(3000)]
+
+
+def test_bracket_quantiles_move_past_a_hot_tie_block(spark):
+    # a third of the rows share one value in the middle; targets on both sides
+    # of the tie block and inside it all resolve from brackets (no fallback)
+    df = spark.range(0, 9000).select(
+        F.when(F.col("id") < 6000, F.col("id").cast("double")).otherwise(F.lit(2999.5)).alias("v"))
+    probs = [i / 40 for i in range(1, 40)]
+    got = Q._bracketed_quantiles(df, ["v"], probs, max_rows=50, accuracy=200)
+    exp = df.toPandas()["v"].quantile(probs).tolist()
+    assert got["v"] == pytest.approx(exp, rel=1e-12, abs=1e-12)
