@@ -422,11 +422,8 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
     With ``shape=True`` returns skewness / kurtosis (bias-corrected) instead.
     One aggregation pass per table (plus the quantile pass for medians, unless
     they come from ``known``, the output of ``quartiles``)."""
-    frames = []
-    for name, df in tables.items():
-        cols = numeric_columns(df)
-        if not cols:
-            continue
+    def frame_for(item):
+        name, df, cols = item
         aggs = []
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
@@ -465,7 +462,12 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
                                      else F.lit(med[c][0]).cast("double"))})
                      for i, c in enumerate(cols)]
         stacked = _stack(m, items).where(F.col("_n") > 0).drop("_n")
-        frames.append(stacked.select(F.lit(name).alias("table_name"), "*"))
+        return stacked.select(F.lit(name).alias("table_name"), "*")
+
+    # tables are independent: their eager metric passes (distinct counts,
+    # bracket rounds for high-cardinality medians) run concurrently
+    work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
+    frames = _concurrently(frame_for, [w for w in work if w[2]])
     return _union(frames)
 
 
