@@ -302,3 +302,17 @@ def test_bracket_quantiles_move_past_a_hot_tie_block(spark):
     got = Q._bracketed_quantiles(df, ["v"], probs, max_rows=50, accuracy=200)
     exp = df.toPandas()["v"].quantile(probs).tolist()
     assert got["v"] == pytest.approx(exp, rel=1e-12, abs=1e-12)
+
+
+def test_keep_first_dedup_with_a_hot_key_across_partitions(spark):
+    # a third of the rows share key 0 and are spread over every partition; the
+    # kept row is the one with the smallest source position, whatever the layout
+    df = (spark.range(0, 6000, numPartitions=8)
+          .select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                  ((F.col("id") * 7919) % 6000).alias("src_pos"),
+                  (F.col("id") * 10).alias("v"))
+          .repartition(8))
+    out = {r.k: (r.src_pos, r.v) for r in C.dedup_by_key(df, ["k"]).collect()}
+    pdf = df.toPandas().sort_values("src_pos").drop_duplicates("k")
+    assert out == {r.k: (r.src_pos, r.v) for r in pdf.itertuples()}
+    assert len(out) == 4001
