@@ -97,14 +97,20 @@ def sequential_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str, *,
-                max_single_task_rows: int = MAX_SINGLE_TASK_ROWS, materialize=None) -> DataFrame:
+                max_single_task_rows: int | None = None, materialize=None) -> DataFrame:
     """Ids 1..n in ``order_cols`` order (a total order), planned by measured size.
 
     ``df`` is written once to the shared checkpoint folder and its row count is
     observed during that write (no extra job); a set within
     ``max_single_task_rows`` is numbered by one window task, a larger one by
     ``sequential_ids``.  A frame whose row count is already known (written
-    earlier, ``_pitchside_rows`` set) is not written again."""
+    earlier, ``_pitchside_rows`` set) is not written again.  The bound
+    defaults to ``spark.pitchside.maxSingleTaskRows``, else
+    ``MAX_SINGLE_TASK_ROWS``."""
+    from pitchside.plans.joins import session_bound
+
+    if max_single_task_rows is None:
+        max_single_task_rows = session_bound(df, "maxSingleTaskRows", MAX_SINGLE_TASK_ROWS)
     materialize = materialize or _default_materialize()
     staged = df if getattr(df, "_pitchside_rows", None) is not None else materialize(df, "to_number")
     if staged._pitchside_rows <= max_single_task_rows:
@@ -117,7 +123,7 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
 
 def first_appearance_ids(df: DataFrame, keys: Sequence[str], pos_col: str, id_col: str,
                          *, extra_aggs: Sequence[Column] = (),
-                         max_single_task_rows: int = MAX_SINGLE_TASK_ROWS) -> DataFrame:
+                         max_single_task_rows: int | None = None) -> DataFrame:
     """Distinct ``keys`` numbered by their first appearance (min ``pos_col``).
 
     The group-by is partial (map-side) so it scales with the input; the

@@ -44,15 +44,27 @@ def row_bytes(df: DataFrame) -> Column:
                   F.lit(0)).cast("long")
 
 
+def session_bound(df: DataFrame, name: str, default: int) -> int:
+    """A size bound from the session (``spark.pitchside.<name>``), else ``default``:
+    a cluster sets its bounds to match executor and driver memory."""
+    value = df.sparkSession.conf.get(f"spark.pitchside.{name}", None)
+    return default if value is None else int(value)
+
+
 def bounded_row_count(df: DataFrame, bound: int) -> int:
     """Exact row count, or ``bound + 1`` when the frame holds more than ``bound`` rows."""
     return df.limit(bound + 1).count()
 
 
-def can_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                  max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` is within both bounds.  Uses the numbers observed while
-    the frame was written; otherwise measures at most ``max_rows + 1`` rows."""
+def can_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` is within both bounds (defaults: ``spark.pitchside.maxBroadcastRows``
+    / ``maxBroadcastBytes``, else the module constants).  Uses the numbers
+    observed while the frame was written; otherwise measures at most
+    ``max_rows + 1`` rows."""
+    if max_rows is None:
+        max_rows = session_bound(df, "maxBroadcastRows", MAX_BROADCAST_ROWS)
+    if max_bytes is None:
+        max_bytes = session_bound(df, "maxBroadcastBytes", MAX_BROADCAST_BYTES)
     rows = getattr(df, "_pitchside_rows", None)
     size = getattr(df, "_pitchside_bytes", None)
     if rows is None or size is None:

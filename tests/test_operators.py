@@ -316,3 +316,22 @@ def test_keep_first_dedup_with_a_hot_key_across_partitions(spark):
     pdf = df.toPandas().sort_values("src_pos").drop_duplicates("k")
     assert out == {r.k: (r.src_pos, r.v) for r in pdf.itertuples()}
     assert len(out) == 4001
+
+
+def test_size_bounds_follow_the_session(spark):
+    from pitchside.plans.joins import can_broadcast
+    from pitchside.plans.pipeline import materialize
+    m = materialize(spark.createDataFrame([("abc", 1)], "s string, n long"), "bounds")
+    assert can_broadcast(m)
+    spark.conf.set("spark.pitchside.maxBroadcastBytes", "10")
+    spark.conf.set("spark.pitchside.maxSingleTaskRows", "2")
+    try:
+        assert not can_broadcast(m)
+        df = spark.range(0, 50).select((F.col("id") * 3 % 50).alias("k"))
+        out = number_rows(df, ["k"], "rid")
+        assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.rid, r.k) for r in out.collect()) == [(i + 1, i) for i in range(50)]
+    finally:
+        spark.conf.unset("spark.pitchside.maxBroadcastBytes")
+        spark.conf.unset("spark.pitchside.maxSingleTaskRows")
+    assert can_broadcast(m)
