@@ -502,20 +502,23 @@ def feature_cardinality(df: DataFrame) -> DataFrame:
 def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
     """Pairwise Pearson r (pairwise-complete rows) with |r| > threshold, 3 dp.
 
-    The column pairs are unpivoted into (pair, x, y) rows and grouped by pair:
-    one small hash aggregate whose generated code does not grow with the
-    number of pairs (a single wide ``agg`` of all pairs falls out of codegen)."""
+    The column pairs are unpivoted into (pair index, x, y) rows and grouped by
+    the integer index: one pass, one small hash aggregate (partial per task)
+    whose generated code does not grow with the number of pairs (a single wide
+    ``agg`` of all pairs falls out of codegen); names are attached to the few
+    result rows afterwards."""
     cols = numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])).alias("s")).select("s.*")
-    out = long.groupBy("feature1", "feature2").agg(F.corr("x", "y").alias("r"))
+        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
+    out = long.groupBy("pair").agg(F.corr("x", "y").alias("r"))
+    first = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("pair") + 1)
+    second = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("pair") + 1)
     return (out.where(F.abs("r") > threshold)
-               .select("feature1", "feature2", _r(F.col("r"), 3).alias("correlation")))
+               .select(first.alias("feature1"), second.alias("feature2"), _r(F.col("r"), 3).alias("correlation")))
 
 
 # ---------------------------------------------------------------- bias
