@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import decontam, sharding, url_reputation
+from pitchside.llm import bpe, decontam, sharding, url_reputation
 from pitchside.llm.common import read_table
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file that the queries use; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
@@ -20,6 +27,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(read_table(spark, sf_dir, "pages"), labels)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -27,6 +38,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op7_url_filter": op7_url_filter,
+    "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
 }
 ORACLES = {
