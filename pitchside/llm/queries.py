@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import bpe, decontam, sharding, url_reputation
+from pitchside.llm import bpe, decontam, sharding, simhash, topk, url_reputation
 from pitchside.llm.common import read_table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(read_table(spark, sf_dir, "documents")))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
@@ -36,12 +44,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_topk_search": op2_topk_search,
+    "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
 }
 ORACLES = {
+    "op2_topk_search": topk.ORACLE_SQL,
     "op4_decontamination": decontam.ORACLE_SQL,
     "op7_url_filter": url_reputation.ORACLE_SQL,
 }
