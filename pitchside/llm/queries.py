@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import bpe, decontam, sharding, simhash, topk, url_reputation
-from pitchside.llm.common import read_table
+from pitchside.llm import bpe, decontam, sharding, simhash, suffix_tree_lm, topk, url_reputation
+from pitchside.llm.common import crc_mod, read_table
 
 
 def tokenizer_path() -> str:
@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod("doc_id", 5) == 1
+    scored = suffix_tree_lm.score_corpus(read_table(spark, sf_dir, "documents"), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -44,6 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_tree_lm": op1_suffix_tree_lm,
     "op2_topk_search": op2_topk_search,
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
