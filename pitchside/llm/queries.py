@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import bpe, decontam, sharding, simhash, suffix_tree_lm, topk, url_reputation
+from pitchside.llm import bpe, decontam, sharding, simhash, suffix_tree_lm, topk, toxicity, url_reputation
 from pitchside.llm.common import crc_mod, read_table
 
 
@@ -34,6 +34,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the labels name documents; a page's outcome is the label of the document with its id
     labels = read_table(spark, sf_dir, "labels").select(
@@ -54,6 +60,7 @@ QUERIES = {
     "op2_topk_search": op2_topk_search,
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
