@@ -274,11 +274,11 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset with smoothed targets, both kinds weighing the same."""
+    """Logistic slope and offset with smoothed targets; the rarer kind weighs more, by the root of the odds."""
     n1, n0 = (y > 0).sum(), (y < 0).sum()
     target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.stack((margin, np.ones_like(margin)), 1)
-    each = np.where(y > 0, 0.5 / max(n1, 1), 0.5 / max(n0, 1)) * len(y)
+    each = np.where(y > 0, max(n1, 1) ** -0.5, max(n0, 1) ** -0.5) * len(y) ** 0.5
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
