@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import bpe, decontam, sharding, simhash, suffix_tree_lm, topk, toxicity, url_reputation
+from pitchside.llm import bpe, cotraining, decontam, sharding, simhash, suffix_tree_lm, topk, toxicity, url_reputation
 from pitchside.llm.common import crc_mod, read_table
 
 
@@ -40,6 +40,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the labels name documents; a page's outcome is the label of the document with its id
     labels = read_table(spark, sf_dir, "labels").select(
@@ -61,6 +66,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_cotraining": op6_cotraining,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
