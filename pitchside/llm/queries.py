@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm import bpe, cotraining, decontam, sharding, simhash, suffix_tree_lm, topk, toxicity, url_reputation
+from pitchside.llm import bpe, cotraining, decontam, sharding, simhash, suffix_dedup, suffix_tree_lm, topk, toxicity, url_reputation
 from pitchside.llm.common import crc_mod, read_table
 
 
@@ -56,6 +56,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op6_cotraining": op6_cotraining,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
 }
 ORACLES = {
