@@ -251,9 +251,9 @@ def _codec(token: str, source) -> Codec:
     return _LOADED[token]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_tokens, ids_sha256, decoded_sha256 and,
-    with ``with_ids``, ids (little-endian unsigned 32-bit integers) and the decoded text."""
+def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_tokens, ids_sha256, decoded_sha256 and, as
+    ``outputs`` says, ids (little-endian unsigned 32-bit integers) and the decoded text."""
     with open(tokenizer_path, encoding="utf-8") as f:  # a small local file of the driver
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     token = uuid.uuid4().hex
@@ -269,9 +269,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = True
                         pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
                         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_ids:
-                    cols, names = [*cols, pa.array(ids, pa.binary()), pa.array(texts)], [*names, "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names)
+                more = {"ids": lambda: pa.array(ids, pa.binary()), "decoded": lambda: pa.array(texts)}
+                yield pa.RecordBatch.from_arrays([*cols, *(more[o]() for o in outputs)], [*names, *outputs])
 
+    kinds = {"ids": "binary", "decoded": "string"}
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return text_rows(docs).mapInArrow(run, schema + (", ids binary, decoded string" if with_ids else ""))
+    return text_rows(docs).mapInArrow(run, ", ".join([schema, *(f"{o} {kinds[o]}" for o in outputs)]))

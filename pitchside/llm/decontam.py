@@ -112,6 +112,22 @@ def _scanner(block) -> Scanner:
     return _LOADED["scanner"]
 
 
+def _found(texts: list, blocks: list) -> tuple[list[int], list[list]]:
+    """Word counts of texts and the occurrences in each."""
+    streams, counts = [], []
+    for t in texts:
+        words = words_of(t)
+        counts.append(len(words))
+        streams.append(f" {b' '.join(words).decode('latin-1')} " if words else "")
+    found: list[list] = [[] for _ in texts]
+    for block in blocks:
+        scanner = _scanner(block)
+        for k, s in enumerate(streams):
+            if s:
+                found[k] += scanner.scan(s)
+    return counts, found
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_hit, items (sorted list) and
     spans, the character offsets (start, end) in the original text of each maximal run of hit words."""
@@ -119,18 +135,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            streams, counts = [], []
             texts = batch["text"].to_pylist()
-            for t in texts:
-                words = words_of(t)
-                counts.append(len(words))
-                streams.append(f" {b' '.join(words).decode('latin-1')} " if words else "")
-            found: list[list] = [[] for _ in texts]
-            for block in blocks:
-                scanner = _scanner(block)
-                for k, s in enumerate(streams):
-                    if s:
-                        found[k] += scanner.scan(s)
+            counts, found = _found(texts, blocks)
             hits, names, spans = [], [], []
             for t, n, f in zip(texts, counts, found):
                 edge = np.zeros(n + 1, np.int64)
@@ -155,6 +161,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
         scan, "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>")
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, with all their columns; one pass, no join."""
+    blocks = _broadcast_blocks(docs.sparkSession, _windows_table(items, window), block_bytes)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not f for f in _found(batch["text"].to_pylist(), blocks)[1]], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),

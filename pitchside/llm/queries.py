@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pitchside.llm import bpe, cotraining, decontam, sharding, simhash, suffix_dedup, suffix_tree_lm, topk, toxicity, url_reputation
-from pitchside.llm.common import crc_mod, read_table
-
-
-def tokenizer_path() -> str:
-    """The tokenizer file that the queries use; the operator takes any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+from pitchside.llm.common import crc_mod, read_table, tokenizer_path
 
 
 def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +47,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), outputs=())
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +69,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_topk_search": topk.ORACLE_SQL,
