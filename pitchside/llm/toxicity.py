@@ -29,6 +29,7 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ HEAD, TAIL = "\x02", "\x03"   # a word's beginning and end take part in its trip
 PIECE, OVERLAP = 48, 16       # a longer letter string is read in overlapping pieces
 STEPS = [(a, b) for a in range(1, REACH) for b in range(1, REACH + 1 - a)]   # distances inside a triple
 THRESHOLD = 0.3
+REMEMBERED = 500_000          # tokens that a worker remembers before it starts afresh
 
 
 @cache
@@ -129,6 +131,11 @@ class Kernel:
             np.add.at(self.table, (t, group.owner[r]), w)
         self.table /= np.maximum(np.sqrt((self.table.astype(float) ** 2).sum(0)), 1e-12)
         self.gate = self.table.max(1, initial=0)
+        # the table's few entries by triple
+        triple, self.landmark = np.nonzero(self.table)
+        self.entry = self.table[triple, self.landmark].astype(float)
+        self.first = np.searchsorted(triple, np.arange(32768))
+        self.many = np.bincount(triple, minlength=32768)
 
     def values(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(place, values) of the tokens with any value of FLOOR or more; smaller values are zero."""
@@ -144,12 +151,11 @@ class Kernel:
                 some = live[k:k + 4096]
                 r, t, w = _profile(group.codes[some])
                 norm = np.sqrt(np.bincount(r, w * w, len(some)))
-                hit = self.gate[t] > 0
-                r, t, w = r[hit], t[hit], w[hit]
-                v = np.zeros((len(some), len(self.names)), np.float32)
-                starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1]))) if len(r) else np.zeros(0, int)
-                if len(starts):
-                    v[r[starts]] = np.add.reduceat(self.table[t] * w[:, None].astype(np.float32), starts, axis=0)
+                n = self.many[t]
+                at = np.repeat(self.first[t] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                size = len(self.names)
+                v = np.bincount(np.repeat(r, n) * size + self.landmark[at], np.repeat(w, n) * self.entry[at], len(some) * size)
+                v = v.reshape(len(some), size).astype(np.float32)
                 v /= np.maximum(norm, 1e-12)[:, None]
                 v[v < FLOOR] = 0
                 v **= POWER
@@ -161,53 +167,86 @@ class Kernel:
         return np.concatenate(place), np.concatenate(found)
 
 
-def sentences(texts: list[str], kernel: Kernel) -> tuple[np.ndarray, np.ndarray]:
-    """(text, features) of every sentence with any feature."""
-    seen: dict[str, int] = {}
-    ids, owner = [], []
-    for k, t in enumerate(texts):
-        words = (t or "").lower().split()
-        ids += [seen.setdefault(w, len(seen)) for w in words]
-        owner.append(len(words))
-    if not ids:
-        return np.zeros(0, np.int64), np.zeros((0, len(kernel.names)), np.float32)
-    tokens = list(seen)
-    ids, owner = np.array(ids), np.repeat(np.arange(len(texts)), owner)
-    stops = np.array([w[-1] in ".!?" for w in tokens])[ids]
-    new_text = np.concatenate(([False], owner[1:] != owner[:-1]))
-    sentence = np.cumsum(np.concatenate(([False], stops[:-1])) | new_text)
-
-    # runs of three or more single letters are one more word
-    single = np.array([sum(map(str.isalpha, w)) == 1 for w in tokens])[ids]
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
-    extra, where = [], []
-    for a, b in zip(edge[::2], edge[1::2]):
-        cuts = [a, *(np.flatnonzero(new_text[a + 1:b]) + a + 1), b]
-        for x, y in zip(cuts, cuts[1:]):
-            if y - x >= 3:
-                extra.append("".join(c for i in ids[x:y] for c in tokens[i] if c.isalpha()))
-                where.append(x)
-
-    place, values = kernel.values(tokens + extra)
-    order = np.argsort(place, kind="stable")
-    place, values = place[order], values[order]
-    first = np.searchsorted(place, np.arange(len(tokens) + len(extra)))
-    count = np.bincount(place, minlength=len(tokens) + len(extra))
-    every = np.concatenate((ids, len(tokens) + np.arange(len(extra))))
-    at = np.concatenate((np.arange(len(ids)), np.array(where, np.int64)))
-    live = np.flatnonzero(count[every] > 0)
-    if not len(live):
-        return np.zeros(0, np.int64), np.zeros((0, len(kernel.names)), np.float32)
-    # a token in several pieces has several value rows
-    rows = np.repeat(first[every[live]] - np.concatenate(([0], np.cumsum(count[every[live]])[:-1])), count[every[live]]) + np.arange(count[every[live]].sum())
-    at = np.repeat(at[live], count[every[live]])
-    order = np.lexsort((rows, sentence[at]))
-    rows, at = rows[order], at[order]
-    s = sentence[at]
-    pair = np.concatenate(([True], (s[1:] != s[:-1]) | (rows[1:] != rows[:-1])))   # a word's repeats change no maximum
-    rows, at, s = rows[pair], at[pair], s[pair]
-    starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    return owner[at[starts]], np.maximum.reduceat(values[rows], starts, axis=0)
+class Numbers(dict):
+    """Numbers new keys in the order in which they are asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
+class Reader:
+    """Kernel values of tokens, each worked out once while it is remembered."""
+
+    def __init__(self, kernel: Kernel):
+        self.kernel, self.width = kernel, len(kernel.names)
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen = Numbers()
+        self.stop, self.single = np.zeros(0, bool), np.zeros(0, bool)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)   # value rows of each token
+        self.values = np.zeros((0, self.width), np.float32)
+
+    def learn(self) -> None:
+        """Work out the tokens that ``seen`` has got since the last call."""
+        old = len(self.stop)
+        new = list(islice(self.seen, old, None))
+        if not new:
+            return
+        place, values = self.kernel.values(new)
+        order = np.argsort(place, kind="stable")
+        self.first = np.concatenate((self.first, len(self.values) + np.searchsorted(place[order], np.arange(len(new)))))
+        self.count = np.concatenate((self.count, np.bincount(place, minlength=len(new))))
+        self.values = np.concatenate((self.values, values[order]))
+        self.stop = np.concatenate((self.stop, np.fromiter((w[-1] in ".!?" for w in new), bool, len(new))))
+        self.single = np.concatenate((self.single, np.fromiter((len(w) < 4 and sum(map(str.isalpha, w)) == 1 for w in new), bool, len(new))))
+
+    def sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, features) of every sentence with any feature."""
+        if len(self.seen) > REMEMBERED:
+            self.forget()
+        number, ids, sizes = self.seen.__getitem__, [], []
+        for t in texts:
+            words = (t or "").lower().split()
+            ids += map(number, words)
+            sizes.append(len(words))
+        self.learn()
+        ids, owner = np.array(ids, np.int64), np.repeat(np.arange(len(texts)), sizes)
+        if not len(ids):
+            return np.zeros(0, np.int64), np.zeros((0, self.width), np.float32)
+        new_text = np.concatenate(([False], owner[1:] != owner[:-1]))
+        sentence = np.cumsum(np.concatenate(([False], self.stop[ids][:-1])) | new_text)
+
+        # runs of three or more single letters are one more word
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], self.single[ids].astype(np.int8), [0]))))
+        extra, where = [], []
+        long = edge[1::2] - edge[::2] >= 3
+        names = list(self.seen) if long.any() else []
+        for a, b in zip(edge[::2][long], edge[1::2][long]):
+            cuts = [a, *(np.flatnonzero(new_text[a + 1:b]) + a + 1), b]
+            for x, y in zip(cuts, cuts[1:]):
+                if y - x >= 3:
+                    extra.append("".join(c for i in ids[x:y] for c in names[i] if c.isalpha()))
+                    where.append(x)
+        more = list(map(number, extra))
+        self.learn()
+        every, at = np.concatenate((ids, np.array(more, np.int64))), np.concatenate((np.arange(len(ids)), np.array(where, np.int64)))
+
+        live = np.flatnonzero(self.count[every] > 0)
+        every, at = every[live], at[live]
+        if not len(live):
+            return np.zeros(0, np.int64), np.zeros((0, self.width), np.float32)
+        n = self.count[every]                         # a token read in pieces has several value rows
+        rows = np.repeat(self.first[every] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        at = np.repeat(at, n)
+        order = np.lexsort((rows, sentence[at]))
+        rows, at = rows[order], at[order]
+        s = sentence[at]
+        fresh = np.concatenate(([True], (s[1:] != s[:-1]) | (rows[1:] != rows[:-1])))   # a word's repeats change no maximum
+        rows, at, s = rows[fresh], at[fresh], s[fresh]
+        starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        return owner[at[starts]], np.maximum.reduceat(self.values[rows], starts, axis=0)
 
 
 # -- training ------------------------------------------------------------------------
@@ -297,10 +336,10 @@ class Model:
     slope: float
     offset: float
 
-    def scores(self, texts: list[str], kernel: Kernel) -> np.ndarray:
+    def scores(self, texts: list[str], reader: Reader) -> np.ndarray:
         worst = np.full(len(texts), self.bias)     # a sentence without features
         if self.landmarks:
-            owner, x = sentences(texts, kernel)
+            owner, x = reader.sentences(texts)
             np.maximum.at(worst, owner, x @ self.weight + self.bias)
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))
 
@@ -316,9 +355,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, landmarks: int
         return Model([], np.zeros(0), 0.0, 1.0, float(np.log(share / (1 - share))))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kernel = Kernel(names)
+        reader = Reader(Kernel(names))
         for batch in batches:
-            owner, x = sentences(batch["text"].to_pylist(), kernel)
+            owner, x = reader.sentences(batch["text"].to_pylist())
             out = []
             for k in range(batch.num_rows):
                 own = x[owner == k]
@@ -381,11 +420,11 @@ def learn(names: list[str], x: list[np.ndarray], y: np.ndarray) -> Model:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs(doc_id, text)`` with score and predicted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kernel = Kernel(model.landmarks)
+        reader = Reader(Kernel(model.landmarks))
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                some = batch.slice(k, 256)
-                s = model.scores(some["text"].to_pylist(), kernel)
+            for k in range(0, batch.num_rows, 512):
+                some = batch.slice(k, 512)
+                s = model.scores(some["text"].to_pylist(), reader)
                 yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                                                  ["doc_id", "score", "predicted"])
 
