@@ -22,12 +22,11 @@ def coerce_int(c: str | Column, default: int | None = 0) -> Column:
     return i if default is None else F.coalesce(i, F.lit(default))
 
 
-def exact_mean(c: str | Column, scale: int = 6) -> Column:
-    """Mean of a double column computed from an exact decimal sum.
+def exact_mean(c: str | Column) -> Column:
+    """Mean of a double column from an exact decimal sum.
 
-    Values are rounded to ``scale`` decimals, summed exactly and divided once,
-    so the result is the same double however rows are split over partitions
-    (a floating-point running sum depends on arrival order)."""
+    Values of a reading's size keep all their digits in 18 decimals; they are summed exactly and
+    divided once, so the result is the same double however rows are split over partitions (a
+    floating-point running sum depends on arrival order)."""
     col = _col(c)
-    total = F.sum(col.cast(f"decimal({18 + scale},{scale})")).cast("double")
-    return total / F.count(col)
+    return F.sum(col.cast("decimal(28,18)")).cast("double") / F.count(col)

@@ -17,8 +17,6 @@ from pitchside.functions.numeric import exact_mean
 
 TEMP = "avg_temperature_celsius"
 CAT = "temperature_category"
-MONTH_SCALE = 6      # readings carry at most 6 decimals
-YEAR_SCALE = 10      # means of means
 
 
 def prepare_readings(readings: DataFrame, *, grain: str = "month", closed: str = "right") -> DataFrame:
@@ -31,7 +29,7 @@ def prepare_readings(readings: DataFrame, *, grain: str = "month", closed: str =
     month_col = "month_num" if "month_num" in readings.columns else "month"
     keys = ["country", "year"] + ([month_col] if grain == "month" else [])
     g = (readings.dropna(subset=keys)
-         .groupBy(*keys).agg(exact_mean("temperature", MONTH_SCALE).alias(TEMP)))
+         .groupBy(*keys).agg(exact_mean("temperature").alias(TEMP)))
     if grain == "month" and month_col != "month":
         g = g.withColumnRenamed(month_col, "month")
     return g.withColumn(CAT, bin_label(TEMP, closed=closed))
@@ -40,7 +38,7 @@ def prepare_readings(readings: DataFrame, *, grain: str = "month", closed: str =
 def yearly_from_monthly(cells: DataFrame) -> DataFrame:
     """Mean of the monthly means per (country, year) — the fallback lookup."""
     return (cells.groupBy("country", "year")
-            .agg(exact_mean(TEMP, YEAR_SCALE).alias("_year_temp")))
+            .agg(exact_mean(TEMP).alias("_year_temp")))
 
 
 def join_readings(matches: DataFrame, cells: DataFrame, *, fallback: bool = True,
@@ -83,7 +81,7 @@ def enrichment_report(enriched: DataFrame) -> DataFrame:
          .otherwise(F.lit(0.0)).alias("match_rate_percent"),
         F.min(t).alias("temp_min"),
         F.max(t).alias("temp_max"),
-        exact_mean(t, YEAR_SCALE).alias("temp_mean"),
+        exact_mean(t).alias("temp_mean"),
         F.median(t).alias("temp_median"),
     )
 

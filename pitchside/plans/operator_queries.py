@@ -21,9 +21,10 @@ from pitchside.operators import enrich as E
 from pitchside.operators import quality as Q
 from pitchside.operators import star as ST
 from pitchside.operators.keys import number_rows, sequential_ids
-from pitchside.plans import catalog
+from pitchside.operators import insights as INS
+from pitchside.plans import catalog, catalog_oracle
 from pitchside.plans.oracle import alias_exact_sql, alias_regex_sql, bin_sql, coerce_int_sql, \
-    confederation_case, spark_round, strip, with_chain
+    confederation_case, mean_sql, spark_round, star_query, strip, with_chain
 from pitchside.plans.pipeline import STAR_TABLES, star_session
 from pitchside.plans.joins import can_broadcast
 from pitchside.plans.registry import register
@@ -153,7 +154,7 @@ def write_auto_format(spark: SparkSession, sf: str) -> DataFrame:
     return io.read_table(spark, path, schemas.DIM_LOCATION)
 
 
-@register("write_csv_results", W(catalog.QUERIES["goals_by_temperature_category"], star=True))
+@register("write_csv_results", star_query(catalog_oracle.TEXTS["goals_by_temperature_category"]))
 def write_csv_results(spark: SparkSession, sf: str) -> DataFrame:
     star(spark, sf)
     out = scratch_path(spark, "analytics_results")
@@ -433,7 +434,7 @@ def enrich_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("enrich_yearly", W(f"""WITH yc AS (
-  SELECT country, year, CAST(SUM(CAST(temperature AS DECIMAL(24,6))) AS DOUBLE) / COUNT(temperature) AS t
+  SELECT country, year, {mean_sql('temperature')} AS t
   FROM r_clean WHERE country IS NOT NULL AND year IS NOT NULL GROUP BY 1, 2)
 SELECT m.k1, m.k2, m.k3, m.k4, m.k5, m.k6, m.country, m.year, m.month,
  yc.t AS avg_temperature_celsius, {bin_sql('yc.t')} AS temperature_category
@@ -501,7 +502,7 @@ def readings_monthly_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("readings_yearly_avg", W(f"""SELECT country, year,
- CAST(SUM(CAST(temperature AS DECIMAL(24,6))) AS DOUBLE) / COUNT(temperature) AS avg_temperature_celsius,
+ {mean_sql('temperature')} AS avg_temperature_celsius,
  y.y_temp AS mean_of_monthly_means
 FROM r_clean JOIN yearly y USING (country, year) GROUP BY country, year, y.y_temp"""))
 def readings_yearly_avg(spark: SparkSession, sf: str) -> DataFrame:
@@ -511,11 +512,11 @@ def readings_yearly_avg(spark: SparkSession, sf: str) -> DataFrame:
     return per_year.join(fallback, ["country", "year"])
 
 
-@register("enrichment_report", W("""SELECT COUNT(*) AS total_matches, COUNT(avg_temperature_celsius) AS matches_with_temperature,
+@register("enrichment_report", W(f"""SELECT COUNT(*) AS total_matches, COUNT(avg_temperature_celsius) AS matches_with_temperature,
  COUNT(*) - COUNT(avg_temperature_celsius) AS matches_without_temperature,
  CASE WHEN COUNT(*) > 0 THEN COUNT(avg_temperature_celsius) * 100e0 / COUNT(*) ELSE 0e0 END AS match_rate_percent,
  MIN(avg_temperature_celsius) AS temp_min, MAX(avg_temperature_celsius) AS temp_max,
- CAST(SUM(CAST(avg_temperature_celsius AS DECIMAL(28,10))) AS DOUBLE) / COUNT(avg_temperature_celsius) AS temp_mean,
+ {mean_sql('avg_temperature_celsius')} AS temp_mean,
  quantile_cont(avg_temperature_celsius, 0.5) AS temp_median FROM enriched"""))
 def enrichment_report(spark: SparkSession, sf: str) -> DataFrame:
     return E.enrichment_report(E.enrich(clean_m(spark, sf), clean_r(spark, sf)))
@@ -772,15 +773,18 @@ def stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
         .alias("r")).select("r.*")
 
 
-@register("key_insights", W(f"""SELECT 'highest_scoring_category' AS insight, temperature_category AS value
-FROM ({catalog.QUERIES['goals_by_temperature_category']}) g
-ORDER BY avg_goals_per_match DESC, temperature_category ASC LIMIT 1""", star=True))
+_MEANS = catalog_oracle.TEXTS["goals_by_temperature_category"]
+
+
+@register("key_insights", star_query(f"""SELECT 'mean_goals' AS insight, temperature_category AS subject, avg_goals_per_match AS value FROM ({_MEANS})
+UNION ALL SELECT * FROM (SELECT 'highest_scoring_category', temperature_category, avg_goals_per_match FROM ({_MEANS})
+ ORDER BY avg_goals_per_match DESC, temperature_category LIMIT 1)
+UNION ALL SELECT 'highest_scoring_match', home_team || ' - ' || away_team, CAST(total_goals AS DOUBLE)
+ FROM (SELECT *, row_number() OVER (ORDER BY total_goals DESC, match_id) AS k FROM ({catalog_oracle.TEXTS["doc_top10_matches"]})) WHERE k = 1"""))
 def key_insights(spark: SparkSession, sf: str) -> DataFrame:
     star(spark, sf)
-    g = catalog.QueryCatalog(spark).run("goals_by_temperature_category")
-    top = g.orderBy(F.desc("avg_goals_per_match"), F.asc("temperature_category")).limit(1)
-    return top.select(F.lit("highest_scoring_category").alias("insight"),
-                      F.col("temperature_category").alias("value"))
+    queries = catalog.QueryCatalog(spark)
+    return INS.key_insights(queries.run("goals_by_temperature_category"), queries.run("doc_top10_matches"))
 
 
 # =================================================================== constraints

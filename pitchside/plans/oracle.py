@@ -40,6 +40,11 @@ def coerce_int_sql(col: str) -> str:
     return f"coalesce(try_cast(trunc(CASE WHEN isnan({d}) THEN NULL ELSE {d} END) AS INTEGER), 0)"
 
 
+def mean_sql(col: str) -> str:
+    """Exact sum of the shortest decimal forms, divided once (all digits of a reading kept)."""
+    return f"CAST(SUM(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / COUNT({col})"
+
+
 def bin_sql(col: str, closed: str = "right") -> str:
     op = "<=" if closed == "right" else "<"
     return (f"CASE WHEN {col} IS NULL THEN NULL WHEN {col} {op} 10 THEN 'Cold' "
@@ -175,7 +180,7 @@ def clean_readings_ctes(raw: str = "r_raw", out: str = "r_clean", dedup: bool =
 def enrich_ctes(matches: str = "m_clean", readings: str = "r_clean") -> str:
     return f"""cells AS (
     SELECT country, year, month_num AS month,
-        CAST(SUM(CAST(temperature AS DECIMAL(24,6))) AS DOUBLE) / COUNT(temperature) AS avg_temperature_celsius
+        {mean_sql('temperature')} AS avg_temperature_celsius
     FROM {readings}
     WHERE country IS NOT NULL AND year IS NOT NULL AND month_num IS NOT NULL
     GROUP BY country, year, month_num
@@ -185,7 +190,7 @@ cells_c AS (
 ),
 yearly AS (
     SELECT country, year,
-        CAST(SUM(CAST(avg_temperature_celsius AS DECIMAL(28,10))) AS DOUBLE) / COUNT(avg_temperature_celsius) AS y_temp
+        {mean_sql('avg_temperature_celsius')} AS y_temp
     FROM cells_c GROUP BY country, year
 ),
 enriched AS (
@@ -334,7 +339,6 @@ def spark_round(sql: str) -> str:
 
 
 def star_query(query: str) -> str:
-    """Oracle for a catalog query over the star tables (and its views)."""
-    from pitchside.plans.catalog import VIEWS
-    extra = ",\n".join(f"{name} AS ({spark_round(sql)})" for name, sql in VIEWS.items())
-    return with_chain(spark_round(query), extra_ctes=extra)
+    """Oracle for a catalog query: the star, and the wide match rows that the texts read."""
+    from pitchside.plans.catalog_oracle import WIDE
+    return with_chain(spark_round(query), extra_ctes=WIDE)

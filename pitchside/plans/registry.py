@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.plans import catalog, oracle
+from pitchside.plans import catalog, catalog_oracle, oracle
 from pitchside.plans.pipeline import star_session
 
 SparkQuery = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,8 @@ def _catalog_query(name: str) -> SparkQuery:
     return run
 
 
-for _name, _sql in catalog.QUERIES.items():
-    register(_name, oracle.star_query(catalog.ORACLE_TEXTS.get(_name, _sql)))(_catalog_query(_name))
+for _name in catalog.PLANS:
+    register(_name, oracle.star_query(catalog_oracle.TEXTS[_name]))(_catalog_query(_name))
 
 
 def _load_operator_modules() -> None:
