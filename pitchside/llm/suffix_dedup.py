@@ -19,8 +19,7 @@ byte by byte before they count as equal; the smallest id of each run of equal wi
 
 Scale.  Documents are laid out once as a table bucketed by small cells of rows, so their texts
 are never shuffled; hashes, contexts and spans go to the cells instead, as packed arrays.
-Equal contexts of a cell are one record.  Exact copies are found by their digest first.  An
-anchor in more than ``HOT`` documents is not gathered in one task: its contexts, then the
+Exact copies are found by their digest first.  An anchor in more than ``HOT`` documents is not gathered in one task: its contexts, then the
 windows of each context's first document, are grouped by their bytes with a combine before the
 shuffle, which is exact as well.
 
@@ -48,7 +47,7 @@ LEFT = WINDOW - GRAM                  # bytes before an anchor that a window can
 WIDTH = LEFT + WINDOW
 CELL_BITS = 11                        # rows of one cell: 2048
 ANCHORS_A_BUCKET = 1 << 20
-HOT = 2000
+HOT = 20_000                          # documents of an anchor whose contexts one task still gathers
 BUCKET_BYTES = 32 << 20
 BASE = 0x9E3779B97F4A7C15             # odd, so it has an inverse modulo 2**64
 NO_ID = (1 << 63) - 1
