@@ -47,7 +47,9 @@ LEFT = WINDOW - GRAM                  # bytes before an anchor that a window can
 WIDTH = LEFT + WINDOW
 CELL_BITS = 11                        # rows of one cell: 2048
 ANCHORS_A_BUCKET = 1 << 20
-HOT = 20_000                          # documents of an anchor whose contexts one task still gathers
+ELEMENTS = 1 << 17                    # windows that are sorted at once
+RECORDS = 1 << 14                     # contexts that are resolved at once, if no anchor has more
+HOT = 20_000                          # documents of an anchor whose contexts one task still gathers (some tens of MB)
 BUCKET_BYTES = 32 << 20
 BASE = 0x9E3779B97F4A7C15             # odd, so it has an inverse modulo 2**64
 NO_ID = (1 << 63) - 1
@@ -175,6 +177,23 @@ class Suffixes:
         return out
 
 
+def _earlier(text: Suffixes, element: np.ndarray, offset: np.ndarray, kind: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Places of the windows (element, offset) that an element of a smaller document also has."""
+    start = element * WIDTH + LEFT - offset
+    group = kind[element] * (LEFT + 1) + offset
+    # a window alone in its group by its hash cannot be equal to another
+    key = mix(text.hashes.of(start, start + WINDOW) ^ mix(group.astype(np.uint64)))
+    _, back, times = np.unique(key, return_inverse=True, return_counts=True)
+    live = np.flatnonzero(times[back] > 1)
+    if not len(live):
+        return live
+    live = live[np.argsort(group[live], kind="stable")]
+    run = text.equal_runs(start[live], group[live])
+    first = np.full(int(run.max()) + 1, NO_ID, np.int64)
+    np.minimum.at(first, run, least[element[live]])
+    return live[first[run] < least[element[live]]]
+
+
 def resolve(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Covered ranges (record, from, to) relative to each record's anchor.
 
@@ -197,24 +216,18 @@ def resolve(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray,
     several = np.flatnonzero(count[kind] > 1)
     l, r = left[pick].astype(np.int64), right[pick].astype(np.int64)
     low, high = np.maximum(0, WINDOW - r[several]), l[several]
-    size = np.maximum(high - low + 1, 0)
-    element = np.repeat(several, size)
-    offset = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    if len(element):
-        text = Suffixes(np.ascontiguousarray(context[pick]).ravel())
-        start = element * WIDTH + LEFT - offset
-        group = kind[element] * (LEFT + 1) + offset
-        # a window alone in its group by its hash cannot be equal to another
-        key = mix(text.hashes.of(start, start + WINDOW) ^ mix(group.astype(np.uint64)))
-        _, back, times = np.unique(key, return_inverse=True, return_counts=True)
-        live = np.flatnonzero(times[back] > 1)
-        live = live[np.argsort(group[live], kind="stable")]
-        element, offset = element[live], offset[live]
-        run = text.equal_runs(start[live], group[live])
-        first = np.full(int(run.max(initial=0)) + 1, NO_ID, np.int64)
-        np.minimum.at(first, run, least[element])
-        hit = first[run] < least[element]
-        element, offset = element[hit], offset[hit]
+    if len(several):
+        text, found = Suffixes(np.ascontiguousarray(context[pick]).ravel()), []
+        # windows at different offsets are different groups, so a few offsets at a time bound the memory
+        step = max(1, ELEMENTS // len(several))
+        for o in range(0, LEFT + 1, step):
+            first_o, last_o = np.maximum(low, o), np.minimum(high, o + step - 1)
+            size = np.maximum(last_o - first_o + 1, 0)
+            element = np.repeat(several, size)
+            offset = np.repeat(first_o, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            hit = _earlier(text, element, offset, kind, least)
+            found.append((element[hit], offset[hit]))
+        element, offset = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((offset, element))
         element, offset = element[order], offset[order]
         if len(element):
@@ -410,7 +423,7 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         order = np.argsort(r["h"], kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(r["h"][order]) != 0)))
         out = []
-        for part in np.split(order, cuts[1:][np.flatnonzero(np.diff(cuts[1:] // 32768, prepend=0))]):   # whole anchors, some at a time
+        for part in np.split(order, cuts[1:][np.flatnonzero(np.diff(cuts[1:] // RECORDS, prepend=0))]):   # whole anchors, some at a time
             k, a, b = resolve(*(r[n][part] for n in ("h", "doc", "left", "right")), context[part])
             k = part[k]
             out.append((r["cell"][k], r["row"][k], r["pos"][k] + a, r["pos"][k] + b))
