@@ -32,6 +32,7 @@ from pitchside.llm.common import materialize, text_rows
 from pitchside.llm.components import connected_components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
+DROPPED = 2_000_000   # ids that are broadcast at most (some tens of MB)
 CHUNK = 512   # fingerprints of a bucket that are compared at once, on average
 
 
@@ -120,9 +121,16 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stand for their groups: the smallest id of each, once."""
-    found = near_duplicates(docs, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = materialize(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "representatives")
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    """The rows of ``docs`` that stand for their groups: the smallest id of each, once.
+
+    The ids that go are far fewer than the texts.  Up to ``DROPPED`` of them (counted) are broadcast,
+    so the texts stay where they are; beyond that the join is an ordinary shuffle join."""
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = materialize(near_duplicates(docs, shingle, radius).groupBy("doc_id").agg(F.count_if(stays).alias("rows")), "decisions")
+    gone = ids.where("rows = 0").select("doc_id")
+    counted = ids.agg(F.count_if(F.col("rows") == 0).alias("gone"), F.count_if(F.col("rows") > 1).alias("repeated")).first()
+    if counted["gone"] <= DROPPED:
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     # a second row of the same id has to go as well; without any, the whole texts need no grouping
-    return kept.dropDuplicates(["doc_id"]) if first.where("rows > 1").take(1) else kept
+    return kept.dropDuplicates(["doc_id"]) if counted["repeated"] else kept
