@@ -40,8 +40,9 @@ CONFEDERATION_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 DEFAULT_GROUP = "Other"
 
-# the characters of the regex class \s (what str.strip() removes for ASCII text)
-WHITESPACE = " \t\n\x0b\f\r"
+# every character that Unicode counts as white space, and the ASCII separators
+WHITESPACE = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                      0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def _col(c: str | Column) -> Column:

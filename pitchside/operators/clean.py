@@ -36,12 +36,13 @@ ORDER_COL = "src_pos"
 def with_source_order(df: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
     """Ensure a source-order column exists.
 
-    Inputs that carry their own order (a line number, a file offset) keep it;
-    otherwise scan order is used (input partition, then row within it), which
-    is stable for a fixed file listing."""
+    Inputs that carry their own order (a line number, a file offset) keep it.  Otherwise rows
+    are ordered by a digest of their content: an arbitrary order, but the same however the
+    input is split into files and tasks (rows that tie are equal, so any of them may be kept)."""
     if order_col in df.columns:
         return df
-    return df.withColumn(order_col, F.monotonically_increasing_id())
+    content = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    return df.withColumn(order_col, F.sha2(content.cast("binary"), 256))
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -146,7 +147,30 @@ def clean_readings(raw: DataFrame, *, bounds: tuple[float, float] = TEMPERATURE_
     return dedup_by_key(df, READING_KEY, order_col) if dedup else df
 
 
-def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS) -> DataFrame:
+def _as_rules(agg: DataFrame, rules: Sequence[str]) -> DataFrame:
+    return agg.select(F.explode(F.array(*[
+        F.struct(F.lit(r).alias("rule"), F.col(r).cast("bigint").alias("rows")) for r in rules])).alias("r")).select("r.*")
+
+
+def reject_counts_readings(raw_readings: DataFrame, *, bounds: tuple[float, float] = TEMPERATURE_BOUNDS,
+                           years: tuple[int, int] = YEARS, aliases: Mapping[str, str] = COUNTRY_ALIASES) -> DataFrame:
+    """Rows that each cleaning rule drops from the readings, in the order in which the rules apply."""
+    df = rename_columns(raw_readings, READING_RENAMES)
+    d, t = parse_date(F.col("month").cast("string")), coerce_double("temperature")
+    valued = d.isNotNull() & t.isNotNull()
+    inside = valued & t.between(bounds[0], bounds[1])
+    kept = inside & F.year(d).between(years[0], years[1])
+    key = F.struct(alias_exact(strip_ws("country"), aliases), d)
+    agg = df.agg(F.count(F.lit(1)).alias("input"), F.count_if(d.isNull()).alias("bad_date"),
+                 F.count_if(d.isNotNull() & t.isNull()).alias("no_value"), F.count_if(valued & ~inside).alias("out_of_range"),
+                 F.count_if(inside & ~kept).alias("out_of_years"), F.count_if(kept).alias("_kept"),
+                 F.count_distinct(F.when(kept, key)).alias("output"))
+    return _as_rules(agg.withColumn("duplicate_key", F.col("_kept") - F.col("output")),
+                     ("input", "bad_date", "no_value", "out_of_range", "out_of_years", "duplicate_key", "output"))
+
+
+def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS,
+                  aliases: Sequence[tuple[str, str]] = TEAM_ALIASES) -> DataFrame:
     """Rows dropped per cleaning rule, in one aggregation pass plus the key count.
 
     Returns (rule, rows) for: input, bad_date, out_of_years, duplicate_key, output."""
@@ -154,7 +178,7 @@ def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS) ->
     d = parse_date_typed(df, "date")
     y = F.year(d)
     kept = d.isNotNull() & y.between(years[0], years[1])
-    key = F.struct(d, alias_regex(strip_ws("home_team")), alias_regex(strip_ws("away_team")))
+    key = F.struct(d, alias_regex(strip_ws("home_team"), aliases), alias_regex(strip_ws("away_team"), aliases))
     agg = df.agg(
         F.count(F.lit(1)).alias("input"),
         F.count_if(d.isNull()).alias("bad_date"),
@@ -163,10 +187,7 @@ def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS) ->
         F.count_distinct(F.when(kept, key)).alias("output"),
     )
     agg = agg.withColumn("duplicate_key", F.col("_kept") - F.col("output"))
-    return agg.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.col(r).cast("bigint").alias("rows"))
-        for r in ("input", "bad_date", "out_of_years", "duplicate_key", "output")
-    ])).alias("r")).select("r.*")
+    return _as_rules(agg, ("input", "bad_date", "out_of_years", "duplicate_key", "output"))
 
 
 def clean_all(raw_matches: DataFrame, raw_readings: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -70,7 +70,9 @@ def enrich(matches: DataFrame, readings: DataFrame, *, fallback: bool = True,
 
 def enrichment_report(enriched: DataFrame) -> DataFrame:
     """One row: totals, match rate and min / max / mean / median of the reading."""
-    t = F.col(TEMP)
+    from pitchside.operators.quality import quantile_values
+
+    t, middle = F.col(TEMP), quantile_values(enriched, [TEMP], (0.5,))[TEMP][0]
     total = F.count(F.lit(1))
     matched = F.count(t)
     return enriched.agg(
@@ -82,7 +84,7 @@ def enrichment_report(enriched: DataFrame) -> DataFrame:
         F.min(t).alias("temp_min"),
         F.max(t).alias("temp_max"),
         exact_mean(t).alias("temp_mean"),
-        F.median(t).alias("temp_median"),
+        F.lit(middle).cast("double").alias("temp_median"),
     )
 
 

@@ -2,18 +2,13 @@
 
 Each check is one (or two) aggregation passes per table; results are small
 frames (one row per table / column / rule), so only metric rows ever reach the
-driver.  Double-valued statistics are rounded to ``STAT_DIGITS`` decimals so
-the report does not depend on how rows were split over partitions (a
-floating-point sum does).
-
-Quantiles are exact (linear interpolation, like the reference).  Spark's
-``percentile`` keeps a value→count map per group, so its memory grows with
-the number of *distinct* values.  For columns with many distinct values
-(surrogate ids at 100 TB) the ``bracket`` strategy narrows each target rank
-with approximate quantiles, verifies every bracket with exact counts, and
-ranks only the few rows left inside it; all columns share each pass.  The
-``distributed`` strategy (a range-partitioned ranking of the whole column) is
-the fallback when a bracket cannot be verified.
+driver.
+
+Quantiles are exact (linear interpolation).  The numeric columns are turned into
+(column, value) rows once and counted per value, which folds ties before the
+shuffle; the counts are range-partitioned by (column, value), and the running
+totals of the partitions say which partition holds a wanted rank.  Only those
+partitions are ranked, each by itself; no task sees a whole column.
 """
 
 from __future__ import annotations
@@ -21,21 +16,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-STAT_DIGITS = 9
 CRITICAL_COMPLETENESS = 90.0
 CORRELATION_THRESHOLD = 0.7
-# Above this many distinct values, quantiles use the bracket strategy.
-MAP_QUANTILE_MAX_DISTINCT = 1_000_000
-# Bracket strategy: percentile_approx accuracy (rank error ≤ rows / accuracy),
-# the most rows ranked exactly per target (one window task, bounded by a
-# verified count), and the most narrowing rounds before falling back.
-BRACKET_ACCURACY = 10_000
-MAX_BRACKET_ROWS = 1_000_000
-MAX_BRACKET_ROUNDS = 6
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -174,183 +160,62 @@ def numeric_strings(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
-def _distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles via a range-partitioned ranking.
-
-    Ties are spread over partitions by a hash of the row, so a value holding a
-    third of all rows does not land in one task.  Returns one row with
-    ``q0 … qk`` (double)."""
-    from pitchside.operators.keys import sequential_ids
-
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    vals = vals.withColumn("_t", F.xxhash64("v", F.monotonically_increasing_id()))
-    ranked = sequential_ids(vals, ["v", "_t"], "_rank")
-    n = ranked.agg(F.count(F.lit(1)).alias("n"))
-    wanted = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        wanted.append(F.struct(F.lit(i).alias("i"), pos.alias("pos")))
-    targets = n.select(F.explode(F.array(*wanted)).alias("t")).select(
-        "t.i", "t.pos", F.floor("t.pos").cast("bigint").alias("lo"),
-        F.ceil("t.pos").cast("bigint").alias("hi"))
-    wants = targets.withColumn("_want", F.explode(F.array("lo", "hi"))).dropDuplicates(["i", "_want"])
-    # wants has at most 2·len(probs) rows: a bounded broadcast, equi-joined on rank
-    picks = ranked.join(F.broadcast(wants), F.col("_rank") == F.col("_want") + 1)
-    per = picks.groupBy("i", "pos", "lo").agg(
-        F.max(F.when(F.col("_want") == F.col("lo"), F.col("v"))).alias("xlo"),
-        F.max(F.when(F.col("_want") == F.col("hi"), F.col("v"))).alias("xhi"))
-    q = per.select("i", (F.col("xlo") + (F.col("xhi") - F.col("xlo")) * (F.col("pos") - F.col("lo"))).alias("q"))
-    return q.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
-
-
-def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
-                         max_rows: int = MAX_BRACKET_ROWS, accuracy: int = BRACKET_ACCURACY,
-                         rounds: int = MAX_BRACKET_ROUNDS) -> dict[str, list[float | None]]:
-    """Exact quantiles without sorting the column.
-
-    For each (column, probability) the two ranks around ``p·(n−1)`` are
-    bracketed by a value interval [lo, hi]: an approximate-quantile pass over
-    the rows still inside the bracket proposes a narrower one, and a counting
-    pass verifies that both ranks lie inside it (so the result never depends
-    on the sketch's error bound).  Once a bracket holds at most ``max_rows``
-    rows, its rows are counted per value (a partial aggregate: ties fold
-    map-side) and ranked by a window partitioned by target — each target's
-    task sees at most ``max_rows`` rows, a bound proven by the counts.
-    Columns whose brackets cannot be narrowed are absent from the result."""
-    import math
-
-    from pyspark.sql import Window
-
-    x = {c: F.col(c).cast("double") for c in cols}
-    ns = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    out: dict[str, list[float | None]] = {}
-    st: dict[tuple[str, int], dict] = {}
-    for i, c in enumerate(cols):
-        n = ns[f"n{i}"]
-        out[c] = [None] * len(probs)
-        for j, p in enumerate(probs):
-            if n:
-                pos = float(p) * (n - 1)
-                st[(c, j)] = {"pos": pos, "r0": math.floor(pos), "r1": math.ceil(pos), "lo": None, "hi": None,
-                              "below": 0, "inside": n, "margin": 2.0 / accuracy, "value": None}
-
-    def inside(k):
-        s = st[k]
-        return x[k[0]].isNotNull() if s["lo"] is None else x[k[0]].between(s["lo"], s["hi"])
-
-    failed: set[str] = set()
-    for _ in range(rounds):
-        active = [k for k, s in st.items()
-                  if s["value"] is None and s["inside"] > max_rows and k[0] not in failed]
-        if not active:
-            break
-        approx = []
-        for t, k in enumerate(active):
-            s = st[k]
-            f0 = (s["r0"] - s["below"]) / s["inside"] - s["margin"]
-            f1 = (s["r1"] - s["below"] + 1) / s["inside"] + s["margin"]
-            approx.append(F.percentile_approx(F.when(inside(k), x[k[0]]),
-                                              [min(max(f0, 0.0), 1.0), min(max(f1, 0.0), 1.0)],
-                                              accuracy).alias(f"a{t}"))
-        a_row = df.agg(*approx).first()
-        counts = []
-        for t, k in enumerate(active):
-            lo, hi = a_row[f"a{t}"]
-            counts += [F.count_if(x[k[0]] < F.lit(lo)).alias(f"lt{t}"),
-                       F.count_if(x[k[0]] <= F.lit(hi)).alias(f"le{t}")]
-        c_row = df.agg(*counts).first()
-        for t, k in enumerate(active):
-            s = st[k]
-            lo, hi = a_row[f"a{t}"]
-            lt, le = c_row[f"lt{t}"], c_row[f"le{t}"]
-            if lt <= s["r0"] and s["r1"] < le:          # both ranks verified inside [lo, hi]
-                s.update(lo=lo, hi=hi, below=lt, inside=le - lt)
-                if lo == hi:                              # every rank in the bracket holds lo
-                    s["value"] = lo
-            else:                                         # the sketch missed: widen and retry
-                s["margin"] *= 4
-                if s["margin"] > 0.5:
-                    failed.add(k[0])
-    failed |= {k[0] for k, s in st.items() if s["value"] is None and s["inside"] > max_rows}
-
-    todo = [k for k, s in st.items() if s["value"] is None and k[0] not in failed]
-    if todo:
-        members = df.select(F.explode(F.filter(F.array(*[
-            F.when(inside(k), F.struct(F.lit(t).alias("t"), x[k[0]].alias("v"))) for t, k in enumerate(todo)]),
-            lambda m: m.isNotNull())).alias("m")).select("m.*")
-        per_value = members.groupBy("t", "v").agg(F.count(F.lit(1)).alias("cnt"))
-        upto = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = per_value.withColumn("cum", F.sum("cnt").over(upto))
-        off0 = F.element_at(F.array(*[F.lit(st[k]["r0"] - st[k]["below"]) for k in todo]), F.col("t") + 1)
-        off1 = F.element_at(F.array(*[F.lit(st[k]["r1"] - st[k]["below"]) for k in todo]), F.col("t") + 1)
-        picks = ranked.groupBy("t").agg(F.min(F.when(F.col("cum") > off0, F.col("v"))).alias("x0"),
-                                         F.min(F.when(F.col("cum") > off1, F.col("v"))).alias("x1"))
-        for r in picks.collect():                        # one row per target
-            s = st[todo[r.t]]
-            s["value"] = r.x0 + (r.x1 - r.x0) * (s["pos"] - s["r0"])
-    for (c, j), s in st.items():
-        if c not in failed:
-            out[c][j] = s["value"]
-    return {c: v for c, v in out.items() if c not in failed}
-
-
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], strategy: str = "auto") -> DataFrame:
-    """One row ``q0 … qk``: exact quantiles of ``col``.
-
-    ``strategy``: 'map' (Spark ``percentile``, memory ∝ distinct values),
-    'bracket' (verified brackets, see ``_bracketed_quantiles``), 'distributed'
-    (ranked sort), 'approx' (``percentile_approx``), or 'auto' (map when the
-    distinct count is provably small, else bracket)."""
-    row = quantile_values(df, [col], probs, strategy)[col]
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(
-        *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(row)])
-
-
-def _strategies(df: DataFrame, cols: Sequence[str], strategy: str) -> dict[str, str]:
-    if strategy != "auto":
-        return {c: strategy for c in cols}
-    # distinct values never exceed rows: a table known to be small needs no check
-    rows = getattr(df, "_pitchside_rows", None)
-    if rows is not None and rows <= MAP_QUANTILE_MAX_DISTINCT:
-        return {c: "map" for c in cols}
-    ndv = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    return {c: "map" if ndv[f"c{i}"] <= MAP_QUANTILE_MAX_DISTINCT else "bracket"
-            for i, c in enumerate(cols)}
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns; one number a partition and target reaches the driver."""
+    from pitchside.plans.pipeline import materialize
 
-
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    strategy: str = "auto") -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns; a few numbers per column reach the driver.
-
-    All 'map' columns share one aggregation pass; 'bracket' columns share the
-    narrowing passes; 'distributed' columns (and bracket columns that could
-    not be narrowed) are ranked one by one."""
     if not cols:
         return {}
-    strat = _strategies(df, cols, strategy)
-    out: dict[str, list[float | None]] = {}
-    shared = [c for c in cols if strat[c] in ("map", "approx")]
-    if shared:
-        aggs = []
-        for i, c in enumerate(shared):
-            x = F.col(c).cast("double")
-            agg = (F.percentile_approx(x, list(probs), 100000) if strat[c] == "approx"
-                   else F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])))
-            aggs.append(agg.alias(f"c{i}"))
-        row = df.agg(*aggs).first()
-        for i, c in enumerate(shared):
-            vals = row[f"c{i}"]
-            out[c] = [None] * len(probs) if vals is None else [float(v) for v in vals]
-    bracketed = [c for c in cols if strat[c] == "bracket"]
-    if bracketed:
-        out.update(_bracketed_quantiles(df, bracketed, probs))
-    for c in cols:
-        if strat[c] in ("distributed", "bracket") and c not in out:
-            r = _distributed_quantiles(df, c, probs).first()
-            out[c] = [r[f"q{i}"] for i in range(len(probs))]
+    members = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("m")).select("m.*")
+    counts = members.where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    laid = materialize(counts.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()), "value_counts")
+    totals: dict[int, list[tuple[int, int]]] = {}
+    for r in laid.groupBy("c", "part").agg(F.sum("n").alias("n")).orderBy("c", "part").collect():
+        totals.setdefault(r["c"], []).append((r["part"], r["n"]))
+
+    # every target needs the values at one or two neighbouring ranks: find their partitions
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    targets, wanted = [], {}
+    for c, parts in totals.items():
+        n = sum(k for _, k in parts)
+        for j, p in enumerate(probs):
+            pos = float(p) * (n - 1)
+            low = int(pos)
+            targets.append((c, j, pos - low, low, min(low + 1, n - 1) if pos > low else low))
+            for rank in targets[-1][3:]:
+                before = 0
+                for part, k in parts:
+                    if rank < before + k:
+                        wanted.setdefault((c, part), {})[rank] = rank - before
+                        break
+                    before += k
+    if not wanted:
+        return out
+    here = reduce(lambda x, y: x | y, [(F.col("c") == c) & (F.col("part") == part) for c, part in wanted])
+    upto = Window.partitionBy("c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = laid.where(here).withColumn("upto", F.sum("n").over(upto))
+    value: dict[tuple[int, int], float] = {}
+    picks = [(c, part, rank, local) for (c, part), ranks in wanted.items() for rank, local in ranks.items()]
+    hits = ranked.groupBy("c", "part").agg(*[
+        F.min(F.when((F.col("c") == c) & (F.col("part") == part) & (F.col("upto") > local), F.col("v"))).alias(f"x{k}")
+        for k, (c, part, _, local) in enumerate(picks)]).collect()
+    for r in hits:
+        for k, (c, part, rank, _) in enumerate(picks):
+            if (c, part) == (r["c"], r["part"]):
+                value[c, rank] = r[f"x{k}"]
+    for c, j, share, low, high in targets:
+        out[cols[c]][j] = value[c, low] + (value[c, high] - value[c, low]) * share
     return out
 
 
+def quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row ``q0 … qk``: exact quantiles of ``col``."""
+    row = quantile_values(df, [col], probs)[col]
+    return df.agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(row)])
+
+
 def _stack(row: DataFrame, items: Sequence[tuple[str, dict[str, Column]]]) -> DataFrame:
     """One-row frame → one row per item (column_name + the given fields)."""
     return row.select(F.explode(F.array(*[
@@ -361,18 +226,18 @@ def _stack(row: DataFrame, items: Sequence[tuple[str, dict[str, Column]]]) -> Da
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def quartiles(tables: Mapping[str, DataFrame], *, strategy: str = "auto") -> dict[str, dict[str, list]]:
+def quartiles(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, list]]:
     """Q1, median and Q3 of every numeric column, per table (tables concurrently).
 
     Computed once, they serve both the outlier check and the profile
     (``known=`` of ``iqr_outliers`` / ``profile_numeric``)."""
     work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
     work = [w for w in work if w[2]]
-    qvs = _concurrently(lambda w: quantile_values(w[1], w[2], QUARTILES, strategy), work)
+    qvs = _concurrently(lambda w: quantile_values(w[1], w[2], QUARTILES), work)
     return {name: qv for (name, _, _), qv in zip(work, qvs)}
 
 
-def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto",
+def iqr_outliers(tables: Mapping[str, DataFrame], *,
                  known: Mapping[str, Mapping[str, list]] | None = None) -> DataFrame:
     """Columns with values strictly outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR].
 
@@ -385,7 +250,7 @@ def iqr_outliers(tables: Mapping[str, DataFrame], *, strategy: str = "auto",
         qvs = [{c: [known[name][c][0], known[name][c][2]] for c in cols} for name, _, cols in work]
     else:
         # the quantile passes are independent per table: run them concurrently
-        qvs = _concurrently(lambda w: quantile_values(w[1], w[2], (0.25, 0.75), strategy), work)
+        qvs = _concurrently(lambda w: quantile_values(w[1], w[2], (0.25, 0.75)), work)
     frames = []
     for (name, df, cols), qv in zip(work, qvs):
         aggs = [F.count(F.lit(1)).alias("_n")]
@@ -416,7 +281,7 @@ def _corrected_shape(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]
 
 
 def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
-                    strategy: str = "auto", known: Mapping[str, Mapping[str, list]] | None = None) -> DataFrame:
+                    known: Mapping[str, Mapping[str, list]] | None = None) -> DataFrame:
     """count, mean, std (n−1), min, max, median per numeric column with ≥ 1 value.
 
     With ``shape=True`` returns skewness / kurtosis (bias-corrected) instead.
@@ -433,46 +298,29 @@ def profile_numeric(tables: Mapping[str, DataFrame], *, shape: bool = False,
             else:
                 aggs += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                          F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-        given = (known or {}).get(name)
-        strat = {} if shape or given is not None else _strategies(df, cols, strategy)
-        in_pass = [c for c in cols if strat.get(c) in ("map", "approx")]
-        for i, c in enumerate(cols):
-            if c in in_pass:   # median in the same pass as the moments
-                x = F.col(c).cast("double")
-                aggs.append((F.percentile_approx(x, 0.5, 100000) if strat[c] == "approx"
-                             else F.percentile(x, F.lit(0.5))).alias(f"med{i}"))
         m = df.agg(*aggs)
         if shape:
             items = []
             for i, c in enumerate(cols):
                 skew, kurt = _corrected_shape(F.col(f"n{i}"), F.col(f"g1_{i}"), F.col(f"g2_{i}"))
-                items.append((c, {"_n": F.col(f"n{i}"), "skewness": _r(skew, STAT_DIGITS),
-                                  "kurtosis": _r(kurt, STAT_DIGITS)}))
+                items.append((c, {"_n": F.col(f"n{i}"), "skewness": skew, "kurtosis": kurt}))
         else:
-            ranked = [c for c in cols if c not in in_pass]
-            if given is not None:
-                med = {c: [given[c][1]] for c in ranked}
-            else:
-                med = quantile_values(df, ranked, (0.5,), "bracket") if ranked else {}
-            items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"),
-                          "mean": _r(F.col(f"mean{i}"), STAT_DIGITS),
-                          "std": _r(F.col(f"std{i}"), STAT_DIGITS),
-                          "min": F.col(f"min{i}"), "max": F.col(f"max{i}"),
-                          "median": (F.col(f"med{i}").cast("double") if c in in_pass
-                                     else F.lit(med[c][0]).cast("double"))})
+            given = (known or {}).get(name)
+            med = {c: q[1] for c, q in given.items()} if given is not None else {c: q[0] for c, q in quantile_values(df, cols, (0.5,)).items()}
+            items = [(c, {"_n": F.col(f"n{i}"), "count": F.col(f"n{i}"), "mean": F.col(f"mean{i}"), "std": F.col(f"std{i}"),
+                          "min": F.col(f"min{i}"), "max": F.col(f"max{i}"), "median": F.lit(med[c]).cast("double")})
                      for i, c in enumerate(cols)]
         stacked = _stack(m, items).where(F.col("_n") > 0).drop("_n")
         return stacked.select(F.lit(name).alias("table_name"), "*")
 
-    # tables are independent: their eager metric passes (distinct counts,
-    # bracket rounds for high-cardinality medians) run concurrently
+    # tables are independent: their quantile passes run concurrently
     work = [(name, df, numeric_columns(df)) for name, df in tables.items()]
     frames = _concurrently(frame_for, [w for w in work if w[2]])
     return _union(frames)
 
 
 def feature_types(df: DataFrame) -> DataFrame:
-    """column_name, feature_type: numeric / categorical, plus temporal by name."""
+    """column_name, feature_type (numeric / categorical, plus temporal by name) and its non-null values."""
     rows = []
     for f in df.schema.fields:
         if isinstance(f.dataType, NumericType):
@@ -481,12 +329,17 @@ def feature_types(df: DataFrame) -> DataFrame:
             rows.append((f.name, "categorical"))
         if "date" in f.name.lower() or "time" in f.name.lower():
             rows.append((f.name, "temporal"))
-    # one row per column, emitted from a (metadata-cheap) count of the table
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("feature_type")) for c, t in rows]))
+    counted = df.agg(*[F.count(F.col(f.name)).alias(f"n_{f.name}") for f in df.schema.fields])
+    return counted.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("feature_type"), F.col(f"n_{c}").alias("non_null")) for c, t in rows]))
         .alias("r")).select("r.*")
 
 
+def feature_totals(types: DataFrame) -> DataFrame:
+    """How many columns of each type, and how many hold any value."""
+    return types.groupBy("feature_type").agg(F.count(F.lit(1)).alias("columns"), F.count_if(F.col("non_null") > 0).alias("columns_with_values"))
+
+
 def feature_cardinality(df: DataFrame) -> DataFrame:
     """Distinct values (NULL excluded) and ratio to rows for categorical columns."""
     cols = string_columns(df)
@@ -538,9 +391,10 @@ def bias_geographic(dim_location: DataFrame, top: int = 10) -> DataFrame:
 
 
 def bias_entity(dim_team: DataFrame) -> DataFrame:
-    if "region" in dim_team.columns:
-        return dim_team.groupBy("region").agg(F.count(F.lit(1)).alias("teams"))
-    return dim_team.agg(F.count(F.lit(1)).alias("total_teams"))
+    total = dim_team.agg(F.count(F.lit(1)).alias("total_teams"))
+    if "region" not in dim_team.columns:
+        return total
+    return dim_team.groupBy("region").agg(F.count(F.lit(1)).alias("teams")).withColumn("total_teams", total.scalar())
 
 
 # ---------------------------------------------------------------- readiness
@@ -604,19 +458,18 @@ def check_unique_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str])
 def check_referential(fact: DataFrame, dims: Mapping[str, DataFrame], refs: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Orphan fact rows per foreign key (non-NULL key with no dimension row).
 
-    The fact side is first counted per key value (a partial aggregate: a value
-    held by a third of the fact folds map-side), so the anti join sees one row
-    per distinct key instead of one per fact row."""
-    frames = []
-    for fk, dim_name, pk in refs:
-        keys = dims[dim_name].select(F.col(pk).alias("_pk")).distinct()
-        per_key = (fact.where(F.col(fk).isNotNull())
-                   .groupBy(fk).agg(F.count(F.lit(1)).alias("_rows")))
-        orphans = per_key.join(keys, F.col(fk) == F.col("_pk"), "left_anti")
-        frames.append(orphans.agg(
-            F.lit(fk).alias("fk_column"), F.lit(dim_name).alias("dim_table"),
-            F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphan_rows")))
-    return _union(frames)
+    One scan of the fact: its keys are opened into (reference, value) rows and counted, so a
+    value held by a third of the fact folds before the shuffle, and one anti join against all
+    dimension keys finds the values without a row."""
+    used = (fact.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ref"), F.col(fk).cast("long").alias("value"))
+                                            for i, (fk, _, _) in enumerate(refs)])).alias("u")).select("u.*")
+            .where("value IS NOT NULL").groupBy("ref", "value").agg(F.count(F.lit(1)).alias("rows")))
+    known = _union([dims[dim].select(F.lit(i).alias("ref"), F.col(pk).cast("long").alias("value")) for i, (_, dim, pk) in enumerate(refs)])
+    orphans = used.join(known.distinct(), ["ref", "value"], "left_anti")
+    row = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("ref") == i, F.col("rows"))), F.lit(0)).cast("bigint").alias(f"n{i}") for i in range(len(refs))])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("fk_column"), F.lit(dim).alias("dim_table"), F.col(f"n{i}").alias("orphan_rows"))
+        for i, (fk, dim, _) in enumerate(refs)])).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------- grouped entry points
@@ -633,7 +486,8 @@ def profile(tables: Mapping[str, DataFrame],
 
 
 def features(df: DataFrame) -> dict[str, DataFrame]:
-    return {"types": feature_types(df), "cardinality": feature_cardinality(df)}
+    types = feature_types(df)
+    return {"types": types, "totals": feature_totals(types), "cardinality": feature_cardinality(df)}
 
 
 def correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:

@@ -41,9 +41,10 @@ def dim_date(enriched: DataFrame) -> DataFrame:
     if "match_date" in enriched.columns:
         dates = enriched.select(F.col("match_date").alias("full_date")).where(
             F.col("full_date").isNotNull()).distinct()
-    else:  # no date column: build one from year / month (day 1)
-        dates = enriched.select(F.make_date("year", "month", F.lit(1)).alias("full_date")) \
-                        .where(F.col("full_date").isNotNull()).distinct()
+    else:  # no date column: build one from year, month and day (1 where there is none)
+        day = F.coalesce(F.col("day"), F.lit(1)) if "day" in enriched.columns else F.lit(1)
+        dates = (enriched.select(F.concat_ws("-", "year", "month", day).try_cast("date").alias("full_date"))
+                 .where(F.col("full_date").isNotNull()).distinct())
     ids = number_rows(dates, ["full_date"], "date_id")
     return ids.withColumns(date_attributes()).select(*DIM_DATE_COLUMNS)
 
@@ -81,27 +82,51 @@ def dim_temperature(enriched: DataFrame, pos_col: str = "match_id") -> DataFrame
         "temperature_id", *keys)
 
 
+def attach_dates(f: DataFrame, dim_date: DataFrame, *, broadcast_dims: bool | None = None) -> DataFrame:
+    """Add ``date_id``: by match date, else by (year, month), else by year (the first date of it)."""
+    if "match_date" in f.columns:
+        dates, keys = dim_date.select("date_id", F.col("full_date").alias("match_date")), ["match_date"]
+    else:
+        keys = [c for c in ("year", "month") if c in f.columns]
+        if not keys:
+            return f.withColumn("date_id", F.lit(None).cast("long"))
+        dates = dim_date.groupBy(*keys).agg(F.min("date_id").alias("date_id"))
+    return lookup_join(f, dates, keys, checked=broadcast_dims)
+
+
+def measure_columns(columns: list[str]) -> list[str]:
+    """Measures that pass through beside the fixed ones: goal and score columns, attendance, stage."""
+    own = {"attendance", "stage"}
+    return [c for c in columns if c not in FACT_COLUMNS and (c in own or "goal" in c.lower() or "score" in c.lower())]
+
+
 def fact_matches(enriched: DataFrame, dims: dict[str, DataFrame], *, broadcast_dims: bool | None = None) -> DataFrame:
     """Fact rows = enriched rows (which must carry ``match_id``).
 
-    ``broadcast_dims`` True when the caller verified the dimension sizes."""
-    f = enriched
-    dd = dims["dim_date"].select("date_id", F.col("full_date").alias("match_date"))
-    f = lookup_join(f, dd, ["match_date"], checked=broadcast_dims)
-    dl = dims["dim_location"].select("location_id", "city", "country")
-    f = lookup_join(f, dl, ["city", "country"], null_safe=True, checked=broadcast_dims)
+    Dates fall back to (year, month) or year, and the place to city or country alone, where a
+    source lacks the other.  ``broadcast_dims`` True when the caller verified the dimension sizes."""
+    f = attach_dates(enriched, dims["dim_date"], broadcast_dims=broadcast_dims)
+    place = [c for c in ("city", "country") if c in f.columns]
+    if place:
+        dl = dims["dim_location"].groupBy(*place).agg(F.min("location_id").alias("location_id")) if len(place) == 1 \
+            else dims["dim_location"].select("location_id", *place)
+        f = lookup_join(f, dl, place, null_safe=True, checked=broadcast_dims)
+    else:
+        f = f.withColumn("location_id", F.lit(None).cast("long"))
     team = dims["dim_team"]
-    f = lookup_join(f, team.select(F.col("team_id").alias("home_team_id"),
-                                   F.col("team_name").alias("home_team")),
-                    ["home_team"], checked=broadcast_dims)
-    f = lookup_join(f, team.select(F.col("team_id").alias("away_team_id"),
-                                   F.col("team_name").alias("away_team")),
-                    ["away_team"], checked=broadcast_dims)
+    for side in ("home", "away"):
+        f = lookup_join(f, team.select(F.col("team_id").alias(f"{side}_team_id"), F.col("team_name").alias(f"{side}_team")),
+                        [f"{side}_team"], checked=broadcast_dims)
     # one temperature row per (country, year, month): the lowest id wins
     dt = (dims["dim_temperature"].groupBy("country", "year", "month")
           .agg(F.min("temperature_id").alias("temperature_id")))
-    f = lookup_join(f, dt, ["country", "year", "month"], checked=broadcast_dims)
-    return f.select(*FACT_COLUMNS)
+    keys = ["country", "year", "month"]
+    if all(k in f.columns for k in keys):
+        f = lookup_join(f, dt, keys, checked=broadcast_dims)
+    else:
+        f = f.withColumn("temperature_id", F.lit(None).cast("long"))
+    fixed = [F.col(c) if c in f.columns else F.lit(None).cast("string" if c == "round" else "int").alias(c) for c in FACT_COLUMNS]
+    return f.select(*fixed, *measure_columns(enriched.columns))
 
 
 DIMENSION_BUILDERS = {

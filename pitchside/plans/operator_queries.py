@@ -190,9 +190,10 @@ def write_json_report(spark: SparkSession, sf: str) -> DataFrame:
 @register("save_as_table_roundtrip", W("SELECT * FROM dim_team", star=True))
 def save_as_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "warehouse")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS pitchside_gold LOCATION '{base}/_db'")
-    io.save_tables({"dim_team": star(spark, sf)["dim_team"]}, base, database="pitchside_gold")
-    return spark.table("pitchside_gold.dim_team")
+    database = "gold_" + base.rsplit("/", 1)[1]           # a name of its own for each run
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/_db'")
+    io.save_tables({"dim_team": star(spark, sf)["dim_team"]}, base, database=database)
+    return spark.table(f"{database}.dim_team")
 
 
 def _contract_sql() -> str:
@@ -217,7 +218,9 @@ def source_contract(spark: SparkSession, sf: str) -> DataFrame:
 @register("partitioned_by_year", W("SELECT * FROM fact_matches WHERE year = 1998", star=True))
 def partitioned_by_year(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "fact_by_year")
-    io.write_table(star(spark, sf)["fact_matches"], path, "parquet", partition_by=["year"])
+    # rows of a year meet in a few tasks first, else every task would write a file per year
+    fact = star(spark, sf)["fact_matches"].repartition("year", F.pmod(F.xxhash64("match_id"), F.lit(4)))
+    io.write_table(fact, path, "parquet", partition_by=["year"])
     # the year predicate prunes partitions: only year=1998 files are listed
     df = spark.read.parquet(path).where(F.col("year") == 1998)
     return df.select(*[f.name for f in schemas.FACT_MATCHES.fields])
@@ -350,6 +353,17 @@ def infer_group_q(spark: SparkSession, sf: str) -> DataFrame:
                      infer_group("home_team").alias("team_group")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# the nations under team names, so that every group occurs
+_TEAMS = "Germany Brazil Mexico Ghana Japan Atlantis".split()
+
+
+@register("infer_group_names", W(f"""SELECT n_nationkey, team, {confederation_case('team')} AS team_group
+FROM (SELECT n_nationkey, {_TEAMS!r}[n_nationkey % {len(_TEAMS)} + 1] AS team FROM nation)"""))
+def infer_group_names(spark: SparkSession, sf: str) -> DataFrame:
+    team = F.element_at(F.array(*map(F.lit, _TEAMS)), (F.col("n_nationkey") % len(_TEAMS) + 1).cast("int"))
+    return table(spark, sf, "nation").select("n_nationkey", team.alias("team")).withColumn("team_group", infer_group("team"))
+
+
 @register("null_defaults", W("""SELECT coalesce("HomeGoals", 'Unknown') AS goals, coalesce("Time", 'Unknown') AS time,
  COUNT(*) AS n FROM m_raw GROUP BY 1, 2""", dirty=True))
 def null_defaults(spark: SparkSession, sf: str) -> DataFrame:
@@ -400,6 +414,18 @@ def reject_counts(spark: SparkSession, sf: str) -> DataFrame:
     return C.reject_counts(matches_raw(spark, sf, dirty=True))
 
 
+@register("reject_counts_readings", W("""SELECT rule, CAST(rows AS BIGINT) AS rows FROM (
+ SELECT 'input' AS rule, COUNT(*) AS rows FROM r_raw
+ UNION ALL SELECT 'bad_date', COUNT(*) FROM r_clean_p WHERE date IS NULL
+ UNION ALL SELECT 'no_value', COUNT(*) FROM r_clean_p WHERE date IS NOT NULL AND temperature IS NULL
+ UNION ALL SELECT 'out_of_range', COUNT(*) FROM r_clean_p WHERE date IS NOT NULL AND temperature NOT BETWEEN -50 AND 60
+ UNION ALL SELECT 'out_of_years', COUNT(*) FROM r_clean_p WHERE date IS NOT NULL AND temperature BETWEEN -50 AND 60 AND year(date) NOT BETWEEN 1930 AND 2014
+ UNION ALL SELECT 'duplicate_key', (SELECT COUNT(*) FROM r_clean_f) - (SELECT COUNT(*) FROM r_clean)
+ UNION ALL SELECT 'output', COUNT(*) FROM r_clean)""", dirty=True))
+def reject_counts_readings(spark: SparkSession, sf: str) -> DataFrame:
+    return C.reject_counts_readings(readings_raw(spark, sf, dirty=True))
+
+
 @register("clean_matches", W(f"SELECT {CLEAN_SQL_COLS}, {', '.join(K6)} FROM m_clean"))
 def clean_matches(spark: SparkSession, sf: str) -> DataFrame:
     return flat_m(clean_m(spark, sf))
@@ -486,11 +512,28 @@ FROM enriched_ids e LEFT JOIN (SELECT year, month, MIN(date_id) AS date_id FROM
 ON e.year = d.year AND e.month = d.month""", star=True))
 def date_fallback_join(spark: SparkSession, sf: str) -> DataFrame:
     t = star(spark, sf)
-    # coarser grain: one date row per (year, month), the first one
-    dd = t["dim_date"].groupBy("year", "month").agg(F.min("date_id").alias("fallback_date_id"))
-    # never more rows than dim_date, whose written row count is checked
-    dd = F.broadcast(dd) if can_broadcast(t["dim_date"]) else dd
-    return t["enriched"].join(dd, ["year", "month"], "left").select("match_id", "fallback_date_id")
+    dated = ST.attach_dates(t["enriched"].drop("match_date"), t["dim_date"], broadcast_dims=can_broadcast(t["dim_date"]))
+    return dated.select("match_id", F.col("date_id").alias("fallback_date_id"))
+
+
+@register("fact_without_dates", W("""SELECT e.match_id, d.date_id, e.home_goals, e.away_goals, e.total_goals, e.round, e.year,
+ e.home_goals * 1000 AS attendance, 'stage ' || e.round AS stage, e.away_goals AS penalty_score
+FROM enriched_ids e LEFT JOIN (SELECT year(f) AS y, month(f) AS m, CAST(row_number() OVER (ORDER BY f) AS BIGINT) AS date_id
+ FROM (SELECT DISTINCT make_date(year, month, 1) AS f FROM enriched_ids)) d ON e.year = d.y AND e.month = d.m""", star=True))
+def fact_without_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """A source without match dates, and with further measures that pass through."""
+    t = star(spark, sf)
+    e = t["enriched"].drop("match_date", "day").withColumns({
+        "attendance": F.col("home_goals") * 1000, "stage": F.concat(F.lit("stage "), "round"), "penalty_score": F.col("away_goals")})
+    fact = ST.fact_matches(e, {**t, "dim_date": ST.dim_date(e)})
+    return fact.select("match_id", "date_id", "home_goals", "away_goals", "total_goals", "round", "year", "attendance", "stage", "penalty_score")
+
+
+@register("dim_date_from_parts", W("""SELECT CAST(row_number() OVER (ORDER BY f) AS BIGINT) AS date_id, f AS full_date, CAST(day(f) AS INTEGER) AS day
+FROM (SELECT DISTINCT match_date AS f FROM enriched_ids)""", star=True))
+def dim_date_from_parts(spark: SparkSession, sf: str) -> DataFrame:
+    e = star(spark, sf)["enriched"].drop("match_date")
+    return ST.dim_date(e).select("date_id", "full_date", "day")
 
 
 # =================================================================== aggregations
@@ -692,28 +735,31 @@ def _shape(name, cols):
     return " UNION ALL ".join(parts)
 
 
+# sums of doubles depend on the order of rows in their last digits: both sides of the comparison round
+def _nine(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in cols})
+
+
 register("profile_numeric", W(_tables_sql(_profile), star=True))(
-    lambda spark, sf: Q.profile_numeric(star_tables(spark, sf)))
+    lambda spark, sf: _nine(Q.profile_numeric(star_tables(spark, sf)), "mean", "std"))
 register("profile_shape", W(_tables_sql(_shape), star=True))(
-    lambda spark, sf: Q.profile_numeric(star_tables(spark, sf), shape=True))
+    lambda spark, sf: _nine(Q.profile_numeric(star_tables(spark, sf), shape=True), "skewness", "kurtosis"))
 
 
 def _feature_types_sql() -> str:
     rows = []
     for f in schemas.FACT_MATCHES.fields:
-        if _is_num(f.dataType):
-            rows.append((f.name, "numeric"))
-        elif _is_str(f.dataType):
-            rows.append((f.name, "categorical"))
-        if "date" in f.name or "time" in f.name:
-            rows.append((f.name, "temporal"))
-    vals = ", ".join(f"('{a}', '{b}')" for a, b in rows)
-    # schema metadata, tied to the data by requiring the fact to exist
-    return f"SELECT column_name, feature_type FROM (VALUES {vals}) v(column_name, feature_type)"
+        kinds = (["numeric"] if _is_num(f.dataType) else ["categorical"] if _is_str(f.dataType) else [])
+        kinds += ["temporal"] if "date" in f.name or "time" in f.name else []
+        rows += [f"SELECT '{f.name}' AS column_name, '{k}' AS feature_type, COUNT({f.name}) AS non_null FROM fact_matches" for k in kinds]
+    return " UNION ALL ".join(rows)
 
 
 register("feature_types", W(_feature_types_sql(), star=True))(
     lambda spark, sf: Q.feature_types(star(spark, sf)["fact_matches"]))
+register("feature_totals", W(f"""SELECT feature_type, COUNT(*) AS columns, COUNT_IF(non_null > 0) AS columns_with_values
+FROM ({_feature_types_sql()}) GROUP BY feature_type""", star=True))(
+    lambda spark, sf: Q.feature_totals(Q.feature_types(star(spark, sf)["fact_matches"])))
 
 register("feature_cardinality", W("""SELECT 'round' AS column_name, COUNT(DISTINCT round) AS unique_values,
  CASE WHEN COUNT(*) > 0 THEN ROUND(COUNT(DISTINCT round) / COUNT(*), 4) ELSE 0e0 END AS cardinality_ratio
@@ -810,3 +856,55 @@ register("check_referential", W(" UNION ALL ".join(
     for fk, dim, pk in schemas.FOREIGN_KEYS), star=True))(
     lambda spark, sf: Q.check_referential(star(spark, sf)["fact_matches"], star(spark, sf),
                                           schemas.FOREIGN_KEYS))
+
+
+# =================================================================== the same checks on a spoilt star
+
+# the fact with null, repeated and unknown keys, negative and absurd scores, a text column of numbers
+_SPOILT = {
+    "match_id": "CASE WHEN match_id % 1009 = 0 THEN NULL ELSE match_id END",
+    "date_id": "CASE WHEN match_id % 977 = 0 THEN -1 ELSE date_id END",
+    "home_team_id": "CASE WHEN match_id % 997 = 0 THEN home_team_id + 1000 ELSE home_team_id END",
+    "home_goals": "CASE WHEN match_id % 991 = 0 THEN -1 WHEN match_id % 983 = 0 THEN 99 ELSE home_goals END",
+    "round": "CAST(total_goals AS {text})",
+}
+_FACT = [f.name for f in schemas.FACT_MATCHES.fields]
+
+
+def _spoilt_columns(text: str) -> list[str]:
+    return [f"{_SPOILT[c].format(text=text)} AS {c}" if c in _SPOILT else c for c in _FACT]
+
+
+def spoilt_fact(spark: SparkSession, sf: str) -> DataFrame:
+    rows = star(spark, sf)["fact_matches"].selectExpr(*_spoilt_columns("string"))
+    return rows.unionByName(rows.where("match_id % 500 = 0"))
+
+
+def _on_spoilt(query: str) -> str:
+    cte = f"spoilt_rows AS (SELECT {', '.join(_spoilt_columns('VARCHAR'))} FROM fact_matches),\nspoilt AS (SELECT * FROM spoilt_rows UNION ALL SELECT * FROM spoilt_rows WHERE match_id % 500 = 0)"
+    return with_chain(spark_round(query), extra_ctes=cte)
+
+
+_SPOILT_TYPES = [(f.name, schemas.FACT_MATCHES["round"].dataType if f.name == "round" else f.dataType) for f in schemas.FACT_MATCHES.fields]
+
+register("dq_numeric_strings_spoilt", _on_spoilt(_numstr("spoilt", _SPOILT_TYPES)))(
+    lambda spark, sf: Q.numeric_strings({"spoilt": spoilt_fact(spark, sf)}))
+register("dq_iqr_outliers_spoilt", _on_spoilt(f"SELECT * FROM ({_iqr('spoilt', _SPOILT_TYPES)}) WHERE outlier_count > 0"))(
+    lambda spark, sf: Q.iqr_outliers({"spoilt": spoilt_fact(spark, sf)}))
+register("dq_duplicates_spoilt", _on_spoilt(_dups("spoilt", _SPOILT_TYPES)))(
+    lambda spark, sf: Q.duplicates({"spoilt": spoilt_fact(spark, sf)}, {}))
+register("check_constraints_spoilt", _on_spoilt("""SELECT 'chk_scores_non_negative' AS rule, 'fact_matches' AS table_name,
+ COUNT_IF(NOT (home_goals >= 0 AND away_goals >= 0)) AS violations FROM spoilt
+UNION ALL SELECT 'chk_temp_range', 'dim_temperature', COUNT_IF(avg_temperature_celsius < 5 OR avg_temperature_celsius > 20) FROM dim_temperature
+UNION ALL SELECT 'chk_valid_month', 'dim_date', COUNT(*) FROM dim_date WHERE month > 10
+UNION ALL SELECT 'chk_valid_day', 'dim_date', COUNT(*) FROM dim_date WHERE day > 30"""))(
+    lambda spark, sf: Q.check_constraints(
+        spoilt_fact(spark, sf), star(spark, sf)["dim_temperature"],
+        star(spark, sf)["dim_date"].withColumns({"month": F.col("month") + 2, "day": F.col("day") + 1}), bounds=(5.0, 20.0)))
+register("check_unique_keys_spoilt", _on_spoilt("""SELECT 'spoilt' AS table_name, 'match_id' AS key_column, COUNT_IF(match_id IS NULL) AS null_keys,
+ (SELECT COUNT(*) FROM (SELECT match_id FROM spoilt WHERE match_id IS NOT NULL GROUP BY match_id HAVING COUNT(*) > 1)) AS duplicate_keys FROM spoilt"""))(
+    lambda spark, sf: Q.check_unique_keys({"spoilt": spoilt_fact(spark, sf)}, {"spoilt": "match_id"}))
+register("check_referential_spoilt", _on_spoilt(" UNION ALL ".join(
+    f"SELECT '{fk}' AS fk_column, '{dim}' AS dim_table, COUNT(*) AS orphan_rows FROM spoilt f "
+    f"WHERE f.{fk} IS NOT NULL AND f.{fk} NOT IN (SELECT {pk} FROM {dim})" for fk, dim, pk in schemas.FOREIGN_KEYS)))(
+    lambda spark, sf: Q.check_referential(spoilt_fact(spark, sf), star(spark, sf), schemas.FOREIGN_KEYS))
