@@ -355,23 +355,37 @@ def feature_cardinality(df: DataFrame) -> DataFrame:
 def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
     """Pairwise Pearson r (pairwise-complete rows) with |r| > threshold, 3 dp.
 
-    The column pairs are unpivoted into (pair index, x, y) rows and grouped by
-    the integer index: one pass, one small hash aggregate (partial per task)
-    whose generated code does not grow with the number of pairs (a single wide
-    ``agg`` of all pairs falls out of codegen); names are attached to the few
-    result rows afterwards."""
+    Each task sums the co-moments of all column pairs over its Arrow batches (matrix products of the
+    values, centred on the columns' means, and their masks) and returns one row a pair; a small
+    aggregate adds the tasks.  No row of the table is multiplied by the number of pairs."""
+    import numpy as np
+    import pyarrow as pa
+
     cols = numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
-    out = long.groupBy("pair").agg(F.corr("x", "y").alias("r"))
-    first = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("pair") + 1)
-    second = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("pair") + 1)
-    return (out.where(F.abs("r") > threshold)
-               .select(first.alias("feature1"), second.alias("feature2"), _r(F.col("r"), 3).alias("correlation")))
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    centre = [m if m is not None else 0.0 for m in values.agg(*[F.avg(c) for c in values.columns]).first()]
+    names = ["pair", "n", "x", "y", "xx", "yy", "xy"]
+
+    def moments(batches):
+        total = np.zeros((6, len(centre), len(centre)))
+        for batch in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            mask = ~np.isnan(v)
+            v, m = np.where(mask, v - centre, 0.0), mask.astype(float)
+            total += np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
+        i, j = np.array(pairs).T
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pairs), dtype=np.int32)), *[pa.array(t[i, j]) for t in total]], names)
+
+    sums = (values.mapInArrow(moments, "pair int, " + ", ".join(f"{n} double" for n in names[1:]))
+            .groupBy("pair").agg(*[F.sum(n).alias(n) for n in names[1:]]))
+    xx, yy = F.col("n") * F.col("xx") - F.col("x") * F.col("x"), F.col("n") * F.col("yy") - F.col("y") * F.col("y")
+    r = (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(xx * yy)
+    out = sums.where((F.col("n") > 1) & (xx > 0) & (yy > 0)).withColumn("r", r)
+    name = lambda side: F.element_at(F.array(*[F.lit(cols[p[side]]) for p in pairs]), F.col("pair") + 1)
+    return out.where(F.abs("r") > threshold).select(name(0).alias("feature1"), name(1).alias("feature2"), _r(F.col("r"), 3).alias("correlation"))
 
 
 # ---------------------------------------------------------------- bias

@@ -6,6 +6,8 @@ Spark frames carry the source order as ``src_pos``; outputs flatten it to
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -858,6 +860,38 @@ register("check_referential", W(" UNION ALL ".join(
                                           schemas.FOREIGN_KEYS))
 
 
+_NUMSTR_SQL = " UNION ALL ".join(p for p in (_numstr(n, [(f.name, f.dataType) for f in st.fields]) for n, st in schemas.STAR.items()) if p)
+_REPORT_SECTIONS = {
+    "completeness": _completeness_sql(),
+    "column_completeness": _tables_sql(_colcomp),
+    "quality_duplicates": _tables_sql(_dups),
+    "quality_numeric_strings": _NUMSTR_SQL,
+    "quality_outliers": f"SELECT * FROM ({_tables_sql(_iqr)}) WHERE outlier_count > 0",
+    "profile_numeric": _tables_sql(_profile),
+    "profile_shape": _tables_sql(_shape),
+    "features_types": _feature_types_sql(),
+    "features_totals": f"SELECT DISTINCT feature_type FROM ({_feature_types_sql()})",
+    "features_cardinality": "SELECT 1",
+    "correlations": _corr_sql(),
+    "bias_temporal": "SELECT DISTINCT year FROM dim_date",
+    "bias_geographic": "SELECT DISTINCT country FROM dim_location WHERE country IS NOT NULL LIMIT 10",
+    "bias_entity": "SELECT 1",
+    "readiness": "SELECT 1",
+    "lineage": "SELECT unnest(['ingest', 'clean', 'enrich', 'model'])",
+}
+
+
+@register("readiness_report", W(" UNION ALL ".join(
+    f"SELECT '{name}' AS section, COUNT(*) AS rows FROM ({text})" for name, text in _REPORT_SECTIONS.items()), star=True))
+def readiness_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole report saved section by section as JSON, and the rows that each saved section holds."""
+    sections = {**Q.validate_all(star_tables(spark, sf), schemas.PRIMARY_KEYS), "lineage": stage_metrics(spark, sf)}
+    paths = io.save_report(sections, scratch_path(spark, "full_report"))
+    frames = [io.read_table(spark, paths[name], frame.schema).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("section"), "rows")
+              for name, frame in sections.items()]
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
 # =================================================================== the same checks on a spoilt star
 
 # the fact with null, repeated and unknown keys, negative and absurd scores, a text column of numbers

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pitchside.operators.clean import clean_matches, clean_readings
 from pitchside.operators.enrich import join_readings, prepare_readings, yearly_from_monthly
-from pitchside.operators.keys import number_rows, sequential_ids
+from pitchside.operators.keys import number_rows, range_partitions, sequential_ids
 from pitchside.operators.star import DIMENSION_BUILDERS, fact_matches
 from pitchside.plans.joins import can_broadcast, lookup_join, row_bytes
 from pitchside.session import scratch_path
@@ -52,7 +52,7 @@ def _checked(df: DataFrame) -> bool:
 
 
 def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",
-                      order_col: str = "src_pos") -> dict[str, DataFrame]:
+                      order_col: str = "src_pos", id_partitions: int | None = None) -> dict[str, DataFrame]:
     """Enriched matches → materialised dimensions and fact.
 
     ``keys='scalable'`` numbers matches with range-partitioned sequential ids;
@@ -63,7 +63,7 @@ def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",
         if keys == "small":
             enriched = number_rows(enriched, [order_col], "match_id")
         elif keys == "scalable":
-            enriched = sequential_ids(enriched, [order_col], "match_id")
+            enriched = sequential_ids(enriched, [order_col], "match_id", num_partitions=id_partitions)
         else:
             raise ValueError("keys must be 'scalable' or 'small'")
     with ThreadPoolExecutor(len(DIMENSION_BUILDERS)) as pool:
@@ -78,6 +78,9 @@ def build_star_schema(enriched: DataFrame, *, keys: str = "scalable",
 def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame, *,
                     keys: str = "scalable") -> dict[str, DataFrame]:
     """Cleaned inputs → materialised star tables (plus the enriched silver table)."""
+    # the cleaned matches are written once: their measured size sets the number of id ranges, and the
+    # range partitioner samples these files instead of running the scans and the dedup a second time
+    matches_clean = materialize(matches_clean, "matches_clean")
     cells = materialize(prepare_readings(readings_clean), "cells")
     cells_small = _checked(cells)
     # an aggregate of ``cells``: never larger, so the same size check covers it
@@ -87,11 +90,11 @@ def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame, *,
         return lookup_join(left, right, keys, checked=cells_small)
 
     # the silver table is written once, by the id pass: its range-ordered
-    # layout (with row positions) is the materialised enriched table.  Under
-    # AQE the dedup shuffle is materialised before the range partitioner
-    # samples, so sampling re-reads shuffle files, not the source scans.
+    # layout (with row positions) is the materialised enriched table
     enriched = join_readings(matches_clean, cells, yearly=yearly, join=join)
-    star = build_star_schema(enriched, keys=keys)
+    # by size, and a small input is still spread over the cores
+    ranges = max(range_partitions(matches_clean), matches_clean.sparkSession.sparkContext.defaultParallelism)
+    star = build_star_schema(enriched, keys=keys, id_partitions=ranges)
     return {**star, "cells": cells, "yearly": yearly}
 
 
