@@ -46,7 +46,7 @@ WINDOW, GRAM = 50, 24
 LEFT = WINDOW - GRAM                  # bytes before an anchor that a window can hold
 WIDTH = LEFT + WINDOW
 CELL_BITS = 11                        # rows of one cell: 2048
-ANCHORS_A_BUCKET = 1 << 20
+ANCHORS_A_BUCKET = 1 << 18
 ELEMENTS = 1 << 17                    # windows that are sorted at once
 RECORDS = 1 << 14                     # contexts that are resolved at once, if no anchor has more
 HOT = 20_000                          # documents of an anchor whose contexts one task still gathers (some tens of MB)
