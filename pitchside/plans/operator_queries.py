@@ -198,22 +198,29 @@ def save_as_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{database}.dim_team")
 
 
-def _contract_sql() -> str:
+def _contract_sql(table: str = "m_raw", broken: bool = False) -> str:
     rows = []
-    m_types = {"Year": "int"}
     for f in schemas.RAW_MATCHES.fields:
-        t = f.dataType.simpleString()
-        rows.append(f"SELECT 'matches' AS source, '{f.name}' AS column_name, '{t}' AS expected_type, "
-                    f"'{m_types.get(f.name, 'string')}' AS actual_type, TRUE AS present, "
-                    f"{'TRUE' if m_types.get(f.name, 'string') == t else 'FALSE'} AS type_ok")
-    rows.append("SELECT 'matches', '<rows>', 'non-empty', CASE WHEN COUNT(*) > 0 THEN 'non-empty' ELSE 'empty' END, "
-                "COUNT(*) > 0, COUNT(*) > 0 FROM (SELECT 1 FROM m_raw LIMIT 1)")
+        want = f.dataType.simpleString()
+        gone = broken and f.name == "Round"
+        have = "NULL" if gone else "'bigint'" if broken and f.name == "Year" else "'int'" if f.name == "Year" else "'string'"
+        rows.append(f"SELECT 'matches' AS source, '{f.name}' AS column_name, '{want}' AS expected_type, {have} AS actual_type, "
+                    f"{not gone} AS present, coalesce({have} = '{want}', FALSE) AS type_ok, {'0 * COUNT(*)' if gone else f'COUNT({chr(34)}{f.name}{chr(34)})'} AS values FROM {table}")
+    rows.append(f"SELECT 'matches', '<rows>', 'non-empty', CASE WHEN COUNT(*) > 0 THEN 'non-empty' ELSE 'empty' END, "
+                f"COUNT(*) > 0, COUNT(*) > 0, COUNT(*) FROM {table}")
     return " UNION ALL ".join(rows)
 
 
-@register("source_contract", W(_contract_sql()))
+@register("source_contract", W(_contract_sql(), dirty=True))
 def source_contract(spark: SparkSession, sf: str) -> DataFrame:
-    raw = matches_raw(spark, sf).drop("src_pos")
+    raw = matches_raw(spark, sf, dirty=True).drop("src_pos")
+    return io.source_contract(raw, schemas.RAW_MATCHES, "matches")
+
+
+@register("source_contract_broken", W(_contract_sql("(SELECT * FROM m_raw WHERE FALSE)", broken=True)))
+def source_contract_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """A source without one column, with another type, and without rows."""
+    raw = matches_raw(spark, sf).drop("src_pos", "Round").withColumn("Year", F.col("Year").cast("long")).where(F.lit(False))
     return io.source_contract(raw, schemas.RAW_MATCHES, "matches")
 
 
@@ -809,15 +816,14 @@ UNION ALL SELECT 'clean', (SELECT COUNT(*) FROM m_raw), (SELECT COUNT(*) FROM m_
 UNION ALL SELECT 'enrich', (SELECT COUNT(*) FROM m_clean), (SELECT COUNT(avg_temperature_celsius) FROM enriched)
 UNION ALL SELECT 'model', (SELECT COUNT(*) FROM enriched), (SELECT COUNT(*) FROM fact_matches)""", star=True))
 def stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in and out of each stage: counted while the stages wrote their tables, only the matched rows are read again."""
     t = star(spark, sf)
-    raw = matches_raw(spark, sf).agg(F.count(F.lit(1)).alias("n"))
-    e = t["enriched"].agg(F.count(F.lit(1)).alias("n"), F.count("avg_temperature_celsius").alias("m"))
-    fact = t["fact_matches"].agg(F.count(F.lit(1)).alias("n"))
-    n_raw, n_clean, n_matched, n_fact = raw.scalar(), e.select("n").scalar(), e.select("m").scalar(), fact.scalar()
-    rows = [("ingest", n_raw, n_raw), ("clean", n_raw, n_clean), ("enrich", n_clean, n_matched),
-            ("model", n_clean, n_fact)]
-    return raw.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), a.alias("rows_in"), b.alias("rows_out")) for s, a, b in rows]))
+    raw, clean, fact = t["matches_clean"]._pitchside_raw_rows, t["matches_clean"]._pitchside_rows, t["fact_matches"]._pitchside_rows
+    matched = t["enriched"].agg(F.count("avg_temperature_celsius").alias("n"))
+    rows = [("ingest", F.lit(raw), F.lit(raw)), ("clean", F.lit(raw), F.lit(clean)), ("enrich", F.lit(clean), F.col("n")),
+            ("model", F.lit(clean), F.lit(fact))]
+    return matched.select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("stage"), a.cast("long").alias("rows_in"), b.cast("long").alias("rows_out")) for s, a, b in rows]))
         .alias("r")).select("r.*")
 
 

@@ -95,7 +95,7 @@ def build_star_from(matches_clean: DataFrame, readings_clean: DataFrame, *,
     # by size, and a small input is still spread over the cores
     ranges = max(range_partitions(matches_clean), matches_clean.sparkSession.sparkContext.defaultParallelism)
     star = build_star_schema(enriched, keys=keys, id_partitions=ranges)
-    return {**star, "cells": cells, "yearly": yearly}
+    return {**star, "cells": cells, "yearly": yearly, "matches_clean": matches_clean}
 
 
 def lineage(tables: dict[str, DataFrame]) -> list[tuple[str, int | None]]:
@@ -110,9 +110,12 @@ def build_star(spark: SparkSession, sf_dir: str, *, refresh: bool = False) -> di
     with _LOCK:
         if not refresh and key in _CACHE:
             return _CACHE[key]
-        mc = clean_matches(matches_raw(spark, sf_dir))
+        # the scan is counted while the cleaned table is written, its only run
+        seen = Observation(f"raw_{uuid.uuid4().hex[:8]}")
+        mc = clean_matches(matches_raw(spark, sf_dir).observe(seen, F.count(F.lit(1)).alias("rows")))
         rc = clean_readings(readings_raw(spark, sf_dir))
         tables = build_star_from(mc, rc)
+        tables["matches_clean"]._pitchside_raw_rows = seen.get["rows"]
         _CACHE[key] = tables
         return tables
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -103,23 +103,21 @@ def load_tables(spark: SparkSession, directory: str, *, register: bool = True,
 
 
 def source_contract(df: DataFrame, contract: StructType, source: str) -> DataFrame:
-    """One row per expected column (present? same type?) plus a non-empty check.
-
-    Only ``limit(1)`` of the data is touched."""
+    """One row per expected column (present? same type? how many values?) plus a non-empty check; one pass."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    non_empty = df.limit(1).agg((F.count(F.lit(1)) > 0).alias("ok"))
-    cols = non_empty.select(F.explode(F.array(*[
-        F.struct(F.lit(source).alias("source"), F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("expected_type"),
-                 F.lit(actual.get(f.name)).cast("string").alias("actual_type"),
-                 F.lit(f.name in actual).alias("present"),
-                 F.lit(actual.get(f.name) == f.dataType.simpleString()).alias("type_ok"))
-        for f in contract.fields])).alias("r")).select("r.*")
-    check = non_empty.select(F.lit(source).alias("source"), F.lit("<rows>").alias("column_name"),
-                             F.lit("non-empty").alias("expected_type"),
-                             F.when(F.col("ok"), F.lit("non-empty")).otherwise(F.lit("empty")).alias("actual_type"),
-                             F.col("ok").alias("present"), F.col("ok").alias("type_ok"))
-    return cols.unionByName(check)
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"_n{i}")
+                                                        for i, f in enumerate(contract.fields) if f.name in actual])
+
+    def row(name: str, expected: str, got: Column, present: Column, type_ok: Column, values: Column) -> Column:
+        return F.struct(F.lit(source).alias("source"), F.lit(name).alias("column_name"), F.lit(expected).alias("expected_type"),
+                        got.cast("string").alias("actual_type"), present.alias("present"), type_ok.alias("type_ok"), values.cast("long").alias("values"))
+
+    rows = [row(f.name, f.dataType.simpleString(), F.lit(actual.get(f.name)), F.lit(f.name in actual),
+                F.lit(actual.get(f.name) == f.dataType.simpleString()), F.col(f"_n{i}") if f.name in actual else F.lit(0))
+            for i, f in enumerate(contract.fields)]
+    some = F.col("_rows") > 0
+    rows.append(row("<rows>", "non-empty", F.when(some, "non-empty").otherwise("empty"), some, some, F.col("_rows")))
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def save_report(frames: Mapping[str, DataFrame], path: str) -> dict[str, str]:
