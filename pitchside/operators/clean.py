@@ -188,8 +188,3 @@ def reject_counts(raw_matches: DataFrame, *, years: tuple[int, int] = YEARS,
     )
     agg = agg.withColumn("duplicate_key", F.col("_kept") - F.col("output"))
     return _as_rules(agg, ("input", "bad_date", "out_of_years", "duplicate_key", "output"))
-
-
-def clean_all(raw_matches: DataFrame, raw_readings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both cleaners; each result is still a lazy plan."""
-    return clean_matches(raw_matches), clean_readings(raw_readings)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from pitchside.plans.joins import bounded_row_count
+
 CRITICAL_COMPLETENESS = 90.0
 CORRELATION_THRESHOLD = 0.7
 
@@ -134,10 +136,6 @@ def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None =
     return _union(_concurrently(part_for, tables.items()))
 
 
-def bounded_row_count(df: DataFrame, bound: int) -> int:
-    return df.limit(bound + 1).count()
-
-
 def numeric_strings(tables: Mapping[str, DataFrame]) -> DataFrame:
     """String columns whose every non-NULL value parses as a number (≥ 1 value)."""
     frames = []
