@@ -75,4 +75,5 @@ ORACLES = {
     "op2_topk_search": topk.ORACLE_SQL,
     "op4_decontamination": decontam.ORACLE_SQL,
     "op7_url_filter": url_reputation.ORACLE_SQL,
+    "op9_suffix_dedup": suffix_dedup.ORACLE_SQL,
 }

@@ -538,3 +538,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return t.drop_columns([name["cell"], name["row"], name["key"]])
 
     return cells.groupBy(name["cell"]).cogroup(sent.withColumnRenamed("cell", name["cell"]).groupBy(name["cell"])).applyInArrow(run, docs.schema)
+
+
+#: The digest over the registered tables, in DuckDB SQL (every 50-byte string is one row there).
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT w, min(doc_id) AS first FROM p GROUP BY w),
+hit AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM p JOIN f USING (w) WHERE first < doc_id),
+numbered AS (SELECT doc_id, i, sum(CASE WHEN gap IS NULL OR gap > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, run),
+pieces AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_byte FROM runs),
+kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, list(struct_pack(f := from_byte, t := a) ORDER BY a) AS parts
+         FROM pieces GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN parts IS NULL THEN h ELSE array_to_string(list_transform(parts, lambda x: substr(h, 2 * x.f + 1, 2 * (x.t - x.f))), '')
+                         || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
