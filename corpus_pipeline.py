@@ -6,8 +6,8 @@ read again as the next stage's ``docs``.  All stages but the last keep the colum
 and the checksums of ids and decoded text.
 
 Defined cases: each stage has those of its operator; null texts count as empty, a row whose
-text becomes empty stays, repeated rows of an id are one document after the second stage, and an
-empty table passes through all stages.
+text becomes empty stays, repeated rows of an id are one document after the second stage while
+rows without an id are judged each by its text, and an empty table passes through all stages.
 """
 
 from __future__ import annotations

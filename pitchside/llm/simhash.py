@@ -25,7 +25,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.llm.common import materialize, text_rows
@@ -59,13 +59,17 @@ def masks(radius: int = RADIUS) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+    """doc_id, fp (the fingerprint as a signed long) and the text's digest of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp), batch["digest"]], ["doc_id", "fp", "digest"])
 
-    return text_rows(docs).mapInArrow(run, "doc_id long, fp long")
+    return text_rows(docs).withColumn("digest", _text_digest()).mapInArrow(run, "doc_id long, fp long, digest binary")
+
+
+def _text_digest() -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
 
 
 def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -105,15 +109,20 @@ def links(distinct: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> Data
     return met.select("fps").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, fp, component_id (smallest id of its group)."""
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """``fingerprints`` with the group of every row: root (a fingerprint) and component_id (smallest id)."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = connected_components(links(distinct, radius))
     named = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, fp, component_id (smallest id of its group)."""
+    return _grouped(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -123,14 +132,41 @@ def digest(found: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stand for their groups: the smallest id of each, once.
 
-    The ids that go are far fewer than the texts.  Up to ``DROPPED`` of them (counted) are broadcast,
-    so the texts stay where they are; beyond that the join is an ordinary shuffle join."""
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = materialize(near_duplicates(docs, shingle, radius).groupBy("doc_id").agg(F.count_if(stays).alias("rows")), "decisions")
-    gone = ids.where("rows = 0").select("doc_id")
-    counted = ids.agg(F.count_if(F.col("rows") == 0).alias("gone"), F.count_if(F.col("rows") > 1).alias("repeated")).first()
-    if counted["gone"] <= DROPPED:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    # a second row of the same id has to go as well; without any, the whole texts need no grouping
-    return kept.dropDuplicates(["doc_id"]) if counted["repeated"] else kept
+    Rows of one id are one document: of its texts that stand for a group the one with the smallest
+    digest stays.  Rows without an id are documents of their own: one stays for each group that has
+    no id at all.  Rows are told apart by id and text; of rows equal in both, one stays.
+
+    What goes is far less than the texts.  Up to ``DROPPED`` ids or keys (counted) are broadcast, so
+    the texts stay where they are; beyond that the join is an ordinary shuffle join."""
+    stands = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    keys = materialize(_grouped(docs, shingle, radius).withColumn("unit", F.when(F.col("doc_id").isNull(), F.col("root")))
+                       .groupBy("doc_id", "unit", "digest").agg(F.count(F.lit(1)).alias("n"), F.bool_or(stands).alias("stands")), "keys")
+    chosen = (keys.where("stands").groupBy("doc_id", "unit").agg(F.min("digest").alias("chosen"))
+              .select(F.col("doc_id").alias("id"), F.col("unit").alias("of"), "chosen"))
+    judged = materialize(keys.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("unit").eqNullSafe(F.col("of")), "left").select(
+        F.col("doc_id").alias("id"), F.col("digest").alias("sum"),
+        F.when(F.col("digest") == F.col("chosen"), F.when(F.col("n") > 1, "repeated").otherwise("stays"))
+        .when(F.col("chosen").isNull() & F.col("doc_id").isNotNull(), "id goes").otherwise("row goes").alias("verdict")), "decisions")
+    counts = {r["verdict"]: r["count"] for r in judged.groupBy("verdict").count().collect()}   # four verdicts
+
+    def named(verdict: str, *columns: str) -> DataFrame:
+        got = judged.where(F.col("verdict") == verdict).select(*columns).distinct()
+        return F.broadcast(got) if counts[verdict] <= DROPPED else got
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return left["doc_id"].cast("long").eqNullSafe(right["id"]) & (_text_digest() == right["sum"])
+
+    kept = docs
+    if "id goes" in counts:
+        gone = named("id goes", "id")
+        kept = kept.join(gone, kept["doc_id"].cast("long") == gone["id"], "left_anti")
+    if "row goes" in counts:
+        gone = named("row goes", "id", "sum")
+        kept = kept.join(gone, same(kept, gone), "left_anti")
+    if "repeated" in counts:   # only rows that have an equal one are grouped, not the whole texts
+        again = named("repeated", "id", "sum")
+        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        first = (kept.join(again, same(kept, again), "left_semi").groupBy(F.col("doc_id").cast("long").alias("id"), _text_digest().alias("sum"))
+                 .agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*"))
+        kept = kept.join(again, same(kept, again), "left_anti").unionByName(first)
+    return kept

@@ -87,3 +87,19 @@ def test_one_of_each_group_stays(spark):
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
     assert set(ids) == set(found.values())
     assert simhash.keep_one(frame(spark, [])).collect() == []
+
+
+def test_rows_without_id_stay_for_each_group_that_has_none(spark):
+    texts = [" ".join(f"t{k}x{j}" for j in range(30)) for k in range(8)]
+    rows = [(1, texts[0], None, None, 0), (None, texts[0], None, None, 0)]                # group of id 1
+    rows += [(None, t, None, None, 0) for t in texts[1:6]] + [(None, texts[1], None, None, 0)] * 2
+    rows += [(7, texts[6], None, None, 0), (7, texts[0], None, None, 0)]                  # stands for one group only
+    rows += [(8, texts[7], "en", None, 0), (8, texts[7], "de", None, 0)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(frame(spark, rows, extra=True)).collect()), key=repr)
+    assert got == sorted([(1, texts[0]), *((None, t) for t in texts[1:6]), (7, texts[6]), (8, texts[7])], key=repr)
+
+
+def test_the_text_of_a_repeated_id_does_not_depend_on_the_partitions(spark):
+    rows = [(k % 10, " ".join(f"t{k}x{j}" for j in range(20)), None, None, 0) for k in range(40)]
+    got = [sorted(tuple(r) for r in simhash.keep_one(frame(spark, rows, parts=n)).select("doc_id", "text").collect()) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 10
