@@ -1,20 +1,24 @@
 """Operator 1: language-model scoring with a probabilistic suffix tree over words.
 
-The root is the unigram model of all training tokens with add-half smoothing.  A context of
-one or two words is a candidate if it makes up at least ``context_rate`` of the training
-tokens; it is kept if its next-word distribution differs from that of its longest kept
-suffix: count * KL >= ``divergence`` (in nats).  A kept context stores the next words that follow
-it at least ``context_rate`` of all tokens often; the rest of its mass, with ``prior`` added,
-goes to its suffix's distribution over the other words, so every state's probabilities sum
-to one.  A token is scored by the longest suffix of its history that is a state; the history
-starts with the end token of the text before.
-
-Scale.  All counts cover all training tokens.  A rate bounds how many n-grams can reach it
-(1 / rate of each length), whatever the corpus: only those are broadcast, with the counts of
-words above ``word_rate``.  Every other word's count stays in a distributed table; the
-documents' rare words meet it in a shuffle join, and because a rare word is never stored in
-a state, its part of the score is one addend for both models.  Words are compared by 64-bit
-hashes.
+The root is the unigram model of all training tokens with add-half smoothing.  A context of up
+to ``DEPTH`` words is a state if its next-word distribution differs from that of its longest
+kept suffix: count * KL >= ``divergence`` (in nats).  A state stores the next words that follow it
+at least ``MIN_COUNT`` times (a context seen once cannot reach 20 nats); the rest of its mass, with
+``prior`` added, goes to its suffix's distribution over the other words, so every state's
+probabilities sum to one.  A token is scored by the longest suffix of its history that is a
+state; the history starts with the end token of the text before.  Nothing in the model depends on
+the size of the input but the counts.
+
+Scale.  Texts become cells of some million token hashes, kept in a table bucketed by cell.  Level
+by level, cells send the n-grams whose two parts are frequent enough to buckets by hash, once
+each with their count, and get back a bit for each; so the candidates, the states and the stored words are
+tables of their own, joined by key, however many there are.  A text's score is additive: each
+n-gram in it has one addend as a state's factor for the other words and one as a stored word, so the
+cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  Words and
+n-grams are compared by 64-bit hashes.
+
+With a ``context_rate`` the model is the small one of ``fit``: contexts of one or two words, and
+n-grams that make up at least that share of the training tokens, held in memory.
 
 Defined cases: a null or empty text is the end token alone; a null id counts as the empty
 text in the hold-out rule; repeated rows are counted and scored as often as they occur; with no
@@ -23,22 +27,31 @@ training rows every count is zero; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.llm.common import materialize, text_rows
+from pitchside.session import scratch_path
 
-WORD_RATE = 1e-6      # at most a million broadcast word counts
-CONTEXT_RATE = 2e-5   # at most 50,000 contexts of each length, and as many stored pairs
+DEPTH = 3             # words of a context
+MIN_COUNT = 2         # of a stored next word
+WORD_RATE = 1e-6      # ``fit``: at most a million broadcast word counts
+CONTEXT_RATE = 2e-5   # ``fit``: at most 50,000 contexts of each length, and as many stored pairs
 DIVERGENCE = 20.0     # nats
 PRIOR = 1.0
 CHUNK_TOKENS = 1 << 20
+KEYS_A_BUCKET = 1 << 20
+BUCKET_TOKENS = 4 << 20
+BASE = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b""))   # no word is empty
 EMPTY = np.zeros(0, np.int64)
 
@@ -279,7 +292,248 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
                     (F.col("base") + far_part).alias("base_score"), (F.col("tree") + far_part).alias("score")))
 
 
-def score_corpus(docs: DataFrame, held_out: Column, **options) -> DataFrame:
+# -- the whole model, distributed ---------------------------------------------------------
+
+CELL = "cell long, tokens long, ids array<long>, words binary, at binary, size binary, train binary"
+SENT = "cell long, bucket int, level int, ok binary, own binary, n binary"
+
+
+def _cells(docs: DataFrame, train: Column) -> tuple[DataFrame, int]:
+    """The table of cells (token hashes of many texts as places in a sorted list) and the number of tokens."""
+    spark = docs.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, (held, rows) in enumerate(_chunks(batches)):
+            words, at = np.unique(np.concatenate(held), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([(TaskContext.get().partitionId() << 32) + k], pa.int64()), pa.array([len(at)], pa.int64()),
+                pa.array([[r["doc_id"] for r in rows]], pa.list_(pa.int64())), pa.array([words.tobytes()], pa.binary()),
+                pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([np.array([len(h) for h in held], np.int64).tobytes()], pa.binary()),
+                pa.array([np.array([r["train"] for r in rows], bool).tobytes()], pa.binary())],
+                ["cell", "tokens", "ids", "words", "at", "size", "train"])
+
+    rows = text_rows(docs, F.coalesce(train, F.lit(False)).alias("train")).mapInArrow(run, CELL)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    path, table = scratch_path(spark, "llm", "lm_cells"), "lm_cells_" + hashlib.sha1(scratch_path(spark).encode()).hexdigest()[:16]
+    (rows.write.format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(max(12, math.ceil(size / 6 / BUCKET_TOKENS)), "cell").saveAsTable(table))
+    cells = spark.table(table)
+    return cells, cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+
+
+class Level:
+    """The n-grams of one length in a cell: the positions they end at, their sorted keys, and which are frequent."""
+
+    def __init__(self, where: np.ndarray, keys: np.ndarray, back: np.ndarray, bits: int):
+        self.where, self.keys, self.back = where, keys, back
+        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        self.parts = {int(bucket[i]): slice(i, j) for i, j in zip(cuts, [*cuts[1:], len(keys)])}
+
+
+class Cell:
+    def __init__(self, t: pa.Table, sent: pa.Table, bits: int):
+        one = {c: t[c][0].as_py() for c in t.column_names}
+        self.number, self.ids, self.bits = one["cell"], one["ids"], bits
+        self.words, self.at = np.frombuffer(one["words"], np.uint64), np.frombuffer(one["at"], np.int32)
+        self.size = np.frombuffer(one["size"], np.int64)
+        self.ends = np.cumsum(self.size)
+        self.starts = self.ends - self.size
+        self.doc = np.repeat(np.arange(len(self.size)), self.size)
+        self.place = np.arange(len(self.at)) - self.starts[self.doc]
+        self.train = np.frombuffer(one["train"], bool)[self.doc] & (self.place > 0)   # the first token is history only
+        self.hashes = [self.words[self.at]]
+        self.sent = {}
+        for row in sent.to_pylist() if sent.num_rows else []:
+            self.sent.setdefault(row["level"], {})[row["bucket"]] = row
+
+    def hash(self, g: int) -> np.ndarray:
+        """Hashes of the n-grams of g words by the position of their last word."""
+        while len(self.hashes) < g:
+            last = self.hashes[-1]
+            self.hashes.append(np.concatenate((np.zeros(1, np.uint64), last[:-1])) * BASE + self.hashes[0])
+        return self.hashes[g - 1]
+
+    def levels(self, depth: int) -> Iterator[Level]:
+        """Levels 1 to depth; each but the last needs the answer to it (``frequent``, ``own``, ``n``)."""
+        frequent = None
+        for g in range(1, depth + 1):
+            if g == 1:
+                level = Level(np.arange(len(self.at)), self.words, self.at, self.bits)
+            else:
+                before = np.concatenate(([False], frequent[:-1]))
+                where = np.flatnonzero(frequent & before & (self.place >= g - 1))   # both parts are frequent
+                keys, back = np.unique(self.hash(g)[where], return_inverse=True)
+                level = Level(where, keys, back, self.bits)
+            if g in self.sent:
+                level.frequent, level.own = np.zeros(len(level.keys), bool), np.zeros(len(level.keys), bool)
+                level.n = np.zeros(len(level.keys))
+                for b, s in level.parts.items():
+                    row, size = self.sent[g][b], s.stop - s.start
+                    for name in ("frequent", "own"):
+                        packed = row["ok" if name == "frequent" else "own"]
+                        getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
+                    told = np.ones(size, bool) if g == 1 else level.own[s]
+                    level.n[s.start + np.flatnonzero(told)] = np.frombuffer(row["n"], np.int64)
+            elif not len(level.keys):
+                level.frequent = level.own = np.zeros(0, bool)
+                level.n = np.zeros(0)
+            if hasattr(level, "frequent"):
+                frequent = np.zeros(len(self.at), bool)
+                frequent[level.where] = level.frequent[level.back]
+            yield level
+
+
+def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
+    """Every cell tells each bucket its n-grams of g words, and how often training texts have them."""
+    def run(t: pa.Table, sent: pa.Table) -> pa.Table:
+        cell = Cell(t, sent, bits)
+        *_, level = cell.levels(g)
+        n = np.bincount(level.back, cell.train[level.where], len(level.keys)).astype(np.int64)
+        return pa.table({"bucket": pa.array(list(level.parts), pa.int32()), "cell": pa.array([cell.number] * len(level.parts), pa.int64()),
+                         "keys": pa.array([level.keys[s].tobytes() for s in level.parts.values()], pa.binary()),
+                         "n": pa.array([n[s].tobytes() for s in level.parts.values()], pa.binary())})
+
+    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "bucket int, cell long, keys binary, n binary")
+
+
+def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
+    """A bit for each n-gram that is frequent; one cell owns it and is told its count (of words, all cells are)."""
+    def run(t: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, np.uint64) for x in t["keys"].to_pylist()]
+        _, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        n = np.zeros(len(first), np.int64)
+        np.add.at(n, back, np.concatenate([np.frombuffer(x, np.int64) for x in t["n"].to_pylist()]))
+        cuts = np.cumsum([0, *map(len, keys)])
+        out = {"ok": [], "own": [], "n": []}
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            mine = n[back[a:b]]
+            own = (first[back[a:b]] == np.arange(a, b)) & (mine >= (1 if g == 1 else min_count))
+            out["ok"].append(np.packbits(mine >= min_count).tobytes())
+            out["own"].append(np.packbits(own).tobytes())
+            out["n"].append((mine if g == 1 else mine[own]).tobytes())
+        return pa.table({"cell": t["cell"], "bucket": t["bucket"], "level": pa.array([g] * len(keys), pa.int32())}
+                        | {c: pa.array(v, pa.binary()) for c, v in out.items()})
+
+    return told.groupBy("bucket").applyInArrow(run, SENT)
+
+
+def _grams(cells: DataFrame, sent: DataFrame, top: int, bits: int) -> DataFrame:
+    """The frequent n-grams of up to ``top`` words, and all words: key, count, the keys without the last and without the first word."""
+    def run(t: pa.Table, sent: pa.Table) -> pa.Table:
+        cell = Cell(t, sent, bits)
+        out = []
+        for g, level in enumerate(cell.levels(top), 1):
+            k = np.flatnonzero(level.own)
+            at = np.zeros(len(level.keys), np.int64)
+            at[level.back] = level.where
+            ctx, sfx = (cell.hash(g - 1)[at[k] - 1], cell.hash(g - 1)[at[k]]) if g > 1 else (np.zeros(len(k), np.uint64),) * 2
+            out.append((np.full(len(k), g, np.int32), level.keys[k].view(np.int64), ctx.view(np.int64), sfx.view(np.int64), level.n[k].astype(np.int64)))
+        return pa.table(dict(zip(("level", "key", "ctx", "sfx", "n"), (np.concatenate(x) for x in zip(*out)))))
+
+    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long")
+
+
+def _addends(grams: DataFrame, top: int, log_size: float, divergence: float, prior: float) -> DataFrame:
+    """(key, value): what an n-gram adds to the log10 score, as a state for the words it does not
+    store and as a stored word of the state before its last word."""
+    below = grams.where("level = 1").select("key", "n", ((F.col("n") + 0.5) / F.lit(10.0 ** log_size)).alias("eff"))
+    values = []
+    for g in range(2, top + 1):
+        own = grams.where(F.col("level") == g).select("key", "ctx", "sfx", "n")
+        own = materialize(own.join(below.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx"), "lm_pairs")
+        # the sums of a context need its size only once
+        sums = own.groupBy("ctx").agg(F.sum("n").alias("n"), F.sum("q").alias("lower"), F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("log"))
+        whole = F.col("size") + prior
+        rest, other = F.col("rest"), F.col("other")
+        states = (sums.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("size")), "ctx")
+                  .withColumns({"rest": 1 - F.col("n") / whole, "other": F.greatest(1 - F.col("lower"), F.lit(1e-12))})
+                  .withColumn("kl", (F.col("log") - F.col("n") * F.log(whole)) / whole + rest * F.log(rest / other))
+                  .where(F.col("size") * F.col("kl") >= divergence).select("ctx", "size", F.log10(rest / other).alias("rest")))
+        states = materialize(states, "lm_states")
+        p = F.col("n") / whole
+        below = materialize(own.join(states, "ctx", "left").select(
+            "key", "n", F.when(F.col("size").isNull(), F.col("q")).otherwise(p).alias("eff"),
+            F.when(F.col("size").isNotNull(), F.log10(p / F.col("q")) - rest).alias("value")), "lm_level")
+        values += [states.select(F.col("ctx").alias("key"), F.col("rest").alias("value")), below.where("value IS NOT NULL").select("key", "value")]
+    out = values[0]
+    for more in values[1:]:
+        out = out.unionByName(more)
+    return out.groupBy("key").agg(F.sum("value").alias("value"))
+
+
+def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, top: int, bits: int) -> DataFrame:
+    """For the frequent n-grams of each cell: a bit for those with an addend, and the addends."""
+    def ask(t: pa.Table, sent: pa.Table) -> pa.Table:
+        cell = Cell(t, sent, bits)
+        out = {"bucket": [], "cell": [], "level": [], "keys": []}
+        for g, level in enumerate(cell.levels(top), 1):
+            for b, s in level.parts.items():
+                keys = level.keys[s][level.frequent[s]]
+                if len(keys):
+                    for c, v in zip(out, (b, cell.number, g, keys.tobytes())):
+                        out[c].append(v)
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
+        return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
+
+    def answer(asked: pa.Table, values: pa.Table) -> pa.Table:
+        key = values["key"].to_numpy() if values.num_rows else EMPTY
+        order = np.argsort(key)
+        table = Table(key[order], values["value"].to_numpy()[order] if len(key) else np.zeros(0))
+        rows = {c: [] for c in ("cell", "bucket", "level", "ok", "own", "n")}
+        for row in asked.to_pylist() if asked.num_rows else []:
+            k = table.find(np.frombuffer(row["keys"], np.int64))
+            if (k >= 0).any():
+                for c, v in zip(rows, (row["cell"], row["bucket"], -row["level"], np.packbits(k >= 0).tobytes(), b"", table.n[k[k >= 0]].tobytes())):
+                    rows[c].append(v)
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table({c: pa.array(v, k) for (c, v), k in zip(rows.items(), kinds)})
+
+    asked = cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(ask, "bucket int, cell long, level int, keys binary")
+    dealt = values.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int"))
+    return asked.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, SENT)
+
+
+def score_whole(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_count: int = MIN_COUNT,
+                divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
+    """``score_corpus`` with every state of up to ``depth`` words."""
+    cells, tokens = _cells(docs, ~held_out)
+    top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / KEYS_A_BUCKET))))
+    sent = docs.sparkSession.createDataFrame([], SENT)
+    for g in range(1, top + 1):
+        sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent"))
+    grams = materialize(_grams(cells, sent, top, bits), "lm_grams")
+    row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    total, known = int(row[0]), int(row[1])
+    log_size = float(np.log10(total + 0.5 * (known + 1)))
+    asked = materialize(_asked(cells, sent, _addends(grams, top, log_size, divergence, prior), top, bits), "lm_addends")
+
+    def run(t: pa.Table, sent: pa.Table) -> pa.Table:
+        cell = Cell(t, sent, bits)
+        score = np.zeros(len(cell.at))
+        for g, level in enumerate(cell.levels(top), 1):
+            value = np.zeros(len(level.keys))
+            for b, row in cell.sent.get(-g, {}).items():
+                s = level.parts[b]
+                k = s.start + np.flatnonzero(level.frequent[s])
+                value[k[np.unpackbits(np.frombuffer(row["ok"], np.uint8), count=len(k)).astype(bool)]] = np.frombuffer(row["n"], np.float64)
+            if g == 1:
+                n = level.n[level.back]
+                score[cell.ends - 1] = -value[level.back[cell.ends - 1]]   # nothing follows the last token
+            score[level.where] += value[level.back]
+        base = np.where(cell.place > 0, np.log10(n + 0.5) - log_size, 0.0)
+        sums = lambda x: np.add.reduceat(x, cell.starts)
+        return pa.table({"doc_id": pa.array(cell.ids, pa.int64()), "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(((n > 0) & (cell.place > 0)).astype(np.int64))),
+                         "base_score": pa.array(sums(base)), "score": pa.array(sums(base + score))})
+
+    return (cells.groupBy("cell").cogroup(sent.unionByName(asked).groupBy("cell"))
+            .applyInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+            .withColumn("train_tokens", F.lit(total).cast("long")))
+
+
+def score_corpus(docs: DataFrame, held_out: Column, context_rate: float | None = None, **options) -> DataFrame:
     """Learn from the rows that are not held out, score all rows of ``docs(doc_id, text)``."""
-    tree, counts = fit(text_rows(docs.where(~held_out)), **options)
+    if context_rate is None:
+        return score_whole(docs, held_out, **options)
+    tree, counts = fit(text_rows(docs.where(~held_out)), context_rate=context_rate, **options)
     return score(docs, tree, counts).withColumn("train_tokens", F.lit(tree.total).cast("long"))

@@ -59,3 +59,27 @@ def test_empty_tables(spark):
     assert lm.score_corpus(empty, F.lit(False)).collect() == []
     untrained = lm.score_corpus(frame(spark, [(1, "a b", None, None, 3)]), F.lit(True)).first()
     assert (untrained.train_tokens, untrained.n_tokens, untrained.n_known) == (0, 3, 0)
+
+
+def test_whole_model_equals_the_tree_in_memory(spark):
+    rows = documents(40) + [(3, "w1 w2 w1", None, None, 8)] * 2 + [(None, "w1 new-word", None, None, 11)]
+    held, df = queries.crc_mod("doc_id", 5) == 1, frame(spark, rows, extra=True)
+    whole, tree = (sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5))
+                          for r in got.collect())
+                   for got in (lm.score_corpus(df, held, depth=2, min_count=1, divergence=2.0),
+                               lm.score_corpus(df, held, context_rate=1e-9, word_rate=1e-9, divergence=2.0)))
+    assert whole == tree
+    assert any(r[-1] != r[-2] for r in whole)
+
+
+def test_a_rare_phrase_is_modelled_whatever_the_size(spark):
+    phrase = "a b c x1 a b d x2 q b c x3 q b d x4"       # only three words say what follows
+    def gain(n):
+        rows = [(k, phrase, None, None, 0) for k in range(30)] + [(1000 + k, " ".join(f"n{k}y{j}" for j in range(60)), None, None, 0) for k in range(n)]
+        got = lm.score_corpus(frame(spark, rows), F.col("doc_id") == 7).where("doc_id = 7").first()
+        return got.score - got.base_score
+    small, large = gain(20), gain(2000)                  # 30 times are 2e-4 of the larger table's tokens
+    assert large > small > 10
+    rows = [(k, phrase, None, None, 0) for k in range(30)]
+    two, three = (lm.score_corpus(frame(spark, rows), F.col("doc_id") == 7, depth=d, divergence=5.0).where("doc_id = 7").first().score for d in (2, 3))
+    assert three > two
