@@ -17,9 +17,10 @@ byte; a bottom-up mergesort places the elements of neighbouring runs by binary s
 comparison, all groups at once.  Neighbours whose extension reaches 50 bytes are verified
 byte by byte before they count as equal; the smallest id of each run of equal windows decides.
 
-Scale.  Documents are laid out once as a table bucketed by small cells of rows, so their texts
+Scale.  Documents are laid out once as a table bucketed by small cells (by rows and by bytes), so their texts
 are never shuffled; hashes, contexts and spans go to the cells instead, as packed arrays.
-Exact copies are found by their digest first.  An anchor in more than ``HOT`` documents is not gathered in one task: its contexts, then the
+Exact copies are found by their digest first.  Close anchors of a text with equal contexts, as in a run of one
+byte, are one record.  An anchor with more than ``HOT`` occurrences is not gathered in one task: its contexts, then the
 windows of each context's first document, are grouped by their bytes with a combine before the
 shuffle, which is exact as well.
 
@@ -36,8 +37,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitchside.llm.common import materialize
 from pitchside.session import scratch_path
@@ -45,11 +48,13 @@ from pitchside.session import scratch_path
 WINDOW, GRAM = 50, 24
 LEFT = WINDOW - GRAM                  # bytes before an anchor that a window can hold
 WIDTH = LEFT + WINDOW
-CELL_BITS = 11                        # rows of one cell: 2048
+CELL_BITS = 11                        # rows of one cell: at most 2048
+CELL_BYTES = 16 << 20                 # of one cell's texts, or a single longer text
+PIECE = 1 << 22                       # bytes or anchors of a cell that are looked at once
 ANCHORS_A_BUCKET = 1 << 18
 ELEMENTS = 1 << 17                    # windows that are sorted at once
 RECORDS = 1 << 14                     # contexts that are resolved at once, if no anchor has more
-HOT = 20_000                          # documents of an anchor whose contexts one task still gathers (some tens of MB)
+HOT = 20_000                          # occurrences of an anchor that one task still gathers (about 2 MB)
 BUCKET_BYTES = 32 << 20
 BASE = 0x9E3779B97F4A7C15             # odd, so it has an inverse modulo 2**64
 NO_ID = (1 << 63) - 1
@@ -99,6 +104,11 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions that some window names, and the hashes of their grams."""
     if len(data) < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(data) > 2 * PIECE:   # by the windows that start in each piece
+        found = [(k + at, h) for k in range(0, len(data) - WINDOW + 1, PIECE) for at, h in [anchors(data[k:k + PIECE + WINDOW - 1])]]
+        at, h = (np.concatenate(x) for x in zip(*found))
+        at, first = np.unique(at, return_index=True)
+        return at, h[first]
     at = np.arange(len(data) - GRAM + 1)
     h = Hashes(data).of(at, at + GRAM)
     w = WINDOW - GRAM + 1
@@ -248,8 +258,8 @@ def resolve(h: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray,
 
 # -- cells ------------------------------------------------------------------------------
 
-RECORD = [("h", np.uint64), ("doc", np.int64), ("cell", np.int64), ("pos", np.int32), ("row", np.uint16), ("left", np.uint8), ("right", np.uint8)]
-SPAN = np.dtype([("start", np.int32), ("size", np.uint8), ("row", np.uint16)])
+RECORD = [("h", np.uint64), ("doc", np.int64), ("cell", np.int64), ("pos", np.int32), ("last", np.int32), ("row", np.uint16), ("left", np.uint8), ("right", np.uint8)]
+SPAN = np.dtype([("start", np.int32), ("size", np.int32), ("row", np.uint16)])
 
 
 def _packed(cols: dict[str, list], types: dict[str, pa.DataType]) -> pa.Table:
@@ -264,7 +274,7 @@ class Cell:
         self.doc = docs[key].to_numpy()
         self.text = [t or b"" for t in docs[text].cast(pa.large_binary()).to_pylist()]
         self.sent = list(zip(sent["bucket"].to_pylist(), sent["payload"].to_pylist())) if sent.num_rows else []
-        self.copies = set()
+        self.flat, self.copies = None, set()
         for bucket, payload in self.sent:
             if bucket < 0:
                 self.copies.update(np.frombuffer(payload, np.uint16).tolist())
@@ -277,10 +287,30 @@ class Cell:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         return tuple(np.concatenate(x) for x in zip(*found))
 
+    def merged(self, k: np.ndarray, pos: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors that stand for themselves and those after them, and the last position of each: the same
+        text, hash and context, no more than a window apart, so what they cover is one stretch."""
+        heads, lasts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a in range(0, len(k), PIECE):
+            part = np.arange(a, min(a + PIECE, len(k)))
+            part = part[np.lexsort((pos[part], h[part], k[part]))]
+            one, two = part[:-1], part[1:]
+            near = np.flatnonzero((k[one] == k[two]) & (h[one] == h[two]) & (pos[two] - pos[one] <= WINDOW))
+            follows = np.zeros(len(part), bool)
+            for b in range(0, len(near), RECORDS):
+                some = near[b:b + RECORDS]
+                x, y = (self.contexts(k[e[some]], pos[e[some]]) for e in (one, two))
+                follows[some + 1] = (x[0] == y[0]) & (x[1] == y[1]) & (x[2] == y[2]).all(1)
+            head = np.flatnonzero(~follows)
+            heads.append(part[head])
+            lasts.append(pos[part[np.concatenate((head[1:], [len(part)])) - 1]])
+        return np.concatenate(heads), np.concatenate(lasts)
+
     def contexts(self, k: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(left, right, matrix) around anchors."""
-        flat = np.frombuffer(b"\0" * LEFT + b"".join(self.text) + b"\0" * WINDOW, np.uint8)
-        size = np.array([len(t) for t in self.text], np.int64)
+        if self.flat is None:
+            self.flat = np.frombuffer(b"\0" * LEFT + b"".join(self.text) + b"\0" * WINDOW, np.uint8)
+        flat, size = self.flat, np.array([len(t) for t in self.text], np.int64)
         at = LEFT + (np.cumsum(size) - size)[k] + pos
         left, right = np.minimum(pos, LEFT), np.minimum(size[k] - pos, WINDOW)
         step = np.arange(-LEFT, WINDOW)
@@ -302,7 +332,7 @@ def _by_bucket(bucket: np.ndarray):
 
 
 def _span_rows(cell: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
-    """Spans packed by cell, equal ones once; a span has at most WIDTH bytes."""
+    """Spans packed by cell, equal ones once."""
     order = np.lexsort((end, start, row, cell))
     cell, row, start, end = cell[order], row[order], start[order], end[order]
     cells, payload = [], []
@@ -321,14 +351,30 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
     """The cell table, the packed spans to remove (cell, bucket, payload) and the names of the added columns."""
     spark = docs.sparkSession
     name = {}
-    for c in ("cell", "row", "key"):
+    for c in ("cell", "row", "key", "size"):
         name[c] = f"_{c}"
         while name[c] in {x.lower() for x in docs.columns}:
             name[c] = "_" + name[c]
     cell, row, key = name["cell"], name["row"], name["key"]
-    rows = docs.withColumns({cell: F.shiftright(F.monotonically_increasing_id(), CELL_BITS),
-                             row: F.monotonically_increasing_id().bitwiseAND((1 << CELL_BITS) - 1).cast("int"),
-                             key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))})
+    columns = docs.columns
+
+    def deal(batches):
+        number, held, filled = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            cells, places = [], []
+            for n in batch[name["size"]].to_pylist():
+                if held == 1 << CELL_BITS or held and filled + n > CELL_BYTES:
+                    number, held, filled = number + 1, 0, 0
+                cells.append(number)
+                places.append(held)
+                held, filled = held + 1, filled + n
+            cols = {c: batch[c] for c in columns} | {cell: pa.array(cells, pa.int64()), row: pa.array(places, pa.int32()), key: batch[key]}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+    added = StructType().add(cell, "long").add(row, "integer").add(key, "long")
+    rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                             name["size"]: F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0))}
+                            ).mapInArrow(deal, StructType([*docs.schema.fields, *added.fields]))
     path, table = scratch_path(spark, "llm", "cells"), "cells_" + hashlib.sha1(scratch_path(spark).encode()).hexdigest()[:16]
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
     buckets = max(64, math.ceil(size / BUCKET_BYTES))
@@ -348,36 +394,39 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
 
     copied = materialize(copies.groupBy("cell").applyInArrow(pack_copies, SENT), "copies")
 
-    # every cell tells each bucket which anchors it has, and in how many documents
+    # every cell tells each bucket which anchors it has, how often, and in how many documents
     def tell(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        out = {"bucket": [], "cell": [], "hashes": [], "docs": []}
+        out = {"bucket": [], "cell": [], "hashes": [], "docs": [], "times": []}
         if docs.num_rows:
             k, _, h = Cell(docs, sent, "text", "row", "key").anchors()
             order = np.lexsort((k, h))
             k, h = k[order], h[order]
             new = np.concatenate(([True], (h[1:] != h[:-1]) | (k[1:] != k[:-1]))) if len(h) else np.zeros(0, bool)
-            h, times = np.unique(h[new], return_counts=True)
+            h, start, times = np.unique(h, return_index=True, return_counts=True)
+            in_docs = np.add.reduceat(new.astype(np.int64), start) if len(h) else times
             bucket, rest = _split(h, bits)
             for b, s in _by_bucket(bucket):
                 out["bucket"].append(b)
                 out["cell"].append(docs["cell"][0].as_py())
                 out["hashes"].append(rest[s].tobytes())
-                out["docs"].append(times[s].astype(np.uint16).tobytes())
-        return _packed(out, {"bucket": pa.int32(), "cell": pa.int64(), "hashes": pa.binary(), "docs": pa.binary()})
+                out["docs"].append(in_docs[s].astype(np.uint16).tobytes())
+                out["times"].append(times[s].astype(np.uint32).tobytes())
+        return _packed(out, {"bucket": pa.int32(), "cell": pa.int64(), "hashes": pa.binary(), "docs": pa.binary(), "times": pa.binary()})
 
-    told = slim.groupBy("cell").cogroup(copied.groupBy("cell")).applyInArrow(tell, "bucket int, cell long, hashes binary, docs binary")
+    told = slim.groupBy("cell").cogroup(copied.groupBy("cell")).applyInArrow(tell, "bucket int, cell long, hashes binary, docs binary, times binary")
 
     def shared(t: pa.Table) -> pa.Table:
         out = {"cell": [], "bucket": [], "payload": [], "hot": []}
         hashes = [np.frombuffer(x, np.uint32) for x in t["hashes"].to_pylist()]
         flat = np.concatenate(hashes)
         value, back = np.unique(flat, return_inverse=True)
-        total = np.bincount(back, np.concatenate([np.frombuffer(x, np.uint16) for x in t["docs"].to_pylist()]), len(value))
+        total, times = (np.bincount(back, np.concatenate([np.frombuffer(x, kind) for x in t[c].to_pylist()]), len(value))
+                        for c, kind in (("docs", np.uint16), ("times", np.uint32)))
         cuts = np.cumsum([0, *map(len, hashes)])
         for c, x, a, b in zip(t["cell"].to_pylist(), hashes, cuts[:-1], cuts[1:]):
-            n = total[back[a:b]]
+            n, often = total[back[a:b]], times[back[a:b]] > HOT
             for hot in (False, True):
-                own = x[(n > 1) & ((n > HOT) == hot)]
+                own = x[(n > 1) & (often == hot)]
                 if len(own):
                     out["cell"].append(c)
                     out["bucket"].append(t["bucket"][0].as_py())
@@ -397,9 +446,11 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         at = np.minimum(np.searchsorted(known, lead), max(len(known) - 1, 0))
         live = known[at] == lead if len(known) else np.zeros(len(h), bool)
         k, pos, h = k[live], pos[live], h[live]
+        heads, last = cell_.merged(k, pos, h)
+        k, pos, h = k[heads], pos[heads], h[heads]
         left, right, matrix = cell_.contexts(k, pos)
         return {"h": h, "doc": cell_.doc[k], "cell": np.full(len(k), number, np.int64), "pos": pos.astype(np.int32),
-                "row": cell_.row[k].astype(np.uint16), "left": left, "right": right}, matrix
+                "last": last.astype(np.int32), "row": cell_.row[k].astype(np.uint16), "left": left, "right": right}, matrix
 
     names = [n for n, _ in RECORD]
     kinds = {"bucket": pa.int32()} | {n: pa.binary() for n in [*names, "context"]}
@@ -426,7 +477,7 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         for part in np.split(order, cuts[1:][np.flatnonzero(np.diff(cuts[1:] // RECORDS, prepend=0))]):   # whole anchors, some at a time
             k, a, b = resolve(*(r[n][part] for n in ("h", "doc", "left", "right")), context[part])
             k = part[k]
-            out.append((r["cell"][k], r["row"][k], r["pos"][k] + a, r["pos"][k] + b))
+            out.append((r["cell"][k], r["row"][k], r["pos"][k] + a, r["last"][k] + b))
         return _span_rows(*(np.concatenate(x) for x in zip(*out)))
 
     usual = copied.unionByName(wanted.where("NOT hot").select("cell", "bucket", "payload"))
@@ -444,12 +495,15 @@ def _hot_spans(slim: DataFrame, sent: DataFrame, records) -> DataFrame:
             r, matrix = records(Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py())
         else:
             r, matrix = {n: np.zeros(0, t) for n, t in RECORD}, np.zeros((0, WIDTH), np.uint8)
-        return pa.table({"context": pa.array([bytes([a, b]) + m.tobytes() for a, b, m in zip(r["left"].tolist(), r["right"].tolist(), matrix)], pa.binary()),
+        body = np.ascontiguousarray(np.concatenate((r["left"][:, None], r["right"][:, None], matrix), 1))
+        places = np.arange(len(body) + 1, dtype=np.int64) * (WIDTH + 2)
+        context = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(body), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(body.tobytes())])
+        return pa.table({"context": context.cast(pa.binary()),
                          "doc": pa.array(r["doc"], pa.int64()), "cell": pa.array(r["cell"], pa.int64()),
-                         "row": pa.array(r["row"].astype(np.int32)), "pos": pa.array(r["pos"], pa.int32())})
+                         "row": pa.array(r["row"].astype(np.int32)), "pos": pa.array(r["pos"], pa.int32()), "last": pa.array(r["last"], pa.int32())})
 
     found = materialize(slim.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(
-        occurrences, "context binary, doc long, cell long, row int, pos int"), "hot_contexts")
+        occurrences, "context binary, doc long, cell long, row int, pos int, last int"), "hot_contexts")
     least = materialize(found.groupBy("context").agg(F.min("doc").alias("least")), "hot_least")
     judged = found.join(least, "context")
 
@@ -468,10 +522,10 @@ def _hot_spans(slim: DataFrame, sent: DataFrame, records) -> DataFrame:
     first = opened.groupBy("key").agg(F.min("least").alias("first"))
     hit = opened.join(first, "key").where("first < least").select("context", F.conv(F.hex(F.substring("key", 1, 1)), 16, 10).cast("int").alias("offset"))
     partly = (judged.where("doc = least").join(hit, "context")
-              .select("cell", "row", (F.col("pos") - F.col("offset")).alias("start"), (F.col("pos") - F.col("offset") + WINDOW).alias("end")))
+              .select("cell", "row", (F.col("pos") - F.col("offset")).alias("start"), (F.col("last") - F.col("offset") + WINDOW).alias("end")))
     side = lambda at: F.conv(F.hex(F.substring("context", at, 1)), 16, 10).cast("int")
     whole = (judged.where("doc > least").where(side(1) + side(2) >= WINDOW)
-             .select("cell", "row", (F.col("pos") - side(1)).alias("start"), (F.col("pos") + side(2)).alias("end")))
+             .select("cell", "row", (F.col("pos") - side(1)).alias("start"), (F.col("last") + side(2)).alias("end")))
 
     def pack(t: pa.Table) -> pa.Table:
         return _span_rows(*(t[c].to_numpy() for c in ("cell", "row", "start", "end")))

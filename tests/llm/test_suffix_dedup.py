@@ -97,3 +97,30 @@ def test_null_id_is_the_largest(spark):
     text = "passage " * 12
     got = {r.doc_id: r.n_removed for r in sd.removal_digest(frame(spark, [(5, text, None, None, 1), (None, text + "more", None, None, 1)])).collect()}
     assert got == {5: 0, None: len(text)}
+
+
+def test_hot_anchors_are_told_by_their_occurrences(spark, monkeypatch):
+    called, hot_spans = [], sd._hot_spans
+    monkeypatch.setattr(sd, "HOT", 100)
+    monkeypatch.setattr(sd, "_hot_spans", lambda *a: called.append(1) or hot_spans(*a))
+    rows = [(1, "x" * 300, None, None, 0), (2, "a" + "x" * 400 + "b" + "y" * 60, None, None, 0)] + [(k, "q" * 9 + str(k) + "y" * 61, None, None, 0) for k in (3, 4)]
+    got = sorted(tuple(r) for r in sd.removal_digest(frame(spark, rows)).collect())
+    assert called and got == brute([(d, t) for d, t, *_ in rows])
+
+
+def test_cells_are_cut_by_bytes_and_runs_are_one_record(spark, monkeypatch):
+    monkeypatch.setattr(sd, "CELL_BYTES", 1000)
+    rows = [(k, f"{k} " + "xy" * 300, None, None, 0) for k in range(6)] + [(9, "z" * 5000, None, None, 0)]
+    cells, _, name = sd.covered_spans(frame(spark, rows, parts=1))
+    assert cells.select(name["cell"]).distinct().count() == 7
+    t = cells.where("doc_id = 9").select("doc_id", "text", *(name[c] for c in ("row", "key"))).toArrow()
+    cell = sd.Cell(t, t.slice(0, 0), "text", name["row"], name["key"])
+    heads, last = cell.merged(*cell.anchors())
+    assert len(heads) < 100 and last.max() == 5000 - sd.GRAM
+
+
+def test_anchors_of_a_long_text_in_pieces(monkeypatch):
+    data = np.random.default_rng(6).choice(np.frombuffer(b"ab", np.uint8), 3000)
+    whole = sd.anchors(data)
+    monkeypatch.setattr(sd, "PIECE", 100)
+    assert all((x == y).all() for x, y in zip(whole, sd.anchors(data)))
