@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pitchside.llm import bpe, cotraining, decontam, sharding, simhash, suffix_dedup, suffix_tree_lm, topk, toxicity, url_reputation
+from pitchside.llm import (
+    bpe, cotraining, decontam, lexical, periodic_runs, quality_rules, sharding, simhash, suffix_dedup, suffix_tree_lm, topk, toxicity, url_reputation,
+)
 from pitchside.llm.common import crc_mod, read_table, tokenizer_path
 
 
@@ -58,6 +60,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.collapse_runs(docs, texts=False))
+
+
 QUERIES = {
     "op1_suffix_tree_lm": op1_suffix_tree_lm,
     "op2_topk_search": op2_topk_search,
@@ -69,6 +85,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -76,4 +95,5 @@ ORACLES = {
     "op4_decontamination": decontam.ORACLE_SQL,
     "op7_url_filter": url_reputation.ORACLE_SQL,
     "op9_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op11_lexical_search": lexical.ORACLE_SQL,
 }
