@@ -90,11 +90,15 @@ class _Powers:
 
     def of(self, n: int):
         if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            fill = lambda b: np.cumprod(np.concatenate(([1], np.full(size - 1, b, np.uint64))).astype(np.uint64), dtype=np.uint64)
-            self.up, self.down = fill(self.BASE), fill(pow(self.BASE, -1, 1 << 64))
+            self.up, self.down = (self._powers(b, 1 << (n - 1).bit_length()) for b in (self.BASE, pow(self.BASE, -1, 1 << 64)))
         return self.up[:n], self.down[:n]
 
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps, dtype=np.uint64)
+
 
 _POWERS = _Powers()
 

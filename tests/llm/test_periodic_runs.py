@@ -124,6 +124,15 @@ def test_z_function_and_roots():
         assert P.root_period(z, q) == want
 
 
+def test_equal_grams_and_only_those_have_equal_hashes():
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 6, 20_000).astype(np.int32)
+    for step in (2, 5, 64):
+        grams = [codes[i:i + step].tobytes() for i in range(len(codes) - step + 1)]
+        hashes = P._gram_hashes(codes, step)
+        assert len(hashes) == len(grams) and len(set(grams)) == len(np.unique(hashes)) == len(set(zip(grams, hashes.tolist())))
+
+
 def table(spark, rows, extra=False):
     return frame(spark, rows, extra)
 
