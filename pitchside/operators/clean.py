@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pitchside.functions.dates import date_parts, parse_date, parse_date_typed
 from pitchside.functions.labels import outcome_label, winner_label
 from pitchside.functions.numeric import coerce_double, coerce_int
+from pitchside.operators.whole_rows import distinct_rows
 from pitchside.functions.text import COUNTRY_ALIASES, TEAM_ALIASES, alias_exact, alias_regex, strip_ws
 
 # Source column names → standard names.
@@ -81,7 +82,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_COL)
 
 
 def dedup_full_row(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each group of equal rows; only digests and the rows of repeated digests are shuffled."""
+    return distinct_rows(df)
 
 
 def derive_match_columns(df: DataFrame) -> DataFrame:

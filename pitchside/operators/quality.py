@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from pitchside.operators.bitmaps import distinct_count
+from pitchside.operators.whole_rows import duplicate_counts
 from pitchside.plans.joins import bounded_row_count
 
 CRITICAL_COMPLETENESS = 90.0
@@ -92,26 +94,19 @@ def critical_missing(tables: Mapping[str, DataFrame], threshold: float = CRITICA
 
 
 # ---------------------------------------------------------------- duplicates
-def _duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: total_records, duplicate_records (rows minus distinct rows)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
-                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records"))
-
-
 def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None,
                max_suspect_keys: int = 1_000_000) -> DataFrame:
     """Rows minus distinct rows, per table (NULLs compare equal, like pandas).
 
     Identical rows share their key, so with a declared key only the key column
-    is shuffled first; full rows are grouped only for keys that repeat (none,
-    when the key is unique).  Exact in every case: with too many repeated keys
-    it falls back to grouping all rows."""
+    is shuffled first; full rows are compared only for keys that repeat (none,
+    when the key is unique).  Without a key, or with too many repeated ones, rows are
+    found by their digest and then compared (``whole_rows``)."""
     def part_for(item):
         name, df = item
         key = (keys or {}).get(name)
         if key is None:
-            part = _duplicate_rows(df)
+            part = duplicate_counts(df)
         else:
             repeated = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
                           .where(F.col("_k") > 1).select(F.col(key).alias("_key")))
@@ -122,11 +117,12 @@ def duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None =
             elif n_rep <= max_suspect_keys:
                 # repeated keys are few (checked): broadcast them, keep only their rows
                 suspects = df.join(F.broadcast(repeated), df[key].eqNullSafe(F.col("_key")), "left_semi")
-                dup = _duplicate_rows(suspects).select("duplicate_records")
+                dup = (suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+                       .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records")))
                 part = df.agg(F.count(F.lit(1)).alias("total_records")) \
                          .withColumn("duplicate_records", dup.scalar())
             else:
-                part = _duplicate_rows(df)
+                part = duplicate_counts(df)
         return part.select(
             F.lit(name).alias("table_name"), "total_records", "duplicate_records",
             F.when(F.col("total_records") > 0,
@@ -158,12 +154,29 @@ def numeric_strings(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
+def dense_columns(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """(smallest, count) of those whole-number columns that hold every value of their range exactly once, as ids do.
+
+    Count and range of all columns come from one scan; where they agree, a bitmap says that no value repeats."""
+    whole = [f.name for f in df.schema.fields if f.name in set(cols) and f.dataType.typeName() in ("byte", "short", "integer", "long")]
+    if not whole:
+        return {}
+    row = df.agg(*[a for k, c in enumerate(whole) for a in (
+        F.min(c).alias(f"a{k}"), F.max(c).alias(f"b{k}"), F.count(c).alias(f"n{k}"))]).first()
+    spans = {c: (row[f"a{k}"], row[f"n{k}"]) for k, c in enumerate(whole) if row[f"n{k}"] and row[f"b{k}"] - row[f"a{k}"] + 1 == row[f"n{k}"]}
+    return {c: span for c, span in spans.items() if distinct_count(df, F.col(c)).first()[0] == span[1]}
+
+
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns; one number a partition and target reaches the driver."""
     from pitchside.plans.pipeline import materialize
 
     if not cols:
         return {}
+    dense = dense_columns(df, cols)
+    if dense:  # the value at a rank follows from the smallest value: no value is counted
+        known = {c: [low + float(p) * (n - 1) for p in probs] for c, (low, n) in dense.items()}
+        return known | quantile_values(df.drop(*dense), [c for c in cols if c not in dense], probs)
     members = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("m")).select("m.*")
     counts = members.where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -350,40 +363,38 @@ def feature_cardinality(df: DataFrame) -> DataFrame:
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
 
 
-def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
-    """Pairwise Pearson r (pairwise-complete rows) with |r| > threshold, 3 dp.
+CORRELATION_TILE = 8
+
 
-    Each task sums the co-moments of all column pairs over its Arrow batches (matrix products of the
-    values, centred on the columns' means, and their masks) and returns one row a pair; a small
-    aggregate adds the tasks.  No row of the table is multiplied by the number of pairs."""
-    import numpy as np
-    import pyarrow as pa
+def strong_correlations(df: DataFrame, threshold: float = CORRELATION_THRESHOLD, tile: int = CORRELATION_TILE) -> DataFrame:
+    """Pairwise Pearson r (pairwise-complete rows) with |r| > threshold, 3 dp, from one scan.
 
+    Columns are cut into tiles.  A row is opened into (column, tile) cells, each holding the column's value and the
+    tile's values, and a cell updates the co-moments of the column with every column of the tile.  The cells fold
+    into one row a column and tile in each task; the plan grows with the tile, not with the pairs of columns."""
     cols = numeric_columns(df)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "feature1 string, feature2 string, correlation double")
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    centre = [m if m is not None else 0.0 for m in values.agg(*[F.avg(c) for c in values.columns]).first()]
-    names = ["pair", "n", "x", "y", "xx", "yy", "xy"]
-
-    def moments(batches):
-        total = np.zeros((6, len(centre), len(centre)))
-        for batch in batches:
-            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            mask = ~np.isnan(v)
-            v, m = np.where(mask, v - centre, 0.0), mask.astype(float)
-            total += np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
-        i, j = np.array(pairs).T
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pairs), dtype=np.int32)), *[pa.array(t[i, j]) for t in total]], names)
-
-    sums = (values.mapInArrow(moments, "pair int, " + ", ".join(f"{n} double" for n in names[1:]))
-            .groupBy("pair").agg(*[F.sum(n).alias(n) for n in names[1:]]))
-    xx, yy = F.col("n") * F.col("xx") - F.col("x") * F.col("x"), F.col("n") * F.col("yy") - F.col("y") * F.col("y")
-    r = (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(xx * yy)
-    out = sums.where((F.col("n") > 1) & (xx > 0) & (yy > 0)).withColumn("r", r)
-    name = lambda side: F.element_at(F.array(*[F.lit(cols[p[side]]) for p in pairs]), F.col("pair") + 1)
-    return out.where(F.abs("r") > threshold).select(name(0).alias("feature1"), name(1).alias("feature2"), _r(F.col("r"), 3).alias("correlation"))
+    tiles = -(-len(cols) // tile)
+    finite = [F.col(f"`{c}`").cast("double") for c in cols]
+    values = df.select(F.array(*[F.nanvl(x, F.lit(None).cast("double")) for x in finite]).alias("v"))
+    cells = (values.select("v", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("i"))
+             .select("v", "i", F.explode(F.sequence(F.floor(F.col("i") / tile).cast("int"), F.lit(tiles - 1))).alias("t"))
+             .select("i", "t", F.get("v", F.col("i")).alias("x"), *[F.get("v", F.col("t") * tile + k).alias(f"y{k}") for k in range(tile)]))
+
+    def moments(k: int) -> Column:
+        # a column with one value only has no correlation: its spread is checked beside the co-moments
+        x, y = F.when(F.col(f"y{k}").isNotNull(), F.col("x")), F.when(F.col("x").isNotNull(), F.col(f"y{k}"))
+        return F.struct((F.min(x) < F.max(x)).alias("x"), (F.min(y) < F.max(y)).alias("y"),
+                        F.covar_pop(x, y).alias("xy"), F.stddev_pop(x).alias("sx"), F.stddev_pop(y).alias("sy")).alias(f"m{k}")
+
+    folded = cells.groupBy("i", "t").agg(*[moments(k) for k in range(tile)])
+    pairs = folded.select("i", "t", F.posexplode(F.array(*[f"m{k}" for k in range(tile)])).alias("k", "m"))
+    pairs = pairs.withColumn("j", F.col("t") * tile + F.col("k")).where("j > i AND m.x AND m.y")
+    names = F.array(*map(F.lit, cols))
+    r = F.col("m.xy") / (F.col("m.sx") * F.col("m.sy"))
+    return (pairs.select(F.get(names, F.col("i")).alias("feature1"), F.get(names, F.col("j")).alias("feature2"), r.alias("r"))
+            .where(F.abs("r") > threshold).select("feature1", "feature2", _r(F.col("r"), 3).alias("correlation")))
 
 
 # ---------------------------------------------------------------- bias
