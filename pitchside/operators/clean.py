@@ -7,9 +7,10 @@ map-side before it moves.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pitchside.functions.dates import date_parts, parse_date, parse_date_typed
@@ -94,6 +95,48 @@ def derive_match_columns(df: DataFrame) -> DataFrame:
     })
 
 
+class RejectLog:
+    """Counts of the rows that each cleaning rule drops, taken while the cleaned table is written.
+
+    The rules are observed where they apply, inside the plan that cleans, so the source is scanned and parsed once.
+    The counts are those of the write: should a lost executor make Spark run a part of the scan again, that part is
+    counted again, and ``reject_counts`` gives the numbers of a fresh pass."""
+
+    def __init__(self, recount=None):
+        self._seen = Observation(f"rejects_{uuid.uuid4().hex[:8]}")
+        self._rules: list[str] = []
+        self._recount = recount
+
+    def watch(self, df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+        """``df`` with the number of its rows and of those that each rule (a condition) drops observed."""
+        self._rules = ["input", *rules]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("input"), *[F.count_if(c).alias(n) for n, c in rules.items()])
+
+    def counts(self, written: DataFrame) -> dict[str, int]:
+        """Rows by rule, once the cleaned table is ``written`` (by ``pipeline.materialize``, which counts its rows)."""
+        kept = written._pitchside_rows
+        if not kept and self._recount is not None:
+            # a plan without rows may be cut together with its counters: count by a pass
+            return {r["rule"]: r["rows"] for r in self._recount().collect()}
+        found = {r: self._seen.get[r] for r in self._rules}
+        found["duplicate_key"] = found["input"] - sum(found[r] for r in self._rules[1:]) - kept
+        return found | {"output": kept}
+
+    def frame(self, written: DataFrame) -> DataFrame:
+        return written.sparkSession.createDataFrame(list(self.counts(written).items()), "rule string, rows long")
+
+
+def clean_and_count(raw: DataFrame, clean=None, **options) -> tuple[DataFrame, DataFrame]:
+    """The cleaned table, written once, and the rows that each rule dropped on the way."""
+    from pitchside.plans.pipeline import materialize
+
+    clean = clean or clean_matches
+    count = reject_counts if clean is clean_matches else reject_counts_readings
+    log = RejectLog(lambda: count(raw, **options))
+    written = materialize(clean(raw, rejects=log, **options), "cleaned")
+    return written, log.frame(written)
+
+
 MATCH_COLUMNS = ("year", "date", "time", "round", "stadium", "city", "country", "home_team",
                  "home_goals", "away_goals", "away_team", "observation", "match_date", "month",
                  "quarter", "day", "day_of_week", "day_name", "total_goals", "winner", "outcome")
@@ -101,12 +144,15 @@ MATCH_COLUMNS = ("year", "date", "time", "round", "stadium", "city", "country",
 
 def clean_matches(raw: DataFrame, *, years: tuple[int, int] = YEARS,
                   aliases: Sequence[tuple[str, str]] = TEAM_ALIASES,
-                  order_col: str = ORDER_COL, dedup: bool = True) -> DataFrame:
-    """Raw results → ``matches_clean`` (one lazy plan)."""
+                  order_col: str = ORDER_COL, dedup: bool = True, rejects: RejectLog | None = None) -> DataFrame:
+    """Raw results → ``matches_clean`` (one lazy plan); ``rejects`` counts what each rule drops."""
     df = rename_columns(with_source_order(raw, order_col), MATCH_RENAMES)
     df = df.withColumn("match_date", parse_date_typed(df, "date"))
-    df = df.where(F.col("match_date").isNotNull())
     df = df.withColumns(date_parts("match_date"))
+    if rejects is not None:
+        dated = F.col("match_date").isNotNull()
+        df = rejects.watch(df, {"bad_date": ~dated, "out_of_years": dated & ~F.col("year").between(years[0], years[1])})
+    df = df.where(F.col("match_date").isNotNull())
     df = filter_year_range(df, years)
     fixes: dict[str, Column] = {}
     for team in ("home_team", "away_team"):
@@ -132,14 +178,20 @@ READING_COLUMNS = ("country", "country_code", "month", "temperature", "date", "y
 
 def clean_readings(raw: DataFrame, *, bounds: tuple[float, float] = TEMPERATURE_BOUNDS,
                    years: tuple[int, int] = YEARS, aliases: Mapping[str, str] = COUNTRY_ALIASES,
-                   order_col: str = ORDER_COL, dedup: bool = True) -> DataFrame:
-    """Raw monthly readings → ``readings_clean`` (one lazy plan)."""
+                   order_col: str = ORDER_COL, dedup: bool = True, rejects: RejectLog | None = None) -> DataFrame:
+    """Raw monthly readings → ``readings_clean`` (one lazy plan); ``rejects`` counts what each rule drops."""
     df = rename_columns(with_source_order(raw, order_col), READING_RENAMES)
     df = df.withColumn("date", parse_date(F.col("month").cast("string")))
-    df = df.where(F.col("date").isNotNull())
     df = df.withColumns({"year": F.year("date"), "month_num": F.month("date"),
                          "quarter": F.quarter("date")})
     df = df.withColumn("temperature", coerce_double("temperature"))
+    if rejects is not None:
+        t, dated = F.col("temperature"), F.col("date").isNotNull()
+        known = dated & t.isNotNull() & ~F.isnan(t)
+        inside = known & t.between(bounds[0], bounds[1])
+        df = rejects.watch(df, {"bad_date": ~dated, "no_value": dated & ~known, "out_of_range": known & ~inside,
+                                "out_of_years": inside & ~F.col("year").between(years[0], years[1])})
+    df = df.where(F.col("date").isNotNull())
     df = filter_value_range(df, "temperature", bounds)
     df = df.withColumn("country", alias_exact(strip_ws("country"), aliases))
     df = filter_year_range(df, years)

@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.operators.clean import clean_matches, clean_readings
+from pitchside.operators.clean import RejectLog, clean_matches, clean_readings, reject_counts
 from pitchside.operators.enrich import join_readings, prepare_readings, yearly_from_monthly
 from pitchside.operators.keys import number_rows, range_partitions, sequential_ids
 from pitchside.operators.star import DIMENSION_BUILDERS, fact_matches
@@ -110,12 +110,12 @@ def build_star(spark: SparkSession, sf_dir: str, *, refresh: bool = False) -> di
     with _LOCK:
         if not refresh and key in _CACHE:
             return _CACHE[key]
-        # the scan is counted while the cleaned table is written, its only run
-        seen = Observation(f"raw_{uuid.uuid4().hex[:8]}")
-        mc = clean_matches(matches_raw(spark, sf_dir).observe(seen, F.count(F.lit(1)).alias("rows")))
-        rc = clean_readings(readings_raw(spark, sf_dir))
-        tables = build_star_from(mc, rc)
-        tables["matches_clean"]._pitchside_raw_rows = seen.get["rows"]
+        # what each cleaning rule drops is counted while the cleaned tables are written, their only run
+        raw, raw_readings = matches_raw(spark, sf_dir), readings_raw(spark, sf_dir)
+        log = RejectLog(lambda: reject_counts(raw))
+        tables = build_star_from(clean_matches(raw, rejects=log), clean_readings(raw_readings))
+        tables["rejects"] = log.frame(tables["matches_clean"])
+        tables["matches_clean"]._pitchside_raw_rows = log.counts(tables["matches_clean"])["input"]
         _CACHE[key] = tables
         return tables
 

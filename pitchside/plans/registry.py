@@ -43,7 +43,7 @@ for _name in catalog.PLANS:
 
 def _load_operator_modules() -> None:
     # importing registers their keys
-    from pitchside.plans import operator_queries  # noqa: F401
+    from pitchside.plans import operator_queries, storage_queries  # noqa: F401
 
 
 def spark_queries() -> dict[str, SparkQuery]:

@@ -7,11 +7,13 @@ Reads never infer schemas (inference turns 'yyyy-MM' into timestamps and
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
 # CSV options that keep cells byte-for-byte (the writer trims by default).
@@ -68,6 +70,53 @@ def write_table(df: DataFrame, path: str, fmt: str = "auto", *, mode: str = "ove
     return path
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Well-formed rows, the quarantined lines (``line``, ``file``), and how many there were of each."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+    lines: int
+    malformed: int
+
+
+def ingest(spark: SparkSession, path: str, schema: StructType, into: str, fmt: str = "auto", **options) -> Ingested:
+    """Read CSV or JSON lines once, keeping what does not fit the schema.
+
+    A line with too few or too many cells, a value that is not of its column's type, or broken JSON goes to the
+    quarantine under ``into`` as it was read; the others are stored beside it as Parquet.  Both are counted
+    while they are written, so every line is in exactly one of them."""
+    fmt = detect_format(path) if fmt == "auto" else fmt
+    bad, file, flag = "_corrupt_record", "_source_file", "_malformed"
+    wide = StructType([*schema.fields, StructField(bad, StringType())])
+    read = read_table(spark, path, wide, fmt, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, **options)
+    marked = read.withColumns({file: F.input_file_name(), flag: F.col(bad).isNotNull()})
+    seen = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(flag)).alias("malformed"))
+    counted.write.mode("overwrite").partitionBy(flag).parquet(into)
+    stored = spark.read.schema(StructType([*wide.fields, StructField(file, StringType()), StructField(flag, BooleanType())])).parquet(into)
+    return Ingested(stored.where(~F.col(flag)).select(*[f"`{f.name}`" for f in schema.fields]),
+                    stored.where(F.col(flag)).select(F.col(bad).alias("line"), F.col(file).alias("file")),
+                    seen.get["lines"], seen.get["malformed"])
+
+
+def replace_years(df: DataFrame, path: str, years: Sequence[int] | None = None, column: str = "year", files_per_year: int = 4) -> str:
+    """Write ``df`` partitioned by year, or replace the given years of the table at ``path`` and keep all others.
+
+    With ``years`` only the folders of years that ``df`` holds are replaced (dynamic partition overwrite), so loading a
+    year twice leaves the table as loading it once; rows of other years in ``df`` are an error, found before anything is
+    written.  Rows of a year meet in a few tasks, so a year has a few files whatever the number of tasks."""
+    if years is not None:
+        stray = df.where(F.col(column).isNull() | ~F.col(column).isin(list(years))).limit(1).count()
+        if stray:
+            raise ValueError(f"rows outside the years {sorted(years)}")
+    others = [c for c in df.columns if c != column]
+    dealt = df.repartition(F.col(column), F.pmod(F.xxhash64(*others), F.lit(files_per_year)))
+    writer = dealt.write.mode("overwrite").partitionBy(column)
+    writer.option("partitionOverwriteMode", "static" if years is None else "dynamic").parquet(path)
+    return path
+
+
 def save_tables(tables: Mapping[str, DataFrame], path: str | None = None, *,
                 database: str | None = None, fmt: str = "parquet") -> dict[str, str]:
     """Write each table to ``path/<name>.<fmt>`` and/or as a table in ``database``
@@ -124,3 +173,31 @@ def save_report(frames: Mapping[str, DataFrame], path: str) -> dict[str, str]:
     """Write each report frame as JSON under ``path/<name>`` (executors write)."""
     return {name: write_table(df, f"{path.rstrip('/')}/{name}.json", "json")
             for name, df in frames.items()}
+
+
+#: A section of the report document holds metrics (one row a table, column, year or rule), not data.
+MAX_SECTION_ROWS = 100_000
+
+
+def save_report_document(frames: Mapping[str, DataFrame], path: str) -> StructType:
+    """The whole report as one JSON document, ``{section: [row, ...], ...}``, in one text file under ``path``.
+
+    Each section is written and counted first (independent sections at the same time); then the sections are folded
+    into one row by scalar subqueries and written by one task.  Returns the document's schema for reading it back."""
+    from pitchside.operators.quality import _concurrently
+    from pitchside.plans.pipeline import materialize
+
+    stored = dict(_concurrently(lambda item: (item[0], materialize(item[1], f"report_{item[0]}")), frames.items()))
+    large = [name for name, df in stored.items() if df._pitchside_rows > MAX_SECTION_ROWS]
+    if large:
+        raise ValueError(f"not metrics, but data: {large}")
+    spark = next(iter(stored.values())).sparkSession
+    one = spark.range(1).select(*[
+        df.agg(F.sort_array(F.collect_list(F.struct(*[f"`{c}`" for c in df.columns])))).scalar().alias(name) for name, df in stored.items()])
+    one.select(F.to_json(F.struct(*stored), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    return one.schema
+
+
+def read_report_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One row with a column for each section of the document."""
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("d")).select("d.*")
