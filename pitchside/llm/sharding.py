@@ -8,7 +8,7 @@ either stays or goes to the new shard, which happens with probability 1/(n+1).
 Defined cases: a null key hashes like a fixed value and takes one shard; a null text has
 size 8 and checksum 0; repeated rows share a shard and get different slots; an empty table
 gives an empty result.  Columns beside the key are carried unchanged, and the names
-``shard`` and ``grown_shard`` are replaced where the input has them.
+``shard``, ``grown_shard`` and ``slot`` are replaced where the input has them.
 """
 
 from __future__ import annotations
@@ -60,10 +60,23 @@ def jump_shards(key_hash: Column, shards: int) -> Column:
                        lambda s: F.struct(s["shard"].cast("int").alias("shard"), s["grown"].cast("int").alias("grown_shard")))
 
 
+def _fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def assign_shards(df: DataFrame, key: str, shards: int) -> DataFrame:
-    """Add ``shard`` and ``grown_shard`` for every row: a projection, no shuffle."""
-    jumps = df.withColumn("_jump", jump_shards(F.xxhash64(F.col(key)), shards))
-    return jumps.withColumns({"shard": F.col("_jump.shard"), "grown_shard": F.col("_jump.grown_shard")}).drop("_jump")
+    """Add ``shard`` and ``grown_shard`` for every row: a projection, no shuffle.
+
+    The key is hashed as text, so an id has one shard whether its column is an integer, a long or a string."""
+    jump, = _fresh(df, "_jump")
+    jumps = df.withColumn(jump, jump_shards(F.xxhash64(F.col(key).cast("string")), shards))
+    return jumps.withColumns({"shard": F.col(f"{jump}.shard"), "grown_shard": F.col(f"{jump}.grown_shard")}).drop(jump)
 
 
 def number_slots(rows: DataFrame, shards: int, shard: str = "shard", block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -74,21 +87,21 @@ def number_slots(rows: DataFrame, shards: int, shard: str = "shard", block_rows:
     itself, and the running total of the block sizes gives its first slot.
     """
     cols = rows.columns
+    copies, block, first, total, base, from_, i, s_, b_ = _fresh(rows, "_copies", "_block", "_first", "_total", "_base", "_from", "_i", "_s", "_b")
     per_shard = max(1, math.ceil(rows.count() / (block_rows * shards)))
-    runs = (rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-            .withColumn("_block", F.pmod(F.xxhash64(F.lit("slot"), *cols), F.lit(per_shard))))
-    totals = runs.groupBy(shard, "_block").agg(F.sum("_copies").alias("_total"))
-    before = Window.partitionBy(shard).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(F.col(shard).alias("_s"), F.col("_block").alias("_b"),
-                           F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(shard, "_block").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
-    placed = (runs.withColumn("_first", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-              .join(totals, F.col(shard).eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))))
+    runs = (rows.groupBy(*cols).agg(F.count(F.lit(1)).alias(copies))
+            .withColumn(block, F.pmod(F.xxhash64(F.lit("slot"), *cols), F.lit(per_shard))))
+    totals = runs.groupBy(shard, block).agg(F.sum(copies).alias(total))
+    before = Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col(shard).alias(s_), F.col(block).alias(b_), F.coalesce(F.sum(total).over(before), F.lit(0)).alias(base))
+    inside = Window.partitionBy(shard, block).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (runs.withColumn(first, F.coalesce(F.sum(copies).over(inside), F.lit(0)))
+              .join(totals, F.col(shard).eqNullSafe(F.col(s_)) & (F.col(block) == F.col(b_))))
     # a long run of equal rows is opened in steps, so no array grows with it
     step = F.lit(10_000)
-    return (placed.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, step.cast("long"))))
-            .withColumn("_i", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + step, F.col("_copies")) - 1)))
-            .select(*cols, (F.col("_base") + F.col("_first") + F.col("_i")).alias("slot")))
+    return (placed.withColumn(from_, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, step.cast("long"))))
+            .withColumn(i, F.explode(F.sequence(F.col(from_), F.least(F.col(from_) + step, F.col(copies)) - 1)))
+            .select(*[c for c in cols if c != "slot"], (F.col(base) + F.col(first) + F.col(i)).alias("slot")))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:

@@ -18,7 +18,7 @@ def jump(key, shards):
 
 
 def test_shards_equal_the_published_loop(spark):
-    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.xxhash64(F.col("id").cast("string")).alias("h"))
     for shards in (1, 2, 24):
         got = sharding.assign_shards(df, "doc_id", shards).collect()
         assert all((r.shard, r.grown_shard) == (jump(r.h % (1 << 64), shards), jump(r.h % (1 << 64), shards + 1)) for r in got)
@@ -52,3 +52,19 @@ def test_slots_of_blocks_and_long_runs(spark):
 def test_no_python_in_the_plan(spark):
     plan = sharding.shard_documents(frame(spark, documents(5)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_an_id_has_one_shard_whatever_the_type_of_its_column(spark):
+    df = spark.range(1000).select(F.col("id").alias("long"), F.col("id").cast("int").alias("int"), F.col("id").cast("string").alias("text"))
+    shards = [[(r.shard, r.grown_shard) for r in sharding.assign_shards(df.orderBy("long"), c, 24).collect()] for c in df.columns]
+    assert shards[0] == shards[1] == shards[2]
+
+
+def test_columns_with_the_names_of_the_steps_are_carried(spark):
+    names = ["_jump", "_copies", "_block", "_first", "_total", "_base", "_from", "_i", "_s", "_b", "slot"]
+    df = spark.createDataFrame([(k, *[f"{n}{k % 4}" for n in names]) for k in range(40)] * 2, ["doc_id", *names])
+    placed = sharding.number_slots(sharding.assign_shards(df, "doc_id", 3), 3, block_rows=4)
+    rows = placed.collect()
+    assert len(rows) == 80 and all(r[n] == f"{n}{r['doc_id'] % 4}" for r in rows for n in names if n != "slot")
+    for s in range(3):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
