@@ -99,22 +99,26 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = Z) -> DataFr
                         (mean - z * F.sqrt(mean * (1 - mean) / (a + b + 1))).alias("bound"))
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES, z: float = Z, max_bad: float = MAX_BAD) -> DataFrame:
-    """``pages(page_id, url)`` with host, path, the fitting rule and the verdict."""
+def _judged(pages: DataFrame, labels: DataFrame, rules=RULES, z: float = Z, max_bad: float = MAX_BAD) -> DataFrame:
+    """Every row of ``pages(page_id, url)`` as ``_row``, with host, path, rule and verdict of its own url."""
     host, path = url_parts(F.col("url"))
-    parts = pages.select("page_id", host.alias("host"), path.alias("path"))
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row")
+    parts = pages.select(row, "page_id", host.alias("host"), path.alias("path"))
     reputation = host_reputation(parts.select("page_id", "host"), labels, z).select("host", "bound")
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") > max_bad, "block").otherwise("allow")
     return (parts.join(reputation, "host", "left")
-            .select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict")))
+            .select("_row", "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict")))
+
+
+def judge_urls(pages: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """``pages(page_id, url)`` with host, path, the fitting rule and the verdict."""
+    return _judged(pages.select("page_id", "url"), labels, **options).drop("_row")
 
 
 def filter_pages(pages: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``pages`` whose url is allowed, all their columns kept."""
-    verdicts = judge_urls(pages.select("page_id", "url"), labels, **options)
-    kept = verdicts.where("verdict = 'allow'").select("page_id").distinct()
-    return pages.join(kept, pages["page_id"].eqNullSafe(kept["page_id"]), "left_semi")
+    """The rows of ``pages`` whose own url is allowed, all their columns kept; rows that share an id are judged one by one."""
+    return _judged(pages, labels, **options).where("verdict = 'allow'").select("_row.*")
 
 
 #: The same verdicts over the registered tables, in DuckDB SQL.

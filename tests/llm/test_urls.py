@@ -52,3 +52,10 @@ def test_empty_tables_and_filter(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string").selectExpr("*", "1 AS host")
     kept = u.filter_pages(pages, marks)
     assert kept.columns == pages.columns and not any("//bad.example.com" in (r.url or "") for r in kept.collect())
+
+
+def test_rows_of_one_id_are_judged_by_their_own_url(spark):
+    rows = [(1, "http://x.net/a", "p"), (1, "http://ok.com/a", "q"), (None, "http://x.net/b", "r"), (None, "http://ok.com/b", "s")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, _row string").selectExpr("*", "'v' AS verdict", "2 AS bound")
+    kept = u.filter_pages(pages, spark.createDataFrame([], "page_id long, bad int"))
+    assert kept.columns == pages.columns and sorted(r["_row"] for r in kept.collect()) == ["q", "s"]
