@@ -20,9 +20,10 @@ byte by byte before they count as equal; the smallest id of each run of equal wi
 Scale.  Documents are laid out once as a table bucketed by small cells (by rows and by bytes), so their texts
 are never shuffled; hashes, contexts and spans go to the cells instead, as packed arrays.
 Exact copies are found by their digest first.  Close anchors of a text with equal contexts, as in a run of one
-byte, are one record.  An anchor with more than ``HOT`` occurrences is not gathered in one task: its contexts, then the
-windows of each context's first document, are grouped by their bytes with a combine before the
-shuffle, which is exact as well.
+byte, are one record.  An anchor with more than ``HOT`` occurrences is not gathered in one task: each cell opens its
+contexts into their windows and sends every different one once, with the smallest document that has it there, to the
+bucket of the window's own hash, where the same sort and verification say whether another cell has it in an earlier
+document; the cell applies the answer to its own occurrences.  So what meets in a task follows the cells, not the occurrences.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window lose nothing; rows
 that share an id never remove each other; a null id counts as larger than any other; an empty
@@ -54,7 +55,8 @@ PIECE = 1 << 22                       # bytes or anchors of a cell that are look
 ANCHORS_A_BUCKET = 1 << 18
 ELEMENTS = 1 << 17                    # windows that are sorted at once
 RECORDS = 1 << 14                     # contexts that are resolved at once, if no anchor has more
-HOT = 20_000                          # occurrences of an anchor that one task still gathers (about 2 MB)
+HOT = 20_000                          # occurrences of an anchor that are gathered as contexts (about 2 MB), not as windows by cell
+COPIES, HITS, OPENED = -1, -2, -10    # what a payload is where its bucket says no bucket; anchors to open: OPENED - bucket
 BUCKET_BYTES = 32 << 20
 BASE = 0x9E3779B97F4A7C15             # odd, so it has an inverse modulo 2**64
 NO_ID = (1 << 63) - 1
@@ -276,7 +278,7 @@ class Cell:
         self.sent = list(zip(sent["bucket"].to_pylist(), sent["payload"].to_pylist())) if sent.num_rows else []
         self.flat, self.copies = None, set()
         for bucket, payload in self.sent:
-            if bucket < 0:
+            if bucket == COPIES:
                 self.copies.update(np.frombuffer(payload, np.uint16).tolist())
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,6 +321,29 @@ class Cell:
         return left.astype(np.uint8), right.astype(np.uint8), matrix
 
 
+    def known(self, opened: bool) -> np.ndarray:
+        """The leading hash bits of the shared anchors that are sent as contexts, or of those that are opened."""
+        found = [np.zeros(0, np.uint64)]
+        for b, p in self.sent:
+            if (b <= OPENED) if opened else (b >= 0):
+                found.append((np.uint64(OPENED - b if opened else b) << np.uint64(32)) | np.frombuffer(p, np.uint32).astype(np.uint64))
+        return np.sort(np.concatenate(found))
+
+
+def opened(doc: np.ndarray, left: np.ndarray, right: np.ndarray, context: np.ndarray):
+    """For every offset of an anchor in its window: the records that have a window there, the number of each one's window among
+    the different ones (in the order of their bytes), these windows, and the smallest document of each."""
+    low, high = np.maximum(0, WINDOW - right.astype(np.int64)), left.astype(np.int64)
+    for o in range(LEFT + 1):
+        k = np.flatnonzero((low <= o) & (o <= high))
+        if len(k):
+            body = np.ascontiguousarray(context[k, LEFT - o:LEFT - o + WINDOW])
+            _, pick, own = np.unique(body.view(f"V{WINDOW}").ravel(), return_index=True, return_inverse=True)
+            least = np.full(len(pick), NO_ID, np.int64)
+            np.minimum.at(least, own, doc[k])
+            yield o, k, own, body[pick], least
+
+
 def _split(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket (the leading bits) and the 32 bits that follow."""
     return (h >> np.uint64(64 - bits)).astype(np.int64), ((h << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
@@ -389,7 +414,7 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
     copies = digest.join(least, "sha").where("key > least").select("cell", "row")
 
     def pack_copies(t: pa.Table) -> pa.Table:
-        return pa.table({"cell": t["cell"][:1], "bucket": pa.array([-1], pa.int32()),
+        return pa.table({"cell": t["cell"][:1], "bucket": pa.array([COPIES], pa.int32()),
                          "payload": pa.array([t["row"].to_numpy().astype(np.uint16).tobytes()], pa.binary())})
 
     copied = materialize(copies.groupBy("cell").applyInArrow(pack_copies, SENT), "copies")
@@ -436,12 +461,10 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
 
     wanted = materialize(told.groupBy("bucket").applyInArrow(shared, SENT + ", hot boolean"), "shared_anchors")
 
-    def records(cell_: Cell, number: int) -> tuple[dict, np.ndarray]:
-        """The cell's occurrences of shared anchors."""
-        k, pos, h = cell_.anchors()
-        known = np.concatenate([np.zeros(0, np.uint64), *((np.uint64(b) << np.uint64(32)) | np.frombuffer(p, np.uint32).astype(np.uint64)
-                                                          for b, p in cell_.sent if b >= 0)])
-        known.sort()
+    def records(cell_: Cell, number: int, found: tuple, opened_: bool) -> tuple[dict, np.ndarray]:
+        """The cell's occurrences of shared anchors, of those that stay whole or of those that are opened."""
+        k, pos, h = found
+        known = cell_.known(opened_)
         lead = h >> np.uint64(64 - bits - 32)
         at = np.minimum(np.searchsorted(known, lead), max(len(known) - 1, 0))
         live = known[at] == lead if len(known) else np.zeros(len(h), bool)
@@ -452,13 +475,34 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         return {"h": h, "doc": cell_.doc[k], "cell": np.full(len(k), number, np.int64), "pos": pos.astype(np.int32),
                 "last": last.astype(np.int32), "row": cell_.row[k].astype(np.uint16), "left": left, "right": right}, matrix
 
+    def window_records(r: dict, matrix: np.ndarray, number: int) -> tuple[dict, np.ndarray]:
+        """Each different window of the opened records once: a record of its own, whose position is its number and which has no last one."""
+        parts, bodies, base = [], [], 0
+        for o, _, _, body, least in opened(r["doc"], r["left"], r["right"], matrix):
+            n = len(body)
+            start = np.arange(n) * WINDOW
+            h = mix(Hashes(body.ravel()).of(start, start + WINDOW) ^ mix(np.full(n, o + 1, np.uint64)))
+            context = np.zeros((n, WIDTH), np.uint8)
+            context[:, LEFT - o:LEFT - o + WINDOW] = body
+            parts.append({"h": h, "doc": least, "cell": np.full(n, number, np.int64), "pos": (base + np.arange(n)).astype(np.int32),
+                          "last": np.full(n, -1, np.int32), "row": np.zeros(n, np.uint16), "left": np.full(n, o, np.uint8), "right": np.full(n, WINDOW - o, np.uint8)})
+            bodies.append(context)
+            base += n
+        if not parts:
+            return {n: np.zeros(0, t) for n, t in RECORD}, np.zeros((0, WIDTH), np.uint8)
+        return {n: np.concatenate([x[n] for x in parts]) for n, _ in RECORD}, np.concatenate(bodies)
+
     names = [n for n, _ in RECORD]
     kinds = {"bucket": pa.int32()} | {n: pa.binary() for n in [*names, "context"]}
 
     def gather(docs: pa.Table, sent: pa.Table) -> pa.Table:
         out = {n: [] for n in kinds}
         if docs.num_rows and sent.num_rows:
-            r, matrix = records(Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py())
+            cell_, number = Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py()
+            found = cell_.anchors()
+            r, matrix = records(cell_, number, found, False)
+            w, windows = window_records(*records(cell_, number, found, True), number)
+            r, matrix = {n: np.concatenate((r[n], w[n])) for n in names}, np.concatenate((matrix, windows))
             order = np.argsort(r["h"], kind="stable")
             bucket = _split(r["h"][order], bits)[0]
             for b, s in _by_bucket(bucket):
@@ -477,67 +521,50 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         for part in np.split(order, cuts[1:][np.flatnonzero(np.diff(cuts[1:] // RECORDS, prepend=0))]):   # whole anchors, some at a time
             k, a, b = resolve(*(r[n][part] for n in ("h", "doc", "left", "right")), context[part])
             k = part[k]
-            out.append((r["cell"][k], r["row"][k], r["pos"][k] + a, r["last"][k] + b))
+            out.append((r["cell"][k], r["row"][k], r["pos"][k], r["last"][k], a, b))
+        cell_, row_, pos, last, a, b = (np.concatenate(x) for x in zip(*out))
+        whole, window = last >= 0, last < 0
+        spans = _span_rows(cell_[whole], row_[whole], pos[whole] + a[whole], last[whole] + b[whole])
+        order = np.lexsort((pos[window], cell_[window]))
+        cells_, hits = cell_[window][order], pos[window][order]
+        told_ = [(c, hits[s].astype(np.int32).tobytes()) for c, s in _by_bucket(cells_)]
+        return pa.concat_tables([spans, pa.table({"cell": pa.array([c for c, _ in told_], pa.int64()), "bucket": pa.array([HITS] * len(told_), pa.int32()),
+                                                  "payload": pa.array([p for _, p in told_], pa.binary())})])
+
+    def applied(docs: pa.Table, sent: pa.Table) -> pa.Table:
+        """The cell's own occurrences of opened windows that an earlier document has, here or elsewhere."""
+        out = [(np.zeros(0, np.int64),) * 4]
+        if docs.num_rows and sent.num_rows:
+            cell_, number = Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py()
+            r, matrix = records(cell_, number, cell_.anchors(), True)
+            hits = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(p, np.int32) for b, p in cell_.sent if b == HITS)])
+            base = 0
+            for o, k, own, body, least in opened(r["doc"], r["left"], r["right"], matrix):
+                elsewhere = np.zeros(len(body), bool)
+                mine = hits[(hits >= base) & (hits < base + len(body))] - base
+                elsewhere[mine] = True
+                base += len(body)
+                k = k[elsewhere[own] | (r["doc"][k] > least[own])]
+                out.append((r["cell"][k], r["row"][k].astype(np.int64), r["pos"][k].astype(np.int64) - o, r["last"][k].astype(np.int64) - o + WINDOW))
         return _span_rows(*(np.concatenate(x) for x in zip(*out)))
 
-    usual = copied.unionByName(wanted.where("NOT hot").select("cell", "bucket", "payload"))
-    spans = (slim.groupBy("cell").cogroup(usual.groupBy("cell")).applyInArrow(gather, "bucket int, " + ", ".join(f"{n} binary" for n in [*names, "context"]))
-             .groupBy("bucket").applyInArrow(ranges, SENT))
+    anchors_sent = copied.unionByName(wanted.select("cell", F.when(F.col("hot"), OPENED - F.col("bucket")).otherwise(F.col("bucket")).alias("bucket"), "payload"))
+    found = materialize(slim.groupBy("cell").cogroup(anchors_sent.groupBy("cell"))
+                        .applyInArrow(gather, "bucket int, " + ", ".join(f"{n} binary" for n in [*names, "context"]))
+                        .groupBy("bucket").applyInArrow(ranges, SENT), "spans")
+    spans = found.where(F.col("bucket") != HITS)
     if wanted.where("hot").take(1):
-        spans = spans.unionByName(_hot_spans(slim, copied.unionByName(wanted.where("hot").select("cell", "bucket", "payload")), records))
-    return cells, copied.unionByName(materialize(spans, "spans")), name
-
-
-def _hot_spans(slim: DataFrame, sent: DataFrame, records) -> DataFrame:
-    """Spans at anchors of very many documents, grouped by bytes and never gathered."""
-    def occurrences(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        if docs.num_rows and sent.num_rows:
-            r, matrix = records(Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py())
-        else:
-            r, matrix = {n: np.zeros(0, t) for n, t in RECORD}, np.zeros((0, WIDTH), np.uint8)
-        body = np.ascontiguousarray(np.concatenate((r["left"][:, None], r["right"][:, None], matrix), 1))
-        places = np.arange(len(body) + 1, dtype=np.int64) * (WIDTH + 2)
-        context = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(body), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(body.tobytes())])
-        return pa.table({"context": context.cast(pa.binary()),
-                         "doc": pa.array(r["doc"], pa.int64()), "cell": pa.array(r["cell"], pa.int64()),
-                         "row": pa.array(r["row"].astype(np.int32)), "pos": pa.array(r["pos"], pa.int32()), "last": pa.array(r["last"], pa.int32())})
-
-    found = materialize(slim.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(
-        occurrences, "context binary, doc long, cell long, row int, pos int, last int"), "hot_contexts")
-    least = materialize(found.groupBy("context").agg(F.min("doc").alias("least")), "hot_least")
-    judged = found.join(least, "context")
-
-    def windows(batches):
-        for batch in batches:
-            key, least_, ctx = [], [], []
-            for c, d in zip(batch["context"].to_pylist(), batch["least"].to_pylist()):
-                left, right, body = c[0], c[1], c[2:]
-                for o in range(max(0, WINDOW - right), left + 1):
-                    key.append(bytes([o]) + body[LEFT - o:LEFT - o + WINDOW])
-                    least_.append(d)
-                    ctx.append(c)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(least_, pa.int64()), pa.array(ctx, pa.binary())], ["key", "least", "context"])
-
-    opened = least.mapInArrow(windows, "key binary, least long, context binary")
-    first = opened.groupBy("key").agg(F.min("least").alias("first"))
-    hit = opened.join(first, "key").where("first < least").select("context", F.conv(F.hex(F.substring("key", 1, 1)), 16, 10).cast("int").alias("offset"))
-    partly = (judged.where("doc = least").join(hit, "context")
-              .select("cell", "row", (F.col("pos") - F.col("offset")).alias("start"), (F.col("last") - F.col("offset") + WINDOW).alias("end")))
-    side = lambda at: F.conv(F.hex(F.substring("context", at, 1)), 16, 10).cast("int")
-    whole = (judged.where("doc > least").where(side(1) + side(2) >= WINDOW)
-             .select("cell", "row", (F.col("pos") - side(1)).alias("start"), (F.col("last") + side(2)).alias("end")))
-
-    def pack(t: pa.Table) -> pa.Table:
-        return _span_rows(*(t[c].to_numpy() for c in ("cell", "row", "start", "end")))
-
-    return whole.unionByName(partly).groupBy("cell").applyInArrow(pack, SENT)
+        opened_in = wanted.where("hot").select("cell").distinct()  # the other cells have nothing to apply
+        sent = anchors_sent.where(F.col("bucket") < 0).unionByName(found.where(F.col("bucket") == HITS)).join(opened_in, "cell", "left_semi")
+        spans = spans.unionByName(materialize(slim.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(applied, SENT), "opened_spans"))
+    return cells, copied.unionByName(spans), name
 
 
 def _cuts(t: pa.Table, sent: pa.Table, row: str) -> list[np.ndarray]:
     """For every row of a cell, which bytes go."""
     spans = [np.frombuffer(p, SPAN) for b, p in zip(sent["bucket"].to_pylist(), sent["payload"].to_pylist()) if b >= 0]
     spans = np.concatenate(spans) if spans else np.zeros(0, SPAN)
-    copies = {x for b, p in zip(sent["bucket"].to_pylist(), sent["payload"].to_pylist()) if b < 0 for x in np.frombuffer(p, np.uint16).tolist()}
+    copies = {x for b, p in zip(sent["bucket"].to_pylist(), sent["payload"].to_pylist()) if b == COPIES for x in np.frombuffer(p, np.uint16).tolist()}
     spans = spans[np.argsort(spans["row"], kind="stable")]
     out = []
     for r, text in zip(t[row].to_pylist(), t["text"].cast(pa.large_binary()).to_pylist()):

@@ -100,12 +100,43 @@ def test_null_id_is_the_largest(spark):
 
 
 def test_hot_anchors_are_told_by_their_occurrences(spark, monkeypatch):
-    called, hot_spans = [], sd._hot_spans
     monkeypatch.setattr(sd, "HOT", 100)
-    monkeypatch.setattr(sd, "_hot_spans", lambda *a: called.append(1) or hot_spans(*a))
     rows = [(1, "x" * 300, None, None, 0), (2, "a" + "x" * 400 + "b" + "y" * 60, None, None, 0)] + [(k, "q" * 9 + str(k) + "y" * 61, None, None, 0) for k in (3, 4)]
     got = sorted(tuple(r) for r in sd.removal_digest(frame(spark, rows)).collect())
-    assert called and got == brute([(d, t) for d, t, *_ in rows])
+    assert got == brute([(d, t) for d, t, *_ in rows])
+
+
+@pytest.mark.parametrize("bits", [2, 11])
+def test_an_anchor_in_a_third_of_all_rows(spark, monkeypatch, bits):
+    monkeypatch.setattr(sd, "HOT", 20)
+    monkeypatch.setattr(sd, "CELL_BITS", bits)       # 2: four rows a cell, so the windows of the line meet across many cells
+    rng = random.Random(8)
+    line = "this very line stands in a third of all the documents, with other words around it"
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randint(3, 7)))
+    rows = []
+    for k in range(240):
+        words = [word() for _ in range(rng.randint(5, 25))]
+        if k % 3 == 0:
+            words.insert(rng.randrange(len(words)), line[rng.choice([0, 0, 7]):])
+        rows.append((rng.choice([k, 1000 - k]), " ".join(words), None, None, 0))
+    got = sorted(tuple(r) for r in sd.removal_digest(frame(spark, rows, parts=4)).collect())
+    assert got == brute([(d, t) for d, t, *_ in rows])
+    assert sum(r[2] > 0 for r in got) >= 70
+
+
+def test_opened_windows_are_numbered_by_their_bytes():
+    rng = np.random.default_rng(2)
+    doc, left = rng.integers(0, 9, 40), rng.integers(0, sd.LEFT + 1, 40).astype(np.uint8)
+    right = rng.integers(0, sd.WINDOW + 1, 40).astype(np.uint8)
+    context = rng.integers(0, 2, (40, sd.WIDTH)).astype(np.uint8)
+    context[20:] = context[:20]
+    seen = set()
+    for o, k, own, body, least in sd.opened(doc, left, right, context):
+        windows = [bytes(context[i, sd.LEFT - o:sd.LEFT - o + sd.WINDOW]) for i in k]
+        assert [bytes(body[w]) for w in own] == windows and [bytes(x) for x in body] == sorted(set(windows))
+        assert least.tolist() == [min(d for d, w in zip(doc[k], windows) if w == bytes(b)) for b in body]
+        seen |= {(i, o) for i in k}
+    assert seen == {(i, o) for i in range(40) for o in range(sd.LEFT + 1) if sd.WINDOW - int(right[i]) <= o <= left[i]}
 
 
 def test_cells_are_cut_by_bytes_and_runs_are_one_record(spark, monkeypatch):
