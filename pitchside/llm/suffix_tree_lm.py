@@ -17,9 +17,6 @@ n-gram in it has one addend as a state's factor for the other words and one as a
 cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  Words and
 n-grams are compared by 64-bit hashes.
 
-With a ``context_rate`` the model is the small one of ``fit``: contexts of one or two words, and
-n-grams that make up at least that share of the training tokens, held in memory.
-
 Defined cases: a null or empty text is the end token alone; a null id counts as the empty
 text in the hold-out rule; repeated rows are counted and scored as often as they occur; with no
 training rows every count is zero; an empty table gives no rows.
@@ -44,8 +41,6 @@ from pitchside.session import scratch_path
 
 DEPTH = 3             # words of a context
 MIN_COUNT = 2         # of a stored next word
-WORD_RATE = 1e-6      # ``fit``: at most a million broadcast word counts
-CONTEXT_RATE = 2e-5   # ``fit``: at most 50,000 contexts of each length, and as many stored pairs
 DIVERGENCE = 20.0     # nats
 PRIOR = 1.0
 CHUNK_TOKENS = 1 << 20
@@ -80,33 +75,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]):
         yield held, rows
 
 
-def _counted(keys: np.ndarray) -> pa.RecordBatch:
-    key, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
-
-
-def _sum_by_key(texts: DataFrame, keys_of) -> DataFrame:
-    """Sum over all chunks of how often ``keys_of(chunk)`` holds each key."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, _ in _chunks(batches):
-            yield _counted(keys_of(held))
-
-    return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
 @dataclass
 class Table:
-    """Counts by sorted key; ``find`` gives places, -1 where a key is missing."""
+    """Values by sorted key; ``find`` gives places, -1 where a key is missing."""
     keys: np.ndarray
     n: np.ndarray
 
-    @classmethod
-    def of(cls, frame: DataFrame) -> "Table":
-        got = frame.select("key", "n").toArrow()   # bounded by a rate, see above
-        keys, n = got["key"].to_numpy(), got["n"].to_numpy()
-        order = np.argsort(keys)
-        return cls(keys[order], n[order])
-
     def find(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.full(len(keys), -1, np.int64)
@@ -114,186 +88,6 @@ class Table:
         return np.where(self.keys[k] == keys, k, -1)
 
 
-def _indexed(held: list[np.ndarray], words: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word places of all positions, and of the two positions before; -1 if not listed or outside the text."""
-    flat = np.concatenate(held)
-    at = words.find(flat.view(np.int64))
-    ends = np.cumsum([len(h) for h in held])
-    starts = ends - [len(h) for h in held]
-    one = np.concatenate(([-1], at[:-1]))
-    one[starts] = -1
-    two = np.concatenate(([-1], one[:-1]))
-    two[starts] = -1
-    return at, one, two
-
-
-@dataclass
-class Tree:
-    total: int            # training tokens
-    known: int            # distinct training tokens
-    words: Table          # broadcast word counts
-    common: np.ndarray    # place in words -> context word number, or -1
-    one: dict             # states of one word: see _states
-    two: dict             # states of two words
-
-    @property
-    def log_size(self) -> float:
-        return float(np.log10(self.total + 0.5 * (self.known + 1)))
-
-
-def _states(state: np.ndarray, word: np.ndarray, n: np.ndarray, size: np.ndarray, below, divergence: float, prior: float) -> dict:
-    """Divergence test and smoothing of candidate contexts.
-
-    Pairs (state, word, n), size of each state, ``below(state, word)`` the suffix's probability.
-    Returns the kept states: ``keep``, ``rest`` (log10 factor for words not stored), pairs sorted
-    by state and word with their log10 probability."""
-    p = n / (size[state] + prior)
-    q = below(state, word)
-    stored, lower = np.bincount(state, p, len(size)), np.bincount(state, q, len(size))
-    rest, other = 1 - stored, np.maximum(1 - lower, 1e-12)
-    kl = np.bincount(state, p * np.log(p / q), len(size)) + rest * np.log(rest / other)
-    keep = (size > 0) & (size * kl >= divergence)
-    live = keep[state]
-    return {"keep": keep, "rest": np.log10(rest / other), "state": state[live], "word": word[live], "log_p": np.log10(p[live])}
-
-
-def fit(train: DataFrame, word_rate: float = WORD_RATE, context_rate: float = CONTEXT_RATE,
-        divergence: float = DIVERGENCE, prior: float = PRIOR) -> tuple[Tree, DataFrame]:
-    """The tree and the table (key, n) of all word counts, from the texts of ``train``."""
-    counts = materialize(_sum_by_key(train, lambda held: np.concatenate([h[1:] for h in held])), "word_counts")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    total, known = int(row[0]), int(row[1])
-    words = Table.of(counts.where(F.col("n") >= word_rate * total))
-    floor = max(1.0, context_rate * total)
-    listed = np.flatnonzero(words.n >= floor)
-    common = np.full(len(words.keys) + 1, -1, np.int64)   # the last entry answers place -1
-    common[listed] = np.arange(len(listed))
-    m = max(1, len(listed))
-    size1 = words.n[listed].astype(float)
-    sc = train.sparkSession.sparkContext
-    shared = sc.broadcast((words, common))
-
-    def pairs(held: list[np.ndarray]) -> np.ndarray:
-        w, c = shared.value
-        at, one, _ = _indexed(held, w)
-        a, b = c[one], c[at]
-        return (a * m + b)[(a >= 0) & (b >= 0)]
-
-    bigrams = Table.of(_sum_by_key(train, pairs).where(F.col("n") >= floor))
-    wide = sc.broadcast(bigrams)
-
-    def triples(held: list[np.ndarray]) -> np.ndarray:
-        w, c = shared.value
-        at, one, two = _indexed(held, w)
-        a, b, t = c[two], c[one], c[at]
-        ok = (a >= 0) & (b >= 0) & (t >= 0)
-        a, b, t = a[ok], b[ok], t[ok]
-        first = wide.value.find(a * m + b)
-        ok = (first >= 0) & (wide.value.find(b * m + t) >= 0)   # a frequent triple has two frequent pairs
-        return (first * m + t)[ok]
-
-    trigrams = Table.of(_sum_by_key(train, triples).where(F.col("n") >= floor))
-
-    log_size = np.log10(total + 0.5 * (known + 1))
-    root = (words.n[listed] + 0.5) / 10 ** log_size
-    state, word = bigrams.keys // m, bigrams.keys % m
-    one = _states(state, word, bigrams.n, size1, lambda s, w: root[w], divergence, prior)
-    kept1 = Table(one["state"] * m + one["word"], one["log_p"])
-
-    def suffix(s: np.ndarray, w: np.ndarray) -> np.ndarray:
-        last = bigrams.keys[s] % m
-        k = kept1.find(last * m + w)
-        p = root[w] * np.where(one["keep"][last], 10 ** one["rest"][last], 1.0)
-        return np.where(k >= 0, 10 ** kept1.n[np.maximum(k, 0)], p) if len(kept1.n) else p
-
-    two = _states(trigrams.keys // m, trigrams.keys % m, trigrams.n, _followed(bigrams, m, trigrams, size1), suffix, divergence, prior)
-    two["context"] = bigrams.keys
-    two["m"] = one["m"] = m
-    return Tree(total, known, words, common, one, two), counts
-
-
-def _followed(bigrams: Table, m: int, trigrams: Table, size1: np.ndarray) -> np.ndarray:
-    """How often each pair is a history: a pair ending in the end token is followed by nothing."""
-    return np.where(np.bincount(trigrams.keys // m, minlength=len(bigrams.keys)) > 0, bigrams.n, 0).astype(float)
-
-
-class Scorer:
-    def __init__(self, tree: Tree):
-        self.t, self.m = tree, tree.one["m"]
-        self.root = np.log10(tree.words.n + 0.5) - tree.log_size
-        self.one = Table(tree.one["state"] * self.m + tree.one["word"], tree.one["log_p"])
-        self.two = Table(tree.two["state"] * self.m + tree.two["word"], tree.two["log_p"])
-        self.context = Table(tree.two["context"], EMPTY)
-
-    def log_p(self, at: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each position by the tree and by the root; a rare word's own part is left out."""
-        c = self.t.common
-        word, b, a = c[at], c[one], c[two]
-        out, todo = np.zeros(len(at)), np.ones(len(at), bool)
-        s2 = np.where((a >= 0) & (b >= 0), self.context.find(a * self.m + b), -1)
-        self._step(out, todo, s2, word, self.t.two, self.two)
-        self._step(out, todo, b, word, self.t.one, self.one)
-        base = np.concatenate((self.root, [0.0]))[at]
-        out[todo] += base[todo]
-        return out, base
-
-    def _step(self, out, todo, state, word, part, table) -> None:
-        if not len(part["keep"]):
-            return
-        live = np.flatnonzero(todo & (state >= 0) & part["keep"][np.maximum(state, 0)])
-        k = np.where(word[live] >= 0, table.find(state[live] * self.m + word[live]), -1)
-        hit = k >= 0
-        out[live[hit]] += table.n[k[hit]]
-        todo[live[hit]] = False
-        out[live[~hit]] += part["rest"][state[live[~hit]]]
-
-
-def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
-    """Rows of ``docs(doc_id, text)`` with n_tokens, n_known, base_score and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    rare = pa.struct([("key", pa.int64()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for held, rows in _chunks(batches):
-            at, one, two = _indexed(held, scorer.t.words)
-            p, base = scorer.log_p(at, one, two)
-            ends = np.cumsum([len(h) for h in held])
-            starts = ends - [len(h) for h in held]
-            first = np.zeros(len(at), bool)
-            first[starts] = True                       # the history's end token is not scored
-            p[first] = base[first] = 0.0
-            far = (at < 0) & ~first
-            doc = np.repeat(np.arange(len(held)), [len(h) for h in held])
-            key, owner = np.concatenate(held).view(np.int64)[far], doc[far]
-            order = np.lexsort((key, owner))
-            key, owner = key[order], owner[order]
-            new = np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))) if len(key) else np.zeros(0, bool)
-            where = np.flatnonzero(new)
-            n = np.diff(np.concatenate((where, [len(key)]))) if len(key) else EMPTY
-            lists = np.searchsorted(owner[where], np.arange(len(held) + 1))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array([r["row"] for r in rows], pa.int64()),
-                pa.array(np.diff(np.concatenate((starts, [len(at)]))) - 1), pa.array(np.bincount(doc[~far & ~first], minlength=len(held))),
-                pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(p, starts)),
-                pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.StructArray.from_arrays(
-                    [pa.array(key[where]), pa.array(n.astype(np.int64))], fields=list(rare)))],
-                ["doc_id", "row", "n_tokens", "listed", "base", "tree", "rare"])
-
-    rows = materialize(text_rows(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        run, "doc_id long, row long, n_tokens long, listed long, base double, tree double, rare array<struct<key:long,n:long>>"), "scored")
-    met = rows.select("row", F.explode("rare").alias("r")).select("row", "r.key", F.col("r.n").alias("times")).join(counts, "key", "left")
-    n = F.coalesce("n", F.lit(0))
-    far = met.groupBy("row").agg(F.sum(F.col("times") * (F.log10(n + 0.5) - tree.log_size)).alias("far"),
-                                 F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("far_known"))
-    far_part = F.coalesce("far", F.lit(0.0))
-    return (rows.drop("rare").join(far, "row", "left")
-            .select("doc_id", "n_tokens", (F.col("listed") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
-                    (F.col("base") + far_part).alias("base_score"), (F.col("tree") + far_part).alias("score")))
-
-
-# -- the whole model, distributed ---------------------------------------------------------
-
 CELL = "cell long, tokens long, ids array<long>, words binary, at binary, size binary, train binary"
 SENT = "cell long, bucket int, level int, ok binary, own binary, n binary"
 
@@ -494,9 +288,9 @@ def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, top: int, bits:
     return asked.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, SENT)
 
 
-def score_whole(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_count: int = MIN_COUNT,
-                divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
-    """``score_corpus`` with every state of up to ``depth`` words."""
+def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_count: int = MIN_COUNT,
+                 divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
+    """Learn from the rows that are not held out, score all rows of ``docs(doc_id, text)``."""
     cells, tokens = _cells(docs, ~held_out)
     top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / KEYS_A_BUCKET))))
     sent = docs.sparkSession.createDataFrame([], SENT)
@@ -529,11 +323,3 @@ def score_whole(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_count
     return (cells.groupBy("cell").cogroup(sent.unionByName(asked).groupBy("cell"))
             .applyInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
             .withColumn("train_tokens", F.lit(total).cast("long")))
-
-
-def score_corpus(docs: DataFrame, held_out: Column, context_rate: float | None = None, **options) -> DataFrame:
-    """Learn from the rows that are not held out, score all rows of ``docs(doc_id, text)``."""
-    if context_rate is None:
-        return score_whole(docs, held_out, **options)
-    tree, counts = fit(text_rows(docs.where(~held_out)), context_rate=context_rate, **options)
-    return score(docs, tree, counts).withColumn("train_tokens", F.lit(tree.total).cast("long"))

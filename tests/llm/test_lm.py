@@ -2,7 +2,6 @@ import collections
 import math
 import zlib
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,47 +9,90 @@ from pitchside.llm import queries, suffix_tree_lm as lm
 from tests.llm.util import documents, frame
 
 
-@pytest.fixture(scope="module")
-def scored(spark):
-    rows = documents(90) + [(3, "w1 w2 w1", None, None, 8)] * 2 + [(None, "w1 new-word", None, None, 11)]
-    held = queries.crc_mod("doc_id", 5) == 1
-    df = lm.score_corpus(frame(spark, rows, extra=True), held, context_rate=1e-3, word_rate=2e-3, divergence=2.0)
-    return rows, df.collect()
-
-
-def test_counts_and_base_equal_brute_force(scored):
-    rows, got = scored
-    count = collections.Counter()
-    for d, t, *_ in rows:
-        if zlib.crc32(("" if d is None else str(d)).encode()) % 5 != 1:
-            count.update([*(t or "").encode().lower().split(), b""])
-    total, known = sum(count.values()), len(count)
-    expected = []
-    for d, t, *_ in rows:
-        tokens = [*(t or "").encode().lower().split(), b""]
-        base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (known + 1))) for w in tokens)
-        expected.append((d, len(tokens), sum(count[w] > 0 for w in tokens), total, round(base, 6)))
-    have = [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got]
-    assert sorted(have, key=repr) == sorted(expected, key=repr)
-
-
-def test_states_are_distributions(spark):
-    rows = [(k, "the cat sat on the mat and the dog sat on the rug", None, None, 0) for k in range(40)] + documents(60)
-    tree, _ = lm.fit(lm.text_rows(frame(spark, rows)), word_rate=1e-6, context_rate=1e-3, divergence=1.0)
-    scorer, every = lm.Scorer(tree), np.arange(len(tree.words.keys))
-    assert tree.one["keep"].any() and tree.two["keep"].any()
-    listed = np.flatnonzero(tree.common[:-1] >= 0)
-    unseen = 1 - (10 ** scorer.root).sum()
-    for k in np.flatnonzero(tree.two["keep"])[:10]:
-        a, b = listed[tree.two["context"][k] // scorer.m], listed[tree.two["context"][k] % scorer.m]
-        p, _ = scorer.log_p(every, np.full(len(every), b), np.full(len(every), a))
-        rest, _ = scorer.log_p(np.array([-1]), np.array([b]), np.array([a]))
-        assert (10 ** p).sum() + 10 ** rest[0] * unseen == pytest.approx(1)
+class Brute:
+    """The suffix tree as written: counts of all n-grams, states by the divergence test, the longest state decides."""
+
+    def __init__(self, rows, held_out, depth=lm.DEPTH, min_count=lm.MIN_COUNT, divergence=lm.DIVERGENCE, prior=lm.PRIOR):
+        self.depth, self.least, self.prior = depth, min_count, prior
+        self.n, self.states = collections.Counter(), {}
+        for d, t in rows:
+            if not held_out(d):
+                seq = self.tokens(t)
+                for i in range(1, len(seq)):
+                    self.n.update(tuple(seq[i - k:i + 1]) for k in range(min(i, depth) + 1))
+        self.words = [g[0] for g in self.n if len(g) == 1]
+        self.total = sum(self.n[w,] for w in self.words)
+        for k in range(1, depth + 1):
+            follow = collections.defaultdict(dict)
+            for g, n in self.n.items():
+                if len(g) == k + 1 and n >= min_count:
+                    follow[g[:-1]][g[-1]] = n
+            found = {}
+            for ctx, stored in follow.items():
+                size = self.n[ctx]
+                p = {w: n / (size + prior) for w, n in stored.items()}
+                q = {w: self.p(w, ctx[1:], k - 1) for w in stored}
+                rest, other = 1 - sum(p.values()), max(1 - sum(q.values()), 1e-12)
+                kl = sum(p[w] * math.log(p[w] / q[w]) for w in p) + rest * math.log(rest / other)
+                if size * kl >= divergence:
+                    found[ctx] = (p, rest / other)
+            self.states.update(found)
+
+    @staticmethod
+    def tokens(text):
+        return [b"", *(text or "").encode().lower().split(), b""]
+
+    def base(self, w):
+        return (self.n[w,] + 0.5) / (self.total + 0.5 * (len(self.words) + 1))
+
+    def p(self, w, history, depth):
+        out = self.base(w)
+        for k in range(1, min(depth, len(history)) + 1):
+            state = self.states.get(tuple(history[-k:]))
+            if state:
+                out = state[0].get(w, out * state[1])
+        return out
+
+    def row(self, d, text):
+        seq = self.tokens(text)
+        logs = [math.log10(self.p(seq[i], seq[max(0, i - self.depth):i], self.depth)) for i in range(1, len(seq))]
+        return (d, len(seq) - 1, sum(self.n[w,] > 0 for w in seq[1:]), self.total, round(sum(math.log10(self.base(w)) for w in seq[1:]), 5), round(sum(logs), 5))
+
+
+def out(d):
+    return zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1
+
+
+def phrases(n):
+    return [(1000 + k, f"the cat sat on the mat and the dog sat on the rug n{k % 7} the cat sat on the", None, None, 8) for k in range(n)]
+
+
+@pytest.mark.parametrize("options", [{}, {"depth": 2, "min_count": 1, "divergence": 2.0}, {"divergence": 5.0, "prior": 0.5}])
+def test_scores_equal_brute_force(spark, options):
+    rows = documents(50) + phrases(25) + [(3, "w1 w2 w1", None, None, 8)] * 2 + [(None, "w1 new-word", None, None, 11)]
+    brute = Brute([(r[0], r[1]) for r in rows], out, **options)
+    assert {len(c) for c in brute.states} == set(range(1, options.get("depth", lm.DEPTH) + 1))
+    got = lm.score_corpus(frame(spark, rows, extra=True), queries.crc_mod("doc_id", 5) == 1, **options).collect()
+    want = sorted((brute.row(r[0], r[1]) for r in rows), key=repr)
+    have = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got), key=repr)
+    assert [h[:4] for h in have] == [w[:4] for w in want]
+    for h, w in zip(have, want):
+        assert h[4:] == pytest.approx(w[4:], abs=2e-5)
+    assert any(r[-1] != r[-2] for r in want)
+
+
+def test_every_state_is_a_distribution():
+    """Over all known words and one that is not known (what it gets at the root is the smoothing of one more word)."""
+    rows = [(r[0], r[1]) for r in documents(50) + phrases(25)]
+    brute = Brute(rows, out, divergence=3.0)
+    assert len(brute.states) > 20
+    for ctx in brute.states:
+        assert sum(brute.p(w, ctx, len(ctx)) for w in [*brute.words, b"\0"]) == pytest.approx(1)
 
 
 def test_contexts_help_on_held_out_text(spark):
     rows = [(k, "the cat sat on the mat and the dog sat on the rug " + " ".join(f"n{k}x{j}" for j in range(3)), None, None, 0) for k in range(100)]
-    got = lm.score_corpus(frame(spark, rows), queries.crc_mod("doc_id", 5) == 1, context_rate=1e-3).where(queries.crc_mod("doc_id", 5) == 1).collect()
+    got = lm.score_corpus(frame(spark, rows), queries.crc_mod("doc_id", 5) == 1).where(queries.crc_mod("doc_id", 5) == 1).collect()
     assert got and all(r.score > r.base_score for r in got)
 
 
@@ -61,17 +103,6 @@ def test_empty_tables(spark):
     assert (untrained.train_tokens, untrained.n_tokens, untrained.n_known) == (0, 3, 0)
 
 
-def test_whole_model_equals_the_tree_in_memory(spark):
-    rows = documents(40) + [(3, "w1 w2 w1", None, None, 8)] * 2 + [(None, "w1 new-word", None, None, 11)]
-    held, df = queries.crc_mod("doc_id", 5) == 1, frame(spark, rows, extra=True)
-    whole, tree = (sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5))
-                          for r in got.collect())
-                   for got in (lm.score_corpus(df, held, depth=2, min_count=1, divergence=2.0),
-                               lm.score_corpus(df, held, context_rate=1e-9, word_rate=1e-9, divergence=2.0)))
-    assert whole == tree
-    assert any(r[-1] != r[-2] for r in whole)
-
-
 def test_a_rare_phrase_is_modelled_whatever_the_size(spark):
     phrase = "a b c x1 a b d x2 q b c x3 q b d x4"       # only three words say what follows
     def gain(n):
