@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,20 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(df: DataFrame | None = None) -> None:
+    """Delete a table that ``materialize`` wrote and nothing reads any more, and let Spark drop the exchanges of plans
+    that nobody holds: their files otherwise stay until the driver happens to collect its garbage."""
+    spark = SparkSession.getActiveSession()
+    if df is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def text_rows(docs: DataFrame, *more: str) -> DataFrame:

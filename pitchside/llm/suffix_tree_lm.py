@@ -14,7 +14,8 @@ by level, cells send the n-grams whose two parts are frequent enough to buckets
 each with their count, and get back a bit for each; so the candidates, the states and the stored words are
 tables of their own, joined by key, however many there are.  A text's score is additive: each
 n-gram in it has one addend as a state's factor for the other words and one as a stored word, so the
-cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  Words and
+cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  A table of a
+level is deleted when the next level's is written, and so are the exchanges behind it.  Words and
 n-grams are compared by 64-bit hashes.
 
 Defined cases: a null or empty text is the end token alone; a null id counts as the empty
@@ -33,10 +34,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import materialize, text_rows
+from pitchside.llm.common import materialize, release, text_rows
 from pitchside.session import scratch_path
 
 DEPTH = 3             # words of a context
@@ -232,24 +233,28 @@ def _addends(grams: DataFrame, top: int, log_size: float, divergence: float, pri
     """(key, value): what an n-gram adds to the log10 score, as a state for the words it does not
     store and as a stored word of the state before its last word."""
     below = grams.where("level = 1").select("key", "n", ((F.col("n") + 0.5) / F.lit(10.0 ** log_size)).alias("eff"))
-    values = []
+    values, last = [], None
+    of_context = Window.partitionBy("ctx")
     for g in range(2, top + 1):
         own = grams.where(F.col("level") == g).select("key", "ctx", "sfx", "n")
-        own = materialize(own.join(below.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx"), "lm_pairs")
-        # the sums of a context need its size only once
-        sums = own.groupBy("ctx").agg(F.sum("n").alias("n"), F.sum("q").alias("lower"), F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("log"))
+        own = own.join(below.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx")
+        # all stored next words of a context meet once: its sums, its test and its words' addends
+        own = own.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("size")), "ctx")
         whole = F.col("size") + prior
-        rest, other = F.col("rest"), F.col("other")
-        states = (sums.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("size")), "ctx")
-                  .withColumns({"rest": 1 - F.col("n") / whole, "other": F.greatest(1 - F.col("lower"), F.lit(1e-12))})
-                  .withColumn("kl", (F.col("log") - F.col("n") * F.log(whole)) / whole + rest * F.log(rest / other))
-                  .where(F.col("size") * F.col("kl") >= divergence).select("ctx", "size", F.log10(rest / other).alias("rest")))
-        states = materialize(states, "lm_states")
+        rest, other, stored = F.col("rest"), F.col("other"), F.sum("n").over(of_context)
+        own = own.withColumns({"rest": 1 - stored / whole, "other": F.greatest(1 - F.sum("q").over(of_context), F.lit(1e-12)),
+                               "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).over(of_context), "stored": stored})
+        kl = (F.col("log") - F.col("stored") * F.log(whole)) / whole + rest * F.log(rest / other)
+        own = own.withColumns({"kept": F.col("size") * kl >= divergence, "rest": F.log10(rest / other)})
         p = F.col("n") / whole
-        below = materialize(own.join(states, "ctx", "left").select(
-            "key", "n", F.when(F.col("size").isNull(), F.col("q")).otherwise(p).alias("eff"),
-            F.when(F.col("size").isNotNull(), F.log10(p / F.col("q")) - rest).alias("value")), "lm_level")
-        values += [states.select(F.col("ctx").alias("key"), F.col("rest").alias("value")), below.where("value IS NOT NULL").select("key", "value")]
+        level = materialize(own.select(
+            "key", "n", "ctx", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"), F.when(F.col("kept"), F.col("rest")).alias("rest"),
+            F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level")
+        states = level.where("rest IS NOT NULL").groupBy("ctx").agg(F.first("rest").alias("value")).withColumnRenamed("ctx", "key")
+        values.append(materialize(states.unionByName(level.where("value IS NOT NULL").select("key", "value")), "lm_values"))
+        release(last)
+        below, last = level, level
+    release(last)
     out = values[0]
     for more in values[1:]:
         out = out.unionByName(more)
@@ -296,11 +301,15 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     sent = docs.sparkSession.createDataFrame([], SENT)
     for g in range(1, top + 1):
         sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent"))
+        release()
     grams = materialize(_grams(cells, sent, top, bits), "lm_grams")
     row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, known = int(row[0]), int(row[1])
     log_size = float(np.log10(total + 0.5 * (known + 1)))
-    asked = materialize(_asked(cells, sent, _addends(grams, top, log_size, divergence, prior), top, bits), "lm_addends")
+    addends = _addends(grams, top, log_size, divergence, prior)
+    release(grams)
+    asked = materialize(_asked(cells, sent, addends, top, bits), "lm_addends")
+    release()
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
