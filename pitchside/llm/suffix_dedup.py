@@ -52,7 +52,7 @@ WIDTH = LEFT + WINDOW
 CELL_BITS = 11                        # rows of one cell: at most 2048
 CELL_BYTES = 16 << 20                 # of one cell's texts, or a single longer text
 PIECE = 1 << 22                       # bytes or anchors of a cell that are looked at once
-ANCHORS_A_BUCKET = 1 << 18
+ANCHORS_A_BUCKET = 1 << 17
 ELEMENTS = 1 << 17                    # windows that are sorted at once
 RECORDS = 1 << 14                     # contexts that are resolved at once, if no anchor has more
 HOT = 20_000                          # occurrences of an anchor that are gathered as contexts (about 2 MB), not as windows by cell
@@ -500,21 +500,21 @@ def covered_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, str]
         if docs.num_rows and sent.num_rows:
             cell_, number = Cell(docs, sent, "text", "row", "key"), docs["cell"][0].as_py()
             found = cell_.anchors()
-            r, matrix = records(cell_, number, found, False)
-            w, windows = window_records(*records(cell_, number, found, True), number)
-            r, matrix = {n: np.concatenate((r[n], w[n])) for n in names}, np.concatenate((matrix, windows))
-            order = np.argsort(r["h"], kind="stable")
-            bucket = _split(r["h"][order], bits)[0]
-            for b, s in _by_bucket(bucket):
-                out["bucket"].append(b)
-                for n in names:
-                    out[n].append(r[n][order[s]].tobytes())
-                out["context"].append(matrix[order[s]].tobytes())
+            for r, matrix in (f() for f in (lambda: records(cell_, number, found, False),       # one after the other: they are not held together
+                                            lambda: window_records(*records(cell_, number, found, True), number))):
+                order = np.argsort(r["h"], kind="stable")
+                bucket = _split(r["h"][order], bits)[0]
+                for b, s in _by_bucket(bucket):
+                    out["bucket"].append(b)
+                    for n in names:
+                        out[n].append(r[n][order[s]].tobytes())
+                    out["context"].append(matrix[order[s]].tobytes())
         return _packed(out, kinds)
 
     def ranges(t: pa.Table) -> pa.Table:
-        r = {n: np.concatenate([np.frombuffer(x, kind) for x in t[n].to_pylist()]) for n, kind in RECORD}
-        context = np.concatenate([np.frombuffer(x, np.uint8) for x in t["context"].to_pylist()]).reshape(-1, WIDTH)
+        joined = lambda n, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t[n]])  # noqa: E731 - bytes are copied once
+        r = {n: joined(n, kind) for n, kind in RECORD}
+        context = joined("context", np.uint8).reshape(-1, WIDTH)
         order = np.argsort(r["h"], kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(r["h"][order]) != 0)))
         out = []
