@@ -32,14 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def large_table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
-    """Pruned scan of a fact-sized table, spread over the cores if it is one split."""
-    from pitchside.sources.io import ensure_parallelism
-    return ensure_parallelism(table(spark, sf_dir, name).select(*columns))
+def large_table(spark: SparkSession, sf_dir: str, name: str, columns, key: str | None = None) -> DataFrame:
+    """Pruned scan of a fact-sized table, spread over the cores if it is one split.
+
+    With the ``key`` of its next join, many rows are dealt by it into tasks of a bounded number of rows."""
+    from pitchside.sources.io import bound_task_rows, ensure_parallelism
+    rows = table(spark, sf_dir, name).select(*columns)
+    return bound_task_rows(rows, key) if key else ensure_parallelism(rows)
 
 
 def matches_raw(spark: SparkSession, sf_dir: str, *, dirty: bool = False) -> DataFrame:
-    li = large_table(spark, sf_dir, "lineitem", [*MATCH_ORDER, "l_returnflag"])
+    li = large_table(spark, sf_dir, "lineitem", [*MATCH_ORDER, "l_returnflag"], key="l_orderkey")
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

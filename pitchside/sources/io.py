@@ -40,6 +40,20 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     return df.repartition(target) if splits < target and splits <= few_splits else df
 
 
+# Rows that one task of a wide plan takes: it sorts them, some hundred bytes each.
+ROWS_A_TASK = 1 << 20
+
+
+def bound_task_rows(df: DataFrame, key: str, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Deal a scan of many rows by the key of its next join into tasks of a bounded number of rows.
+
+    The planner sizes tasks by the bytes of the narrow rows that are shuffled, and their number has a fixed top, so
+    what the joined, wider rows take in a task grows with the table.  The count is read from the files' footers; the
+    join needs this exchange anyway.  A smaller scan is spread over the cores, if it has only a few splits."""
+    tasks = -(-df.select().count() // rows_a_task)
+    return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else ensure_parallelism(df)
+
+
 def detect_format(path: str, default: str = "csv") -> str:
     """Format by suffix; unknown suffixes read as CSV."""
     return FORMATS.get(os.path.splitext(path.rstrip("/"))[1].lower(), default)

@@ -147,3 +147,24 @@ def test_scan_spreading_only_for_a_few_splits(spark):
     assert ensure_parallelism(one, 8).rdd.getNumPartitions() == 8
     wide = spark.range(0, 1000, numPartitions=40)
     assert ensure_parallelism(wide, 400).rdd.getNumPartitions() == 40   # already wide: left as is
+
+
+def test_tasks_of_a_wide_plan_hold_a_bounded_number_of_rows(spark, tmp_path):
+    from pitchside.sources.io import bound_task_rows
+    spark.range(0, 5000, numPartitions=2).selectExpr("id % 700 AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = bound_task_rows(df, "k", 5000 // (4 * cores))
+    assert dealt.rdd.getNumPartitions() >= 4 * cores
+    assert sorted((r.v, r.k) for r in dealt.collect()) == [(i, i % 700) for i in range(5000)]
+    other = spark.range(700).withColumnRenamed("id", "j").hint("shuffle_merge")
+    assert plan(dealt.join(other, dealt.k == other.j), "executed").count("Exchange") == 2   # the join takes the deal as it is
+    assert "hashpartitioning(k" not in plan(bound_task_rows(df, "k"))                       # few rows: spread, not dealt
+
+
+def test_matches_of_a_large_scan_are_joined_in_bounded_tasks(spark, monkeypatch):
+    from pitchside.sources import fixtures, io
+    want = sorted(map(str, fixtures.matches_raw(spark, SF0001).collect()))
+    monkeypatch.setattr(io.bound_task_rows, "__defaults__", (50,))
+    raw = fixtures.matches_raw(spark, SF0001)
+    assert "hashpartitioning(l_orderkey" in plan(raw) and sorted(map(str, raw.collect())) == want
