@@ -137,6 +137,8 @@ def clean_and_count(raw: DataFrame, clean=None, **options) -> tuple[DataFrame, D
     return written, log.frame(written)
 
 
+#: Derived from the kept row, after the dedup: they are not sorted and shuffled with it.
+DERIVED = ("month", "quarter", "day", "day_of_week", "day_name", "total_goals", "winner", "outcome")
 MATCH_COLUMNS = ("year", "date", "time", "round", "stadium", "city", "country", "home_team",
                  "home_goals", "away_goals", "away_team", "observation", "match_date", "month",
                  "quarter", "day", "day_of_week", "day_name", "total_goals", "winner", "outcome")
@@ -148,7 +150,8 @@ def clean_matches(raw: DataFrame, *, years: tuple[int, int] = YEARS,
     """Raw results → ``matches_clean`` (one lazy plan); ``rejects`` counts what each rule drops."""
     df = rename_columns(with_source_order(raw, order_col), MATCH_RENAMES)
     df = df.withColumn("match_date", parse_date_typed(df, "date"))
-    df = df.withColumns(date_parts("match_date"))
+    parts = date_parts("match_date")
+    df = df.withColumn("year", parts["year"])
     if rejects is not None:
         dated = F.col("match_date").isNotNull()
         df = rejects.watch(df, {"bad_date": ~dated, "out_of_years": dated & ~F.col("year").between(years[0], years[1])})
@@ -164,12 +167,13 @@ def clean_matches(raw: DataFrame, *, years: tuple[int, int] = YEARS,
     for loc in ("city", "country", "stadium"):
         if loc in df.columns:
             fixes[loc] = strip_ws(loc)
-    df = derive_match_columns(df.withColumns(fixes))
-    for c in MATCH_COLUMNS:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    df = df.select(*MATCH_COLUMNS, order_col)
-    return dedup_by_key(df, MATCH_KEY, order_col) if dedup else df
+    df = df.withColumns(fixes)
+    own = [c for c in MATCH_COLUMNS if c not in DERIVED]
+    df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in own], order_col)
+    if dedup:
+        df = dedup_by_key(df, MATCH_KEY, order_col)
+    df = derive_match_columns(df.withColumns({c: v for c, v in parts.items() if c in DERIVED}))
+    return df.select(*MATCH_COLUMNS, order_col)
 
 
 READING_COLUMNS = ("country", "country_code", "month", "temperature", "date", "year",

@@ -168,3 +168,15 @@ def test_matches_of_a_large_scan_are_joined_in_bounded_tasks(spark, monkeypatch)
     monkeypatch.setattr(io.bound_task_rows, "__defaults__", (50,))
     raw = fixtures.matches_raw(spark, SF0001)
     assert "hashpartitioning(l_orderkey" in plan(raw) and sorted(map(str, raw.collect())) == want
+
+
+def test_columns_derived_from_the_kept_row_are_not_deduplicated_with_it(spark):
+    from pitchside.operators import clean as C
+    from pitchside.sources.fixtures import matches_raw
+    df = C.clean_matches(matches_raw(spark, SF0001))
+    above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
+    assert "EEEE" in above and "quarter(" in above and "EEEE" not in below and "quarter(" not in below
+    assert df.columns == [*C.MATCH_COLUMNS, "src_pos"]
+    r = df.orderBy("src_pos").first()
+    assert (r.year, r.month, r.day, r.quarter) == (r.match_date.year, r.match_date.month, r.match_date.day, (r.match_date.month + 2) // 3)
+    assert r.day_of_week == r.match_date.weekday() and r.day_name == r.match_date.strftime("%A") and r.total_goals == r.home_goals + r.away_goals
