@@ -83,8 +83,11 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_COL)
 
 
 def dedup_full_row(df: DataFrame) -> DataFrame:
-    """One of each group of equal rows; only digests and the rows of repeated digests are shuffled."""
-    return distinct_rows(df)
+    """One of each group of equal rows.
+
+    A stored table is read more than once and only its digests and the rows of repeated digests are shuffled.  Anything
+    else would run as often as it is read: its rows are folded in the tasks that make them and shuffled once."""
+    return distinct_rows(df) if hasattr(df, "_pitchside_rows") else df.dropDuplicates()
 
 
 def derive_match_columns(df: DataFrame) -> DataFrame:

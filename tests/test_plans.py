@@ -180,3 +180,16 @@ def test_columns_derived_from_the_kept_row_are_not_deduplicated_with_it(spark):
     r = df.orderBy("src_pos").first()
     assert (r.year, r.month, r.day, r.quarter) == (r.match_date.year, r.match_date.month, r.match_date.day, (r.match_date.month + 2) // 3)
     assert r.day_of_week == r.match_date.weekday() and r.day_name == r.match_date.strftime("%A") and r.total_goals == r.home_goals + r.away_goals
+
+
+def test_full_row_dedup_runs_its_input_once(spark):
+    from pitchside.operators import clean as C
+    from pitchside.plans.pipeline import materialize
+    df = spark.range(0, 100).selectExpr("id % 40 AS a", "CASE WHEN id % 40 < 3 THEN NULL ELSE concat('x', id % 40) END AS b")
+    out = C.dedup_full_row(df)
+    assert plan(out, "executed").count("Range (") == 1 and out.columns == ["a", "b"]
+    want = {(k, None if k < 3 else f"x{k}") for k in range(40)}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == 40 and set(got) == want
+    stored = C.dedup_full_row(materialize(df, "stored"))       # read again cheaply: by digests
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(got, key=str) and "_digest_0" in plan(stored)
