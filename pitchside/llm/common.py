@@ -14,23 +14,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, *by: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared checkpoint folder and read back: cuts the lineage, so a lost
-    executor costs a re-read and not a re-run of everything upstream."""
+    executor costs a re-read and not a re-run of everything upstream.  ``by``: a folder for each value of these columns."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", tag)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
 
 
-def release(df: DataFrame | None = None) -> None:
-    """Delete a table that ``materialize`` wrote and nothing reads any more, and let Spark drop the exchanges of plans
+def release(df: DataFrame | None = None, part: str = "") -> None:
+    """Delete a table that ``materialize`` wrote (or one folder of it) and nothing reads any more, and let Spark drop the exchanges of plans
     that nobody holds: their files otherwise stay until the driver happens to collect its garbage."""
     spark = SparkSession.getActiveSession()
     if df is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{df._written_to}/{part}" if part else df._written_to)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()

@@ -12,7 +12,8 @@ the size of the input but the counts.
 Scale.  Texts become cells of some million token hashes, kept in a table bucketed by cell.  Level
 by level, cells send the n-grams whose two parts are frequent enough to buckets by hash, once
 each with their count, and get back a bit for each; so the candidates, the states and the stored words are
-tables of their own, joined by key, however many there are.  A text's score is additive: each
+tables of their own, joined by key, however many there are.  What moves between cells and buckets is
+sorted keys as differences and numbers as byte planes, which compress.  A text's score is additive: each
 n-gram in it has one addend as a state's factor for the other words and one as a stored word, so the
 cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  A table of a
 level is deleted when the next level's is written, and so are the exchanges behind it.  Words and
@@ -27,8 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,25 @@ def hashed(text: str | None) -> np.ndarray:
     return out
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers by byte place, all lowest bytes first: the zeros of small numbers meet and compress."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def from_planes(packed: bytes, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted unsigned keys as planes of their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def from_steps(packed: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(packed, np.uint64), dtype=np.uint64)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]):
     """Token hashes of many texts at once, the row numbers' bounds, and the rows' other columns."""
     held, rows, size = [], [], 0
@@ -89,23 +110,24 @@ class Table:
         return np.where(self.keys[k] == keys, k, -1)
 
 
-CELL = "cell long, tokens long, ids array<long>, words binary, at binary, size binary, train binary"
+CELL = "cell long, tokens long, ids array<long>, words binary, often binary, at binary, size binary, train binary"
 SENT = "cell long, bucket int, level int, ok binary, own binary, n binary"
 
 
 def _cells(docs: DataFrame, train: Column) -> tuple[DataFrame, int]:
-    """The table of cells (token hashes of many texts as places in a sorted list) and the number of tokens."""
+    """The table of cells (sorted token hashes of many texts, and the tokens as ranks by frequency) and the number of tokens."""
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (held, rows) in enumerate(_chunks(batches)):
-            words, at = np.unique(np.concatenate(held), return_inverse=True)
+            words, at, often = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            rank = np.argsort(np.argsort(-often, kind="stable"))
             yield pa.RecordBatch.from_arrays([
                 pa.array([(TaskContext.get().partitionId() << 32) + k], pa.int64()), pa.array([len(at)], pa.int64()),
-                pa.array([[r["doc_id"] for r in rows]], pa.list_(pa.int64())), pa.array([words.tobytes()], pa.binary()),
-                pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([np.array([len(h) for h in held], np.int64).tobytes()], pa.binary()),
+                pa.array([[r["doc_id"] for r in rows]], pa.list_(pa.int64())), pa.array([steps(words)], pa.binary()),
+                pa.array([planes(often)], pa.binary()), pa.array([planes(rank[at].astype(np.int32))], pa.binary()), pa.array([planes(np.array([len(h) for h in held], np.int64))], pa.binary()),
                 pa.array([np.array([r["train"] for r in rows], bool).tobytes()], pa.binary())],
-                ["cell", "tokens", "ids", "words", "at", "size", "train"])
+                ["cell", "tokens", "ids", "words", "often", "at", "size", "train"])
 
     rows = text_rows(docs, F.coalesce(train, F.lit(False)).alias("train")).mapInArrow(run, CELL)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
@@ -130,8 +152,9 @@ class Cell:
     def __init__(self, t: pa.Table, sent: pa.Table, bits: int):
         one = {c: t[c][0].as_py() for c in t.column_names}
         self.number, self.ids, self.bits = one["cell"], one["ids"], bits
-        self.words, self.at = np.frombuffer(one["words"], np.uint64), np.frombuffer(one["at"], np.int32)
-        self.size = np.frombuffer(one["size"], np.int64)
+        self.words = from_steps(one["words"])
+        self.at = np.argsort(-from_planes(one["often"], np.int64), kind="stable")[from_planes(one["at"], np.int32)]
+        self.size = from_planes(one["size"], np.int64)
         self.ends = np.cumsum(self.size)
         self.starts = self.ends - self.size
         self.doc = np.repeat(np.arange(len(self.size)), self.size)
@@ -169,7 +192,7 @@ class Cell:
                         packed = row["ok" if name == "frequent" else "own"]
                         getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
                     told = np.ones(size, bool) if g == 1 else level.own[s]
-                    level.n[s.start + np.flatnonzero(told)] = np.frombuffer(row["n"], np.int64)
+                    level.n[s.start + np.flatnonzero(told)] = from_planes(row["n"], np.int64)
             elif not len(level.keys):
                 level.frequent = level.own = np.zeros(0, bool)
                 level.n = np.zeros(0)
@@ -186,8 +209,8 @@ def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
         *_, level = cell.levels(g)
         n = np.bincount(level.back, cell.train[level.where], len(level.keys)).astype(np.int64)
         return pa.table({"bucket": pa.array(list(level.parts), pa.int32()), "cell": pa.array([cell.number] * len(level.parts), pa.int64()),
-                         "keys": pa.array([level.keys[s].tobytes() for s in level.parts.values()], pa.binary()),
-                         "n": pa.array([n[s].tobytes() for s in level.parts.values()], pa.binary())})
+                         "keys": pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
+                         "n": pa.array([planes(n[s]) for s in level.parts.values()], pa.binary())})
 
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "bucket int, cell long, keys binary, n binary")
 
@@ -195,10 +218,10 @@ def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
 def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
     """A bit for each n-gram that is frequent; one cell owns it and is told its count (of words, all cells are)."""
     def run(t: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in t["keys"].to_pylist()]
+        keys = [from_steps(x) for x in t["keys"].to_pylist()]
         _, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         n = np.zeros(len(first), np.int64)
-        np.add.at(n, back, np.concatenate([np.frombuffer(x, np.int64) for x in t["n"].to_pylist()]))
+        np.add.at(n, back, np.concatenate([from_planes(x, np.int64) for x in t["n"].to_pylist()]))
         cuts = np.cumsum([0, *map(len, keys)])
         out = {"ok": [], "own": [], "n": []}
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -206,19 +229,21 @@ def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
             own = (first[back[a:b]] == np.arange(a, b)) & (mine >= (1 if g == 1 else min_count))
             out["ok"].append(np.packbits(mine >= min_count).tobytes())
             out["own"].append(np.packbits(own).tobytes())
-            out["n"].append((mine if g == 1 else mine[own]).tobytes())
+            out["n"].append(planes(mine if g == 1 else mine[own]))
         return pa.table({"cell": t["cell"], "bucket": t["bucket"], "level": pa.array([g] * len(keys), pa.int32())}
                         | {c: pa.array(v, pa.binary()) for c, v in out.items()})
 
     return told.groupBy("bucket").applyInArrow(run, SENT)
 
 
-def _grams(cells: DataFrame, sent: DataFrame, top: int, bits: int) -> DataFrame:
-    """The frequent n-grams of up to ``top`` words, and all words: key, count, the keys without the last and without the first word."""
+def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
+    """The frequent n-grams of the wanted numbers of words (of one word, all): key, count, the keys without the last and without the first word."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
         out = []
-        for g, level in enumerate(cell.levels(top), 1):
+        for g, level in enumerate(cell.levels(max(wanted)), 1):
+            if g not in wanted:
+                continue
             k = np.flatnonzero(level.own)
             at = np.zeros(len(level.keys), np.int64)
             at[level.back] = level.where
@@ -229,14 +254,17 @@ def _grams(cells: DataFrame, sent: DataFrame, top: int, bits: int) -> DataFrame:
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long")
 
 
-def _addends(grams: DataFrame, top: int, log_size: float, divergence: float, prior: float) -> DataFrame:
+def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> list[DataFrame]:
     """(key, value): what an n-gram adds to the log10 score, as a state for the words it does not
-    store and as a stored word of the state before its last word."""
+    store and as a stored word of the state before its last word; a key has at most one row as each.
+    ``grams`` is parted by level; the n-grams of ``top`` words are asked of ``longest`` when it is their turn.  A level is
+    deleted once it has been used."""
     below = grams.where("level = 1").select("key", "n", ((F.col("n") + 0.5) / F.lit(10.0 ** log_size)).alias("eff"))
     values, last = [], None
     of_context = Window.partitionBy("ctx")
     for g in range(2, top + 1):
-        own = grams.where(F.col("level") == g).select("key", "ctx", "sfx", "n")
+        here = longest() if g == top else grams
+        own = here.where(F.col("level") == g).select("key", "ctx", "sfx", "n")
         own = own.join(below.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx")
         # all stored next words of a context meet once: its sums, its test and its words' addends
         own = own.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("size")), "ctx")
@@ -250,18 +278,16 @@ def _addends(grams: DataFrame, top: int, log_size: float, divergence: float, pri
         level = materialize(own.select(
             "key", "n", "ctx", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"), F.when(F.col("kept"), F.col("rest")).alias("rest"),
             F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level")
+        release(last)
+        release(here, f"level={g}")
         states = level.where("rest IS NOT NULL").groupBy("ctx").agg(F.first("rest").alias("value")).withColumnRenamed("ctx", "key")
         values.append(materialize(states.unionByName(level.where("value IS NOT NULL").select("key", "value")), "lm_values"))
-        release(last)
         below, last = level, level
     release(last)
-    out = values[0]
-    for more in values[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("key").agg(F.sum("value").alias("value"))
+    return values
 
 
-def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, top: int, bits: int) -> DataFrame:
+def _asked(cells: DataFrame, sent: DataFrame, values: list[DataFrame], top: int, bits: int) -> DataFrame:
     """For the frequent n-grams of each cell: a bit for those with an addend, and the addends."""
     def ask(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
@@ -270,26 +296,48 @@ def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, top: int, bits:
             for b, s in level.parts.items():
                 keys = level.keys[s][level.frequent[s]]
                 if len(keys):
-                    for c, v in zip(out, (b, cell.number, g, keys.tobytes())):
+                    for c, v in zip(out, (b, cell.number, g, steps(keys))):
                         out[c].append(v)
         kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
     def answer(asked: pa.Table, values: pa.Table) -> pa.Table:
-        key = values["key"].to_numpy() if values.num_rows else EMPTY
-        order = np.argsort(key)
-        table = Table(key[order], values["value"].to_numpy()[order] if len(key) else np.zeros(0))
+        dealt = values.to_pylist() if values.num_rows else []
+        keys, back = np.unique(np.concatenate([EMPTY, *[from_steps(row["keys"]).view(np.int64) for row in dealt]]), return_inverse=True)
+        value = np.concatenate([np.zeros(0), *[from_planes(row["values"], np.float64) for row in dealt]])
+        table = Table(keys, np.bincount(back, value, len(keys)))   # both addends of a key meet here
         rows = {c: [] for c in ("cell", "bucket", "level", "ok", "own", "n")}
         for row in asked.to_pylist() if asked.num_rows else []:
-            k = table.find(np.frombuffer(row["keys"], np.int64))
+            k = table.find(from_steps(row["keys"]).view(np.int64))
             if (k >= 0).any():
-                for c, v in zip(rows, (row["cell"], row["bucket"], -row["level"], np.packbits(k >= 0).tobytes(), b"", table.n[k[k >= 0]].tobytes())):
+                for c, v in zip(rows, (row["cell"], row["bucket"], -row["level"], np.packbits(k >= 0).tobytes(), b"", planes(table.n[k[k >= 0]]))):
                     rows[c].append(v)
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(rows.items(), kinds)})
 
     asked = cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(ask, "bucket int, cell long, level int, keys binary")
-    dealt = values.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int"))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= CHUNK_TOKENS:
+                yield by_bucket(held)
+                held, size = [], 0
+        if held:
+            yield by_bucket(held)
+
+    def by_bucket(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        keys = t["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        value = t["value"].to_numpy()[order]
+        level = Level(order, keys[order], order, bits)
+        return pa.RecordBatch.from_arrays([
+            pa.array(list(level.parts), pa.int32()), pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
+            pa.array([planes(value[s]) for s in level.parts.values()], pa.binary())], ["bucket", "keys", "values"])
+
+    dealt = reduce(DataFrame.unionByName, values).select("key", "value").mapInArrow(deal, "bucket int, keys binary, values binary")
     return asked.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, SENT)
 
 
@@ -302,14 +350,20 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     for g in range(1, top + 1):
         sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent"))
         release()
-    grams = materialize(_grams(cells, sent, top, bits), "lm_grams")
+    def grams_of(wanted: Sequence[int]) -> DataFrame:
+        written = materialize(_grams(cells, sent, wanted, bits), "lm_grams", "level")
+        release()
+        return written
+
+    grams = grams_of(range(1, top))
     row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, known = int(row[0]), int(row[1])
     log_size = float(np.log10(total + 0.5 * (known + 1)))
-    addends = _addends(grams, top, log_size, divergence, prior)
+    addends = _addends(grams, lambda: grams_of([top]), top, log_size, divergence, prior)
     release(grams)
-    asked = materialize(_asked(cells, sent, addends, top, bits), "lm_addends")
-    release()
+    asked = materialize(_asked(cells, sent, addends, top, bits), "lm_addends", compression="zstd")
+    for values in addends:
+        release(values)
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
@@ -319,7 +373,7 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
             for b, row in cell.sent.get(-g, {}).items():
                 s = level.parts[b]
                 k = s.start + np.flatnonzero(level.frequent[s])
-                value[k[np.unpackbits(np.frombuffer(row["ok"], np.uint8), count=len(k)).astype(bool)]] = np.frombuffer(row["n"], np.float64)
+                value[k[np.unpackbits(np.frombuffer(row["ok"], np.uint8), count=len(k)).astype(bool)]] = from_planes(row["n"], np.float64)
             if g == 1:
                 n = level.n[level.back]
                 score[cell.ends - 1] = -value[level.back[cell.ends - 1]]   # nothing follows the last token

@@ -2,6 +2,7 @@ import collections
 import math
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,30 @@ def test_a_rare_phrase_is_modelled_whatever_the_size(spark):
     rows = [(k, phrase, None, None, 0) for k in range(30)]
     two, three = (lm.score_corpus(frame(spark, rows), F.col("doc_id") == 7, depth=d, divergence=5.0).where("doc_id = 7").first().score for d in (2, 3))
     assert three > two
+
+
+def test_keys_and_counts_travel_in_planes_that_compress():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 58, 5000, dtype=np.uint64)) + np.uint64(63 << 58)
+    assert (lm.from_steps(lm.steps(keys)) == keys).all() and lm.from_steps(lm.steps(keys[:0])).size == 0
+    for x in (rng.integers(0, 9, 5000), rng.normal(size=50), np.zeros(0, np.int64), np.arange(7, dtype=np.int32)):
+        assert (lm.from_planes(lm.planes(x), x.dtype.type) == x).all()
+    counts = rng.integers(1, 9, 5000)
+    plain, packed = (len(zlib.compress(b, 1)) for b in (keys.tobytes() + counts.tobytes(), lm.steps(keys) + lm.planes(counts)))
+    assert packed < 0.8 * plain
+
+
+def test_tables_of_used_levels_are_deleted(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+    seen, write = [], lm.materialize
+
+    def watched(df, tag, *by, **options):
+        out = write(df, tag, *by, **options)
+        seen.append((tag, Path(urlparse(out._written_to).path)))
+        return out
+
+    monkeypatch.setattr(lm, "materialize", watched)
+    assert lm.score_corpus(frame(spark, phrases(25)), F.col("doc_id") == 7).count() == 25
+    left = {tag for tag, path in seen for f in path.rglob("*.parquet") if "level=1" not in f.parent.name}
+    assert {t for t, _ in seen} >= {"lm_grams", "lm_level", "lm_values"} and left == {"lm_sent", "lm_addends"}
