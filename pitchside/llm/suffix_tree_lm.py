@@ -34,6 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -47,29 +48,39 @@ MIN_COUNT = 2         # of a stored next word
 DIVERGENCE = 20.0     # nats
 PRIOR = 1.0
 CHUNK_TOKENS = 1 << 20
+TEXTS_AT_ONCE = 512
 KEYS_A_BUCKET = 1 << 20
 BUCKET_TOKENS = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b""))   # no word is empty
-EMPTY = np.zeros(0, np.int64)
+EMPTY = np.zeros(0, np.uint64)
 
 
-def hashed(text: str | None) -> np.ndarray:
-    """The token hashes of a text with an end token before (its history) and after it."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII blanks only
-    out = np.full(len(words) + 2, END, np.uint64)
-    out[1:-1] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    return out
+def hashed(texts: pa.Array) -> list[np.ndarray]:
+    """The token hashes of each text with an end token before (its history) and after it; a word is hashed once."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # A-Z and ASCII blanks only
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    at = coded.indices.to_numpy()
+    doc = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
+    told = np.array([len(w) > 0 for w in words], bool)[at]    # blanks at an end of the text make empty words
+    at, doc = at[told], doc[told]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)) + 2)))
+    out = np.full(cuts[-1], END, np.uint64)
+    out[np.arange(len(at)) + 2 * doc + 1] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[at]
+    return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Numbers by byte place, all lowest bytes first: the zeros of small numbers meet and compress."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    """Numbers by byte place, all lowest bytes first, where the zeros of small numbers meet; compressed, as a shuffle does not
+    give frequent bytes fewer bits."""
+    laid = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(laid).to_bytes(8, "little") + pa.compress(laid, codec="zstd", asbytes=True)
 
 
 def from_planes(packed: bytes, dtype: type) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    laid = pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"), codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(laid, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
 def steps(keys: np.ndarray) -> bytes:
@@ -81,18 +92,37 @@ def from_steps(packed: bytes) -> np.ndarray:
     return np.cumsum(from_planes(packed, np.uint64), dtype=np.uint64)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, the first place of each and the number of each place's key, as ``np.unique`` has them: one sort
+    of plain numbers, made of a key's leading bits and its place, is many times as fast as a sort of places."""
+    low = np.uint64(len(keys).bit_length())
+    mixed = keys >> low << low | np.arange(len(keys), dtype=np.uint64)
+    mixed.sort()
+    at = (mixed & (np.uint64(1) << low) - np.uint64(1)).astype(np.int64)
+    ordered = keys[at]
+    if (ordered[1:] < ordered[:-1]).any():   # keys that only differ in their last bits
+        at = np.argsort(keys, kind="stable")
+        ordered = keys[at]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    back = np.empty(len(keys), np.int64)
+    back[at] = np.cumsum(new) - 1
+    return ordered[new], at[new], back
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]):
     """Token hashes of many texts at once, the row numbers' bounds, and the rows' other columns."""
     held, rows, size = [], [], 0
     for batch in batches:
         other = batch.drop_columns(["text"]).to_pylist()
-        for k in range(batch.num_rows):
-            held.append(hashed(batch["text"][k].as_py()))
-            rows.append(other[k])
-            size += len(held[-1])
-            if size >= CHUNK_TOKENS:
-                yield held, rows
-                held, rows, size = [], [], 0
+        for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            for row, tokens in zip(other[k:k + TEXTS_AT_ONCE], hashed(batch["text"].slice(k, TEXTS_AT_ONCE))):
+                held.append(tokens)
+                rows.append(row)
+                size += len(tokens)
+                if size >= CHUNK_TOKENS:
+                    yield held, rows
+                    held, rows, size = [], [], 0
     if held:
         yield held, rows
 
@@ -120,7 +150,8 @@ def _cells(docs: DataFrame, train: Column) -> tuple[DataFrame, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (held, rows) in enumerate(_chunks(batches)):
-            words, at, often = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            words, _, at = distinct(np.concatenate(held))
+            often = np.bincount(at)
             rank = np.argsort(np.argsort(-often, kind="stable"))
             yield pa.RecordBatch.from_arrays([
                 pa.array([(TaskContext.get().partitionId() << 32) + k], pa.int64()), pa.array([len(at)], pa.int64()),
@@ -149,7 +180,8 @@ class Level:
 
 
 class Cell:
-    def __init__(self, t: pa.Table, sent: pa.Table, bits: int):
+    def __init__(self, t: pa.Table, sent: pa.Table, bits: int, top: int):
+        self.top = top
         one = {c: t[c][0].as_py() for c in t.column_names}
         self.number, self.ids, self.bits = one["cell"], one["ids"], bits
         self.words = from_steps(one["words"])
@@ -181,7 +213,7 @@ class Cell:
             else:
                 before = np.concatenate(([False], frequent[:-1]))
                 where = np.flatnonzero(frequent & before & (self.place >= g - 1))   # both parts are frequent
-                keys, back = np.unique(self.hash(g)[where], return_inverse=True)
+                keys, _, back = distinct(self.hash(g)[where])
                 level = Level(where, keys, back, self.bits)
             if g in self.sent:
                 level.frequent, level.own = np.zeros(len(level.keys), bool), np.zeros(len(level.keys), bool)
@@ -191,7 +223,7 @@ class Cell:
                     for name in ("frequent", "own"):
                         packed = row["ok" if name == "frequent" else "own"]
                         getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
-                    told = np.ones(size, bool) if g == 1 else level.own[s]
+                    told = np.ones(size, bool) if g == 1 else (level.frequent if g < self.top else level.own)[s]
                     level.n[s.start + np.flatnonzero(told)] = from_planes(row["n"], np.int64)
             elif not len(level.keys):
                 level.frequent = level.own = np.zeros(0, bool)
@@ -202,10 +234,10 @@ class Cell:
             yield level
 
 
-def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
+def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int, top: int) -> DataFrame:
     """Every cell tells each bucket its n-grams of g words, and how often training texts have them."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits)
+        cell = Cell(t, sent, bits, top)
         *_, level = cell.levels(g)
         n = np.bincount(level.back, cell.train[level.where], len(level.keys)).astype(np.int64)
         return pa.table({"bucket": pa.array(list(level.parts), pa.int32()), "cell": pa.array([cell.number] * len(level.parts), pa.int64()),
@@ -215,11 +247,12 @@ def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "bucket int, cell long, keys binary, n binary")
 
 
-def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
-    """A bit for each n-gram that is frequent; one cell owns it and is told its count (of words, all cells are)."""
+def _answered(told: DataFrame, g: int, min_count: int, top: int) -> DataFrame:
+    """A bit for each n-gram that is frequent, and its count (of words, all counts); one cell owns it, and the count of one of
+    ``top`` words is for that cell only."""
     def run(t: pa.Table) -> pa.Table:
         keys = [from_steps(x) for x in t["keys"].to_pylist()]
-        _, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        _, first, back = distinct(np.concatenate(keys))
         n = np.zeros(len(first), np.int64)
         np.add.at(n, back, np.concatenate([from_planes(x, np.int64) for x in t["n"].to_pylist()]))
         cuts = np.cumsum([0, *map(len, keys)])
@@ -227,73 +260,85 @@ def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
         for a, b in zip(cuts[:-1], cuts[1:]):
             mine = n[back[a:b]]
             own = (first[back[a:b]] == np.arange(a, b)) & (mine >= (1 if g == 1 else min_count))
-            out["ok"].append(np.packbits(mine >= min_count).tobytes())
+            ok = mine >= min_count
+            out["ok"].append(np.packbits(ok).tobytes())
             out["own"].append(np.packbits(own).tobytes())
-            out["n"].append(planes(mine if g == 1 else mine[own]))
+            out["n"].append(planes(mine if g == 1 else mine[ok if g < top else own]))
         return pa.table({"cell": t["cell"], "bucket": t["bucket"], "level": pa.array([g] * len(keys), pa.int32())}
                         | {c: pa.array(v, pa.binary()) for c, v in out.items()})
 
     return told.groupBy("bucket").applyInArrow(run, SENT)
 
 
-def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
-    """The frequent n-grams of the wanted numbers of words (of one word, all): key, count, the keys without the last and without the first word."""
+def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int, top: int) -> DataFrame:
+    """The frequent n-grams of the wanted numbers of words: key, count, the keys without the last and without the first word, the
+    count without the last word and, of two words, without the first.  Of one word: a cell's training tokens and distinct words as n and size."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits)
-        out = []
+        cell = Cell(t, sent, bits, top)
+        out, count = [], np.zeros(len(cell.at), np.int64)
         for g, level in enumerate(cell.levels(max(wanted)), 1):
+            before, k = count, np.flatnonzero(level.own)
+            if g < max(wanted):
+                count = np.zeros(len(cell.at), np.int64)
+                count[level.where] = level.n[level.back]
             if g not in wanted:
                 continue
-            k = np.flatnonzero(level.own)
+            if g == 1:
+                out.append([np.array([x]) for x in (1, 0, 0, 0, int(level.n[k].sum()), len(k), 0)])
+                continue
             at = np.zeros(len(level.keys), np.int64)
             at[level.back] = level.where
-            ctx, sfx = (cell.hash(g - 1)[at[k] - 1], cell.hash(g - 1)[at[k]]) if g > 1 else (np.zeros(len(k), np.uint64),) * 2
-            out.append((np.full(len(k), g, np.int32), level.keys[k].view(np.int64), ctx.view(np.int64), sfx.view(np.int64), level.n[k].astype(np.int64)))
-        return pa.table(dict(zip(("level", "key", "ctx", "sfx", "n"), (np.concatenate(x) for x in zip(*out)))))
+            at, none = at[k], np.zeros(len(k), np.int64)
+            out.append((np.full(len(k), g), level.keys[k].view(np.int64), cell.hash(g - 1)[at - 1].view(np.int64),
+                        cell.hash(g - 1)[at].view(np.int64) if g > 2 else none, level.n[k].astype(np.int64), before[at - 1], before[at] if g == 2 else none))
+        return pa.table(dict(zip(("level", "key", "ctx", "sfx", "n", "size", "last"), (np.concatenate(x) for x in zip(*out))))).cast(kinds)
 
-    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long")
+    kinds = pa.schema([("level", pa.int32()), *((c, pa.int64()) for c in ("key", "ctx", "sfx", "n", "size", "last"))])
+    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long, size long, last long")
 
 
-def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> list[DataFrame]:
-    """(key, value): what an n-gram adds to the log10 score, as a state for the words it does not
+def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> DataFrame:
+    """(key, value), parted by the words of the key (``level``): what an n-gram adds to the log10 score, as a state for the words it does not
     store and as a stored word of the state before its last word; a key has at most one row as each.
-    ``grams`` is parted by level; the n-grams of ``top`` words are asked of ``longest`` when it is their turn.  A level is
-    deleted once it has been used."""
-    below = grams.where("level = 1").select("key", "n", ((F.col("n") + 0.5) / F.lit(10.0 ** log_size)).alias("eff"))
-    values, last = [], None
+    ``grams`` is parted by level; the n-grams of ``top`` words are asked of ``longest`` when it is their turn.  A level's n-grams are
+    deleted once they have been used."""
+    levels, values = [], []
     of_context = Window.partitionBy("ctx")
     for g in range(2, top + 1):
         here = longest() if g == top else grams
-        own = here.where(F.col("level") == g).select("key", "ctx", "sfx", "n")
-        own = own.join(below.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx")
+        own = here.where(F.col("level") == g)
+        # the words' probabilities follow from their counts; those of longer suffixes are in the level below
+        own = (own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q")) if g == 2 else
+               own.select("key", "ctx", "sfx", "n", "size").join(levels[-1].select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx"))
         # all stored next words of a context meet once: its sums, its test and its words' addends
-        own = own.join(below.select(F.col("key").alias("ctx"), F.col("n").alias("size")), "ctx")
         whole = F.col("size") + prior
         rest, other, stored = F.col("rest"), F.col("other"), F.sum("n").over(of_context)
         own = own.withColumns({"rest": 1 - stored / whole, "other": F.greatest(1 - F.sum("q").over(of_context), F.lit(1e-12)),
-                               "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).over(of_context), "stored": stored})
+                               "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).over(of_context), "stored": stored, "first": F.min("key").over(of_context) == F.col("key")})
         kl = (F.col("log") - F.col("stored") * F.log(whole)) / whole + rest * F.log(rest / other)
         own = own.withColumns({"kept": F.col("size") * kl >= divergence, "rest": F.log10(rest / other)})
         p = F.col("n") / whole
         level = materialize(own.select(
-            "key", "n", "ctx", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"), F.when(F.col("kept"), F.col("rest")).alias("rest"),
-            F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level")
-        release(last)
+            "key", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"),
+            *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest")),   # a state is told by one of its words
+            F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level", compression="zstd")
         release(here, f"level={g}")
-        states = level.where("rest IS NOT NULL").groupBy("ctx").agg(F.first("rest").alias("value")).withColumnRenamed("ctx", "key")
-        values.append(materialize(states.unionByName(level.where("value IS NOT NULL").select("key", "value")), "lm_values"))
-        below, last = level, level
-    release(last)
-    return values
+        levels.append(level)
+        values += [level.where("rest IS NOT NULL").select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g - 1).alias("level")),
+                   level.where("value IS NOT NULL").select("key", "value", F.lit(g).alias("level"))]
+    written = materialize(reduce(DataFrame.unionByName, values), "lm_values", "level", compression="zstd")
+    for level in levels:
+        release(level)
+    return written
 
 
-def _asked(cells: DataFrame, sent: DataFrame, values: list[DataFrame], top: int, bits: int) -> DataFrame:
-    """For the frequent n-grams of each cell: a bit for those with an addend, and the addends."""
+def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, wanted: Sequence[int], bits: int, top: int) -> DataFrame:
+    """For the frequent n-grams of each cell that have a wanted number of words: a bit for those with an addend, and the addends."""
     def ask(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits)
+        cell = Cell(t, sent, bits, top)
         out = {"bucket": [], "cell": [], "level": [], "keys": []}
-        for g, level in enumerate(cell.levels(top), 1):
-            for b, s in level.parts.items():
+        for g, level in enumerate(cell.levels(max(wanted)), 1):
+            for b, s in level.parts.items() if g in wanted else ():
                 keys = level.keys[s][level.frequent[s]]
                 if len(keys):
                     for c, v in zip(out, (b, cell.number, g, steps(keys))):
@@ -303,12 +348,12 @@ def _asked(cells: DataFrame, sent: DataFrame, values: list[DataFrame], top: int,
 
     def answer(asked: pa.Table, values: pa.Table) -> pa.Table:
         dealt = values.to_pylist() if values.num_rows else []
-        keys, back = np.unique(np.concatenate([EMPTY, *[from_steps(row["keys"]).view(np.int64) for row in dealt]]), return_inverse=True)
+        keys, _, back = distinct(np.concatenate([EMPTY, *[from_steps(row["keys"]) for row in dealt]]))
         value = np.concatenate([np.zeros(0), *[from_planes(row["values"], np.float64) for row in dealt]])
         table = Table(keys, np.bincount(back, value, len(keys)))   # both addends of a key meet here
         rows = {c: [] for c in ("cell", "bucket", "level", "ok", "own", "n")}
         for row in asked.to_pylist() if asked.num_rows else []:
-            k = table.find(from_steps(row["keys"]).view(np.int64))
+            k = table.find(from_steps(row["keys"]))
             if (k >= 0).any():
                 for c, v in zip(rows, (row["cell"], row["bucket"], -row["level"], np.packbits(k >= 0).tobytes(), b"", planes(table.n[k[k >= 0]]))):
                     rows[c].append(v)
@@ -337,7 +382,7 @@ def _asked(cells: DataFrame, sent: DataFrame, values: list[DataFrame], top: int,
             pa.array(list(level.parts), pa.int32()), pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
             pa.array([planes(value[s]) for s in level.parts.values()], pa.binary())], ["bucket", "keys", "values"])
 
-    dealt = reduce(DataFrame.unionByName, values).select("key", "value").mapInArrow(deal, "bucket int, keys binary, values binary")
+    dealt = values.where(F.col("level").isin(*wanted)).select("key", "value").mapInArrow(deal, "bucket int, keys binary, values binary")
     return asked.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, SENT)
 
 
@@ -348,25 +393,29 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / KEYS_A_BUCKET))))
     sent = docs.sparkSession.createDataFrame([], SENT)
     for g in range(1, top + 1):
-        sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent"))
+        sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits, top), g, min_count, top), "lm_sent", compression="zstd"))
         release()
     def grams_of(wanted: Sequence[int]) -> DataFrame:
-        written = materialize(_grams(cells, sent, wanted, bits), "lm_grams", "level")
+        written = materialize(_grams(cells, sent, wanted, bits, top), "lm_grams", "level", compression="zstd")
         release()
         return written
 
     grams = grams_of(range(1, top))
-    row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     total, known = int(row[0]), int(row[1])
     log_size = float(np.log10(total + 0.5 * (known + 1)))
     addends = _addends(grams, lambda: grams_of([top]), top, log_size, divergence, prior)
     release(grams)
-    asked = materialize(_asked(cells, sent, addends, top, bits), "lm_addends", compression="zstd")
-    for values in addends:
-        release(values)
+    asked = []
+    for wanted in filter(None, (range(1, min(top, 2) + 1), range(3, top + 1))):   # in two turns: what is asked takes the most disk
+        asked.append(materialize(_asked(cells, sent, addends, wanted, bits, top), "lm_addends", compression="zstd"))
+        for g in wanted:
+            release(addends, f"level={g}")
+    release(addends)
+    asked = reduce(DataFrame.unionByName, asked)
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits)
+        cell = Cell(t, sent, bits, top)
         score = np.zeros(len(cell.at))
         for g, level in enumerate(cell.levels(top), 1):
             value = np.zeros(len(level.keys))

@@ -3,7 +3,9 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from pitchside.llm import queries, suffix_tree_lm as lm
@@ -142,3 +144,38 @@ def test_tables_of_used_levels_are_deleted(spark, monkeypatch):
     assert lm.score_corpus(frame(spark, phrases(25)), F.col("doc_id") == 7).count() == 25
     left = {tag for tag, path in seen for f in path.rglob("*.parquet") if "level=1" not in f.parent.name}
     assert {t for t, _ in seen} >= {"lm_grams", "lm_level", "lm_values"} and left == {"lm_sent", "lm_addends"}
+
+
+def test_distinct_is_unique_also_where_only_the_last_bits_differ():
+    rng = np.random.default_rng(6)
+    for keys in (rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2), rng.integers(0, 900, 5000, dtype=np.uint64), np.zeros(0, np.uint64),
+                 np.array([5, 3, 5, 4, 3], np.uint64), np.uint64(63 << 58) + rng.integers(0, 60, 3000, dtype=np.uint64)):
+        for a, b in zip(lm.distinct(keys), np.unique(keys, return_index=True, return_inverse=True)):
+            assert (a == b).all() and len(a) == len(b)
+
+
+def test_hashes_are_of_words_between_ascii_blanks():
+    texts = ["", "   \n\t ", " Two  WORDS\x0bvt\x0cff\r", "ÀÉ Straße\x85nel x  y \x1cz", "a", "a" * 3000]
+    for text, got in zip(texts, lm.hashed(pa.array(texts))):
+        words = text.encode().lower().split()
+        assert got.tolist() == [int(lm.END), *(xxhash.xxh64_intdigest(w) for w in words), int(lm.END)]
+    assert lm.hashed(pa.array([], pa.string())) == []
+
+
+def test_addends_are_asked_for_in_two_turns_when_all_else_is_deleted(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+    seen, turns, write = [], [], lm.materialize
+
+    def watched(df, tag, *by, **options):
+        out = write(df, tag, *by, **options)
+        if tag == "lm_addends":   # what is there while they are written
+            turns.append({(t, f.parent.name if "level=" in f.parent.name else "") for t, path in seen for f in path.rglob("*.parquet")})
+        seen.append((tag, Path(urlparse(out._written_to).path)))
+        return out
+
+    monkeypatch.setattr(lm, "materialize", watched)
+    assert lm.score_corpus(frame(spark, phrases(25)), F.col("doc_id") == 7).count() == 25
+    first, second = turns
+    assert {t for t, _ in first} == {"lm_sent", "lm_values"} and {t for t, _ in second} == {"lm_sent", "lm_values", "lm_addends"}
+    assert ("lm_values", "level=2") in first and {part for t, part in second if t == "lm_values"} <= {"level=3", "level=4"}
