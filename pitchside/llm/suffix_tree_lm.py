@@ -11,12 +11,12 @@ the size of the input but the counts.
 
 Scale.  Texts become cells of some million token hashes, kept in a table bucketed by cell.  Level
 by level, cells send the n-grams whose two parts are frequent enough to buckets by hash, once
-each with their count, and get back a bit for each; so the candidates, the states and the stored words are
-tables of their own, joined by key, however many there are.  What moves between cells and buckets is
+each with their count, and get back a bit for each and the counts of the frequent ones; so the candidates, the states
+and the stored words are tables of their own, joined by key, however many there are.  What moves between cells and buckets is
 sorted keys as differences and numbers as byte planes, which compress.  A text's score is additive: each
 n-gram in it has one addend as a state's factor for the other words and one as a stored word, so the
-cells ask the buckets for the addends of their n-grams.  Nothing of the model is broadcast.  A table of a
-level is deleted when the next level's is written, and so are the exchanges behind it.  Words and
+cells ask the buckets for the addends of their n-grams, those of up to two words first.  Nothing of the model is broadcast.  The n-grams of a
+level are deleted when its states are written, and so are the exchanges behind them.  Words and
 n-grams are compared by 64-bit hashes.
 
 Defined cases: a null or empty text is the end token alone; a null id counts as the empty
@@ -49,7 +49,7 @@ DIVERGENCE = 20.0     # nats
 PRIOR = 1.0
 CHUNK_TOKENS = 1 << 20
 TEXTS_AT_ONCE = 512
-KEYS_A_BUCKET = 1 << 20
+TOKENS_A_BUCKET = 3 << 20   # of the text; fewer mean that cells and buckets send each other many small parts
 BUCKET_TOKENS = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b""))   # no word is empty
@@ -307,9 +307,12 @@ def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_s
     for g in range(2, top + 1):
         here = longest() if g == top else grams
         own = here.where(F.col("level") == g)
-        # the words' probabilities follow from their counts; those of longer suffixes are in the level below
-        own = (own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q")) if g == 2 else
-               own.select("key", "ctx", "sfx", "n", "size").join(levels[-1].select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx").drop("sfx"))
+        if g == 2:   # the words' probabilities follow from their counts
+            own = own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q"))
+        else:        # those of longer suffixes are in the level below; written, so that the join's exchanges go before the next
+            own = own.select("key", "ctx", "sfx", "n", "size").join(levels[-1].select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx")
+            own = used = materialize(own.drop("sfx"), "lm_joined", compression="zstd")
+            release(here, f"level={g}")
         # all stored next words of a context meet once: its sums, its test and its words' addends
         whole = F.col("size") + prior
         rest, other, stored = F.col("rest"), F.col("other"), F.sum("n").over(of_context)
@@ -322,7 +325,7 @@ def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_s
             "key", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"),
             *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest")),   # a state is told by one of its words
             F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level", compression="zstd")
-        release(here, f"level={g}")
+        release(*((here, f"level={g}") if g == 2 else (used,)))
         levels.append(level)
         values += [level.where("rest IS NOT NULL").select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g - 1).alias("level")),
                    level.where("value IS NOT NULL").select("key", "value", F.lit(g).alias("level"))]
@@ -360,7 +363,7 @@ def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, wanted: Sequenc
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, k) for (c, v), k in zip(rows.items(), kinds)})
 
-    asked = cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(ask, "bucket int, cell long, level int, keys binary")
+    asked = cells.groupBy("cell").cogroup(sent.where(F.col("level") <= max(wanted)).groupBy("cell")).applyInArrow(ask, "bucket int, cell long, level int, keys binary")
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -390,7 +393,7 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
                  divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
     """Learn from the rows that are not held out, score all rows of ``docs(doc_id, text)``."""
     cells, tokens = _cells(docs, ~held_out)
-    top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / KEYS_A_BUCKET))))
+    top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / TOKENS_A_BUCKET))))
     sent = docs.sparkSession.createDataFrame([], SENT)
     for g in range(1, top + 1):
         sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits, top), g, min_count, top), "lm_sent", compression="zstd"))
