@@ -11,11 +11,11 @@ the size of the input but the counts.
 
 Scale.  Texts become cells of some million token hashes, kept in a table bucketed by cell.  Level
 by level, cells send the n-grams whose two parts are frequent enough to buckets by hash, once
-each with their count, and get back a bit for each and the counts of the frequent ones; so the candidates, the states
-and the stored words are tables of their own, joined by key, however many there are.  What moves between cells and buckets is
-sorted keys as differences and numbers as byte planes, which compress.  A text's score is additive: each
-n-gram in it has one addend as a state's factor for the other words and one as a stored word, so the
-cells ask the buckets for the addends of their n-grams, those of up to two words first.  Nothing of the model is broadcast.  The n-grams of a
+each with their count, and get back a bit for each and the counts of the frequent ones; so the candidates and the states
+are tables of their own, joined by key, however many there are.  What moves between cells and buckets is
+sorted keys as differences and numbers as byte planes, which compress.  A cell then asks the buckets which of its
+frequent n-grams are states, those of one word first, and gets the factors of the states for the words they do not store; the
+probability of a stored word follows from counts that the cell has.  Nothing of the model is broadcast.  The n-grams of a
 level are deleted when its states are written, and so are the exchanges behind them.  Words and
 n-grams are compared by 64-bit hashes.
 
@@ -180,8 +180,7 @@ class Level:
 
 
 class Cell:
-    def __init__(self, t: pa.Table, sent: pa.Table, bits: int, top: int):
-        self.top = top
+    def __init__(self, t: pa.Table, sent: pa.Table, bits: int):
         one = {c: t[c][0].as_py() for c in t.column_names}
         self.number, self.ids, self.bits = one["cell"], one["ids"], bits
         self.words = from_steps(one["words"])
@@ -204,6 +203,21 @@ class Cell:
             self.hashes.append(np.concatenate((np.zeros(1, np.uint64), last[:-1])) * BASE + self.hashes[0])
         return self.hashes[g - 1]
 
+    def spread(self, level: Level, values: np.ndarray, none: float = 0.0) -> np.ndarray:
+        """The values of a level's keys by the position of the n-gram's last word."""
+        out = np.full(len(self.at), none)
+        out[level.where] = values[level.back]
+        return out
+
+    def rests(self, g: int, level: Level) -> np.ndarray:
+        """What a state of g words adds to the log10 probability of a word it does not store, by key; no number: not a state."""
+        out = np.full(len(level.keys), np.nan)
+        for b, row in self.sent.get(-g, {}).items():
+            s = level.parts[b]
+            k = s.start + np.flatnonzero(level.frequent[s])
+            out[k[np.unpackbits(np.frombuffer(row["ok"], np.uint8), count=len(k)).astype(bool)]] = from_planes(row["n"], np.float64)
+        return out
+
     def levels(self, depth: int) -> Iterator[Level]:
         """Levels 1 to depth; each but the last needs the answer to it (``frequent``, ``own``, ``n``)."""
         frequent = None
@@ -223,7 +237,7 @@ class Cell:
                     for name in ("frequent", "own"):
                         packed = row["ok" if name == "frequent" else "own"]
                         getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
-                    told = np.ones(size, bool) if g == 1 else (level.frequent if g < self.top else level.own)[s]
+                    told = np.ones(size, bool) if g == 1 else level.frequent[s]
                     level.n[s.start + np.flatnonzero(told)] = from_planes(row["n"], np.int64)
             elif not len(level.keys):
                 level.frequent = level.own = np.zeros(0, bool)
@@ -234,10 +248,10 @@ class Cell:
             yield level
 
 
-def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int, top: int) -> DataFrame:
+def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
     """Every cell tells each bucket its n-grams of g words, and how often training texts have them."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits, top)
+        cell = Cell(t, sent, bits)
         *_, level = cell.levels(g)
         n = np.bincount(level.back, cell.train[level.where], len(level.keys)).astype(np.int64)
         return pa.table({"bucket": pa.array(list(level.parts), pa.int32()), "cell": pa.array([cell.number] * len(level.parts), pa.int64()),
@@ -247,9 +261,8 @@ def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int, top: int) -> Dat
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "bucket int, cell long, keys binary, n binary")
 
 
-def _answered(told: DataFrame, g: int, min_count: int, top: int) -> DataFrame:
-    """A bit for each n-gram that is frequent, and its count (of words, all counts); one cell owns it, and the count of one of
-    ``top`` words is for that cell only."""
+def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
+    """A bit for each n-gram that is frequent, and its count (of words, all counts); one cell owns it."""
     def run(t: pa.Table) -> pa.Table:
         keys = [from_steps(x) for x in t["keys"].to_pylist()]
         _, first, back = distinct(np.concatenate(keys))
@@ -263,18 +276,18 @@ def _answered(told: DataFrame, g: int, min_count: int, top: int) -> DataFrame:
             ok = mine >= min_count
             out["ok"].append(np.packbits(ok).tobytes())
             out["own"].append(np.packbits(own).tobytes())
-            out["n"].append(planes(mine if g == 1 else mine[ok if g < top else own]))
+            out["n"].append(planes(mine if g == 1 else mine[ok]))
         return pa.table({"cell": t["cell"], "bucket": t["bucket"], "level": pa.array([g] * len(keys), pa.int32())}
                         | {c: pa.array(v, pa.binary()) for c, v in out.items()})
 
     return told.groupBy("bucket").applyInArrow(run, SENT)
 
 
-def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int, top: int) -> DataFrame:
+def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
     """The frequent n-grams of the wanted numbers of words: key, count, the keys without the last and without the first word, the
     count without the last word and, of two words, without the first.  Of one word: a cell's training tokens and distinct words as n and size."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits, top)
+        cell = Cell(t, sent, bits)
         out, count = [], np.zeros(len(cell.at), np.int64)
         for g, level in enumerate(cell.levels(max(wanted)), 1):
             before, k = count, np.flatnonzero(level.own)
@@ -297,48 +310,52 @@ def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int,
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long, size long, last long")
 
 
-def _addends(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> DataFrame:
-    """(key, value), parted by the words of the key (``level``): what an n-gram adds to the log10 score, as a state for the words it does not
-    store and as a stored word of the state before its last word; a key has at most one row as each.
+def _states(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> list[DataFrame]:
+    """For each number of words from one: (key, value) of the states, what they add to the log10 probability of a word they do not store.
+    They are in a folder named by the words of the n-grams that decide (``level``), one more than the state has.
     ``grams`` is parted by level; the n-grams of ``top`` words are asked of ``longest`` when it is their turn.  A level's n-grams are
-    deleted once they have been used."""
-    levels, values = [], []
-    of_context = Window.partitionBy("ctx")
+    deleted once they have been used, and its probabilities once the next level has them."""
+    states, level = [], None
+    whole, rest, other = F.col("size") + prior, F.col("rest"), F.col("other")
     for g in range(2, top + 1):
         here = longest() if g == top else grams
         own = here.where(F.col("level") == g)
         if g == 2:   # the words' probabilities follow from their counts
-            own = own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q"))
+            own, used = own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q")), (here, f"level={g}")
         else:        # those of longer suffixes are in the level below; written, so that the join's exchanges go before the next
-            own = own.select("key", "ctx", "sfx", "n", "size").join(levels[-1].select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx")
-            own = used = materialize(own.drop("sfx"), "lm_joined", compression="zstd")
+            own = own.select(*(["key"] if g < top else []), "ctx", "sfx", "n", "size").join(level.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx")
+            own = materialize(own.drop("sfx"), "lm_joined", compression="zstd")
+            used = (own,)
             release(here, f"level={g}")
-        # all stored next words of a context meet once: its sums, its test and its words' addends
-        whole = F.col("size") + prior
-        rest, other, stored = F.col("rest"), F.col("other"), F.sum("n").over(of_context)
-        own = own.withColumns({"rest": 1 - stored / whole, "other": F.greatest(1 - F.sum("q").over(of_context), F.lit(1e-12)),
-                               "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).over(of_context), "stored": stored, "first": F.min("key").over(of_context) == F.col("key")})
+            release(level)
+        # all stored next words of a context meet once: its sums and its test
+        sums = {"stored": F.sum("n"), "met": F.sum("q"), "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q")))}
+        if g < top:  # and its words' probabilities, for the next level
+            of_context = Window.partitionBy("ctx")
+            own = own.withColumns({c: x.over(of_context) for c, x in sums.items()} | {"first": F.min("key").over(of_context) == F.col("key")})
+        else:
+            own = own.groupBy("ctx", "size").agg(*(x.alias(c) for c, x in sums.items()))
+        own = own.withColumns({"rest": 1 - F.col("stored") / whole, "other": F.greatest(1 - F.col("met"), F.lit(1e-12))})
         kl = (F.col("log") - F.col("stored") * F.log(whole)) / whole + rest * F.log(rest / other)
         own = own.withColumns({"kept": F.col("size") * kl >= divergence, "rest": F.log10(rest / other)})
-        p = F.col("n") / whole
-        level = materialize(own.select(
-            "key", F.when(F.col("kept"), p).otherwise(F.col("q")).alias("eff"),
-            *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest")),   # a state is told by one of its words
-            F.when(F.col("kept"), F.log10(p / F.col("q")) - F.col("rest")).alias("value")).where(F.lit(g < top) | F.col("kept")), "lm_level", compression="zstd")
-        release(*((here, f"level={g}") if g == 2 else (used,)))
-        levels.append(level)
-        values += [level.where("rest IS NOT NULL").select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g - 1).alias("level")),
-                   level.where("value IS NOT NULL").select("key", "value", F.lit(g).alias("level"))]
-    written = materialize(reduce(DataFrame.unionByName, values), "lm_values", "level", compression="zstd")
-    for level in levels:
-        release(level)
-    return written
-
-
-def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, wanted: Sequence[int], bits: int, top: int) -> DataFrame:
-    """For the frequent n-grams of each cell that have a wanted number of words: a bit for those with an addend, and the addends."""
+        if g < top:
+            level = materialize(own.select(
+                "key", F.when(F.col("kept"), F.col("n") / whole).otherwise(F.col("q")).alias("eff"),
+                *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest"))), "lm_level", compression="zstd")   # a state is told by one of its words
+            release(*used)
+            own = level.where("rest IS NOT NULL")
+        else:
+            own = own.where("kept")
+        states.append(materialize(own.select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g).alias("level")), "lm_values", "level", compression="zstd"))
+        if g == top:
+            release(*used)
+    return states
+
+
+def _asked(cells: DataFrame, sent: DataFrame, states: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
+    """For the frequent n-grams of each cell that have a wanted number of words: a bit for those that are states, and the states' values."""
     def ask(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits, top)
+        cell = Cell(t, sent, bits)
         out = {"bucket": [], "cell": [], "level": [], "keys": []}
         for g, level in enumerate(cell.levels(max(wanted)), 1):
             for b, s in level.parts.items() if g in wanted else ():
@@ -351,9 +368,8 @@ def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, wanted: Sequenc
 
     def answer(asked: pa.Table, values: pa.Table) -> pa.Table:
         dealt = values.to_pylist() if values.num_rows else []
-        keys, _, back = distinct(np.concatenate([EMPTY, *[from_steps(row["keys"]) for row in dealt]]))
-        value = np.concatenate([np.zeros(0), *[from_planes(row["values"], np.float64) for row in dealt]])
-        table = Table(keys, np.bincount(back, value, len(keys)))   # both addends of a key meet here
+        keys, first, _ = distinct(np.concatenate([EMPTY, *[from_steps(row["keys"]) for row in dealt]]))
+        table = Table(keys, np.concatenate([np.zeros(0), *[from_planes(row["values"], np.float64) for row in dealt]])[first])
         rows = {c: [] for c in ("cell", "bucket", "level", "ok", "own", "n")}
         for row in asked.to_pylist() if asked.num_rows else []:
             k = table.find(from_steps(row["keys"]))
@@ -385,7 +401,7 @@ def _asked(cells: DataFrame, sent: DataFrame, values: DataFrame, wanted: Sequenc
             pa.array(list(level.parts), pa.int32()), pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
             pa.array([planes(value[s]) for s in level.parts.values()], pa.binary())], ["bucket", "keys", "values"])
 
-    dealt = values.where(F.col("level").isin(*wanted)).select("key", "value").mapInArrow(deal, "bucket int, keys binary, values binary")
+    dealt = states.select("key", "value").mapInArrow(deal, "bucket int, keys binary, values binary")
     return asked.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(answer, SENT)
 
 
@@ -396,10 +412,10 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     top, bits = depth + 1, max(6, math.ceil(math.log2(max(1, tokens / TOKENS_A_BUCKET))))
     sent = docs.sparkSession.createDataFrame([], SENT)
     for g in range(1, top + 1):
-        sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits, top), g, min_count, top), "lm_sent", compression="zstd"))
+        sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent", compression="zstd"))
         release()
     def grams_of(wanted: Sequence[int]) -> DataFrame:
-        written = materialize(_grams(cells, sent, wanted, bits, top), "lm_grams", "level", compression="zstd")
+        written = materialize(_grams(cells, sent, wanted, bits), "lm_grams", "level", compression="zstd")
         release()
         return written
 
@@ -407,34 +423,33 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     total, known = int(row[0]), int(row[1])
     log_size = float(np.log10(total + 0.5 * (known + 1)))
-    addends = _addends(grams, lambda: grams_of([top]), top, log_size, divergence, prior)
+    states = _states(grams, lambda: grams_of([top]), top, log_size, divergence, prior)
     release(grams)
     asked = []
-    for wanted in filter(None, (range(1, min(top, 2) + 1), range(3, top + 1))):   # in two turns: what is asked takes the most disk
-        asked.append(materialize(_asked(cells, sent, addends, wanted, bits, top), "lm_addends", compression="zstd"))
-        for g in wanted:
-            release(addends, f"level={g}")
-    release(addends)
-    asked = reduce(DataFrame.unionByName, asked)
+    for wanted in filter(None, (range(1, min(depth, 1) + 1), range(2, depth + 1))):   # in two turns: what is asked takes the most disk
+        kept = [states[g - 1] for g in wanted]
+        asked.append(materialize(_asked(cells, sent, reduce(DataFrame.unionByName, kept), wanted, bits), "lm_addends", compression="zstd"))
+        for table in kept:
+            release(table)
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
-        cell = Cell(t, sent, bits, top)
-        score = np.zeros(len(cell.at))
+        cell = Cell(t, sent, bits)
+        within = cell.place > 0   # the first token is history only
         for g, level in enumerate(cell.levels(top), 1):
-            value = np.zeros(len(level.keys))
-            for b, row in cell.sent.get(-g, {}).items():
-                s = level.parts[b]
-                k = s.start + np.flatnonzero(level.frequent[s])
-                value[k[np.unpackbits(np.frombuffer(row["ok"], np.uint8), count=len(k)).astype(bool)]] = from_planes(row["n"], np.float64)
+            n = cell.spread(level, level.n)
             if g == 1:
-                n = level.n[level.back]
-                score[cell.ends - 1] = -value[level.back[cell.ends - 1]]   # nothing follows the last token
-            score[level.where] += value[level.back]
-        base = np.where(cell.place > 0, np.log10(n + 0.5) - log_size, 0.0)
+                known, base = n, np.where(within, np.log10(n + 0.5) - log_size, 0.0)
+                log = base.copy()
+            else:   # rest and size are those of the g - 1 words before
+                state = within & ~np.isnan(rest)
+                log[state] += rest[state]
+                stored = np.flatnonzero(state & (n > 0))
+                log[stored] = np.log10(n[stored] / (size[stored] + prior))
+            rest, size = (np.concatenate((x[:1], x[:-1])) for x in (cell.spread(level, cell.rests(g, level), np.nan), n))
         sums = lambda x: np.add.reduceat(x, cell.starts)
-        return pa.table({"doc_id": pa.array(cell.ids, pa.int64()), "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(((n > 0) & (cell.place > 0)).astype(np.int64))),
-                         "base_score": pa.array(sums(base)), "score": pa.array(sums(base + score))})
+        return pa.table({"doc_id": pa.array(cell.ids, pa.int64()), "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(((known > 0) & within).astype(np.int64))),
+                         "base_score": pa.array(sums(base)), "score": pa.array(sums(log))})
 
-    return (cells.groupBy("cell").cogroup(sent.unionByName(asked).groupBy("cell"))
+    return (cells.groupBy("cell").cogroup(reduce(DataFrame.unionByName, asked, sent).groupBy("cell"))
             .applyInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
             .withColumn("train_tokens", F.lit(total).cast("long")))
