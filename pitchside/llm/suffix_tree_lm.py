@@ -14,8 +14,8 @@ by level, cells send the n-grams whose two parts are frequent enough to buckets
 each with their count, and get back a bit for each and the counts of the frequent ones; so the candidates and the states
 are tables of their own, joined by key, however many there are.  What moves between cells and buckets is
 sorted keys as differences and numbers as byte planes, which compress.  A cell then asks the buckets which of its
-frequent n-grams are states, those of one word first, and gets the factors of the states for the words they do not store; the
-probability of a stored word follows from counts that the cell has.  Nothing of the model is broadcast.  The n-grams of a
+frequent n-grams are states, those of one word before the n-grams of three are judged, and gets the factors of the states for the
+words they do not store; the probability of a stored word follows from counts that the cell has.  Nothing of the model is broadcast.  The n-grams of a
 level are deleted when its states are written, and so are the exchanges behind them.  Words and
 n-grams are compared by 64-bit hashes.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -283,73 +283,76 @@ def _answered(told: DataFrame, g: int, min_count: int) -> DataFrame:
     return told.groupBy("bucket").applyInArrow(run, SENT)
 
 
-def _grams(cells: DataFrame, sent: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
-    """The frequent n-grams of the wanted numbers of words: key, count, the keys without the last and without the first word, the
-    count without the last word and, of two words, without the first.  Of one word: a cell's training tokens and distinct words as n and size."""
+def _totals(sent: DataFrame) -> tuple[int, int]:
+    """The number of training tokens and of distinct words in them, of the counts that the buckets told."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [from_planes(x, np.int64) for x in batch["n"].to_pylist()]
+            own = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(m)) for x, m in zip(batch["own"].to_pylist(), n)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(m @ o) for m, o in zip(n, own)], pa.int64()), pa.array([int(o.sum()) for o in own], pa.int64())], ["n", "size"])
+
+    row = sent.where("level = 1").select("own", "n").mapInArrow(run, "n long, size long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return int(row[0]), int(row[1])
+
+
+def _grams(cells: DataFrame, sent: DataFrame, g: int, bits: int, log_size: float, prior: float) -> DataFrame:
+    """The frequent n-grams of g words, two or more: key, count, the keys without the last and without the first word, the
+    count without the last word and, of up to three words, the probability of the last word after the words but the first; for those of
+    three, ``sent`` has the states of one word."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
-        out, count = [], np.zeros(len(cell.at), np.int64)
-        for g, level in enumerate(cell.levels(max(wanted)), 1):
-            before, k = count, np.flatnonzero(level.own)
-            if g < max(wanted):
-                count = np.zeros(len(cell.at), np.int64)
-                count[level.where] = level.n[level.back]
-            if g not in wanted:
-                continue
-            if g == 1:
-                out.append([np.array([x]) for x in (1, 0, 0, 0, int(level.n[k].sum()), len(k), 0)])
-                continue
-            at = np.zeros(len(level.keys), np.int64)
-            at[level.back] = level.where
-            at, none = at[k], np.zeros(len(k), np.int64)
-            out.append((np.full(len(k), g), level.keys[k].view(np.int64), cell.hash(g - 1)[at - 1].view(np.int64),
-                        cell.hash(g - 1)[at].view(np.int64) if g > 2 else none, level.n[k].astype(np.int64), before[at - 1], before[at] if g == 2 else none))
-        return pa.table(dict(zip(("level", "key", "ctx", "sfx", "n", "size", "last"), (np.concatenate(x) for x in zip(*out))))).cast(kinds)
-
-    kinds = pa.schema([("level", pa.int32()), *((c, pa.int64()) for c in ("key", "ctx", "sfx", "n", "size", "last"))])
-    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long, size long, last long")
-
-
-def _states(grams: DataFrame, longest: Callable[[], DataFrame], top: int, log_size: float, divergence: float, prior: float) -> list[DataFrame]:
-    """For each number of words from one: (key, value) of the states, what they add to the log10 probability of a word they do not store.
-    They are in a folder named by the words of the n-grams that decide (``level``), one more than the state has.
-    ``grams`` is parted by level; the n-grams of ``top`` words are asked of ``longest`` when it is their turn.  A level's n-grams are
-    deleted once they have been used, and its probabilities once the next level has them."""
-    states, level = [], None
+        counts = []
+        for k, level in enumerate(cell.levels(g), 1):
+            if k < g:
+                counts.append(cell.spread(level, level.n))
+            if k == 1:
+                state = cell.spread(level, ~np.isnan(cell.rests(1, level))) > 0
+        own, at = np.flatnonzero(level.own), np.zeros(len(level.keys), np.int64)
+        at[level.back] = level.where
+        at, none = at[own], np.zeros(len(own), np.int64)
+        q = (counts[0][at] + 0.5) / 10.0 ** log_size if g <= 3 else np.zeros(len(own))
+        if g == 3:
+            q = np.where(state[at - 1], counts[1][at] / (counts[0][at - 1] + prior), q)
+        return pa.table([np.full(len(own), g), level.keys[own].view(np.int64), cell.hash(g - 1)[at - 1].view(np.int64), cell.hash(g - 1)[at].view(np.int64) if g > 3 else none,
+                         level.n[own].astype(np.int64), counts[-1][at - 1].astype(np.int64), q], kinds.names).cast(kinds)
+
+    kinds = pa.schema([("level", pa.int32()), *((c, pa.int64()) for c in ("key", "ctx", "sfx", "n", "size")), ("q", pa.float64())])
+    return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long, size long, q double")
+
+
+def _states(grams: DataFrame, g: int, level: DataFrame | None, top: int, divergence: float, prior: float) -> tuple[DataFrame, DataFrame | None]:
+    """The states that the n-grams of g words decide, as (key, value): what a state adds to the log10 probability of a word it does not store,
+    in a folder named by g (``level``); and for the n-grams of the next length the last words' probabilities (``level``, here those of the
+    length before).  What has been used is deleted."""
     whole, rest, other = F.col("size") + prior, F.col("rest"), F.col("other")
-    for g in range(2, top + 1):
-        here = longest() if g == top else grams
-        own = here.where(F.col("level") == g)
-        if g == 2:   # the words' probabilities follow from their counts
-            own, used = own.select("key", "ctx", "n", "size", ((F.col("last") + 0.5) / F.lit(10.0 ** log_size)).alias("q")), (here, f"level={g}")
-        else:        # those of longer suffixes are in the level below; written, so that the join's exchanges go before the next
-            own = own.select(*(["key"] if g < top else []), "ctx", "sfx", "n", "size").join(level.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx")
-            own = materialize(own.drop("sfx"), "lm_joined", compression="zstd")
-            used = (own,)
-            release(here, f"level={g}")
-            release(level)
-        # all stored next words of a context meet once: its sums and its test
-        sums = {"stored": F.sum("n"), "met": F.sum("q"), "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q")))}
-        if g < top:  # and its words' probabilities, for the next level
-            of_context = Window.partitionBy("ctx")
-            own = own.withColumns({c: x.over(of_context) for c, x in sums.items()} | {"first": F.min("key").over(of_context) == F.col("key")})
-        else:
-            own = own.groupBy("ctx", "size").agg(*(x.alias(c) for c, x in sums.items()))
-        own = own.withColumns({"rest": 1 - F.col("stored") / whole, "other": F.greatest(1 - F.col("met"), F.lit(1e-12))})
-        kl = (F.col("log") - F.col("stored") * F.log(whole)) / whole + rest * F.log(rest / other)
-        own = own.withColumns({"kept": F.col("size") * kl >= divergence, "rest": F.log10(rest / other)})
-        if g < top:
-            level = materialize(own.select(
-                "key", F.when(F.col("kept"), F.col("n") / whole).otherwise(F.col("q")).alias("eff"),
-                *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest"))), "lm_level", compression="zstd")   # a state is told by one of its words
-            release(*used)
-            own = level.where("rest IS NOT NULL")
-        else:
-            own = own.where("kept")
-        states.append(materialize(own.select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g).alias("level")), "lm_values", "level", compression="zstd"))
-        if g == top:
-            release(*used)
-    return states
+    own, used, following = grams.where(F.col("level") == g), grams, 3 <= g < top
+    key = ["key"] if following else []
+    if g > 3:    # the probabilities after shorter suffixes are in the level below; written, so that the join's exchanges go before the next
+        own = own.select(*key, "ctx", "sfx", "n", "size").join(level.select(F.col("key").alias("sfx"), F.col("eff").alias("q")), "sfx")
+        own = used = materialize(own.drop("sfx"), "lm_joined", compression="zstd")
+        release(grams)
+        release(level)
+    # all stored next words of a context meet once: its sums and its test
+    sums = {"stored": F.sum("n"), "met": F.sum("q"), "log": F.sum(F.col("n") * F.log(F.col("n") / F.col("q")))}
+    if following:   # and its words' probabilities, for the next length
+        of_context = Window.partitionBy("ctx")
+        own = own.select("key", "ctx", "n", "size", "q").withColumns({c: x.over(of_context) for c, x in sums.items()} | {"first": F.min("key").over(of_context) == F.col("key")})
+    else:
+        own = own.groupBy("ctx", "size").agg(*(x.alias(c) for c, x in sums.items()))
+    own = own.withColumns({"rest": 1 - F.col("stored") / whole, "other": F.greatest(1 - F.col("met"), F.lit(1e-12))})
+    kl = (F.col("log") - F.col("stored") * F.log(whole)) / whole + rest * F.log(rest / other)
+    own = own.withColumns({"kept": F.col("size") * kl >= divergence, "rest": F.log10(rest / other)})
+    if following:
+        level = materialize(own.select(
+            "key", F.when(F.col("kept"), F.col("n") / whole).otherwise(F.col("q")).alias("eff"),
+            *(F.when(F.col("kept") & F.col("first"), F.col(c)).alias(c) for c in ("ctx", "rest"))), "lm_level", compression="zstd")   # a state is told by one of its words
+        release(used)
+        own = level.where("rest IS NOT NULL")
+    else:
+        own = own.where("kept")
+    states = materialize(own.select(F.col("ctx").alias("key"), F.col("rest").alias("value"), F.lit(g).alias("level")), "lm_values", "level", compression="zstd")
+    release(*(() if following else (used,)))
+    return states, level if following else None
 
 
 def _asked(cells: DataFrame, sent: DataFrame, states: DataFrame, wanted: Sequence[int], bits: int) -> DataFrame:
@@ -414,23 +417,26 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
     for g in range(1, top + 1):
         sent = sent.unionByName(materialize(_answered(_told(cells, sent, g, bits), g, min_count), "lm_sent", compression="zstd"))
         release()
-    def grams_of(wanted: Sequence[int]) -> DataFrame:
-        written = materialize(_grams(cells, sent, wanted, bits), "lm_grams", "level", compression="zstd")
+    def grams_of(g: int, sent: DataFrame) -> DataFrame:
+        grams = _grams(cells, sent, g, bits, log_size, prior)
+        written = materialize(grams if 3 <= g < top else grams.drop("key"), "lm_grams", "level", compression="zstd")
         release()
         return written
 
-    grams = grams_of(range(1, top))
-    row = grams.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    total, known = int(row[0]), int(row[1])
-    log_size = float(np.log10(total + 0.5 * (known + 1)))
-    states = _states(grams, lambda: grams_of([top]), top, log_size, divergence, prior)
-    release(grams)
-    asked = []
-    for wanted in filter(None, (range(1, min(depth, 1) + 1), range(2, depth + 1))):   # in two turns: what is asked takes the most disk
-        kept = [states[g - 1] for g in wanted]
-        asked.append(materialize(_asked(cells, sent, reduce(DataFrame.unionByName, kept), wanted, bits), "lm_addends", compression="zstd"))
-        for table in kept:
+    def ask(states: dict[int, DataFrame]) -> DataFrame:
+        told = materialize(_asked(cells, sent, reduce(DataFrame.unionByName, states.values()), list(states), bits), "lm_addends", compression="zstd")
+        for table in states.values():
             release(table)
+        return told
+
+    total, known = _totals(sent)
+    log_size = float(np.log10(total + 0.5 * (known + 1)))
+    kept, level = _states(grams_of(2, sent), 2, None, top, divergence, prior)
+    asked, states = ask({1: kept}), {}
+    for g in range(3, top + 1):
+        states[g - 1], level = _states(grams_of(g, sent.unionByName(asked) if g == 3 else sent), g, level, top, divergence, prior)
+    if states:   # in two turns, also as what is asked takes much disk
+        asked = asked.unionByName(ask(states))
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
@@ -450,6 +456,6 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
         return pa.table({"doc_id": pa.array(cell.ids, pa.int64()), "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(((known > 0) & within).astype(np.int64))),
                          "base_score": pa.array(sums(base)), "score": pa.array(sums(log))})
 
-    return (cells.groupBy("cell").cogroup(reduce(DataFrame.unionByName, asked, sent).groupBy("cell"))
+    return (cells.groupBy("cell").cogroup(sent.unionByName(asked).groupBy("cell"))
             .applyInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
             .withColumn("train_tokens", F.lit(total).cast("long")))

@@ -179,3 +179,21 @@ def test_addends_are_asked_for_in_two_turns_when_all_else_is_deleted(spark, monk
     first, second = turns
     assert {t for t, _ in first} == {"lm_sent", "lm_values"} and {t for t, _ in second} == {"lm_sent", "lm_values", "lm_addends"}
     assert ("lm_values", "level=2") in first and {part for t, part in second if t == "lm_values"} <= {"level=3", "level=4"}
+
+
+def test_cells_ask_for_states_only_and_one_join_is_written(spark, monkeypatch):
+    """What a stored word adds follows from counts: only states are told, each once, and no key goes where none is needed."""
+    seen, write = [], lm.materialize
+
+    def watched(df, tag, *by, **options):
+        out = write(df, tag, *by, **options)
+        seen.append((tag, out.columns, out.select("key").collect() if tag == "lm_values" else [], out.count() if tag == "lm_level" else 0))
+        return out
+
+    monkeypatch.setattr(lm, "materialize", watched)
+    rows = [(r[0], r[1]) for r in documents(50) + phrases(25)]
+    got = lm.score_corpus(frame(spark, documents(50) + phrases(25)), queries.crc_mod("doc_id", 5) == 1, divergence=5.0).count()
+    told = [row.key for tag, _, keys, _ in seen if tag == "lm_values" for row in keys]
+    assert got == len(rows) and len(told) == len(set(told)) == len(Brute(rows, out, divergence=5.0).states)
+    assert [tag for tag, *_ in seen].count("lm_joined") == 1
+    assert ["key" in columns for tag, columns, *_ in seen if tag == "lm_grams"] == [False, True, False]
