@@ -60,10 +60,10 @@ def hashed(texts: pa.Array) -> list[np.ndarray]:
     """The token hashes of each text with an end token before (its history) and after it; a word is hashed once."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # A-Z and ASCII blanks only
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)   # bytes; ``to_pylist`` takes longer than the hashes
     at = coded.indices.to_numpy()
     doc = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
-    told = np.array([len(w) > 0 for w in words], bool)[at]    # blanks at an end of the text make empty words
+    told = (words != b"").astype(bool)[at]    # blanks at an end of the text make empty words
     at, doc = at[told], doc[told]
     cuts = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)) + 2)))
     out = np.full(cuts[-1], END, np.uint64)
@@ -188,9 +188,8 @@ class Cell:
         self.size = from_planes(one["size"], np.int64)
         self.ends = np.cumsum(self.size)
         self.starts = self.ends - self.size
-        self.doc = np.repeat(np.arange(len(self.size)), self.size)
-        self.place = np.arange(len(self.at)) - self.starts[self.doc]
-        self.train = np.frombuffer(one["train"], bool)[self.doc] & (self.place > 0)   # the first token is history only
+        self.place = np.arange(len(self.at)) - np.repeat(self.starts, self.size)
+        self.train = np.repeat(np.frombuffer(one["train"], bool), self.size) & (self.place > 0)   # the first token is history only
         self.hashes = [self.words[self.at]]
         self.sent = {}
         for row in sent.to_pylist() if sent.num_rows else []:
