@@ -30,7 +30,7 @@ import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -72,44 +72,82 @@ def hashed(texts: pa.Array) -> list[np.ndarray]:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Numbers by byte place, all lowest bytes first, where the zeros of small numbers meet; compressed, as a shuffle does not
-    give frequent bytes fewer bits."""
-    laid = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
-    return len(laid).to_bytes(8, "little") + pa.compress(laid, codec="zstd", asbytes=True)
+    """Numbers by byte place, lowest bytes first, where the zeros of small numbers meet, and only the places that any number
+    uses; compressed, as a shuffle does not give frequent bytes fewer bits.  The lower halves of long numbers have no order
+    to show and stay together."""
+    used = (int(np.bitwise_or.reduce(x.view(f"u{x.itemsize}"))).bit_length() + 7) // 8
+    half, places, laid = 4 if used > 4 else 0, x.view(np.uint8).reshape(-1, x.itemsize), np.empty(used * len(x), np.uint8)
+    laid[:half * len(x)].view(np.uint32)[:] = x.view(np.uint64) if half else 0
+    for k in range(half, used):   # a place at a time: a copy of the transposed bytes goes number by number
+        laid[k * len(x):(k + 1) * len(x)] = places[:, k]
+    return len(x).to_bytes(7, "little") + bytes([used]) + (pa.compress(laid, codec="zstd", asbytes=True) if used else b"")
 
 
 def from_planes(packed: bytes, dtype: type) -> np.ndarray:
-    laid = pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"), codec="zstd")
-    return np.ascontiguousarray(np.frombuffer(laid, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+    size, used = int.from_bytes(packed[:7], "little"), packed[7]
+    out, half = np.zeros(size, dtype), 4 if used > 4 else 0
+    if used:
+        places = out.view(np.uint8).reshape(-1, out.itemsize)
+        laid = np.frombuffer(pa.decompress(memoryview(packed)[8:], size * used, codec="zstd"), np.uint8)
+        if half:
+            out.view(np.uint64)[:] = laid[:half * size].view(np.uint32)
+        for k in range(half, used):
+            places[:, k] = laid[k * size:(k + 1) * size]
+    return out
 
 
 def steps(keys: np.ndarray) -> bytes:
-    """Sorted unsigned keys as planes of their differences."""
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    """Sorted unsigned keys as the first of them and planes of their differences."""
+    apart = np.zeros(len(keys), np.uint64)
+    np.subtract(keys[1:], keys[:-1], out=apart[1:])
+    return (keys[0].tobytes() if len(keys) else bytes(8)) + planes(apart)
 
 
 def from_steps(packed: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(packed, np.uint64), dtype=np.uint64)
+    keys = from_planes(memoryview(packed)[8:], np.uint64)
+    keys[:1] = np.frombuffer(packed, np.uint64, 1)
+    return np.cumsum(keys, out=keys)
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted distinct keys, the first place of each and the number of each place's key, as ``np.unique`` has them: one sort
-    of plain numbers, made of a key's leading bits and its place, is many times as fast as a sort of places."""
+def in_order(keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ascending places ``at`` by ``keys[at]``, and these keys: one sort of plain numbers, made of a key's leading bits and its
+    place, is many times as fast as a sort of places."""
     low = np.uint64(len(keys).bit_length())
-    mixed = keys >> low << low | np.arange(len(keys), dtype=np.uint64)
+    mixed = keys[at]
+    mixed >>= low
+    mixed <<= low
+    mixed |= at.view(np.uint64)
     mixed.sort()
-    at = (mixed & (np.uint64(1) << low) - np.uint64(1)).astype(np.int64)
-    ordered = keys[at]
+    mixed &= (np.uint64(1) << low) - np.uint64(1)
+    out = mixed.view(np.int64)
+    ordered = np.take(keys, out, mode="clip")   # no place is beyond the end
     if (ordered[1:] < ordered[:-1]).any():   # keys that only differ in their last bits
-        at = np.argsort(keys, kind="stable")
-        ordered = keys[at]
-    new = np.ones(len(keys), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
+        out = at[np.argsort(keys[at], kind="stable")]
+        ordered = keys[out]
+    return out, ordered
+
+
+def firsts(ordered: np.ndarray) -> np.ndarray:
+    """Whether a sorted key differs from the one before."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, the first place of each and the number of each place's key, as ``np.unique`` has them."""
+    at, ordered = in_order(keys, np.arange(len(keys)))
+    new = firsts(ordered)
     back = np.empty(len(keys), np.int64)
     back[at] = np.cumsum(new) - 1
     return ordered[new], at[new], back
 
 
+def by_count(often: np.ndarray) -> np.ndarray:
+    """The numbers of words, frequent words first; of short numbers, which are sorted by their digits."""
+    return np.argsort(~np.minimum(often, 0xFFFF).astype(np.uint16), kind="stable")
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]):
     """Token hashes of many texts at once, the row numbers' bounds, and the rows' other columns."""
     held, rows, size = [], [], 0
@@ -152,11 +190,12 @@ def _cells(docs: DataFrame, train: Column) -> tuple[DataFrame, int]:
         for k, (held, rows) in enumerate(_chunks(batches)):
             words, _, at = distinct(np.concatenate(held))
             often = np.bincount(at)
-            rank = np.argsort(np.argsort(-often, kind="stable"))
+            rank = np.empty(len(words), np.int32)
+            rank[by_count(often)] = np.arange(len(words))
             yield pa.RecordBatch.from_arrays([
                 pa.array([(TaskContext.get().partitionId() << 32) + k], pa.int64()), pa.array([len(at)], pa.int64()),
                 pa.array([[r["doc_id"] for r in rows]], pa.list_(pa.int64())), pa.array([steps(words)], pa.binary()),
-                pa.array([planes(often)], pa.binary()), pa.array([planes(rank[at].astype(np.int32))], pa.binary()), pa.array([planes(np.array([len(h) for h in held], np.int64))], pa.binary()),
+                pa.array([planes(often)], pa.binary()), pa.array([planes(rank[at])], pa.binary()), pa.array([planes(np.array([len(h) for h in held], np.int64))], pa.binary()),
                 pa.array([np.array([r["train"] for r in rows], bool).tobytes()], pa.binary())],
                 ["cell", "tokens", "ids", "words", "often", "at", "size", "train"])
 
@@ -170,43 +209,73 @@ def _cells(docs: DataFrame, train: Column) -> tuple[DataFrame, int]:
 
 
 class Level:
-    """The n-grams of one length in a cell: the positions they end at, their sorted keys, and which are frequent."""
+    """The n-grams of one length in a cell: their sorted keys, the positions they end at in the order of the keys, the number of
+    each position's key, and which keys are frequent.  For words, a cell has the key of each position instead."""
+
+    def __init__(self, keys: np.ndarray, bits: int, at: np.ndarray | None = None, number: np.ndarray | None = None):
+        self.keys, self.at, self.number = keys, at, number
+        cuts = [0, *np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(keys)]
+        self.parts = {b: slice(i, j) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if i < j}
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        """A position of each n-gram."""
+        return self.at[np.flatnonzero(firsts(self.number))]
 
-    def __init__(self, where: np.ndarray, keys: np.ndarray, back: np.ndarray, bits: int):
-        self.where, self.keys, self.back = where, keys, back
-        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        self.parts = {int(bucket[i]): slice(i, j) for i, j in zip(cuts, [*cuts[1:], len(keys)])}
+    def chosen(self, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The positions that the chosen n-grams end at, in the order of the keys, and the values of these n-grams."""
+        k = np.flatnonzero(keys[self.number])
+        return self.at[k], values[self.number[k]]
 
 
 class Cell:
     def __init__(self, t: pa.Table, sent: pa.Table, bits: int):
-        one = {c: t[c][0].as_py() for c in t.column_names}
-        self.number, self.ids, self.bits = one["cell"], one["ids"], bits
-        self.words = from_steps(one["words"])
-        self.at = np.argsort(-from_planes(one["often"], np.int64), kind="stable")[from_planes(one["at"], np.int32)]
-        self.size = from_planes(one["size"], np.int64)
-        self.ends = np.cumsum(self.size)
-        self.starts = self.ends - self.size
-        self.place = np.arange(len(self.at)) - np.repeat(self.starts, self.size)
-        self.train = np.repeat(np.frombuffer(one["train"], bool), self.size) & (self.place > 0)   # the first token is history only
-        self.hashes = [self.words[self.at]]
+        self.row = {c: t[c][0].as_py() for c in t.column_names if c != "ids"}
+        self.number, self.ids, self.bits = self.row["cell"], t["ids"][0].values, bits
+        self.words = from_steps(self.row["words"])
+        self.size = from_planes(self.row["size"], np.int64)
+        self.starts = np.cumsum(self.size) - self.size
         self.sent = {}
         for row in sent.to_pylist() if sent.num_rows else []:
             self.sent.setdefault(row["level"], {})[row["bucket"]] = row
 
+    @cached_property
+    def at(self) -> np.ndarray:
+        """The word of each position."""
+        return by_count(from_planes(self.row["often"], np.int64))[from_planes(self.row["at"], np.int32)]
+
+    @cached_property
+    def hashes(self) -> list[np.ndarray]:
+        return [self.words[self.at]]
+
+    @cached_property
+    def train(self) -> np.ndarray:
+        """The positions to learn from; the first token of a text is history only."""
+        out = np.repeat(np.frombuffer(self.row["train"], bool), self.size)
+        out[self.starts] = False
+        return out
+
     def hash(self, g: int) -> np.ndarray:
         """Hashes of the n-grams of g words by the position of their last word."""
         while len(self.hashes) < g:
-            last = self.hashes[-1]
-            self.hashes.append(np.concatenate((np.zeros(1, np.uint64), last[:-1])) * BASE + self.hashes[0])
+            out = np.zeros(len(self.at), np.uint64)
+            np.multiply(self.hashes[-1][:-1], BASE, out=out[1:])
+            out += self.hashes[0]
+            self.hashes.append(out)
         return self.hashes[g - 1]
 
-    def spread(self, level: Level, values: np.ndarray, none: float = 0.0) -> np.ndarray:
-        """The values of a level's keys by the position of the n-gram's last word."""
-        out = np.full(len(self.at), none)
-        out[level.where] = values[level.back]
-        return out
+    def learnt(self, level: Level) -> np.ndarray:
+        """How often training texts have the n-grams of a level."""
+        at, number = (slice(None), self.at) if level.at is None else (level.at, level.number)
+        return np.bincount(number[np.flatnonzero(self.train[at])], minlength=len(level.keys))
+
+    def counts(self, level: Level, at: np.ndarray) -> np.ndarray:
+        """The counts of a level's n-grams that end at these positions; 0 where none is frequent."""
+        if level.at is None:
+            return level.n[self.at[at]]
+        out = np.zeros(len(self.at))
+        out[level.at] = level.n[level.number]
+        return out[at]
 
     def rests(self, g: int, level: Level) -> np.ndarray:
         """What a state of g words adds to the log10 probability of a word it does not store, by key; no number: not a state."""
@@ -219,15 +288,21 @@ class Cell:
 
     def levels(self, depth: int) -> Iterator[Level]:
         """Levels 1 to depth; each but the last needs the answer to it (``frequent``, ``own``, ``n``)."""
-        frequent = None
         for g in range(1, depth + 1):
             if g == 1:
-                level = Level(np.arange(len(self.at)), self.words, self.at, self.bits)
+                level = Level(self.words, self.bits)
             else:
-                before = np.concatenate(([False], frequent[:-1]))
-                where = np.flatnonzero(frequent & before & (self.place >= g - 1))   # both parts are frequent
-                keys, _, back = distinct(self.hash(g)[where])
-                level = Level(where, keys, back, self.bits)
+                if g == 2:
+                    frequent = level.frequent[self.at]
+                else:
+                    frequent = np.zeros(len(self.at), bool)
+                    frequent[level.at] = level.frequent[level.number]
+                both = frequent[1:] & frequent[:-1]
+                if g == 2:   # the parts of longer n-grams tell by themselves that they are of one text
+                    both[self.starts[1:] - 1] = False
+                at, ordered = in_order(self.hash(g), np.flatnonzero(both) + 1)
+                new = firsts(ordered)
+                level = Level(ordered[np.flatnonzero(new)], self.bits, at, np.cumsum(new) - 1)
             if g in self.sent:
                 level.frequent, level.own = np.zeros(len(level.keys), bool), np.zeros(len(level.keys), bool)
                 level.n = np.zeros(len(level.keys))
@@ -235,15 +310,11 @@ class Cell:
                     row, size = self.sent[g][b], s.stop - s.start
                     for name in ("frequent", "own"):
                         packed = row["ok" if name == "frequent" else "own"]
-                        getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
-                    told = np.ones(size, bool) if g == 1 else level.frequent[s]
-                    level.n[s.start + np.flatnonzero(told)] = from_planes(row["n"], np.int64)
+                        getattr(level, name)[s] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).view(bool)
+                    level.n[s if g == 1 else s.start + np.flatnonzero(level.frequent[s])] = from_planes(row["n"], np.int64)
             elif not len(level.keys):
                 level.frequent = level.own = np.zeros(0, bool)
                 level.n = np.zeros(0)
-            if hasattr(level, "frequent"):
-                frequent = np.zeros(len(self.at), bool)
-                frequent[level.where] = level.frequent[level.back]
             yield level
 
 
@@ -252,7 +323,7 @@ def _told(cells: DataFrame, sent: DataFrame, g: int, bits: int) -> DataFrame:
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
         *_, level = cell.levels(g)
-        n = np.bincount(level.back, cell.train[level.where], len(level.keys)).astype(np.int64)
+        n = cell.learnt(level)
         return pa.table({"bucket": pa.array(list(level.parts), pa.int32()), "cell": pa.array([cell.number] * len(level.parts), pa.int64()),
                          "keys": pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
                          "n": pa.array([planes(n[s]) for s in level.parts.values()], pa.binary())})
@@ -300,20 +371,20 @@ def _grams(cells: DataFrame, sent: DataFrame, g: int, bits: int, log_size: float
     three, ``sent`` has the states of one word."""
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
-        counts = []
         for k, level in enumerate(cell.levels(g), 1):
-            if k < g:
-                counts.append(cell.spread(level, level.n))
             if k == 1:
-                state = cell.spread(level, ~np.isnan(cell.rests(1, level))) > 0
-        own, at = np.flatnonzero(level.own), np.zeros(len(level.keys), np.int64)
-        at[level.back] = level.where
-        at, none = at[own], np.zeros(len(own), np.int64)
-        q = (counts[0][at] + 0.5) / 10.0 ** log_size if g <= 3 else np.zeros(len(own))
+                words = level
+            if k < g:
+                before = level
+        own = np.flatnonzero(level.own)
+        at, none = level.first[own], np.zeros(len(own), np.int64)
+        size, later = cell.counts(before, np.stack((at - 1, at)))
+        q = (cell.counts(words, at) + 0.5) / 10.0 ** log_size if g <= 3 else none.astype(float)
         if g == 3:
-            q = np.where(state[at - 1], counts[1][at] / (counts[0][at - 1] + prior), q)
+            state = ~np.isnan(cell.rests(1, words))[cell.at[at - 1]]
+            q = np.where(state, later / (cell.counts(words, at - 1) + prior), q)
         return pa.table([np.full(len(own), g), level.keys[own].view(np.int64), cell.hash(g - 1)[at - 1].view(np.int64), cell.hash(g - 1)[at].view(np.int64) if g > 3 else none,
-                         level.n[own].astype(np.int64), counts[-1][at - 1].astype(np.int64), q], kinds.names).cast(kinds)
+                         level.n[own].astype(np.int64), size.astype(np.int64), q], kinds.names).cast(kinds)
 
     kinds = pa.schema([("level", pa.int32()), *((c, pa.int64()) for c in ("key", "ctx", "sfx", "n", "size")), ("q", pa.float64())])
     return cells.groupBy("cell").cogroup(sent.groupBy("cell")).applyInArrow(run, "level int, key long, ctx long, sfx long, n long, size long, q double")
@@ -398,7 +469,7 @@ def _asked(cells: DataFrame, sent: DataFrame, states: DataFrame, wanted: Sequenc
         keys = t["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         value = t["value"].to_numpy()[order]
-        level = Level(order, keys[order], order, bits)
+        level = Level(keys[order], bits)
         return pa.RecordBatch.from_arrays([
             pa.array(list(level.parts), pa.int32()), pa.array([steps(level.keys[s]) for s in level.parts.values()], pa.binary()),
             pa.array([planes(value[s]) for s in level.parts.values()], pa.binary())], ["bucket", "keys", "values"])
@@ -439,20 +510,31 @@ def score_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH, min_coun
 
     def run(t: pa.Table, sent: pa.Table) -> pa.Table:
         cell = Cell(t, sent, bits)
-        within = cell.place > 0   # the first token is history only
         for g, level in enumerate(cell.levels(top), 1):
-            n = cell.spread(level, level.n)
             if g == 1:
-                known, base = n, np.where(within, np.log10(n + 0.5) - log_size, 0.0)
-                log = base.copy()
-            else:   # rest and size are those of the g - 1 words before
-                state = within & ~np.isnan(rest)
-                log[state] += rest[state]
-                stored = np.flatnonzero(state & (n > 0))
-                log[stored] = np.log10(n[stored] / (size[stored] + prior))
-            rest, size = (np.concatenate((x[:1], x[:-1])) for x in (cell.spread(level, cell.rests(g, level), np.nan), n))
+                known, base = (level.n > 0)[cell.at], (np.log10(level.n + 0.5) - log_size)[cell.at]
+                known[cell.starts], base[cell.starts] = False, 0.0   # the first token is history only
+                log = np.append(base, 0.0)   # states also add to what follows the end of a text; that is struck off at last
+                rest = cell.rests(1, level)[cell.at]
+                after = np.flatnonzero(~np.isnan(rest)) + 1
+                log[after] += rest[after - 1]
+            else:
+                state = np.zeros(len(log), bool)   # whether the g - 1 words before are one
+                state[after] = True
+                stored, value = level.frequent & state[level.first], np.zeros(len(level.keys))
+                value[stored] = np.log10(level.n[stored] / (cell.counts(before, level.first[stored] - 1) + prior))
+                at, value = level.chosen(stored, value)
+                log[at] = value
+                if g < top:
+                    rest = cell.rests(g, level)
+                    at, rest = level.chosen(~np.isnan(rest), rest)
+                    after = at + 1
+                    log[after] += rest
+            before = level
+        log = log[:-1]
+        log[cell.starts] = 0.0
         sums = lambda x: np.add.reduceat(x, cell.starts)
-        return pa.table({"doc_id": pa.array(cell.ids, pa.int64()), "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(((known > 0) & within).astype(np.int64))),
+        return pa.table({"doc_id": cell.ids, "n_tokens": pa.array(cell.size - 1), "n_known": pa.array(sums(known.astype(np.int64))),
                          "base_score": pa.array(sums(base)), "score": pa.array(sums(log))})
 
     return (cells.groupBy("cell").cogroup(sent.unionByName(asked).groupBy("cell"))

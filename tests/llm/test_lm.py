@@ -197,3 +197,24 @@ def test_cells_ask_for_states_only_and_one_join_is_written(spark, monkeypatch):
     assert got == len(rows) and len(told) == len(set(told)) == len(Brute(rows, out, divergence=5.0).states)
     assert [tag for tag, *_ in seen].count("lm_joined") == 1
     assert ["key" in columns for tag, columns, *_ in seen if tag == "lm_grams"] == [False, True, False]
+
+
+def test_numbers_travel_in_the_bytes_they_use(monkeypatch):
+    sizes, compress = [], pa.compress
+    monkeypatch.setattr(lm.pa, "compress", lambda x, **options: sizes.append(memoryview(x).nbytes) or compress(x, **options))
+    rng = np.random.default_rng(8)
+    for x, used in ((rng.integers(0, 200, 900), 1), (rng.integers(0, 1 << 31, 900), 4), (rng.integers(0, 1 << 47, 900), 6), (rng.normal(size=900), 8), (np.zeros(900, np.int64), 0)):
+        sizes.clear()
+        assert (lm.from_planes(lm.planes(x), x.dtype.type) == x).all() and sum(sizes) == used * len(x)
+    keys = np.sort(rng.integers(0, 1 << 40, 900, dtype=np.uint64)) + np.uint64(63 << 58)
+    sizes.clear()
+    assert (lm.from_steps(lm.steps(keys)) == keys).all() and sum(sizes) <= 5 * len(keys)   # the first key is no difference
+
+
+def test_a_pass_over_words_alone_places_none():
+    words = np.sort(np.random.default_rng(9).integers(0, 1 << 63, 40, dtype=np.uint64))
+    row = {"cell": 1, "tokens": 5, "ids": [7], "words": lm.steps(words), "often": lm.planes(np.ones(40, np.int64)), "at": b"not read",
+           "size": lm.planes(np.array([5])), "train": b"\x01"}
+    cell = lm.Cell(pa.table({c: [v] for c, v in row.items()}), pa.table({}), 6)
+    (level,) = cell.levels(1)
+    assert (level.keys == words).all() and sum(s.stop - s.start for s in level.parts.values()) == 40
